@@ -1,32 +1,42 @@
 """Field codecs as Column expressions.
 
-Each function turns the raw bytes of one field (a BINARY Column) into a value and
-gives SQL NULL for bytes that are no value of that type. Everything here is a
-built-in Spark expression, so fields stay inside whole-stage code generation and
+Decoding a field takes two steps. :func:`piece` turns its bytes (BINARY) into the raw
+form its type is read from: characters, hex digits or an integer. :func:`value` turns
+that into the value, and gives SQL NULL for what is no value of the type. The operators
+put the steps into separate projections, so that a raw form read several times by the
+second step is made once.
+
+Everything here is a built-in Spark expression: fields stay inside generated code and
 fields nobody selects are pruned.
 
-``text`` decodes with the JVM's cp037 charset. Spark accepts that charset only
-while ``spark.sql.legacy.javaCharsets`` is on, so resolve such columns inside
+``text`` and ``zoned`` decode with the JVM's cp037 charset. Spark accepts it only while
+``spark.sql.legacy.javaCharsets`` is on, so resolve such columns inside
 :func:`mainspool.session.java_charsets`; the library's own operators do.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from mainspool.layout import COMP, COMP3, TEXT, Field, Item
+
 CHARSET = "cp037"
 
 # Markers written for an empty value and for an undecodable field.
 NULL_MARK = "NULL"
 BAD_MARK = "BAD_FIELD_RECORD"
 
-# Packed and zoned sign nibbles.
-NEGATIVE = ("B", "D")
-POSITIVE = ("A", "C", "E", "F")
+# Decimal digits a BIGINT surely holds, and the most a binary field does.
+LONG_DIGITS = 18
+COMP_DIGITS = {2: 5, 4: 10, 8: 20}
+
+# Packed sign nibbles, and zones of a signed last digit.
+POSITIVE = "FCAE"
+NEGATIVE = "DB"
 
 # Characters turned into one blank, in this order.
 BLANKED = ("\n\r", "\r\n", "\n", "\r", "\t", "\b")
@@ -34,67 +44,105 @@ BLANKED = ("\n\r", "\r\n", "\n", "\r", "\t", "\b")
 # Fixed value: characters Java's ``String.trim`` strips at both ends.
 TRIMMED = "".join(map(chr, range(0x21)))
 
+# Where the JVM's cp037 differs from Python's.
+_JVM_CONTROLS = {0x15: "\n", 0x25: "\x85"}
+
+# the character of every byte, and the digit in the byte's low nibble
+_CHARACTERS = "".join(_JVM_CONTROLS.get(i) or bytes([i]).decode(CHARSET) for i in range(256))
+_LOW_NIBBLES = "0123456789??????" * 16
+
+# the characters of signed digits: ten for each positive, then each negative zone
+_SIGNED_DIGITS = "".join(_CHARACTERS[int(zone, 16) * 16 + digit] for zone in POSITIVE + NEGATIVE for digit in range(10))
+_FIRST_NEGATIVE = 10 * len(POSITIVE)
+
+
+def piece(b: Column, field: Field | Item) -> Column:
+    """The raw form of a field's bytes."""
+    if field.kind == COMP3:
+        return F.hex(b)
+    if field.kind != COMP:
+        return F.decode(b, CHARSET)
+    if field.size < 8:
+        return F.conv(F.hex(b), 16, 10).cast("bigint")
+    return F.conv(F.hex(b), 16, -10).cast("bigint") if field.signed else F.conv(F.hex(b), 16, 10).cast("decimal(20,0)")
+
+
+def value(raw: Column, field: Field | Item) -> Column:
+    """The value of a raw form: STRING, BIGINT or DECIMAL."""
+    if field.kind == TEXT:
+        return raw
+    if field.kind == COMP3:
+        return _packed(raw, field.size, field.scale)
+    if field.kind == COMP:
+        return _binary(raw, field)
+    return _zoned(raw, field)
+
+
+def _decimal(digits: int, scale: int) -> str:
+    return f"decimal({max(digits, scale)},{scale})"
 
-def text(b: Column) -> Column:
-    """EBCDIC characters, untrimmed."""
-    return F.decode(b, CHARSET)
 
+def _scaled(whole: Column, digits: int, scale: int) -> Column:
+    """A whole number with an implied point as a decimal."""
+    whole = whole.cast(_decimal(digits, 0))
+    if not scale:
+        return whole
+    return (whole * F.expr(f"cast('1E-{scale}' as {_decimal(scale, scale)})")).cast(_decimal(digits, scale))
 
-def _plain(digits: Column, precision: int, scale: int, negative: Column) -> Column:
-    """Digits with an implied point and a separate sign as a decimal; NULL if not digits."""
-    sign = F.when(negative, "-").otherwise("")
-    if scale:
-        whole = precision - scale
-        digits = F.concat(F.substring(digits, 1, whole), F.lit("."), F.substring(digits, whole + 1, scale))
-    number = F.concat(sign, digits).try_cast(f"decimal({max(precision, 1)},{scale})")
+
+def _many_digits(digits: Column, count: int, scale: int, sign: Column) -> Column:
+    """Digits too many for a BIGINT as a decimal; NULL if they are not all digits."""
+    number = F.concat(digits, F.lit(f"E-{scale}")).try_cast(_decimal(count, scale))
     # an E among the digits would read as an exponent
-    return F.when(~F.contains(digits, F.lit("E")), number)
-
-
-def comp3(b: Column, size: int, scale: int = 0) -> Column:
-    """Packed decimal: two digits a byte, the last nibble is the sign."""
-    nibbles = F.hex(b)
-    digits = 2 * size - 1
-    sign = F.substring(nibbles, 2 * size, 1)
-    value = _plain(F.substring(nibbles, 1, digits), digits, scale, sign.isin(*NEGATIVE))
-    return F.when(sign.isin(*NEGATIVE, *POSITIVE), value)
-
-
-def zoned(b: Column, size: int, scale: int = 0, signed: bool = False) -> Column:
-    """One digit in the low nibble of each byte; the last high nibble is the sign."""
-    nibbles = F.hex(b)
-    digits = F.regexp_replace(nibbles, "[0-9A-F]([0-9])", "$1")
-    negative = F.substring(nibbles, 2 * size - 1, 1).isin(*NEGATIVE) if signed else F.lit(False)
-    return _plain(digits, size, scale, negative)
-
-
-def comp(b: Column, size: int, scale: int = 0, signed: bool = False) -> Column:
-    """Big-endian binary of 2, 4 or 8 bytes, two's complement when signed."""
-    if size == 8:
-        number = F.conv(F.hex(b), 16, -10 if signed else 10)
-        value = number.cast("bigint") if signed else number.cast("decimal(20,0)")
-    else:
-        value = F.conv(F.hex(b), 16, 10).cast("bigint")
-        if signed:
-            half = 1 << (8 * size - 1)
-            value = F.when(value >= half, value - 2 * half).otherwise(value)
-    if scale:
-        whole = {2: 5, 4: 10, 8: 20}[size]
-        value = (value.cast(f"decimal({whole},0)") * F.expr(f"cast('1E-{scale}' as decimal({scale},{scale}))")).cast(
-            f"decimal({whole},{scale})" if scale <= whole else f"decimal({scale},{scale})"
-        )
-    return value
-
-
-def value(b: Column, kind: str, size: int, scale: int, signed: bool) -> Column:
-    """The value of a field of the given kind."""
-    if kind == "text":
-        return text(b)
-    if kind == "comp3":
-        return comp3(b, size, scale)
-    if kind == "comp":
-        return comp(b, size, scale, signed)
-    return zoned(b, size, scale, signed)
+    plain = F.when(~F.contains(digits, F.lit("E")), number)
+    return F.when(sign == 1, plain).when(sign == -1, -plain)
+
+
+def _packed(nibbles: Column, size: int, scale: int) -> Column:
+    """Two digits a byte; the last nibble is the sign."""
+    count = 2 * size - 1
+    digits = F.substring(nibbles, 1, count)
+    rest = [nibbles.endswith(n) for n in POSITIVE[1:]]
+    sign = (
+        F.when(nibbles.endswith(POSITIVE[0]) | reduce(lambda a, b: a | b, rest), 1)
+        .when(nibbles.endswith(NEGATIVE[0]) | nibbles.endswith(NEGATIVE[1]), -1)
+    )
+    if count > LONG_DIGITS:
+        return _many_digits(digits, count, scale, sign)
+    return _scaled(digits.try_cast("bigint") * sign, count, scale)
+
+
+def _zoned(shown: Column, field: Field | Item) -> Column:
+    """One digit in the low nibble of each byte; the last high nibble is the sign.
+
+    Plain digit characters are the rule and are read as text; digits under other zones
+    are found by their low nibble.
+    """
+    size, low = field.size, F.translate(shown, _CHARACTERS, _LOW_NIBBLES)
+    sign = F.lit(1)
+    if field.signed:
+        last = F.position(F.substring(shown, size, 1), F.lit(_SIGNED_DIGITS)) - 1
+        sign = F.when(last >= _FIRST_NEGATIVE, -1).otherwise(1)
+        shown = F.concat(F.substring(shown, 1, size - 1), (last % 10).cast("string"))
+    if size > LONG_DIGITS:
+        return _many_digits(low, size, field.scale, sign)
+    quick = shown.try_cast("bigint")
+    number = F.when(F.lpad(quick.cast("string"), size, "0") == shown, quick).otherwise(low.try_cast("bigint"))
+    return _scaled(number * sign if field.signed else number, size, field.scale)
+
+
+def _binary(unsigned: Column, field: Field | Item) -> Column:
+    """Big-endian, two's complement when signed; eight bytes come signed already."""
+    if field.signed and field.size < 8:
+        half = 1 << (8 * field.size - 1)
+        unsigned = F.when(unsigned >= half, unsigned - 2 * half).otherwise(unsigned)
+    return _scaled(unsigned, COMP_DIGITS[field.size], field.scale) if field.scale else unsigned
+
+
+def decode(b: Column, kind: str, size: int, scale: int = 0, signed: bool = False) -> Column:
+    """The value of a field of ``kind`` (``text``, ``zoned``, ``comp`` or ``comp3``) from its bytes."""
+    field = Item(0, "", kind=kind, size=size, scale=scale, signed=signed)
+    return value(piece(b, field), field)
 
 
 def to_hex(b: Column) -> Column:
@@ -104,7 +152,7 @@ def to_hex(b: Column) -> Column:
 
 def java_trim(s: Column) -> Column:
     """Strip characters up to U+0020 at both ends."""
-    return F.btrim(F.trim(s), F.lit(TRIMMED))
+    return F.btrim(s, F.lit(TRIMMED))
 
 
 @cache
@@ -126,13 +174,12 @@ def clean(s: Column) -> Column:
     """Blank line breaks, tabs and backspaces, fold to ASCII, trim.
 
     Folding is canonical decomposition followed by dropping what is not ASCII,
-    written as one character map. Text that is all ASCII already skips it.
+    written as one character map. Printable ASCII, the rule, is only trimmed.
     """
-    for chars in BLANKED:
-        s = F.replace(s, F.lit(chars), F.lit(" "))
+    blanked = reduce(lambda t, chars: F.replace(t, F.lit(chars), F.lit(" ")), BLANKED, s)
     source, target = _accents()
-    folded = F.regexp_replace(F.translate(s, source, target), "[^\\x00-\\x7F]+", "")
-    return java_trim(F.when(F.octet_length(s) == F.length(s), s).otherwise(folded))
+    folded = F.regexp_replace(F.translate(blanked, source, target), "[^\\x00-\\x7F]+", "")
+    return F.when(s.rlike("[^ -~]"), java_trim(folded)).otherwise(F.trim(s))
 
 
 def comma_decimal(s: Column) -> Column:

@@ -7,7 +7,7 @@ groups become structs, repeated groups arrays, numbers numbers.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,18 +26,21 @@ Position = Column | int
 class FieldReader:
     """Column expressions for the fields of one layout over one record column."""
 
-    def __init__(self, layout: Layout, rec: str = "rec", rec_len: str = "rec_len", dialect: str = "mainframe"):
+    def __init__(self, layout: Layout, dialect: str = "mainframe", counts: Mapping[str, Column] | None = None):
         if dialect not in DIALECTS:
             raise ValueError(f"dialect must be one of {DIALECTS}, not {dialect!r}")
         self.layout = layout
-        self.rec = F.col(rec)
-        self.rec_len = F.col(rec_len)
+        self.rec = F.col("rec")
+        self.rec_len = F.col("rec_len")
         self.dialect = dialect
+        self.counts = dict(counts or {})
 
     def count(self, name: str) -> Column:
-        """The element count held in a record, as an INT between 0 and what the record says."""
-        field = self.layout.find(name)
-        return F.coalesce(F.greatest(self.value(field).cast("bigint"), F.lit(0)), F.lit(0))
+        """The element count a record holds, as a BIGINT; 0 where it holds none."""
+        if name not in self.counts:
+            said = self.value(self.layout.find(name)).cast("bigint")
+            self.counts[name] = F.greatest(F.coalesce(said, F.lit(0)), F.lit(0)).cast("bigint")
+        return self.counts[name]
 
     def position(self, offset: Offset) -> Position:
         """0-based byte offset; an int unless it lies behind a variable group."""
@@ -46,50 +49,52 @@ class FieldReader:
             at = at + self.count(counter) * size
         return at
 
-    def value_at(self, at: Position, field: Field | Item) -> Column:
-        """Value of a field at an offset; NULL when it reaches past the record end."""
+    def bytes_at(self, at: Position, size: int) -> Column:
         if isinstance(at, Column):
-            piece = F.substring(self.rec, (at + 1).cast("int"), F.lit(field.size))
-        else:
-            piece = F.substring(self.rec, at + 1, field.size)
-        decoded = codec.value(piece, field.kind, field.size, field.scale, field.signed)
-        return F.when(self.rec_len >= at + field.size, decoded)
+            return F.substring(self.rec, (at + 1).cast("int"), F.lit(size))
+        return F.substring(self.rec, at + 1, size)
+
+    def piece_at(self, at: Position, field: Field | Item) -> Column:
+        """Raw form of a field at an offset; NULL when it reaches past the record end."""
+        raw = codec.piece(self.bytes_at(at, field.size), field)
+        return F.when(self.rec_len >= at + field.size, raw)
+
+    def piece(self, field: Field) -> Column:
+        return self.piece_at(self.position(field.offset), field)
 
     def value(self, field: Field) -> Column:
-        return self.value_at(self.position(field.offset), field)
+        return codec.value(self.piece(field), field)
 
     def raw(self, field: Field) -> Column:
         """The field's bytes."""
-        at = self.position(field.offset)
-        start = (at + 1).cast("int") if isinstance(at, Column) else F.lit(at + 1)
-        return F.substring(self.rec, start, F.lit(field.size))
+        return self.bytes_at(self.position(field.offset), field.size)
 
-    def as_string(self, field: Field) -> Column:
+    def as_string(self, field: Field, piece: Column | None = None) -> Column:
         """The value as text, before cleaning; NULL when undecodable."""
-        value = self.value(field)
+        value = codec.value(self.piece(field) if piece is None else piece, field)
         if field.kind == TEXT:
             return value
         shown = value.cast("string")
         return codec.comma_decimal(shown) if self.dialect == "comma" and field.scale else shown
 
-    def as_text(self, field: Field) -> Column:
+    def as_text(self, field: Field, piece: Column | None = None) -> Column:
         """The cleaned, trimmed text value; NULL when undecodable."""
-        shown = self.as_string(field)
+        shown = self.as_string(field, piece)
         return codec.clean(shown) if field.kind == TEXT else shown
 
-    def as_typed(self, at: Position, field: Field | Item) -> Column:
-        value = self.value_at(at, field)
-        return value if field.kind == TEXT else value.try_cast(typed_name(field))
+
+def typed(value: Column, field: Field | Item) -> Column:
+    """A value in the type of typed mode; NULL if it does not fit."""
+    return value if field.kind == TEXT else value.try_cast(type_name(field))
 
 
-def typed_name(field: Field | Item) -> str:
+def type_name(field: Field | Item) -> str:
     """SQL type of a field in typed mode."""
     if field.kind == TEXT:
         return "string"
     if field.kind == COMP:
         if field.scale:
-            whole = {2: 5, 4: 10, 8: 20}[field.size]
-            return f"decimal({max(whole, field.scale)},{field.scale})"
+            return f"decimal({max(codec.COMP_DIGITS[field.size], field.scale)},{field.scale})"
         if field.size == 8 and not field.signed:
             return "decimal(20,0)"
         return "int" if field.size == 2 else "bigint"
@@ -101,6 +106,21 @@ def _kept(df: DataFrame, keep: Sequence[str] | None) -> list[str]:
     return [n for n in names if n in df.columns]
 
 
+def _with_counts(df: DataFrame, layout: Layout, split: str, dialect: str = "mainframe") -> tuple[DataFrame, FieldReader]:
+    """Add the counts that later offsets hang on as columns, each made once."""
+    names = {counter for f in layout.fields(split) for _, counter in f.offset.terms}
+    reader = FieldReader(layout, dialect)
+    for i, name in enumerate(sorted(names, key=lambda n: layout.find(n).offset.base)):
+        df = df.withColumn(f"_count{i}", reader.count(name))
+        reader.counts[name] = F.col(f"_count{i}")
+    return df, reader
+
+
+def _staged(df: DataFrame, kept: list[str], pieces: Sequence[Column]) -> DataFrame:
+    """The first projection: raw forms, as columns ``_0``, ``_1``, .."""
+    return df.select(*kept, *(p.alias(f"_{i}") for i, p in enumerate(pieces)))
+
+
 def decode_text(
     df: DataFrame,
     layout: Layout,
@@ -110,21 +130,41 @@ def decode_text(
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """One STRING column per elementary field, in record order, with markers."""
-    reader = FieldReader(layout, dialect=dialect)
+    kept = _kept(df, keep)
     fields = layout.fields(split)
     names = column_names([f.label for f in fields])
-    kept = _kept(df, keep)
     with java_charsets(df.sparkSession):
-        values = df.select(*kept, *(reader.as_text(f).alias(n) for f, n in zip(fields, names)))
+        df, reader = _with_counts(df, layout, split, dialect)
+        raw = _staged(df, kept, [reader.piece(f) for f in fields])
+        values = raw.select(
+            *kept, *(reader.as_text(f, F.col(f"_{i}")).alias(n) for i, (f, n) in enumerate(zip(fields, names)))
+        )
         return values.select(*kept, *(codec.marked(F.col(n)).alias(n) for n in names))
 
 
-class _Typed:
-    """Builds nested typed columns and the checks behind ``_bad_fields``."""
+def decode_flat(
+    df: DataFrame, layout: Layout, *, split: str = "nosplit", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Typed values in one flat column per elementary field; NULL when undecodable."""
+    kept = _kept(df, keep)
+    fields = layout.fields(split)
+    names = column_names([f.label for f in fields])
+    with java_charsets(df.sparkSession):
+        df, reader = _with_counts(df, layout, split)
+        raw = _staged(df, kept, [reader.piece(f) for f in fields])
+        return raw.select(
+            *kept, *(typed(codec.value(F.col(f"_{i}"), f), f).alias(n) for i, (f, n) in enumerate(zip(fields, names)))
+        )
+
+
+class _Tree:
+    """Nested columns of a layout: raw forms for the first projection, then values."""
 
     def __init__(self, reader: FieldReader, split: str):
-        self.reader, self.split, self.fillers = reader, split, 0
-        self.bad: list[Column] = []
+        self.reader, self.split = reader, split
+        self.pieces: list[Column] = []
+        self.checks: list[Column] = []
+        self.fillers = 0
 
     def name(self, item: Item) -> str:
         base = normalise(item.name)
@@ -133,43 +173,61 @@ class _Typed:
         self.fillers += 1
         return f"{base}_{self.fillers}"
 
-    def column(self, item: Item, at: Position) -> tuple[str, Column]:
-        name = self.name(item)
-        if item.occurs is None:
-            return name, self.single(item, at, name, top=True)
-        return name, self.array(item, at, name, top=True)
+    def stage(self, piece: Column) -> Column:
+        self.pieces.append(piece)
+        return F.col(f"_{len(self.pieces) - 1}")
+
+    def members(self, item: Item, at: Position) -> list[tuple[Item, Position, str]]:
+        """Named children of a group with their offsets."""
+        inside = placed(item.children, Offset(), self.split)
+        return [(c, at + self.reader.position(o), self.name(c)) for c, o in inside]
 
-    def single(self, item: Item, at: Position, path: str, top: bool) -> Column:
+    def column(self, item: Item, at: Position, path: str) -> Column:
+        """Value of an item outside any repeated group."""
+        if item.occurs is not None:
+            return self.array(item, at, path)
         if item.kind:
-            value = self.reader.as_typed(at, item)
-            if top:
-                self.bad.append(F.when(value.isNull(), F.lit(path)))
+            value = typed(codec.value(self.stage(self.reader.piece_at(at, item)), item), item)
+            self.checks.append(F.when(value.isNull(), F.lit(path)))
             return value
-        members = []
-        for child, child_at in placed(item.children, Offset(), self.split):
-            inner = at + self.reader.position(child_at)
-            child_name = self.name(child)
-            child_path = f"{path}.{child_name}"
-            if child.occurs is None:
-                member = self.single(child, inner, child_path, top)
-            else:
-                member = self.array(child, inner, child_path, top)
-            members.append(member.alias(child_name))
-        return F.struct(*members)
-
-    def array(self, item: Item, at: Position, path: str, top: bool) -> Column:
+        return F.struct(*(self.column(c, a, f"{path}.{n}").alias(n) for c, a, n in self.members(item, at)))
+
+    def array(self, item: Item, at: Position, path: str) -> Column:
         """Elements present: the count in the record, at most what the layout allows."""
         stride = item.stride()
-        if item.depending:
-            said = self.reader.count(item.depending)
-            present = F.least(said, F.lit(item.occurs)).cast("int")
-        else:
-            said = present = F.lit(item.occurs)
-        if top:
-            end = at + said * stride
-            self.bad.append(F.when((said > item.occurs) | (self.reader.rec_len < end), F.lit(path)))
+        said = self.reader.count(item.depending) if item.depending else F.lit(item.occurs)
+        fits = (said <= item.occurs) & (self.reader.rec_len >= at + said * stride)
+        self.checks.append(F.when(~self.stage(fits), F.lit(path)))
+        elements, shape = self.element(item, at)
+        return shape(self.stage(elements))
+
+    def element(self, item: Item, at: Position) -> tuple[Column, Callable[[Column], Column]]:
+        """Array of raw forms of a repeated item, and the function from it to values."""
+        stride = item.stride()
+        present = self.reader.count(item.depending) if item.depending else F.lit(item.occurs)
+        present = F.least(present, F.lit(item.occurs)).cast("int")
         subscripts = F.slice(F.sequence(F.lit(0), F.lit(item.occurs - 1)), F.lit(1), present)
-        return F.transform(subscripts, lambda i: self.single(item, at + i * stride, path, top=False))
+        shape: list[Callable[[Column], Column]] = []
+
+        def one(i: Column) -> Column:
+            raw, to_value = self.inside(item, at + i * stride)
+            shape.append(to_value)
+            return raw
+
+        raws = F.transform(subscripts, one)
+        return raws, lambda raw: F.transform(raw, shape[0])
+
+    def inside(self, item: Item, at: Position) -> tuple[Column, Callable[[Column], Column]]:
+        """Like :meth:`element`, for one occurrence."""
+        if item.kind:
+            return self.reader.piece_at(at, item), lambda raw: typed(codec.value(raw, item), item)
+        raws, shapes = [], []
+        for child, child_at, name in self.members(item, at):
+            make = self.element if child.occurs is not None else self.inside
+            raw, shape = make(child, child_at)
+            raws.append(raw.alias(name))
+            shapes.append((name, shape))
+        return F.struct(*raws), lambda raw: F.struct(*(shape(raw[name]).alias(name) for name, shape in shapes))
 
 
 def decode_typed(
@@ -177,31 +235,19 @@ def decode_typed(
 ) -> DataFrame:
     """Typed, nested columns plus ``_bad_fields``: the paths of undecodable fields.
 
-    An undecodable value is NULL. Elements beyond a record's own count are absent.
+    An undecodable value is NULL. Elements beyond a record's own count are absent; a
+    repeated group is bad if its count is too large or it reaches past the record end.
     """
-    reader = FieldReader(layout)
-    typed = _Typed(reader, split)
+    kept = _kept(df, keep)
     with java_charsets(df.sparkSession):
+        df, reader = _with_counts(df, layout, split)
+        tree = _Tree(reader, split)
         columns = []
         for item, offset in layout.tops(split):
-            name, column = typed.column(item, reader.position(offset))
-            columns.append(column.alias(name))
-        bad = F.array_compact(F.array(*typed.bad)).alias("_bad_fields")
-        return df.select(*_kept(df, keep), *columns, bad)
-
-
-def decode_flat(
-    df: DataFrame, layout: Layout, *, split: str = "nosplit", keep: Sequence[str] | None = None
-) -> DataFrame:
-    """Typed values in one flat column per elementary field; NULL when undecodable."""
-    reader = FieldReader(layout)
-    fields = layout.fields(split)
-    names = column_names([f.label for f in fields])
-    with java_charsets(df.sparkSession):
-        return df.select(
-            *_kept(df, keep),
-            *(reader.as_typed(reader.position(f.offset), f).alias(n) for f, n in zip(fields, names)),
-        )
+            name = tree.name(item)
+            columns.append(tree.column(item, reader.position(offset), name).alias(name))
+        bad = F.array_compact(F.array(*tree.checks)).alias("_bad_fields")
+        return _staged(df, kept, tree.pieces).select(*kept, *columns, bad)
 
 
 def decode(df: DataFrame, layout: Layout, mode: str = "text", **options) -> DataFrame:

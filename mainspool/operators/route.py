@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mainspool.layout import MARGINS, Layout
 from mainspool.operators.decode import FieldReader, decode
-from mainspool.operators.rules import Alternative, matches
+from mainspool.operators.rules import Alternative, joined
 from mainspool.session import java_charsets
 
 
@@ -104,6 +104,23 @@ def _first(cases: list[tuple[Column, str]], default: str | None) -> Column:
     return chain.otherwise(F.lit(default))
 
 
+class _Looks:
+    """The joined field values rules look at, each made once as a column ``_look0``, .."""
+
+    def __init__(self) -> None:
+        self.columns: dict[tuple, tuple[str, Column]] = {}
+
+    def hit(self, record_type: RecordType, rule: Alternative) -> Column:
+        """True where the rule matches, read by the type's layout."""
+        names = [name for name, _ in rule]
+        # a field of a shared header is the same look in every type
+        key = tuple(record_type.layout.find(name) for name in names)
+        if key not in self.columns:
+            look = joined(FieldReader(record_type.layout), names)
+            self.columns[key] = (f"_look{len(self.columns)}", look)
+        return F.col(self.columns[key][0]) == "".join(v for _, v in rule).lower()
+
+
 def classify(df: DataFrame, catalog: Catalog) -> DataFrame:
     """All records with ``rec_type`` and ``rec_variant``; NULL where no type takes them.
 
@@ -111,30 +128,29 @@ def classify(df: DataFrame, catalog: Catalog) -> DataFrame:
     records it matches, whichever type it is listed under, if the record's own layout
     has the rule's fields.
     """
-    readers = {t.name: FieldReader(t.layout) for t in catalog.types}
-    named = [(t.name, variant, matches(readers[t.name], [rule])) for t in catalog.types for variant, rule in t.include]
+    looks = _Looks()
+    named = [(t.name, variant, looks.hit(t, rule)) for t in catalog.types for variant, rule in t.include]
     default = next((t.name for t in catalog.types if not t.include), None)
-    rules = [rule for t in catalog.types for _, rule in t.exclude]
-    unwanted = []
-    for t in catalog.types:
-        usable = [r for r in rules if all(t.layout.has(name) for name, _ in r)]
-        if usable:
-            unwanted.append((F.col("rec_type") == t.name) & matches(readers[t.name], usable))
+    unwanted = [
+        (F.col("rec_type") == t.name) & F.coalesce(looks.hit(t, rule), F.lit(False))
+        for t in catalog.types
+        for other in catalog.types
+        for _, rule in other.exclude
+        if all(t.layout.has(name) for name, _ in rule)
+    ]
     with java_charsets(df.sparkSession):
-        cases = [(hit, f"{i}") for i, (_, _, hit) in enumerate(named)]
-        taken = df.withColumn("_case", _first(cases, "default" if default else None))
-        type_of = [(F.col("_case") == f"{i}", name) for i, (name, _, _) in enumerate(named)]
-        variant_of = [(F.col("_case") == f"{i}", variant) for i, (_, variant, _) in enumerate(named)]
-        if default:
-            type_of.append((F.col("_case") == "default", default))
-            variant_of.append((F.col("_case") == "default", default))
-        typed = taken.withColumns({"rec_type": _first(type_of, None), "rec_variant": _first(variant_of, None)})
+        looked = df.withColumns(dict(looks.columns.values())) if looks.columns else df
+        typed = looked.withColumns(
+            {
+                "rec_type": _first([(hit, name) for name, _, hit in named], default),
+                "rec_variant": _first([(hit, variant) for _, variant, hit in named], default),
+            }
+        )
         if unwanted:
-            dropped = F.coalesce(reduce(lambda a, b: a | b, unwanted), F.lit(False))
-            typed = typed.withColumn("_dropped", dropped).withColumns(
-                {c: F.when(~F.col("_dropped"), F.col(c)) for c in ("rec_type", "rec_variant")}
+            typed = typed.withColumn("_dropped", reduce(lambda a, b: a | b, unwanted)).withColumns(
+                {c: F.when(F.col("_dropped"), None).otherwise(F.col(c)) for c in ("rec_type", "rec_variant")}
             )
-        return typed.drop("_case", "_dropped")
+        return typed.select(*df.columns, "rec_type", "rec_variant")
 
 
 def route(df: DataFrame, catalog: Catalog) -> DataFrame:

@@ -37,20 +37,24 @@ def parse_rules(spec: str | None) -> tuple[Alternative, ...]:
     return tuple(alternatives)
 
 
-def matches(
-    reader: FieldReader, alternatives: Sequence[Alternative], strict: bool = False
-) -> Column:
-    """True where any alternative matches. A field that cannot be decoded matches nothing."""
-
-    def shown(name: str) -> Column:
-        return codec.java_trim(reader.as_string(reader.layout.find(name)))
+def joined(reader: FieldReader, names: Sequence[str]) -> Column:
+    """The trimmed values of some fields, joined, in lower case; NULL if one is undecodable."""
+    shown = [codec.java_trim(reader.as_string(reader.layout.find(name))) for name in names]
+    return F.lower(F.concat(*shown))
 
-    def one(pairs: Alternative) -> Column:
-        if strict:
-            return all_of([F.lower(shown(n)) == v.lower() for n, v in pairs])
-        return F.lower(F.concat(*(shown(n) for n, _ in pairs))) == "".join(v for _, v in pairs).lower()
 
-    return F.coalesce(any_of([one(a) for a in alternatives]), F.lit(False))
+def matches(reader: FieldReader, alternatives: Sequence[Alternative], strict: bool = False) -> Column:
+    """True where any alternative matches. A field that cannot be decoded matches nothing."""
+    if strict:
+        found = [all_of([joined(reader, [n]) == v.lower() for n, v in pairs]) for pairs in alternatives]
+    else:
+        # alternatives on the same fields share one look at them
+        literals: dict[tuple[str, ...], list[str]] = {}
+        for pairs in alternatives:
+            wanted = "".join(v for _, v in pairs).lower()
+            literals.setdefault(tuple(n for n, _ in pairs), []).append(wanted)
+        found = [joined(reader, names).isin(wanted) for names, wanted in literals.items()]
+    return F.coalesce(any_of(found), F.lit(False))
 
 
 def include(df: DataFrame, layout: Layout, spec: str, *, strict: bool = False) -> DataFrame:

@@ -177,9 +177,9 @@ def decode_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = F.col("rec")
     with java_charsets(spark):
         return records.select(
-            codec.zoned(F.substring(rec, 1, 12), 12).cast("bigint").alias("doc_id"),
-            codec.zoned(F.substring(rec, 13, 6), 6).cast("bigint").alias("piece"),
-            codec.text(F.substring(rec, F.lit(19), F.col("rec_len") - 18)).alias("text"),
+            codec.decode(F.substring(rec, 1, 12), "zoned", 12).cast("bigint").alias("doc_id"),
+            codec.decode(F.substring(rec, 13, 6), "zoned", 6).cast("bigint").alias("piece"),
+            codec.decode(F.substring(rec, F.lit(19), F.col("rec_len") - 18), "text", 0).alias("text"),
         )
 
 
@@ -556,8 +556,8 @@ def route_unrouted(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = r.unrouted(read_vb(spark, fx.mixed(spark, sf_dir)), lay.mixed_catalog(excludes=False))
     with java_charsets(spark):
         return left.select(
-            codec.text(F.substring("rec", 1, 2)).alias("ident"),
-            codec.zoned(F.substring("rec", 3, 12), 12).cast("bigint").alias("key"),
+            codec.decode(F.substring("rec", 1, 2), "text", 2).alias("ident"),
+            codec.decode(F.substring("rec", 3, 12), "zoned", 12).cast("bigint").alias("key"),
         )
 
 

@@ -93,15 +93,16 @@ def write(
 def tsv_by_type(routed: DataFrame, catalog: Catalog, *, trailing_tab: bool = True) -> DataFrame:
     """``(rec_type, value)``: every record as a text line in its own type's columns."""
     with java_charsets(routed.sparkSession):
-        decoded, lines = [], F
+        raws, values, lines = [], [], F
         for i, t in enumerate(catalog.types):
             fields, names = t.layout.fields(), t.layout.columns()
-            reader = FieldReader(t.layout)
-            values = F.struct(*(reader.as_text(f).alias(n) for f, n in zip(fields, names)))
-            decoded.append(F.when(F.col("rec_type") == t.name, values).alias(f"_{i}"))
+            reader, own = FieldReader(t.layout), F.col("rec_type") == t.name
+            raws.append(F.when(own, F.struct(*(reader.piece(f).alias(n) for f, n in zip(fields, names)))).alias(f"_{i}"))
+            texts = (reader.as_text(f, F.col(f"_{i}.`{n}`")).alias(n) for f, n in zip(fields, names))
+            values.append(F.when(own, F.struct(*texts)).alias(f"_{i}"))
             shown = F.concat_ws("\t", *(codec.marked(F.col(f"_{i}.`{n}`")) for n in names))
-            lines = lines.when(F.col("rec_type") == t.name, F.concat(shown, F.lit("\t")) if trailing_tab else shown)
-        return routed.select("rec_type", *decoded).select("rec_type", lines.alias("value"))
+            lines = lines.when(own, F.concat(shown, F.lit("\t")) if trailing_tab else shown)
+        return routed.select("rec_type", *raws).select("rec_type", *values).select("rec_type", lines.alias("value"))
 
 
 def write_by_type(

@@ -93,6 +93,10 @@ class Item:
             return Offset(0, ((self.stride(), self.depending),))
         return Offset(self.stride() * self.occurs)
 
+    def leaves(self) -> int:
+        """Elementary fields in one occurrence."""
+        return 1 if self.kind else sum(c.leaves() * (c.occurs or 1) for c in self.children)
+
     def max_bytes(self) -> int:
         one = self.size if self.kind else _max_bytes_of(self.children)
         return one * (self.occurs or 1)

@@ -8,6 +8,7 @@ groups become structs, repeated groups arrays, numbers numbers.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,14 +16,25 @@ from pyspark.sql import functions as F
 
 from mainspool.functions import codec
 from mainspool.layout import COMP, TEXT, Field, Item, Layout, Offset, column_names, normalise, placed
-from mainspool.session import java_charsets
+from mainspool.session import java_charsets, limit_generated_methods
 
 RECORD_COLUMNS = ("file", "rec_no", "rec_len", "rec")
 DIALECTS = ("mainframe", "comma")
 
+# Repeated groups of up to this many fields in all are decoded without a lambda.
+UNROLLED = 64
+
 Position = Column | int
 
 
+def bytes_at(at: Position, size: int, source: Column | None = None) -> Column:
+    """Bytes of the record, or of another source, from a 0-based offset."""
+    source = F.col("rec") if source is None else source
+    if isinstance(at, Column):
+        return F.substring(source, (at + 1).cast("int"), F.lit(size))
+    return F.substring(source, at + 1, size)
+
+
 class FieldReader:
     """Column expressions for the fields of one layout over one record column."""
 
@@ -30,7 +42,6 @@ class FieldReader:
         if dialect not in DIALECTS:
             raise ValueError(f"dialect must be one of {DIALECTS}, not {dialect!r}")
         self.layout = layout
-        self.rec = F.col("rec")
         self.rec_len = F.col("rec_len")
         self.dialect = dialect
         self.counts = dict(counts or {})
@@ -49,15 +60,12 @@ class FieldReader:
             at = at + self.count(counter) * size
         return at
 
-    def bytes_at(self, at: Position, size: int) -> Column:
-        if isinstance(at, Column):
-            return F.substring(self.rec, (at + 1).cast("int"), F.lit(size))
-        return F.substring(self.rec, at + 1, size)
-
-    def piece_at(self, at: Position, field: Field | Item) -> Column:
-        """Raw form of a field at an offset; NULL when it reaches past the record end."""
-        raw = codec.piece(self.bytes_at(at, field.size), field)
-        return F.when(self.rec_len >= at + field.size, raw)
+    def piece_at(self, at: Position, field: Field | Item, source: Column | None = None) -> Column:
+        """Raw form of a field at an offset; NULL when it reaches past the end of the
+        source, by default the record."""
+        raw = codec.piece(bytes_at(at, field.size, source), field)
+        length = self.rec_len if source is None else F.octet_length(source)
+        return F.when(length >= at + field.size, raw)
 
     def piece(self, field: Field) -> Column:
         return self.piece_at(self.position(field.offset), field)
@@ -67,7 +75,7 @@ class FieldReader:
 
     def raw(self, field: Field) -> Column:
         """The field's bytes."""
-        return self.bytes_at(self.position(field.offset), field.size)
+        return bytes_at(self.position(field.offset), field.size)
 
     def as_string(self, field: Field, piece: Column | None = None) -> Column:
         """The value as text, before cleaning; NULL when undecodable."""
@@ -130,6 +138,7 @@ def decode_text(
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """One STRING column per elementary field, in record order, with markers."""
+    limit_generated_methods(df.sparkSession)
     kept = _kept(df, keep)
     fields = layout.fields(split)
     names = column_names([f.label for f in fields])
@@ -146,6 +155,7 @@ def decode_flat(
     df: DataFrame, layout: Layout, *, split: str = "nosplit", keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Typed values in one flat column per elementary field; NULL when undecodable."""
+    limit_generated_methods(df.sparkSession)
     kept = _kept(df, keep)
     fields = layout.fields(split)
     names = column_names([f.label for f in fields])
@@ -192,39 +202,60 @@ class _Tree:
             return value
         return F.struct(*(self.column(c, a, f"{path}.{n}").alias(n) for c, a, n in self.members(item, at)))
 
+    def present(self, item: Item) -> Column:
+        """How many elements a record holds: its own count, at most what the layout allows."""
+        said = self.reader.count(item.depending) if item.depending else F.lit(item.occurs)
+        return F.least(said, F.lit(item.occurs)).cast("int")
+
     def array(self, item: Item, at: Position, path: str) -> Column:
-        """Elements present: the count in the record, at most what the layout allows."""
+        """A repeated item outside any other."""
         stride = item.stride()
         said = self.reader.count(item.depending) if item.depending else F.lit(item.occurs)
         fits = (said <= item.occurs) & (self.reader.rec_len >= at + said * stride)
         self.checks.append(F.when(~self.stage(fits), F.lit(path)))
-        elements, shape = self.element(item, at)
-        return shape(self.stage(elements))
-
-    def element(self, item: Item, at: Position) -> tuple[Column, Callable[[Column], Column]]:
-        """Array of raw forms of a repeated item, and the function from it to values."""
+        if item.occurs * item.leaves() > UNROLLED:
+            elements, shape = self.element(item, at)
+            return shape(self.stage(elements))
+        # few enough to write out, which stays in generated code; lambdas do not
+        one = replace(item, occurs=None, depending=None)
+        checks, fillers, elements = self.checks, self.fillers, []
+        self.checks = []
+        for i in range(item.occurs):
+            self.fillers = fillers
+            elements.append(self.column(one, at + i * stride, path))
+        self.checks = checks
+        return F.slice(F.array(*elements), F.lit(1), self.stage(self.present(item)))
+
+    def element(
+        self, item: Item, at: Position, source: Column | None = None
+    ) -> tuple[Column, Callable[[Column], Column]]:
+        """Array of raw forms of a repeated item, and the function from it to values.
+
+        Each occurrence is cut out of its source first, so that its fields are not each
+        cut out of the whole record.
+        """
         stride = item.stride()
-        present = self.reader.count(item.depending) if item.depending else F.lit(item.occurs)
-        present = F.least(present, F.lit(item.occurs)).cast("int")
-        subscripts = F.slice(F.sequence(F.lit(0), F.lit(item.occurs - 1)), F.lit(1), present)
+        subscripts = F.slice(F.sequence(F.lit(0), F.lit(item.occurs - 1)), F.lit(1), self.present(item))
+        cuts = F.transform(subscripts, lambda i: bytes_at(at + i * stride, stride, source))
         shape: list[Callable[[Column], Column]] = []
 
-        def one(i: Column) -> Column:
-            raw, to_value = self.inside(item, at + i * stride)
+        def one(cut: Column) -> Column:
+            raw, to_value = self.inside(item, 0, cut)
             shape.append(to_value)
             return raw
 
-        raws = F.transform(subscripts, one)
+        raws = F.transform(cuts, one)
         return raws, lambda raw: F.transform(raw, shape[0])
 
-    def inside(self, item: Item, at: Position) -> tuple[Column, Callable[[Column], Column]]:
-        """Like :meth:`element`, for one occurrence."""
+    def inside(self, item: Item, at: int, source: Column) -> tuple[Column, Callable[[Column], Column]]:
+        """Like :meth:`element`, for one occurrence, held in ``source``."""
         if item.kind:
-            return self.reader.piece_at(at, item), lambda raw: typed(codec.value(raw, item), item)
+            piece = self.reader.piece_at(at, item, source)
+            return piece, lambda raw: typed(codec.value(raw, item), item)
         raws, shapes = [], []
         for child, child_at, name in self.members(item, at):
             make = self.element if child.occurs is not None else self.inside
-            raw, shape = make(child, child_at)
+            raw, shape = make(child, child_at, source)
             raws.append(raw.alias(name))
             shapes.append((name, shape))
         return F.struct(*raws), lambda raw: F.struct(*(shape(raw[name]).alias(name) for name, shape in shapes))
@@ -238,6 +269,7 @@ def decode_typed(
     An undecodable value is NULL. Elements beyond a record's own count are absent; a
     repeated group is bad if its count is too large or it reaches past the record end.
     """
+    limit_generated_methods(df.sparkSession)
     kept = _kept(df, keep)
     with java_charsets(df.sparkSession):
         df, reader = _with_counts(df, layout, split)

@@ -12,6 +12,12 @@ from pyspark.sql import SparkSession
 # Fixed value: Spark's switch that lets ``decode`` use any JVM charset.
 _JAVA_CHARSETS = "spark.sql.legacy.javaCharsets"
 
+# Spark's limit on a generated method, its default, and the size over
+# which the JVM leaves a method to its interpreter.
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+_METHOD_LIMIT_DEFAULT = "65535"
+_JIT_LIMIT = "8000"
+
 
 @contextmanager
 def java_charsets(spark: SparkSession) -> Iterator[None]:
@@ -28,6 +34,17 @@ def java_charsets(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_JAVA_CHARSETS, before)
 
 
+def limit_generated_methods(spark: SparkSession) -> None:
+    """Keep wide projections compiled.
+
+    Decoding a wide layout in one whole-stage method gives a method the JVM only
+    interprets, several times slower than separate, compiled projections. Spark chooses
+    those over the limit set here. A limit the session set itself stays.
+    """
+    if spark.conf.get(_METHOD_LIMIT, _METHOD_LIMIT_DEFAULT) == _METHOD_LIMIT_DEFAULT:
+        spark.conf.set(_METHOD_LIMIT, _JIT_LIMIT)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the cluster's ``spark.checkpoint.dir``.
 

@@ -13,7 +13,7 @@ from mainspool.functions import codec
 from mainspool.layout import Layout
 from mainspool.operators.decode import FieldReader, decode_text
 from mainspool.operators.route import Catalog, decode_type
-from mainspool.session import java_charsets, scratch_path
+from mainspool.session import java_charsets, limit_generated_methods, scratch_path
 from mainspool.sinks.vb import filesystem
 
 FORMATS = ("tsv", "orc", "parquet")
@@ -92,6 +92,7 @@ def write(
 
 def tsv_by_type(routed: DataFrame, catalog: Catalog, *, trailing_tab: bool = True) -> DataFrame:
     """``(rec_type, value)``: every record as a text line in its own type's columns."""
+    limit_generated_methods(routed.sparkSession)
     with java_charsets(routed.sparkSession):
         raws, values, lines = [], [], F
         for i, t in enumerate(catalog.types):

@@ -20,23 +20,24 @@ def digits(c: Column, size: int) -> Column:
     return F.encode(F.lpad(c.cast("string"), size, "0"), "cp037")
 
 
-def zoned(c: Column, size: int, scale: int = 0) -> Column:
-    """Signed zoned decimal: the last zone is C or D."""
-    whole = F.lpad(F.abs(unscaled(c, scale)).cast("string"), size, "0")
-    zone = F.when(unscaled(c, scale) < 0, "D").otherwise("C")
-    head = F.regexp_replace(F.substring(whole, 1, size - 1), "(.)", "F$1")
-    return F.unhex(F.concat(head, zone, F.substring(whole, size, 1)))
+def unscaled(c: Column, scale: int) -> Column:
+    """The digits of the absolute value of a number with ``scale`` places."""
+    return F.replace(F.abs(c.cast(f"decimal(18,{scale})")).cast("string"), F.lit("."), F.lit(""))
 
 
-def unscaled(c: Column, scale: int) -> Column:
-    """The integer behind a decimal with ``scale`` places."""
-    return F.round(c.cast(f"decimal(18,{scale})") * (10**scale), 0).cast("bigint")
+def _sign(c: Column) -> Column:
+    return F.when(c.cast("decimal(18,2)") < 0, "D").otherwise("C")
+
+
+def zoned(c: Column, size: int, scale: int = 0) -> Column:
+    """Signed zoned decimal: the last zone is C or D."""
+    whole = F.lpad(unscaled(c, scale), size, "0")
+    head = F.encode(F.substring(whole, 1, size - 1), "cp037")
+    return F.concat(head, F.unhex(F.concat(_sign(c), F.substring(whole, size, 1))))
 
 
 def comp3(c: Column, size: int, scale: int = 0) -> Column:
-    number = unscaled(c, scale)
-    sign = F.when(number < 0, "D").otherwise("C")
-    return F.unhex(F.concat(F.lpad(F.abs(number).cast("string"), 2 * size - 1, "0"), sign))
+    return F.unhex(F.concat(F.lpad(unscaled(c, scale), 2 * size - 1, "0"), _sign(c)))
 
 
 def comp(c: Column, size: int) -> Column:

@@ -145,7 +145,7 @@ def stores(spark: SparkSession, sf_dir: str) -> str:
             e.comp(F.col("s_suppkey"), 4),
             e.comp(F.col("s_nationkey") - 12, 2),
             e.text(F.lit("<>"), 2),
-            e.comp(e.unscaled(F.col("s_acctbal") - 5000, 2), 8),
+            e.comp((F.col("s_acctbal") - 5000).cast("decimal(15,2)") * 100, 8),
             e.text(F.col("s_name"), 50),
             e.text(F.lit("|"), 1),
             e.text(F.when(F.col("s_acctbal") > 0, "Y").otherwise("N"), 1),

@@ -44,8 +44,8 @@ BLANKED = ("\n\r", "\r\n", "\n", "\r", "\t", "\b")
 # Fixed value: characters Java's ``String.trim`` strips at both ends.
 TRIMMED = "".join(map(chr, range(0x21)))
 
-# Where the JVM's cp037 differs from Python's.
-_JVM_CONTROLS = {0x15: "\n", 0x25: "\x85"}
+# Fixed value: where the JVM's cp037 differs from Python's.
+_JVM_CONTROLS = {0x15: "\n"}
 
 # the character of every byte, and the digit in the byte's low nibble
 _CHARACTERS = "".join(_JVM_CONTROLS.get(i) or bytes([i]).decode(CHARSET) for i in range(256))

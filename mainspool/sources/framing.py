@@ -10,6 +10,8 @@ counts the descriptor itself, then two zero bytes.
 from __future__ import annotations
 
 import struct
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,16 +72,16 @@ def follow(buf: bytes, pos: int, stop: int) -> tuple[list[int], int, bool]:
     return starts, pos, False
 
 
-def follow_unseen(buf: bytes, pos: int, stop: int, seen: bytearray) -> tuple[list[int], int, bool]:
-    """:func:`follow`, marking starts in ``seen`` and ending early on a marked one."""
+def follow_unseen(buf: bytes, pos: int, stop: int, owner: array, me: int) -> tuple[list[int], int, bool]:
+    """:func:`follow`, marking starts as owned by ``me`` and ending early on an owned one."""
     starts: list[int] = []
     add, unpack = starts.append, struct.Struct(">HH").unpack_from
     stop = min(stop, len(buf) - DESCRIPTOR + 1)
-    while pos < stop and not seen[pos]:
+    while pos < stop and not owner[pos]:
         size, zero = unpack(buf, pos)
         if size < DESCRIPTOR or zero:
             return starts, pos, True
-        seen[pos] = 1
+        owner[pos] = me
         add(pos)
         pos += size
     return starts, pos, False
@@ -157,15 +159,24 @@ def fixed_records(path: str, start: int, end: int, record_len: int) -> Iterator[
             yield _batch(path, at // record_len + 1, sizes, np.frombuffer(buf, dtype=np.uint8))
 
 
-def _plausible(buf: bytes, stop: int) -> list[int]:
-    """Positions below ``stop`` whose bytes could be a record descriptor."""
+def _plausible(buf: bytes, window: int, stop: int) -> list[int]:
+    """Positions below ``window`` whose bytes could be a record descriptor, followed by
+    others as far as this looks. What it leaves out meets a corrupt one before ``stop``."""
     data = np.frombuffer(buf, dtype=np.uint8)
-    stop = min(stop, len(data) - DESCRIPTOR + 1)
-    if stop <= 0:
+    n = min(window + 4 * LONGEST, stop, len(data) - DESCRIPTOR + 1)
+    if n <= 0:
         return []
-    size = data[:stop].astype(np.int32) << 8 | data[1 : stop + 1]
-    ok = (size >= DESCRIPTOR) & (data[2 : stop + 2] == 0) & (data[3 : stop + 3] == 0)
-    return np.flatnonzero(ok).tolist()
+    size = data[:n].astype(np.int64) << 8 | data[1 : n + 1]
+    ok = (size >= DESCRIPTOR) & (data[2 : n + 2] == 0) & (data[3 : n + 3] == 0)
+    at = np.flatnonzero(ok)
+    following = at + size[at]
+    while True:
+        # what lies behind the bytes looked at is taken for plausible
+        good = ok[np.minimum(following, n - 1)] | (following >= n)
+        if good.all():
+            return at[at < window].tolist()
+        ok[at[~good]] = False
+        at, following = at[good], following[good]
 
 
 def _block_exits(buf: bytes, entries: list[int], stop: int) -> dict[int, tuple[int, int, bool]]:
@@ -173,19 +184,16 @@ def _block_exits(buf: bytes, entries: list[int], stop: int) -> dict[int, tuple[i
 
     Chains that meet are walked once from there on.
     """
-    seen = bytearray(len(buf))
-    walked: list[tuple[np.ndarray, int, int, bool]] = []
+    owner = array("i", bytes(4 * len(buf)))
+    walked: list[tuple[list[int], int, int, bool]] = []
     out: dict[int, tuple[int, int, bool]] = {}
     for entry in entries:
-        starts, nxt, corrupt = follow_unseen(buf, entry, stop, seen)
+        starts, nxt, corrupt = follow_unseen(buf, entry, stop, owner, len(walked) + 1)
         count = len(starts)
-        if not corrupt and nxt < stop and nxt < len(buf) and seen[nxt]:
-            for chain, total, chain_exit, chain_corrupt in walked:
-                i = int(np.searchsorted(chain, nxt))
-                if i < len(chain) and chain[i] == nxt:
-                    count, nxt, corrupt = count + total - i, chain_exit, chain_corrupt
-                    break
-        walked.append((np.array(starts, dtype=np.int64), count, nxt, corrupt))
+        if not corrupt and nxt < min(stop, len(buf)) and owner[nxt]:
+            chain, total, exit_, corrupt_ = walked[owner[nxt] - 1]
+            count, nxt, corrupt = count + total - bisect_left(chain, nxt), exit_, corrupt_
+        walked.append((starts, count, nxt, corrupt))
         out[entry] = (nxt, count, corrupt)
     return out
 
@@ -194,22 +202,20 @@ def chunk_chains(path: str, chunk: int, chunk_bytes: int, length: int) -> pa.Rec
     """Where record chains go that enter a chunk at any plausible position.
 
     The true entry is not known yet: it depends on every earlier chunk. So each
-    plausible entry is followed; false ones soon hit bytes that are no descriptor.
-    ``exit`` is the first start behind the chunk, or ``-1 - position`` of a corrupt
-    descriptor.
+    plausible entry is followed. One that meets a corrupt descriptor is left out: if it
+    is the true one after all, reading the chunk from there finds the same corruption.
+    ``exits`` are the first starts behind the chunk.
     """
     begin = chunk * chunk_bytes
     end = min(begin + chunk_bytes, length)
     alive: dict[int, tuple[int, int]] = {}
-    done: dict[int, tuple[int, int]] = {}
     with open_file(path) as f:
         for at in range(begin, end, BLOCK):
             stop = min(at + BLOCK, end)
             f.seek(at)
             buf = f.read(min(stop - at + DESCRIPTOR - 1, length - at))
             if at == begin:
-                window = 1 if chunk == 0 else min(LONGEST, end - begin)
-                first = [0] if chunk == 0 else _plausible(buf, window)
+                first = _plausible(buf, min(LONGEST, end - begin), stop - at) if chunk else [0]
                 alive = {begin + p: (begin + p, 0) for p in first}
             here = sorted({pos - at for pos, _ in alive.values() if pos < stop})
             exits = _block_exits(buf, here, stop - at)
@@ -217,21 +223,19 @@ def chunk_chains(path: str, chunk: int, chunk_bytes: int, length: int) -> pa.Rec
                 if pos >= stop:
                     continue
                 nxt, passed, corrupt = exits[pos - at]
-                # a descriptor cut off by the end of the file is corrupt too
+                # so is a record cut off by the end of the file
                 if corrupt or at + nxt < stop or at + nxt > length:
-                    done[entry] = (-1 - min(at + nxt, length), count + passed)
                     del alive[entry]
                 else:
                     alive[entry] = (at + nxt, count + passed)
-    done.update(alive)
-    entries = sorted(done)
+    entries = sorted(alive)
     row = {
         "file": path,
         "length": length,
         "chunk_bytes": chunk_bytes,
         "chunk": chunk,
         "entries": entries,
-        "exits": [done[e][0] for e in entries],
-        "records": [done[e][1] for e in entries],
+        "exits": [alive[e][0] for e in entries],
+        "records": [alive[e][1] for e in entries],
     }
     return pa.RecordBatch.from_pylist([row], schema=CHAIN_SCHEMA)

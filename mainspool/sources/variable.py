@@ -44,13 +44,13 @@ def _true_ranges(chunks: pd.DataFrame) -> pd.DataFrame:
     by_number = chunks.set_index("chunk")
     file, length, size = (chunks[c].iloc[0] for c in ("file", "length", "chunk_bytes"))
     rows, pos, number = [], 0, 1
-    while 0 <= pos < length:
+    while pos < length:
         chunk = pos // size
         rows.append((file, pos, min((chunk + 1) * size, length), length, number))
         entries, exits, records = by_number.loc[chunk, ["entries", "exits", "records"]]
         i = np.searchsorted(entries, pos)
         if i == len(entries) or entries[i] != pos:
-            break  # no descriptor there: reading the range will reject it
+            break  # corrupt in this chunk: reading the range will say where
         pos, number = exits[i], number + records[i]
     return pd.DataFrame(rows, columns=["file", "start", "end", "length", "first_rec_no"])
 

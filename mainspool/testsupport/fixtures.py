@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mainspool.session import java_charsets, scratch_path
+from mainspool.session import java_charsets, limit_generated_methods, scratch_path
 from mainspool.sinks.vb import write_vb
 from mainspool.testsupport import encode as e
 
@@ -33,6 +33,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         path = scratch_path(spark, name)
+        limit_generated_methods(spark)
         with java_charsets(spark):
             records = build()
         write_vb(

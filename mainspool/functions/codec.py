@@ -179,7 +179,12 @@ def clean(s: Column) -> Column:
     blanked = reduce(lambda t, chars: F.replace(t, F.lit(chars), F.lit(" ")), BLANKED, s)
     source, target = _accents()
     folded = F.regexp_replace(F.translate(blanked, source, target), "[^\\x00-\\x7F]+", "")
-    return F.when(s.rlike("[^ -~]"), java_trim(folded)).otherwise(F.trim(s))
+    is_ascii = F.octet_length(s) == F.length(s)
+    return (
+        F.when(~s.rlike("[^ -~]"), F.trim(s))
+        .when(is_ascii, java_trim(blanked))
+        .when(~is_ascii, java_trim(folded))
+    )
 
 
 def comma_decimal(s: Column) -> Column:

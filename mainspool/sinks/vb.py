@@ -106,7 +106,8 @@ class VbWriter(DataSourceArrowWriter):
         system, _ = filesystem(self.path)
         _, pending = filesystem(self.pending)
         parts = [p for m in messages if m is not None for p in m.parts]
-        for folder in {final.rsplit("/", 1)[0] for _, final in parts}:
+        _, root = filesystem(self.path)
+        for folder in {root, *(final.rsplit("/", 1)[0] for _, final in parts)}:
             system.create_dir(folder)
         with ThreadPoolExecutor(32) as pool:
             list(pool.map(lambda p: system.move(*p), parts))

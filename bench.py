@@ -78,7 +78,7 @@ def main() -> None:
         "vb_include": lambda: run(rules.include(vb(people), lay.CUSTOMER, include)),
         "route_first_match": lambda: run(r.route(vb(mixed), catalog)),
         "split_segments": lambda: run(split()),
-        "clean_text": lambda: run(fx.table(spark, sf_dir, "documents").select(codec.clean(fx.F.col("text")))),
+        "clean_text": lambda: run(fx.table(spark, sf_dir, "documents").selectExpr(codec.clean("text"))),
         "convert_tsv": lambda: tables.write_tsv(vb(sales_vb), lay.SALES, scratch_path(spark, "tsv")),
         "write_by_type": lambda: tables.write_by_type(r.route(vb(mixed), catalog), catalog, scratch_path(spark, "type")),
         "split_write_vb": lambda: write_vb(split(), scratch_path(spark, "vb")),

@@ -1,4 +1,4 @@
-"""Field codecs as Column expressions.
+"""Field codecs as Spark SQL expressions.
 
 Decoding a field takes two steps. :func:`piece` turns its bytes (BINARY) into the raw
 form its type is read from: characters, hex digits or an integer. :func:`value` turns
@@ -6,8 +6,10 @@ that into the value, and gives SQL NULL for what is no value of the type. The op
 put the steps into separate projections, so that a raw form read several times by the
 second step is made once.
 
-Everything here is a built-in Spark expression: fields stay inside generated code and
-fields nobody selects are pruned.
+Expressions are built as SQL text, from the text of what they are applied to; a layout of
+hundreds of fields would otherwise take seconds to put together call by call. They use
+built-in functions only: fields stay inside generated code and fields nobody selects are
+pruned.
 
 ``text`` and ``zoned`` decode with the JVM's cp037 charset. Spark accepts it only while
 ``spark.sql.legacy.javaCharsets`` is on, so resolve such columns inside
@@ -56,18 +58,31 @@ _SIGNED_DIGITS = "".join(_CHARACTERS[int(zone, 16) * 16 + digit] for zone in POS
 _FIRST_NEGATIVE = 10 * len(POSITIVE)
 
 
-def piece(b: Column, field: Field | Item) -> Column:
+def literal(text: str) -> str:
+    """A SQL string literal."""
+
+    def shown(c: str) -> str:
+        if c in "'\\":
+            return "\\" + c
+        return c if c >= " " and c != "\x7f" else f"\\u{ord(c):04x}"
+
+    return "'" + "".join(map(shown, text)) + "'"
+
+
+def piece(b: str, field: Field | Item) -> str:
     """The raw form of a field's bytes."""
     if field.kind == COMP3:
-        return F.hex(b)
+        return f"hex({b})"
     if field.kind != COMP:
-        return F.decode(b, CHARSET)
+        return f"decode({b}, '{CHARSET}')"
     if field.size < 8:
-        return F.conv(F.hex(b), 16, 10).cast("bigint")
-    return F.conv(F.hex(b), 16, -10).cast("bigint") if field.signed else F.conv(F.hex(b), 16, 10).cast("decimal(20,0)")
+        return f"cast(conv(hex({b}), 16, 10) AS bigint)"
+    if field.signed:
+        return f"cast(conv(hex({b}), 16, -10) AS bigint)"
+    return f"cast(conv(hex({b}), 16, 10) AS decimal(20,0))"
 
 
-def value(raw: Column, field: Field | Item) -> Column:
+def value(raw: str, field: Field | Item) -> str:
     """The value of a raw form: STRING, BIGINT or DECIMAL."""
     if field.kind == TEXT:
         return raw
@@ -82,77 +97,78 @@ def _decimal(digits: int, scale: int) -> str:
     return f"decimal({max(digits, scale)},{scale})"
 
 
-def _scaled(whole: Column, digits: int, scale: int) -> Column:
+def _scaled(whole: str, digits: int, scale: int) -> str:
     """A whole number with an implied point as a decimal."""
-    whole = whole.cast(_decimal(digits, 0))
+    whole = f"cast({whole} AS {_decimal(digits, 0)})"
     if not scale:
         return whole
-    return (whole * F.expr(f"cast('1E-{scale}' as {_decimal(scale, scale)})")).cast(_decimal(digits, scale))
+    return f"cast({whole} * cast('1E-{scale}' AS {_decimal(scale, scale)}) AS {_decimal(digits, scale)})"
 
 
-def _many_digits(digits: Column, count: int, scale: int, sign: Column) -> Column:
+def _many_digits(digits: str, count: int, scale: int, sign: str) -> str:
     """Digits too many for a BIGINT as a decimal; NULL if they are not all digits."""
-    number = F.concat(digits, F.lit(f"E-{scale}")).try_cast(_decimal(count, scale))
+    number = f"try_cast(concat({digits}, 'E-{scale}') AS {_decimal(count, scale)})"
     # an E among the digits would read as an exponent
-    plain = F.when(~F.contains(digits, F.lit("E")), number)
-    return F.when(sign == 1, plain).when(sign == -1, -plain)
+    plain = f"CASE WHEN NOT contains({digits}, 'E') THEN {number} END"
+    return f"CASE {sign} WHEN 1 THEN {plain} WHEN -1 THEN -{plain} END"
 
 
-def _packed(nibbles: Column, size: int, scale: int) -> Column:
+def _packed(nibbles: str, size: int, scale: int) -> str:
     """Two digits a byte; the last nibble is the sign."""
     count = 2 * size - 1
-    digits = F.substring(nibbles, 1, count)
-    rest = [nibbles.endswith(n) for n in POSITIVE[1:]]
-    sign = (
-        F.when(nibbles.endswith(POSITIVE[0]) | reduce(lambda a, b: a | b, rest), 1)
-        .when(nibbles.endswith(NEGATIVE[0]) | nibbles.endswith(NEGATIVE[1]), -1)
-    )
+    digits = f"substring({nibbles}, 1, {count})"
+    plus, minus = (" OR ".join(f"endswith({nibbles}, '{n}')" for n in signs) for signs in (POSITIVE, NEGATIVE))
+    sign = f"(CASE WHEN {plus} THEN 1 WHEN {minus} THEN -1 END)"
     if count > LONG_DIGITS:
         return _many_digits(digits, count, scale, sign)
-    return _scaled(digits.try_cast("bigint") * sign, count, scale)
+    return _scaled(f"try_cast({digits} AS bigint) * {sign}", count, scale)
 
 
-def _zoned(shown: Column, field: Field | Item) -> Column:
+def _zoned(shown: str, field: Field | Item) -> str:
     """One digit in the low nibble of each byte; the last high nibble is the sign.
 
     Plain digit characters are the rule and are read as text; digits under other zones
     are found by their low nibble.
     """
-    size, low = field.size, F.translate(shown, _CHARACTERS, _LOW_NIBBLES)
-    sign = F.lit(1)
+    size = field.size
+    low = f"translate({shown}, {literal(_CHARACTERS)}, '{_LOW_NIBBLES}')"
+    sign = "1"
     if field.signed:
-        last = F.position(F.substring(shown, size, 1), F.lit(_SIGNED_DIGITS)) - 1
-        sign = F.when(last >= _FIRST_NEGATIVE, -1).otherwise(1)
-        shown = F.concat(F.substring(shown, 1, size - 1), (last % 10).cast("string"))
+        last = f"(position(substring({shown}, {size}, 1), {literal(_SIGNED_DIGITS)}) - 1)"
+        sign = f"(CASE WHEN {last} >= {_FIRST_NEGATIVE} THEN -1 ELSE 1 END)"
+        shown = f"concat(substring({shown}, 1, {size - 1}), cast({last} % 10 AS string))"
     if size > LONG_DIGITS:
         return _many_digits(low, size, field.scale, sign)
-    quick = shown.try_cast("bigint")
-    number = F.when(F.lpad(quick.cast("string"), size, "0") == shown, quick).otherwise(low.try_cast("bigint"))
-    return _scaled(number * sign if field.signed else number, size, field.scale)
+    quick = f"try_cast({shown} AS bigint)"
+    plain = f"lpad(cast({quick} AS string), {size}, '0') = {shown}"
+    number = f"(CASE WHEN {plain} THEN {quick} ELSE try_cast({low} AS bigint) END)"
+    return _scaled(f"{number} * {sign}" if field.signed else number, size, field.scale)
 
 
-def _binary(unsigned: Column, field: Field | Item) -> Column:
+def _binary(unsigned: str, field: Field | Item) -> str:
     """Big-endian, two's complement when signed; eight bytes come signed already."""
+    whole = unsigned
     if field.signed and field.size < 8:
         half = 1 << (8 * field.size - 1)
-        unsigned = F.when(unsigned >= half, unsigned - 2 * half).otherwise(unsigned)
-    return _scaled(unsigned, COMP_DIGITS[field.size], field.scale) if field.scale else unsigned
+        whole = f"(CASE WHEN {whole} >= {half} THEN {whole} - {2 * half} ELSE {whole} END)"
+    return _scaled(whole, COMP_DIGITS[field.size], field.scale) if field.scale else whole
 
 
-def decode(b: Column, kind: str, size: int, scale: int = 0, signed: bool = False) -> Column:
-    """The value of a field of ``kind`` (``text``, ``zoned``, ``comp`` or ``comp3``) from its bytes."""
+def decode(b: str, kind: str, size: int, scale: int = 0, signed: bool = False) -> Column:
+    """The value of a field of ``kind`` (``text``, ``zoned``, ``comp`` or ``comp3``) from the
+    SQL text of its bytes."""
     field = Item(0, "", kind=kind, size=size, scale=scale, signed=signed)
-    return value(piece(b, field), field)
+    return F.expr(value(piece(b, field), field))
 
 
-def to_hex(b: Column) -> Column:
+def to_hex(b: str) -> str:
     """Lower-case hex view."""
-    return F.lower(F.hex(b))
+    return f"lower(hex({b}))"
 
 
-def java_trim(s: Column) -> Column:
+def java_trim(s: str) -> str:
     """Strip characters up to U+0020 at both ends."""
-    return F.btrim(s, F.lit(TRIMMED))
+    return f"btrim({s}, {literal(TRIMMED)})"
 
 
 @cache
@@ -170,28 +186,27 @@ def _accents() -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
-def clean(s: Column) -> Column:
+def clean(s: str) -> str:
     """Blank line breaks, tabs and backspaces, fold to ASCII, trim.
 
     Folding is canonical decomposition followed by dropping what is not ASCII,
     written as one character map. Printable ASCII, the rule, is only trimmed.
     """
-    blanked = reduce(lambda t, chars: F.replace(t, F.lit(chars), F.lit(" ")), BLANKED, s)
+    blanked = reduce(lambda t, chars: f"replace({t}, {literal(chars)}, ' ')", BLANKED, s)
     source, target = _accents()
-    folded = F.regexp_replace(F.translate(blanked, source, target), "[^\\x00-\\x7F]+", "")
-    is_ascii = F.octet_length(s) == F.length(s)
+    folded = f"regexp_replace(translate({blanked}, {literal(source)}, {literal(target)}), '[^\\\\x00-\\\\x7F]+', '')"
+    is_ascii = f"octet_length({s}) = length({s})"
     return (
-        F.when(~s.rlike("[^ -~]"), F.trim(s))
-        .when(is_ascii, java_trim(blanked))
-        .when(~is_ascii, java_trim(folded))
+        f"CASE WHEN NOT {s} RLIKE '[^ -~]' THEN trim({s}) WHEN {is_ascii} THEN {java_trim(blanked)}"
+        f" WHEN NOT {is_ascii} THEN {java_trim(folded)} END"
     )
 
 
-def comma_decimal(s: Column) -> Column:
+def comma_decimal(s: str) -> str:
     """Render a decimal point as a comma."""
-    return F.replace(s, F.lit("."), F.lit(","))
+    return f"replace({s}, '.', ',')"
 
 
-def marked(value: Column) -> Column:
+def marked(value: str) -> str:
     """Text-mode markers: undecodable (NULL) and empty values."""
-    return F.when(value.isNull(), BAD_MARK).when(value == "", NULL_MARK).otherwise(value)
+    return f"CASE WHEN {value} IS NULL THEN '{BAD_MARK}' WHEN {value} = '' THEN '{NULL_MARK}' ELSE {value} END"

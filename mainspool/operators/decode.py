@@ -7,11 +7,10 @@ groups become structs, repeated groups arrays, numbers numbers.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import replace
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mainspool.functions import codec
@@ -24,76 +23,76 @@ DIALECTS = ("mainframe", "comma")
 # Repeated groups of up to this many fields in all are decoded without a lambda.
 UNROLLED = 64
 
-Position = Column | int
+# 0-based byte offset: a number, or SQL text behind a variable group
+Position = int | str
 
 
-def bytes_at(at: Position, size: int, source: Column | None = None) -> Column:
+def plus(at: Position, more: Position) -> Position:
+    if isinstance(at, int) and isinstance(more, int):
+        return at + more
+    return at if more == 0 else f"({at} + {more})"
+
+
+def bytes_at(at: Position, size: int, source: str = "rec") -> str:
     """Bytes of the record, or of another source, from a 0-based offset."""
-    source = F.col("rec") if source is None else source
-    if isinstance(at, Column):
-        return F.substring(source, (at + 1).cast("int"), F.lit(size))
-    return F.substring(source, at + 1, size)
+    start = at + 1 if isinstance(at, int) else f"cast({at} + 1 AS int)"
+    return f"substring({source}, {start}, {size})"
 
 
 class FieldReader:
-    """Column expressions for the fields of one layout over one record column."""
+    """SQL expressions for the fields of one layout over the columns of a scan."""
 
-    def __init__(self, layout: Layout, dialect: str = "mainframe", counts: Mapping[str, Column] | None = None):
+    def __init__(self, layout: Layout, dialect: str = "mainframe"):
         if dialect not in DIALECTS:
             raise ValueError(f"dialect must be one of {DIALECTS}, not {dialect!r}")
         self.layout = layout
-        self.rec_len = F.col("rec_len")
         self.dialect = dialect
-        self.counts = dict(counts or {})
+        self.counts: dict[str, str] = {}
 
-    def count(self, name: str) -> Column:
+    def count(self, name: str) -> str:
         """The element count a record holds, as a BIGINT; 0 where it holds none."""
         if name not in self.counts:
-            said = self.value(self.layout.find(name)).cast("bigint")
-            self.counts[name] = F.greatest(F.coalesce(said, F.lit(0)), F.lit(0)).cast("bigint")
+            self.counts[name] = f"greatest(coalesce(cast({self.value(self.layout.find(name))} AS bigint), 0L), 0L)"
         return self.counts[name]
 
     def position(self, offset: Offset) -> Position:
-        """0-based byte offset; an int unless it lies behind a variable group."""
         at: Position = offset.base
         for size, counter in offset.terms:
-            at = at + self.count(counter) * size
+            at = plus(at, f"{self.count(counter)} * {size}")
         return at
 
-    def piece_at(self, at: Position, field: Field | Item, source: Column | None = None) -> Column:
-        """Raw form of a field at an offset; NULL when it reaches past the end of the
-        source, by default the record."""
+    def piece_at(self, at: Position, field: Field | Item, source: str = "rec", length: str = "rec_len") -> str:
+        """Raw form of a field at an offset; NULL when it reaches past the end of the source."""
         raw = codec.piece(bytes_at(at, field.size, source), field)
-        length = self.rec_len if source is None else F.octet_length(source)
-        return F.when(length >= at + field.size, raw)
+        return f"CASE WHEN {length} >= {plus(at, field.size)} THEN {raw} END"
 
-    def piece(self, field: Field) -> Column:
+    def piece(self, field: Field) -> str:
         return self.piece_at(self.position(field.offset), field)
 
-    def value(self, field: Field) -> Column:
-        return codec.value(self.piece(field), field)
+    def value(self, field: Field) -> str:
+        return codec.value(f"({self.piece(field)})", field)
 
-    def raw(self, field: Field) -> Column:
+    def raw(self, field: Field) -> str:
         """The field's bytes."""
         return bytes_at(self.position(field.offset), field.size)
 
-    def as_string(self, field: Field, piece: Column | None = None) -> Column:
+    def as_string(self, field: Field, piece: str | None = None) -> str:
         """The value as text, before cleaning; NULL when undecodable."""
-        value = codec.value(self.piece(field) if piece is None else piece, field)
+        value = codec.value(piece or f"({self.piece(field)})", field)
         if field.kind == TEXT:
             return value
-        shown = value.cast("string")
+        shown = f"cast({value} AS string)"
         return codec.comma_decimal(shown) if self.dialect == "comma" and field.scale else shown
 
-    def as_text(self, field: Field, piece: Column | None = None) -> Column:
+    def as_text(self, field: Field, piece: str | None = None) -> str:
         """The cleaned, trimmed text value; NULL when undecodable."""
         shown = self.as_string(field, piece)
         return codec.clean(shown) if field.kind == TEXT else shown
 
 
-def typed(value: Column, field: Field | Item) -> Column:
+def typed(value: str, field: Field | Item) -> str:
     """A value in the type of typed mode; NULL if it does not fit."""
-    return value if field.kind == TEXT else value.try_cast(type_name(field))
+    return value if field.kind == TEXT else f"try_cast({value} AS {type_name(field)})"
 
 
 def type_name(field: Field | Item) -> str:
@@ -109,6 +108,11 @@ def type_name(field: Field | Item) -> str:
     return f"decimal({field.digits},{field.scale})"
 
 
+def struct(members: Iterable[tuple[str, str]]) -> str:
+    """A struct of (name, SQL text) pairs."""
+    return f"named_struct({', '.join(f'{codec.literal(name)}, {sql}' for name, sql in members)})"
+
+
 def _kept(df: DataFrame, keep: Sequence[str] | None) -> list[str]:
     names = ("file", "rec_no") if keep is None else keep
     return [n for n in names if n in df.columns]
@@ -119,14 +123,14 @@ def _with_counts(df: DataFrame, layout: Layout, split: str, dialect: str = "main
     names = {counter for f in layout.fields(split) for _, counter in f.offset.terms}
     reader = FieldReader(layout, dialect)
     for i, name in enumerate(sorted(names, key=lambda n: layout.find(n).offset.base)):
-        df = df.withColumn(f"_count{i}", reader.count(name))
-        reader.counts[name] = F.col(f"_count{i}")
+        df = df.withColumn(f"_count{i}", F.expr(reader.count(name)))
+        reader.counts[name] = f"_count{i}"
     return df, reader
 
 
-def _staged(df: DataFrame, kept: list[str], pieces: Sequence[Column]) -> DataFrame:
+def _staged(df: DataFrame, kept: list[str], pieces: Iterable[str]) -> DataFrame:
     """The first projection: raw forms, as columns ``_0``, ``_1``, .."""
-    return df.select(*kept, *(p.alias(f"_{i}") for i, p in enumerate(pieces)))
+    return df.selectExpr(*kept, *(f"{p} AS _{i}" for i, p in enumerate(pieces)))
 
 
 def decode_text(
@@ -145,10 +149,10 @@ def decode_text(
     with java_charsets(df.sparkSession):
         df, reader = _with_counts(df, layout, split, dialect)
         raw = _staged(df, kept, [reader.piece(f) for f in fields])
-        values = raw.select(
-            *kept, *(reader.as_text(f, F.col(f"_{i}")).alias(n) for i, (f, n) in enumerate(zip(fields, names)))
+        values = raw.selectExpr(
+            *kept, *(f"{reader.as_text(f, f'_{i}')} AS `{n}`" for i, (f, n) in enumerate(zip(fields, names)))
         )
-        return values.select(*kept, *(codec.marked(F.col(n)).alias(n) for n in names))
+        return values.selectExpr(*kept, *(f"{codec.marked(f'`{n}`')} AS `{n}`" for n in names))
 
 
 def decode_flat(
@@ -162,8 +166,8 @@ def decode_flat(
     with java_charsets(df.sparkSession):
         df, reader = _with_counts(df, layout, split)
         raw = _staged(df, kept, [reader.piece(f) for f in fields])
-        return raw.select(
-            *kept, *(typed(codec.value(F.col(f"_{i}"), f), f).alias(n) for i, (f, n) in enumerate(zip(fields, names)))
+        return raw.selectExpr(
+            *kept, *(f"{typed(codec.value(f'_{i}', f), f)} AS `{n}`" for i, (f, n) in enumerate(zip(fields, names)))
         )
 
 
@@ -172,9 +176,9 @@ class _Tree:
 
     def __init__(self, reader: FieldReader, split: str):
         self.reader, self.split = reader, split
-        self.pieces: list[Column] = []
-        self.checks: list[Column] = []
-        self.fillers = 0
+        self.pieces: list[str] = []
+        self.checks: list[str] = []
+        self.fillers = self.lambdas = 0
 
     def name(self, item: Item) -> str:
         base = normalise(item.name)
@@ -183,38 +187,42 @@ class _Tree:
         self.fillers += 1
         return f"{base}_{self.fillers}"
 
-    def stage(self, piece: Column) -> Column:
+    def variable(self) -> str:
+        """A new lambda variable."""
+        self.lambdas += 1
+        return f"x{self.lambdas}"
+
+    def stage(self, piece: str) -> str:
         self.pieces.append(piece)
-        return F.col(f"_{len(self.pieces) - 1}")
+        return f"_{len(self.pieces) - 1}"
 
     def members(self, item: Item, at: Position) -> list[tuple[Item, Position, str]]:
         """Named children of a group with their offsets."""
         inside = placed(item.children, Offset(), self.split)
-        return [(c, at + self.reader.position(o), self.name(c)) for c, o in inside]
+        return [(c, plus(at, self.reader.position(o)), self.name(c)) for c, o in inside]
 
-    def column(self, item: Item, at: Position, path: str) -> Column:
+    def column(self, item: Item, at: Position, path: str) -> str:
         """Value of an item outside any repeated group."""
         if item.occurs is not None:
             return self.array(item, at, path)
         if item.kind:
             value = typed(codec.value(self.stage(self.reader.piece_at(at, item)), item), item)
-            self.checks.append(F.when(value.isNull(), F.lit(path)))
+            self.checks.append(f"CASE WHEN {value} IS NULL THEN '{path}' END")
             return value
-        return F.struct(*(self.column(c, a, f"{path}.{n}").alias(n) for c, a, n in self.members(item, at)))
+        return struct([(n, self.column(c, a, f"{path}.{n}")) for c, a, n in self.members(item, at)])
 
-    def present(self, item: Item) -> Column:
+    def present(self, item: Item) -> str:
         """How many elements a record holds: its own count, at most what the layout allows."""
-        said = self.reader.count(item.depending) if item.depending else F.lit(item.occurs)
-        return F.least(said, F.lit(item.occurs)).cast("int")
+        return f"cast(least({self.reader.count(item.depending)}, {item.occurs}) AS int)" if item.depending else f"{item.occurs}"
 
-    def array(self, item: Item, at: Position, path: str) -> Column:
+    def array(self, item: Item, at: Position, path: str) -> str:
         """A repeated item outside any other."""
         stride = item.stride()
-        said = self.reader.count(item.depending) if item.depending else F.lit(item.occurs)
-        fits = (said <= item.occurs) & (self.reader.rec_len >= at + said * stride)
-        self.checks.append(F.when(~self.stage(fits), F.lit(path)))
+        said = self.reader.count(item.depending) if item.depending else f"{item.occurs}"
+        fits = f"{said} <= {item.occurs} AND rec_len >= {plus(at, f'{said} * {stride}')}"
+        self.checks.append(f"CASE WHEN NOT {self.stage(fits)} THEN '{path}' END")
         if item.occurs * item.leaves() > UNROLLED:
-            elements, shape = self.element(item, at)
+            elements, shape = self.element(item, at, "rec")
             return shape(self.stage(elements))
         # few enough to write out, which stays in generated code; lambdas do not
         one = replace(item, occurs=None, depending=None)
@@ -222,43 +230,35 @@ class _Tree:
         self.checks = []
         for i in range(item.occurs):
             self.fillers = fillers
-            elements.append(self.column(one, at + i * stride, path))
+            elements.append(self.column(one, plus(at, i * stride), path))
         self.checks = checks
-        return F.slice(F.array(*elements), F.lit(1), self.stage(self.present(item)))
+        return f"slice(array({', '.join(elements)}), 1, {self.stage(self.present(item))})"
 
-    def element(
-        self, item: Item, at: Position, source: Column | None = None
-    ) -> tuple[Column, Callable[[Column], Column]]:
+    def element(self, item: Item, at: Position, source: str) -> tuple[str, Callable[[str], str]]:
         """Array of raw forms of a repeated item, and the function from it to values.
 
         Each occurrence is cut out of its source first, so that its fields are not each
         cut out of the whole record.
         """
-        stride = item.stride()
-        subscripts = F.slice(F.sequence(F.lit(0), F.lit(item.occurs - 1)), F.lit(1), self.present(item))
-        cuts = F.transform(subscripts, lambda i: bytes_at(at + i * stride, stride, source))
-        shape: list[Callable[[Column], Column]] = []
-
-        def one(cut: Column) -> Column:
-            raw, to_value = self.inside(item, 0, cut)
-            shape.append(to_value)
-            return raw
-
-        raws = F.transform(cuts, one)
-        return raws, lambda raw: F.transform(raw, shape[0])
-
-    def inside(self, item: Item, at: int, source: Column) -> tuple[Column, Callable[[Column], Column]]:
+        i, cut = self.variable(), self.variable()
+        subscripts = f"slice(sequence(0, {item.occurs - 1}), 1, {self.present(item)})"
+        cuts = f"transform({subscripts}, {i} -> {bytes_at(plus(at, f'{i} * {item.stride()}'), item.stride(), source)})"
+        raw, shape = self.inside(item, 0, cut)
+        element = self.variable()
+        return f"transform({cuts}, {cut} -> {raw})", lambda raws: f"transform({raws}, {element} -> {shape(element)})"
+
+    def inside(self, item: Item, at: int, source: str) -> tuple[str, Callable[[str], str]]:
         """Like :meth:`element`, for one occurrence, held in ``source``."""
         if item.kind:
-            piece = self.reader.piece_at(at, item, source)
+            piece = self.reader.piece_at(at, item, source, f"octet_length({source})")
             return piece, lambda raw: typed(codec.value(raw, item), item)
         raws, shapes = [], []
         for child, child_at, name in self.members(item, at):
             make = self.element if child.occurs is not None else self.inside
             raw, shape = make(child, child_at, source)
-            raws.append(raw.alias(name))
+            raws.append((name, raw))
             shapes.append((name, shape))
-        return F.struct(*raws), lambda raw: F.struct(*(shape(raw[name]).alias(name) for name, shape in shapes))
+        return struct(raws), lambda raw: struct([(name, shape(f"{raw}.`{name}`")) for name, shape in shapes])
 
 
 def decode_typed(
@@ -277,9 +277,9 @@ def decode_typed(
         columns = []
         for item, offset in layout.tops(split):
             name = tree.name(item)
-            columns.append(tree.column(item, reader.position(offset), name).alias(name))
-        bad = F.array_compact(F.array(*tree.checks)).alias("_bad_fields")
-        return _staged(df, kept, tree.pieces).select(*kept, *columns, bad)
+            columns.append(f"{tree.column(item, reader.position(offset), name)} AS `{name}`")
+        bad = f"array_compact(array({', '.join(tree.checks)})) AS _bad_fields"
+        return _staged(df, kept, tree.pieces).selectExpr(*kept, *columns, bad)
 
 
 def decode(df: DataFrame, layout: Layout, mode: str = "text", **options) -> DataFrame:
@@ -288,11 +288,3 @@ def decode(df: DataFrame, layout: Layout, mode: str = "text", **options) -> Data
     if mode not in modes:
         raise ValueError(f"mode must be one of {tuple(modes)}, not {mode!r}")
     return modes[mode](df, layout, **options)
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions) if conditions else F.lit(True)
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)

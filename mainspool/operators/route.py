@@ -108,7 +108,7 @@ class _Looks:
     """The joined field values rules look at, each made once as a column ``_look0``, .."""
 
     def __init__(self) -> None:
-        self.columns: dict[tuple, tuple[str, Column]] = {}
+        self.columns: dict[tuple, tuple[str, str]] = {}
 
     def hit(self, record_type: RecordType, rule: Alternative) -> Column:
         """True where the rule matches, read by the type's layout."""
@@ -139,7 +139,7 @@ def classify(df: DataFrame, catalog: Catalog) -> DataFrame:
         if all(t.layout.has(name) for name, _ in rule)
     ]
     with java_charsets(df.sparkSession):
-        looked = df.withColumns(dict(looks.columns.values())) if looks.columns else df
+        looked = df.selectExpr("*", *(f"{sql} AS {name}" for name, sql in looks.columns.values()))
         typed = looked.withColumns(
             {
                 "rec_type": _first([(hit, name) for name, _, hit in named], default),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mainspool.functions import codec
 from mainspool.layout import Layout, LayoutError
-from mainspool.operators.decode import FieldReader, all_of, any_of
+from mainspool.operators.decode import FieldReader
 from mainspool.session import java_charsets
 
 Alternative = tuple[tuple[str, str], ...]
@@ -37,24 +37,28 @@ def parse_rules(spec: str | None) -> tuple[Alternative, ...]:
     return tuple(alternatives)
 
 
-def joined(reader: FieldReader, names: Sequence[str]) -> Column:
-    """The trimmed values of some fields, joined, in lower case; NULL if one is undecodable."""
+def joined(reader: FieldReader, names: Sequence[str]) -> str:
+    """SQL of the trimmed values of some fields, joined, in lower case; NULL if one is
+    undecodable."""
     shown = [codec.java_trim(reader.as_string(reader.layout.find(name))) for name in names]
-    return F.lower(F.concat(*shown))
+    return f"lower(concat({', '.join(shown)}))"
 
 
 def matches(reader: FieldReader, alternatives: Sequence[Alternative], strict: bool = False) -> Column:
     """True where any alternative matches. A field that cannot be decoded matches nothing."""
     if strict:
-        found = [all_of([joined(reader, [n]) == v.lower() for n, v in pairs]) for pairs in alternatives]
+        found = [
+            " AND ".join(f"{joined(reader, [n])} = {codec.literal(v.lower())}" for n, v in pairs)
+            for pairs in alternatives
+        ]
     else:
         # alternatives on the same fields share one look at them
         literals: dict[tuple[str, ...], list[str]] = {}
         for pairs in alternatives:
-            wanted = "".join(v for _, v in pairs).lower()
+            wanted = codec.literal("".join(v for _, v in pairs).lower())
             literals.setdefault(tuple(n for n, _ in pairs), []).append(wanted)
-        found = [joined(reader, names).isin(wanted) for names, wanted in literals.items()]
-    return F.coalesce(any_of(found), F.lit(False))
+        found = [f"{joined(reader, names)} IN ({', '.join(wanted)})" for names, wanted in literals.items()]
+    return F.expr(f"coalesce({' OR '.join(f'({f})' for f in found)}, false)")
 
 
 def include(df: DataFrame, layout: Layout, spec: str, *, strict: bool = False) -> DataFrame:
@@ -91,7 +95,9 @@ def select_records(
         if unwanted:
             keep.append(~matches(reader, unwanted, strict))
     with java_charsets(df.sparkSession):
-        return df.filter(all_of(keep)) if keep else df
+        for condition in keep:
+            df = df.filter(condition)
+        return df
 
 
 def record_length(df: DataFrame, n: int) -> DataFrame:
@@ -102,7 +108,7 @@ def record_length(df: DataFrame, n: int) -> DataFrame:
 def skip_records(df: DataFrame, layout: Layout, name: str, hex_value: str) -> DataFrame:
     """Drop records whose field holds exactly these bytes, given in hex."""
     held = codec.to_hex(FieldReader(layout).raw(layout.find(name)))
-    return df.filter(held != hex_value.lower())
+    return df.filter(F.expr(held) != hex_value.lower())
 
 
 def drop_header_only(df: DataFrame, header_len: int) -> DataFrame:

@@ -195,12 +195,12 @@ def split_rejects(
     )
     shared = ("file", "rec_no", "rec_len")
     broken = walked.filter(F.col("_walk.error").isNotNull()).select(
-        *shared, "_walk.error", "_walk.error_at", codec.to_hex(F.col("rec")).alias("rec_hex")
+        *shared, "_walk.error", "_walk.error_at", F.expr(codec.to_hex("rec")).alias("rec_hex")
     )
     short = df.filter(F.col("rec_len") <= header_len).select(
         *shared,
         F.lit("no segment behind the header").alias("error"),
         (F.col("rec_len") + 1).alias("error_at"),
-        codec.to_hex(F.col("rec")).alias("rec_hex"),
+        F.expr(codec.to_hex("rec")).alias("rec_hex"),
     )
     return broken.unionByName(short)

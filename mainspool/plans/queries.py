@@ -174,12 +174,11 @@ def record_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole document texts, in the pieces that fit a record."""
     records = read_vb(spark, fx.documents(spark, sf_dir))
-    rec = F.col("rec")
     with java_charsets(spark):
         return records.select(
-            codec.decode(F.substring(rec, 1, 12), "zoned", 12).cast("bigint").alias("doc_id"),
-            codec.decode(F.substring(rec, 13, 6), "zoned", 6).cast("bigint").alias("piece"),
-            codec.decode(F.substring(rec, F.lit(19), F.col("rec_len") - 18), "text", 0).alias("text"),
+            codec.decode("substring(rec, 1, 12)", "zoned", 12).cast("bigint").alias("doc_id"),
+            codec.decode("substring(rec, 13, 6)", "zoned", 6).cast("bigint").alias("piece"),
+            codec.decode("substring(rec, 19, rec_len - 18)", "text", 0).alias("text"),
         )
 
 
@@ -343,12 +342,12 @@ def column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {clean_sql('text')} AS text FROM documents")
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.table(spark, sf_dir, "documents").select("doc_id", codec.clean(F.col("text")).alias("text"))
+    return fx.table(spark, sf_dir, "documents").select("doc_id", F.expr(codec.clean("text")).alias("text"))
 
 
 @query(f"SELECT conv_id, turn, {clean_sql('text')} AS text FROM conversations")
 def clean_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", codec.clean(F.col("text")).alias("text"))
+    return fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(codec.clean("text")).alias("text"))
 
 
 CUT_SQL = f"""SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name,
@@ -395,14 +394,14 @@ def hex_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_fb(spark, fx.stores(spark, sf_dir), lay.STORE.max_length)
     reader = d.FieldReader(lay.STORE)
 
-    def raw(name: str) -> Column:
+    def raw(name: str) -> str:
         return codec.to_hex(reader.raw(lay.STORE.find(name)))
 
-    return records.select(
-        reader.value(lay.STORE.find("STORE-NO")).alias("store_no"),
-        raw("STORE-NO").alias("store_no_hex"),
-        raw("ACTIVE-STORE").alias("active_hex"),
-        F.length(codec.to_hex(F.col("rec"))).cast("bigint").alias("hex_digits"),
+    return records.selectExpr(
+        f"{reader.value(lay.STORE.find('STORE-NO'))} AS store_no",
+        f"{raw('STORE-NO')} AS store_no_hex",
+        f"{raw('ACTIVE-STORE')} AS active_hex",
+        f"cast(length({codec.to_hex('rec')}) AS bigint) AS hex_digits",
     )
 
 
@@ -556,8 +555,8 @@ def route_unrouted(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = r.unrouted(read_vb(spark, fx.mixed(spark, sf_dir)), lay.mixed_catalog(excludes=False))
     with java_charsets(spark):
         return left.select(
-            codec.decode(F.substring("rec", 1, 2), "text", 2).alias("ident"),
-            codec.decode(F.substring("rec", 3, 12), "zoned", 12).cast("bigint").alias("key"),
+            codec.decode("substring(rec, 1, 2)", "text", 2).alias("ident"),
+            codec.decode("substring(rec, 3, 12)", "zoned", 12).cast("bigint").alias("key"),
         )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from mainspool.functions import codec
 from mainspool.layout import Layout
-from mainspool.operators.decode import FieldReader, decode_text
+from mainspool.operators.decode import FieldReader, decode_text, struct
 from mainspool.operators.route import Catalog, decode_type
 from mainspool.session import java_charsets, limit_generated_methods, scratch_path
 from mainspool.sinks.vb import filesystem
@@ -94,16 +94,20 @@ def tsv_by_type(routed: DataFrame, catalog: Catalog, *, trailing_tab: bool = Tru
     """``(rec_type, value)``: every record as a text line in its own type's columns."""
     limit_generated_methods(routed.sparkSession)
     with java_charsets(routed.sparkSession):
-        raws, values, lines = [], [], F
+        raws, values, lines = [], [], []
         for i, t in enumerate(catalog.types):
             fields, names = t.layout.fields(), t.layout.columns()
-            reader, own = FieldReader(t.layout), F.col("rec_type") == t.name
-            raws.append(F.when(own, F.struct(*(reader.piece(f).alias(n) for f, n in zip(fields, names)))).alias(f"_{i}"))
-            texts = (reader.as_text(f, F.col(f"_{i}.`{n}`")).alias(n) for f, n in zip(fields, names))
-            values.append(F.when(own, F.struct(*texts)).alias(f"_{i}"))
-            shown = F.concat_ws("\t", *(codec.marked(F.col(f"_{i}.`{n}`")) for n in names))
-            lines = lines.when(own, F.concat(shown, F.lit("\t")) if trailing_tab else shown)
-        return routed.select("rec_type", *raws).select("rec_type", *values).select("rec_type", lines.alias("value"))
+            reader, own = FieldReader(t.layout), f"rec_type = {codec.literal(t.name)}"
+            pieces = struct([(n, reader.piece(f)) for f, n in zip(fields, names)])
+            texts = struct([(n, reader.as_text(f, f"_{i}.`{n}`")) for f, n in zip(fields, names)])
+            raws.append(f"CASE WHEN {own} THEN {pieces} END AS _{i}")
+            values.append(f"CASE WHEN {own} THEN {texts} END AS _{i}")
+            shown = [codec.marked(f"_{i}.`{n}`") for n in names]
+            # an empty last value ends the line in a tab
+            ends = ["''"] if trailing_tab else []
+            lines.append(f"WHEN {own} THEN concat_ws('\\t', {', '.join(shown + ends)})")
+        line = f"CASE {' '.join(lines)} END AS value"
+        return routed.selectExpr("rec_type", *raws).selectExpr("rec_type", *values).selectExpr("rec_type", line)
 
 
 def write_by_type(

@@ -30,7 +30,7 @@ from mainspool.testsupport import fixtures as fx
 from mainspool.testsupport import layouts as lay
 
 # The test files are small: smaller ranges than the default, so that all cores read.
-CHUNK = 1 << 20
+CHUNK = 4 << 20
 
 
 def main() -> None:

@@ -171,6 +171,11 @@ def java_trim(s: str) -> str:
     return f"btrim({s}, {literal(TRIMMED)})"
 
 
+def quick_trim(s: str) -> str:
+    """:func:`java_trim`, looking for control characters before it strips them."""
+    return f"CASE WHEN {s} RLIKE '[\\\\x00-\\\\x1F]' THEN {java_trim(s)} ELSE trim({s}) END"
+
+
 @cache
 def _accents() -> tuple[str, str]:
     """Every character whose canonical decomposition holds an ASCII character, and

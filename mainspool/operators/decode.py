@@ -172,11 +172,13 @@ def decode_flat(
 
 
 class _Tree:
-    """Nested columns of a layout: raw forms for the first projection, then values."""
+    """Nested columns of a layout, in three projections: raw forms, values, and the nested
+    columns with their checks. Each reads a column of the one before several times."""
 
     def __init__(self, reader: FieldReader, split: str):
         self.reader, self.split = reader, split
         self.pieces: list[str] = []
+        self.values: list[str] = []
         self.checks: list[str] = []
         self.fillers = self.lambdas = 0
 
@@ -196,6 +198,10 @@ class _Tree:
         self.pieces.append(piece)
         return f"_{len(self.pieces) - 1}"
 
+    def settle(self, value: str) -> str:
+        self.values.append(value)
+        return f"_v{len(self.values) - 1}"
+
     def members(self, item: Item, at: Position) -> list[tuple[Item, Position, str]]:
         """Named children of a group with their offsets."""
         inside = placed(item.children, Offset(), self.split)
@@ -206,7 +212,7 @@ class _Tree:
         if item.occurs is not None:
             return self.array(item, at, path)
         if item.kind:
-            value = typed(codec.value(self.stage(self.reader.piece_at(at, item)), item), item)
+            value = self.settle(typed(codec.value(self.stage(self.reader.piece_at(at, item)), item), item))
             self.checks.append(f"CASE WHEN {value} IS NULL THEN '{path}' END")
             return value
         return struct([(n, self.column(c, a, f"{path}.{n}")) for c, a, n in self.members(item, at)])
@@ -220,10 +226,10 @@ class _Tree:
         stride = item.stride()
         said = self.reader.count(item.depending) if item.depending else f"{item.occurs}"
         fits = f"{said} <= {item.occurs} AND rec_len >= {plus(at, f'{said} * {stride}')}"
-        self.checks.append(f"CASE WHEN NOT {self.stage(fits)} THEN '{path}' END")
+        self.checks.append(f"CASE WHEN NOT {self.settle(self.stage(fits))} THEN '{path}' END")
         if item.occurs * item.leaves() > UNROLLED:
             elements, shape = self.element(item, at, "rec")
-            return shape(self.stage(elements))
+            return self.settle(shape(self.stage(elements)))
         # few enough to write out, which stays in generated code; lambdas do not
         one = replace(item, occurs=None, depending=None)
         checks, fillers, elements = self.checks, self.fillers, []
@@ -232,7 +238,7 @@ class _Tree:
             self.fillers = fillers
             elements.append(self.column(one, plus(at, i * stride), path))
         self.checks = checks
-        return f"slice(array({', '.join(elements)}), 1, {self.stage(self.present(item))})"
+        return f"slice(array({', '.join(elements)}), 1, {self.settle(self.stage(self.present(item)))})"
 
     def element(self, item: Item, at: Position, source: str) -> tuple[str, Callable[[str], str]]:
         """Array of raw forms of a repeated item, and the function from it to values.
@@ -279,7 +285,9 @@ def decode_typed(
             name = tree.name(item)
             columns.append(f"{tree.column(item, reader.position(offset), name)} AS `{name}`")
         bad = f"array_compact(array({', '.join(tree.checks)})) AS _bad_fields"
-        return _staged(df, kept, tree.pieces).selectExpr(*kept, *columns, bad)
+        raw = _staged(df, kept, tree.pieces)
+        values = raw.selectExpr(*kept, *(f"{v} AS _v{i}" for i, v in enumerate(tree.values)))
+        return values.selectExpr(*kept, *columns, bad)
 
 
 def decode(df: DataFrame, layout: Layout, mode: str = "text", **options) -> DataFrame:

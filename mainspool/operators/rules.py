@@ -40,7 +40,7 @@ def parse_rules(spec: str | None) -> tuple[Alternative, ...]:
 def joined(reader: FieldReader, names: Sequence[str]) -> str:
     """SQL of the trimmed values of some fields, joined, in lower case; NULL if one is
     undecodable."""
-    shown = [codec.java_trim(reader.as_string(reader.layout.find(name))) for name in names]
+    shown = [codec.quick_trim(reader.as_string(reader.layout.find(name))) for name in names]
     return f"lower(concat({', '.join(shown)}))"
 
 

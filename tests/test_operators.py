@@ -51,6 +51,13 @@ def test_rules(four, options, want):
     assert numbers(rules.select_records(four, AB, **options)) == want
 
 
+def test_rules_trim_like_java(records):
+    df = records("40050005", "01c1f0f140", "c10bf0f181", "00" * 5)
+    layout = Layout.parse("          05 A PIC X(2).\n          05 N PIC X(2).\n          05 C PIC X(1).\n")
+    assert numbers(rules.include(df, layout, "A=A")) == [2, 3]
+    assert numbers(rules.include(df, layout, "C=a")) == [3]
+
+
 def test_long_record_length(records):
     df = records("40" * 500, "40" * 501)
     assert numbers(rules.record_length(df, 500)) == [1]

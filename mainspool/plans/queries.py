@@ -465,7 +465,7 @@ def include_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(KEPT_SQL + "n || c_mktsegment = '5BUILDING' AND n = 5 AND c_mktsegment = 'BUILDING'")
+@query(KEPT_SQL + "n = 5 AND c_mktsegment = 'BUILDING'")
 def include_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
     spec = "TRANSACTION-NBR=5,CUSTOMER-ADDRESS=BUILDING"
@@ -689,11 +689,7 @@ def sink_partition_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _written(spark, sf_dir, "orc", load_date="day", on=LOADED)
 
 
-@query(
-    PERSON_SQL.format(extra=", 1 AS load").replace("FROM records", "FROM records CROSS JOIN (VALUES (1), (2)) v(l)").replace(
-        "1 AS load", "l AS load"
-    )
-)
+@query(PERSON_SQL.format(extra=", load") + " CROSS JOIN (VALUES (1), (2)) AS loads(load)")
 def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load adds a partition to the root that is there."""
     out = scratch_path(spark, "append")

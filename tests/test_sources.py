@@ -2,11 +2,13 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
+from mainspool.sources import framing
 from mainspool.sources.files import list_files, split_paths
 from mainspool.sources.fixed import read_fb
-from mainspool.sources.variable import read_vb, vb_ranges, vb_rejects
+from mainspool.sources.variable import _true_ranges, read_vb, vb_ranges, vb_rejects
 
 
 def framed(records):
@@ -102,3 +104,42 @@ def test_fixed(spark, record_file, chunk):
     want = [data[i : i + 27] for i in range(0, len(data), 27)]
     path = record_file(data)
     assert rows(read_fb(spark, path, 27, chunk_bytes=chunk)) == expected(want)
+
+
+@pytest.mark.parametrize("chunk", [70_000, 333_333, 1 << 20])
+@pytest.mark.parametrize("longest", [65_531, 300])
+def test_ranges_of_several_blocks(record_file, monkeypatch, chunk, longest):
+    """Ranges larger than a block, without Spark: chains, true entries and records."""
+    monkeypatch.setattr(framing, "BLOCK", 66_000)
+    records = random_records(9, 60 if longest > 1000 else 6000, longest)
+    data = framed(records)
+    path = record_file(data)
+    chains = [framing.chunk_chains(path, i, chunk, len(data)) for i in range(-(-len(data) // chunk))]
+    table = pa.Table.from_batches(chains).to_pandas()
+    ranges = _true_ranges(table).to_dict("records")
+    got = []
+    for r in ranges:
+        batches = framing.variable_records(path, r["start"], r["end"], r["length"], r["first_rec_no"])
+        got += [(x["rec_no"], x["rec_len"], x["rec"]) for b in batches for x in b.to_pylist()]
+    assert got == expected(records)
+    starts = {0}
+    for rec in records:
+        starts.add(max(starts) + len(rec) + 4)
+    assert {r["start"] for r in ranges} <= starts
+
+
+def test_false_starts_do_not_pile_up(record_file):
+    """Of the positions that look like a start only those are kept whose chain leaves the
+    chunk; a false chain may do so by running into the true one."""
+    rng = random.Random(10)
+    records = [bytes(rng.choice((0, 0, 0, rng.randrange(16))) for _ in range(48)) for _ in range(3000)]
+    data = framed(records)
+    chains = framing.chunk_chains(record_file(data), 1, 60_000, len(data)).to_pylist()[0]
+    true = {52 * i for i in range(3001)}
+    here = range(60_000, 120_000)
+    alike = [p for p in here if data[p : p + 2] >= b"\0\4" and data[p + 2 : p + 4] == b"\0\0"]
+    assert true & set(here) <= set(chains["entries"]) <= set(alike)
+    assert len(chains["entries"]) < len(alike) / 4
+    for entry, exit_, count in zip(chains["entries"], chains["exits"], chains["records"]):
+        if entry in true:
+            assert exit_ == 120_016 and count == (exit_ - entry) // 52

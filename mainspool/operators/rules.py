@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mainspool.functions import codec
-from mainspool.layout import Layout, LayoutError
+from mainspool.layout import TEXT, Layout, LayoutError
 from mainspool.operators.decode import FieldReader
 from mainspool.session import java_charsets
 
@@ -40,7 +40,10 @@ def parse_rules(spec: str | None) -> tuple[Alternative, ...]:
 def joined(reader: FieldReader, names: Sequence[str]) -> str:
     """SQL of the trimmed values of some fields, joined, in lower case; NULL if one is
     undecodable."""
-    shown = [codec.quick_trim(reader.as_string(reader.layout.find(name))) for name in names]
+    shown = []
+    for field in map(reader.layout.find, names):
+        text = reader.as_string(field)
+        shown.append(codec.quick_trim(text) if field.kind == TEXT else text)  # numbers have no blanks
     return f"lower(concat({', '.join(shown)}))"
 
 

@@ -21,7 +21,6 @@ from mainspool.operators import segments as s
 from mainspool.plans import jobs
 from mainspool.session import java_charsets, scratch_path
 from mainspool.sinks import tables
-from mainspool.sinks.vb import write_vb
 from mainspool.sources.files import list_files
 from mainspool.sources.fixed import read_fb
 from mainspool.sources.variable import read_vb

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from mainspool.layout import Layout, LayoutError
 from mainspool.operators import decode as d

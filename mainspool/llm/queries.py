@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mainspool.llm import decontaminate, language, ordinal, sentencepieces, simhash
+from mainspool.llm import decision_list, decontaminate, html_text, language, licenses, ordinal, sentencepieces, sharding, simhash, training_order
 from mainspool.llm.common import table
+from mainspool.session import scratch_path
 
 #: Where the public model file lies; never copied into the repository.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -20,6 +21,11 @@ def grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.select("doc_id", (F.col("quality") + 1 - F.col("toxic")).alias("grade"))
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = sharding.sizes(table(spark, sf_dir, "documents")).select("doc_id", "size", "text_crc32")
+    return sharding.shard(docs, 8, ties=["text_crc32"]).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(table(spark, sf_dir, "documents"), sentencepieces.load(PIECES), keep=["doc_id"])
 
@@ -33,6 +39,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.item_id", "l.score", F.col("l.question").alias("question_overlap"), F.col("l.answer").alias("answer_overlap"))
 
 
+def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decision_list.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -44,8 +54,34 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("tail_probability") >= 0.5)
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "training-order")
+    return training_order.write_order(table(spark, sf_dir, "documents"), path, sentencepieces.load(PIECES), key=20)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", F.explode("licenses").alias("l")).select("doc_id", "l.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sentencepiece, op3_language_id, op4_decontamination, op6_simhash, op7_quality_classifier)
+    f.__name__: f
+    for f in (
+        op1_sharding,
+        op2_sentencepiece,
+        op3_language_id,
+        op4_decontamination,
+        op5_decision_list,
+        op6_simhash,
+        op7_quality_classifier,
+        op8_training_order,
+        op9_html_text,
+        op10_license_scan,
+    )
 }
 
 ORACLES: dict[str, str] = {}

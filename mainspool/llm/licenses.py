@@ -8,8 +8,8 @@ version numbers stay whole). A template with n distinct bigrams can only match a
 These bounds prune templates and spans before any set is compared: a template is looked at only
 where enough of its bigrams stand close enough together. As bigrams outside the
 template only lower the coefficient, the best span starts and ends at one of its bigrams; all
-such spans within the bounds are compared. Of overlapping findings the best stays: higher
-coefficient, then more bigrams, then earlier start, then name. Templates of one word are not
+such spans within the bounds are compared. Of overlapping findings the best stays: more
+bigrams in common, then a higher coefficient, then an earlier start, then the name. Templates of one word are not
 allowed. Equal findings in different places are each reported.
 
 Null or empty texts hold nothing. Texts are read whole; a line end is no border, so a notice may
@@ -140,7 +140,7 @@ class Scanner:
             own = self.member[k, bigrams]
             if own.sum() >= self.least[k]:
                 found += self._spans(k, places[own], bigrams[own], words)
-        found.sort(key=lambda f: (-f[0], -f[1], f[2], f[4]))
+        found.sort(key=lambda f: (-f[1], -f[0], f[2], f[4]))
         out: list[tuple] = []
         taken = np.zeros(len(words), bool)
         for f in found:

@@ -3,7 +3,7 @@
 Encoding: an Aho-Corasick automaton over the model's pieces reports, for each position of
 the text, every piece that ends there, by following its output links. One pass over these
 matches relaxes the best score of each position (Viterbi); the best path, read backwards,
-is the segmentation of highest summed piece score, as in the library's unigram algorithm.
+is the segmentation of highest summed piece score, the library's unigram lattice's best.
 Characters that no piece covers cost the lowest score less ten and become their UTF-8
 bytes' pieces, or the unknown piece where the model has none.
 

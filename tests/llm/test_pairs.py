@@ -1,0 +1,213 @@
+"""Near-duplicates, components and decontamination against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from mainspool.llm import decontaminate, simhash
+from mainspool.llm.components import components
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def _text(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def _near_copies(rng):
+    texts = [_text(rng, rng.randint(3, 120)) for _ in range(60)]
+    for base in [_text(rng, 150) for _ in range(4)]:
+        for _ in range(25):
+            words = base.split()
+            for _ in range(rng.randint(0, 6)):
+                words[rng.randrange(len(words))] = rng.choice(WORDS)
+            texts.append(" ".join(words))
+    return texts
+
+
+def _brute_fingerprint(text):
+    words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")) if w]
+    if not words:
+        return 0
+    parts = [" ".join(words)] if len(words) < 4 else [" ".join(words[i : i + 4]) for i in range(len(words) - 3)]
+    h = [xxhash.xxh64_intdigest(p, seed=42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def _brute_classes(pairs):
+    """(id, fingerprint) to the smallest id reachable at 4 bits."""
+    fps = sorted({f for _, f in pairs})
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for i, a in enumerate(fps):
+        for b in fps[i + 1 :]:
+            if (a ^ b).bit_count() <= 4:
+                root[find(b)] = find(a)
+    least = {}
+    for i, f in pairs:
+        if i is not None:
+            least[find(f)] = min(least.get(find(f), i), i)
+    return [(i, f"{f:016x}", least.get(find(f))) for i, f in pairs]
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    rng = random.Random(5)
+    texts = [*_near_copies(rng), None, "", "one", "One", " \t", "Ä É ae \x85 x", "a b c d"]
+    rows = [(i, t, "fr") for i, t in enumerate(texts)] + [(3, texts[3], "x"), (None, texts[70], "y"), (None, "lonely null id", "z")]
+    rng.shuffle(rows)
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+
+
+def test_near_duplicates_like_brute_force(documents):
+    rows, df = documents
+    got = simhash.near_duplicates(df).select("doc_id", "fingerprint", "component_id").collect()
+    want = _brute_classes([(i, _brute_fingerprint(t)) for i, t, _ in rows])
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
+def test_keep_one_row_of_each_class(documents, spark):
+    rows, df = documents
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    classes = {}
+    for (i, t, _), (_, f, c) in zip(rows, _brute_classes([(i, _brute_fingerprint(t)) for i, t, _ in rows])):
+        classes.setdefault(c if c is not None else f, set()).add(i)
+    got = [r.doc_id for r in kept.collect()]
+    assert sorted(map(str, got)) == sorted(str(min((i for i in c if i is not None), default=None)) for c in classes.values())
+
+
+def test_identical_rows_leave_one(spark):
+    df = spark.createDataFrame([(1, "a b c d e")] * 9 + [(2, "other words are here now")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == [1, 2]
+
+
+def test_fingerprint_of_long_text():
+    text = " ".join(f"x{i % 997}" for i in range(40_000))
+    assert simhash.fingerprint(text) == _brute_fingerprint(text)
+
+
+@pytest.mark.parametrize("blocks", [6, 7, 8])
+def test_every_choice_of_blocks_meets_all_pairs(blocks):
+    rng = np.random.default_rng(blocks)
+    masks = simhash._masks(blocks, 4)
+    for _ in range(200):
+        flip = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+        assert any(int(m) & flip == 0 for m in masks)
+
+
+def test_reach_prunes_nothing_that_is_linked():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**64, 40, dtype=np.uint64)
+    fps = np.unique(np.concatenate([base ^ (np.uint64(1) << rng.integers(0, 64, 40, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 40, dtype=np.uint64)) for _ in range(12)]))
+    leaf = np.split(fps, np.arange(16, len(fps), 16))
+    got = simhash.reach(leaf, 4)
+    roots = {int(f): int(f) for f in fps.view(np.int64)}
+    for a, b in got:
+        roots[a] = b
+    want = _brute_classes([(int(np.uint64(f).view(np.int64)), int(f)) for f in fps])
+    groups = {}
+    for i, _, c in want:
+        groups.setdefault(c, set()).add(i)
+    mine = {}
+    for f, r in roots.items():
+        mine.setdefault(r, set()).add(f)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
+
+
+def test_components_of_a_long_path_a_hub_and_nothing(spark):
+    links = [(i, i + 1) for i in range(100, 160)] + [(1, k) for k in range(200, 260)] + [(7, 7)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 100 for i in range(101, 161)}, **{k: 1 for k in range(200, 260)}}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_duplicates_of_nothing(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.near_duplicates(df).count() == 0 and simhash.keep_one(df).count() == 0
+
+
+# decontamination
+
+
+def _brute_leaks(texts, items):
+    out = []
+    for d, text in enumerate(texts):
+        words = decontaminate.words(text)
+        for item, t in items:
+            if not decontaminate.words(t):
+                continue
+            q, a = map(decontaminate.shingles, decontaminate.question_and_answer(t))
+            held = {tuple(words[i : i + n]) for n in {len(s) for s in q | a} for i in range(len(words) - n + 1)}
+            if len(q & held) + len(a & held) >= 0.8 * (len(q) + len(a)):
+                out.append((d, item))
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def exam():
+    rng = random.Random(11)
+    items = [(i, " ".join(rng.choice(WORDS) for _ in range(rng.randint(8, 40))) + ". " + " ".join(rng.choice(WORDS) for _ in range(rng.randint(2, 9))) + ".") for i in range(60)]
+    items += [(90, items[3][1]), (91, None), (92, "..."), (93, "single")]
+    texts = [None, "", "a single word", items[5][1], items[6][1].upper().replace(" ", " \n"), items[7][1] * 3]
+    for k in range(80):
+        words = items[k % 60][1].split()
+        for _ in range(k % 4):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        if k % 5 == 0:
+            words = words[: rng.randint(len(words) // 2, len(words))]
+        texts.append(f"{_text(rng, rng.randint(0, 400))} {' '.join(words)}, {_text(rng, rng.randint(0, 400))}")
+    texts.append(_text(rng, 20_000) + " " + items[9][1])
+    return items, texts
+
+
+
+
+def test_leaks_like_brute_force(exam, spark):
+    items, texts = exam
+    docs = spark.createDataFrame([(d, t, "own") for d, t in enumerate(texts)], "doc_id long, text string, leaks string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for index_bytes in (64 << 20, 2000):
+        got = decontaminate.find_leaks(docs, bench, index_bytes=index_bytes, keep=["doc_id"]).collect()
+        assert sorted((r.doc_id, l.item_id) for r in got for l in r.leaks) == _brute_leaks(texts, items)
+
+
+def test_no_pair_above_the_threshold_is_missed(exam):
+    """Retrieval against the scores of all pairs of passage and item."""
+    items, texts = exam
+    index = decontaminate.build(items)
+    lookup = decontaminate.Lookup(index.vocabulary)
+    for text in texts:
+        ids = lookup.numbers(text)
+        here = np.unique(ids[ids >= 0])
+        if not len(here):
+            continue
+        full = np.zeros(len(index.ids))
+        for t in here:
+            at = slice(index.start[t], index.start[t + 1])
+            full[index.item[at]] += index.impact[at]
+        behind = here[index.behind[here]]
+        open_ = decontaminate.candidates(index, np.zeros(len(behind), np.int64), behind)
+        assert len(open_) or not (full >= decontaminate.EDGE).any()
+        assert set(decontaminate.scores(index, here)) == set(np.flatnonzero(full >= decontaminate.EDGE).tolist())
+
+
+def test_leaks_without_items_or_documents(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert [r.leaks for r in decontaminate.find_leaks(docs, none).collect()] == [[]]
+    assert decontaminate.find_leaks(docs.limit(0), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")).count() == 0
+
+
+def test_tokens_of_several_words_and_none():
+    lookup = decontaminate.Lookup({"a": 0, "b": 1, "c": 2})
+    assert lookup.numbers("A--b *** c's x a.b.c").tolist() == [0, 1, 2, -1, -1, 0, 1, 2]

@@ -61,21 +61,21 @@ def main() -> None:
         return read_fb(spark, sales, lay.SALES.max_length, chunk_bytes=CHUNK)
 
     def split() -> DataFrame:
-        return s.split_segments(vb(composite), lay.HEADER_LEN, lay.PREFIX, "RECORD-LENGTH", **marked)
+        return s.split_segments(vb(composite), lay.HEADER_LEN, lay.PREFIX, "LINE-BYTES", **marked)
 
     def run(df: DataFrame) -> None:
         df.write.format("noop").mode("overwrite").save()
 
-    include = "TRANSACTION-NBR=1:TRANSACTION-NBR=4:TRANSACTION-NBR=5"
+    include = "ORDERS-HELD=2:ORDERS-HELD=3:ORDERS-HELD=6"
     jobs = {
         "scan_fb": lambda: run(fb()),
         "scan_vb": lambda: run(vb(sales_vb)),
-        "fb_decode_one_field": lambda: run(d.decode_flat(fb(), lay.SALES, keep=()).select("SALE_PRICE")),
+        "fb_decode_one_field": lambda: run(d.decode_flat(fb(), lay.SALES, keep=()).select("NET_PRICE")),
         "fb_decode_flat": lambda: run(d.decode_flat(fb(), lay.SALES)),
         "fb_decode_typed": lambda: run(d.decode_typed(fb(), lay.SALES)),
         "vb_decode_text": lambda: run(d.decode_text(vb(sales_vb), lay.SALES)),
-        "vb_decode_occurs": lambda: run(d.decode_typed(vb(people), lay.CUSTOMER)),
-        "vb_include": lambda: run(rules.include(vb(people), lay.CUSTOMER, include)),
+        "vb_decode_occurs": lambda: run(d.decode_typed(vb(people), lay.ACCOUNT)),
+        "vb_include": lambda: run(rules.include(vb(people), lay.ACCOUNT, include)),
         "route_first_match": lambda: run(r.route(vb(mixed), catalog)),
         "split_segments": lambda: run(split()),
         "clean_text": lambda: run(fx.table(spark, sf_dir, "documents").selectExpr(codec.clean("text"))),

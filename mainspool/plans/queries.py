@@ -53,12 +53,12 @@ def big(name: str, as_: str | None = None) -> Column:
 
 # --- SQL shared by several oracles ---------------------------------------------------
 
-# customer records: up to five orders each, all orders; customers without orders once
+# customer records: up to six orders each, all orders; customers without orders once
 CUSTOMER_SQL = """
 WITH ranked AS (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 64, o_orderkey) - 1 AS rn FROM orders
 ), placed AS (
-  SELECT *, rn // 5 AS block, rn % 5 AS pos FROM ranked
+  SELECT *, rn // 6 AS block, rn % 6 AS pos FROM ranked
 ), sized AS (
   SELECT *, count(*) OVER (PARTITION BY o_custkey, block) AS n FROM placed
 ), records AS (
@@ -81,12 +81,12 @@ WITH ranked AS (
 LINE_FIELDS_SQL = """o_orderkey AS order_key, l_linenumber AS line_no, l_partkey AS part_key, l_suppkey AS supp_key,
   l_quantity AS quantity, l_extendedprice AS price"""
 
-PHONE_SQL = "lpad(CAST(c_nationkey AS VARCHAR), 8, '0')"
+NATION_SQL = "lpad(CAST(c_nationkey AS VARCHAR), 4, '0')"
 
-SALE_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS keycode_no, l_suppkey AS store_no,
-  CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS sale_date, l_partkey AS dept_no,
-  CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS BIGINT) AS qty_sold,
-  l_extendedprice AS sale_price FROM lineitem"""
+SALE_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS order_ref, l_suppkey AS supplier_no,
+  CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS shipped_on, l_partkey AS part_no,
+  CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS BIGINT) AS units,
+  l_extendedprice AS net_price FROM lineitem"""
 
 
 def clean_sql(text: str) -> str:
@@ -102,30 +102,30 @@ def clean_sql(text: str) -> str:
 
 @query(
     CUSTOMER_SQL
-    + """SELECT c_custkey AS customer_id, c_name AS customer_name, CAST(n AS BIGINT) AS transaction_nbr,
-    CAST(68 - 4 + 43 * n AS BIGINT) AS rec_len FROM records"""
+    + """SELECT c_custkey AS acct_key, c_name AS holder_name, CAST(n AS BIGINT) AS orders_held,
+    CAST(56 + 45 * n AS BIGINT) AS rec_len FROM records"""
 )
 def scan_vb(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    decoded = d.decode_flat(records, lay.CUSTOMER, keep=("rec_len",))
+    decoded = d.decode_flat(records, lay.ACCOUNT, keep=("rec_len",))
     return decoded.select(
-        big("CUSTOMER_ID", "customer_id"),
-        F.rtrim("CUSTOMER_NAME").alias("customer_name"),
-        big("TRANSACTION_NBR", "transaction_nbr"),
+        big("ACCT_KEY", "acct_key"),
+        F.rtrim("HOLDER_NAME").alias("holder_name"),
+        big("ORDERS_HELD", "orders_held"),
         big("rec_len"),
     )
 
 
-@query("SELECT s_suppkey AS store_no, s_name AS store_name, CAST(68 AS BIGINT) AS rec_len FROM supplier")
+@query("SELECT s_suppkey AS vendor_no, s_name AS vendor_name, CAST(48 AS BIGINT) AS rec_len FROM supplier")
 def scan_fb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = read_fb(spark, fx.stores(spark, sf_dir), lay.STORE.max_length)
-    decoded = d.decode_flat(records, lay.STORE, keep=("rec_len",))
-    return decoded.select(big("STORE_NO", "store_no"), F.rtrim("STORE_NAME").alias("store_name"), big("rec_len"))
+    records = read_fb(spark, fx.suppliers(spark, sf_dir), lay.SUPPLIER.max_length)
+    decoded = d.decode_flat(records, lay.SUPPLIER, keep=("rec_len",))
+    return decoded.select(big("VENDOR_NO", "vendor_no"), F.rtrim("VENDOR_NAME").alias("vendor_name"), big("rec_len"))
 
 
 @query(
     """SELECT CAST((SELECT count(*) FROM lineitem) + (SELECT count(*) FROM customer) AS BIGINT) AS records,
-    CAST((SELECT count(*) FROM lineitem) * 47 + (SELECT sum(CASE WHEN c_nationkey % 3 = 2 THEN 40 ELSE 64 END)
+    CAST((SELECT count(*) FROM lineitem) * 47 + (SELECT sum(CASE WHEN c_nationkey % 3 = 2 THEN 40 ELSE 56 END)
     FROM customer) AS BIGINT) AS bytes"""
 )
 def scan_multi_path(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +138,7 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_files(spark, fx.sales_vb(spark, sf_dir)).agg(F.sum("length").alias("bytes"))
 
 
-@query(CUSTOMER_SQL + "SELECT CAST(64 + 43 * n AS BIGINT) AS rec_len, count(*) AS records FROM records GROUP BY 1")
+@query(CUSTOMER_SQL + "SELECT CAST(56 + 45 * n AS BIGINT) AS rec_len, count(*) AS records FROM records GROUP BY 1")
 def record_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
     return records.groupBy(big("rec_len")).agg(F.count("*").alias("records"))
@@ -182,33 +182,33 @@ def decode_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(l_linenumber AS BIGINT) AS line_no,
-    CAST(CAST(l_tax AS DECIMAL(5,2)) - CAST(l_discount AS DECIMAL(5,2)) AS DOUBLE) AS rate_gap FROM lineitem"""
+    """SELECT CAST(l_linenumber AS BIGINT) AS line_pos,
+    CAST(CAST(l_tax AS DECIMAL(5,2)) - CAST(l_discount AS DECIMAL(5,2)) AS DOUBLE) AS tax_gap FROM lineitem"""
 )
 def decode_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_fb(spark, fx.sales(spark, sf_dir), lay.SALES.max_length)
-    return d.decode_flat(records, lay.SALES).select(big("LINE_NO", "line_no"), num("RATE_GAP", "rate_gap"))
+    return d.decode_flat(records, lay.SALES).select(big("LINE_POS", "line_pos"), num("TAX_GAP", "tax_gap"))
 
 
 @query(
-    """SELECT s_suppkey AS store_no, CAST(s_nationkey - 12 AS BIGINT) AS region_no,
-    CAST(CAST(s_acctbal - 5000 AS DECIMAL(15,2)) AS DOUBLE) AS store_balance FROM supplier"""
+    """SELECT s_suppkey AS vendor_no, CAST(s_nationkey - 12 AS BIGINT) AS nation_gap,
+    CAST(CAST(s_acctbal - 5000 AS DECIMAL(15,2)) AS DOUBLE) AS balance_gap FROM supplier"""
 )
 def decode_comp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = read_fb(spark, fx.stores(spark, sf_dir), lay.STORE.max_length)
-    return d.decode_flat(records, lay.STORE).select(
-        big("STORE_NO", "store_no"), big("REGION_NO", "region_no"), num("STORE_BALANCE", "store_balance")
+    records = read_fb(spark, fx.suppliers(spark, sf_dir), lay.SUPPLIER.max_length)
+    return d.decode_flat(records, lay.SUPPLIER).select(
+        big("VENDOR_NO", "vendor_no"), big("NATION_GAP", "nation_gap"), num("BALANCE_GAP", "balance_gap")
     )
 
 
 def _sale(decoded: DataFrame, *more: Column) -> DataFrame:
     return decoded.select(
-        F.rtrim("KEYCODE_NO").alias("keycode_no"),
-        big("STORE_NO", "store_no"),
-        big("SALE_DATE", "sale_date"),
-        big("DEPT_NO", "dept_no"),
-        big("QTY_SOLD", "qty_sold"),
-        num("SALE_PRICE", "sale_price"),
+        F.rtrim("ORDER_REF").alias("order_ref"),
+        big("SUPPLIER_NO", "supplier_no"),
+        big("SHIPPED_ON", "shipped_on"),
+        big("PART_NO", "part_no"),
+        big("UNITS", "units"),
+        num("NET_PRICE", "net_price"),
         *more,
     )
 
@@ -220,65 +220,65 @@ def decode_comp3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    SALE_SQL.replace("l_extendedprice AS sale_price FROM", "l_extendedprice AS sale_price, CAST(0 AS BIGINT) AS bad FROM")
+    SALE_SQL.replace("l_extendedprice AS net_price FROM", "l_extendedprice AS net_price, CAST(0 AS BIGINT) AS bad FROM")
 )
 def decode_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_fb(spark, fx.sales(spark, sf_dir), lay.SALES.max_length)
     typed = d.decode_typed(records, lay.SALES)
-    flat = typed.select("SALE_KEY.*", "SALE_DATE", "DEPT_NO", "QTY_SOLD", "SALE_PRICE", "_bad_fields")
+    flat = typed.select("LINE_ID.*", "SUPPLIER_NO", "SHIPPED_ON", "PART_NO", "UNITS", "NET_PRICE", "_bad_fields")
     return _sale(flat, F.size("_bad_fields").cast("bigint").alias("bad"))
 
 
 @query(
-    """SELECT replace(CAST(CAST(l_extendedprice AS DECIMAL(11,2)) AS VARCHAR), '.', ',') AS sale_price,
-    replace(CAST(CAST(l_tax AS DECIMAL(5,2)) - CAST(l_discount AS DECIMAL(5,2)) AS VARCHAR), '.', ',') AS rate_gap,
-    CAST(l_linenumber AS VARCHAR) AS line_no FROM lineitem"""
+    """SELECT replace(CAST(CAST(l_extendedprice AS DECIMAL(11,2)) AS VARCHAR), '.', ',') AS net_price,
+    replace(CAST(CAST(l_tax AS DECIMAL(5,2)) - CAST(l_discount AS DECIMAL(5,2)) AS VARCHAR), '.', ',') AS tax_gap,
+    CAST(l_linenumber AS VARCHAR) AS line_pos FROM lineitem"""
 )
 def decode_comma_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.sales_vb(spark, sf_dir))
     decoded = d.decode_text(records, lay.SALES, dialect="comma")
     return decoded.select(
-        F.col("SALE_PRICE").alias("sale_price"), F.col("RATE_GAP").alias("rate_gap"), F.col("LINE_NO").alias("line_no")
+        F.col("NET_PRICE").alias("net_price"), F.col("TAX_GAP").alias("tax_gap"), F.col("LINE_POS").alias("line_pos")
     )
 
 
 @query(
     CUSTOMER_SQL
-    + """SELECT o_orderkey AS order_key, strftime(o_orderdate, '%d/%m/%y') AS whole, strftime(o_orderdate, '%d') AS day,
-    strftime(o_orderdate, '%m') AS month, strftime(o_orderdate, '%y') AS year FROM orders"""
+    + """SELECT o_orderkey AS order_key, strftime(o_orderdate, '%Y-%m-%d') AS whole, strftime(o_orderdate, '%d') AS day,
+    strftime(o_orderdate, '%m') AS month, strftime(o_orderdate, '%Y') AS year FROM orders"""
 )
 def decode_redefines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The overlay of the transaction date, in every transaction."""
+    """The overlay of the order day, in every order."""
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    typed = d.decode_typed(records, lay.CUSTOMER).select(F.explode("TRANSACTIONS.TRANSACTION").alias("t"))
+    typed = d.decode_typed(records, lay.ACCOUNT).select(F.explode("BOOK.PLACED").alias("t"))
     return typed.select(
-        big("t.TRANSACTION_KEY", "order_key"),
-        F.col("t.TRANSACTION_DATE").alias("whole"),
-        F.col("t.FILLER_1.TRANSACTION_DAY").alias("day"),
-        F.col("t.FILLER_1.TRANSACTION_MONTH").alias("month"),
-        F.col("t.FILLER_1.TRANSACTION_YEAR").alias("year"),
+        big("t.ORDER_KEY", "order_key"),
+        F.col("t.ORDER_DAY").alias("whole"),
+        F.col("t.DAY_PARTS.DAY_OF_MONTH").alias("day"),
+        F.col("t.DAY_PARTS.DAY_MONTH").alias("month"),
+        F.col("t.DAY_PARTS.DAY_YEAR").alias("year"),
     )
 
 
 @query(
     CUSTOMER_SQL
-    + """SELECT c_custkey AS customer_id, c_name AS customer_name, pos, o_orderkey AS order_key,
+    + """SELECT c_custkey AS acct_key, c_name AS holder_name, pos, o_orderkey AS order_key,
     o_totalprice AS amount, o_orderpriority AS comment
     FROM sized JOIN customer ON c_custkey = o_custkey"""
 )
 def decode_occurs_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    typed = d.decode_typed(records, lay.CUSTOMER)
+    typed = d.decode_typed(records, lay.ACCOUNT)
     each = typed.select(
-        "CUSTOMER_ID", "PERSONAL_DATA.CUSTOMER_NAME", F.posexplode("TRANSACTIONS.TRANSACTION").alias("pos", "t")
+        "ACCT_KEY", "HOLDER.HOLDER_NAME", F.posexplode("BOOK.PLACED").alias("pos", "t")
     )
     return each.select(
-        big("CUSTOMER_ID", "customer_id"),
-        F.rtrim("CUSTOMER_NAME").alias("customer_name"),
+        big("ACCT_KEY", "acct_key"),
+        F.rtrim("HOLDER_NAME").alias("holder_name"),
         big("pos"),
-        big("t.TRANSACTION_KEY", "order_key"),
-        num("t.TRANSACTION_AMOUNT", "amount"),
-        F.rtrim("t.TRANSACTION_COMMENT").alias("comment"),
+        big("t.ORDER_KEY", "order_key"),
+        num("t.PRICE", "amount"),
+        F.rtrim("t.PRIORITY").alias("comment"),
     )
 
 
@@ -291,52 +291,71 @@ def _flat_sql(i: int) -> str:
 
 @query(
     CUSTOMER_SQL
-    + f"""SELECT CAST(c_custkey AS VARCHAR) AS customer_id, {", ".join(_flat_sql(i) for i in range(5))}
+    + f"""SELECT CAST(c_custkey AS VARCHAR) AS acct_key, {", ".join(_flat_sql(i) for i in range(6))}
     FROM customer LEFT JOIN sized ON c_custkey = o_custkey GROUP BY c_custkey, block"""
 )
 def decode_occurs_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One column per subscript; past the record's end the bad-field marker."""
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    text = d.decode_text(records, lay.CUSTOMER)
-    columns = [F.col("CUSTOMER_ID").alias("customer_id")]
-    for i in range(5):
+    text = d.decode_text(records, lay.ACCOUNT)
+    columns = [F.col("ACCT_KEY").alias("acct_key")]
+    for i in range(6):
         columns += [
-            F.col(f"TRANSACTION_KEY_{i}").alias(f"key_{i}"),
-            F.col(f"TRANSACTION_AMOUNT_{i}").alias(f"amount_{i}"),
-            F.col(f"TRANSACTION_COMMENT_{i}").alias(f"comment_{i}"),
+            F.col(f"ORDER_KEY_{i}").alias(f"key_{i}"),
+            F.col(f"PRICE_{i}").alias(f"amount_{i}"),
+            F.col(f"PRIORITY_{i}").alias(f"comment_{i}"),
         ]
     return text.select(*columns)
 
 
 @query(
     CUSTOMER_SQL
-    + """SELECT CAST(n AS BIGINT) AS transaction_nbr, count(*) AS records, CAST(8 AS BIGINT) AS columns_nosplit,
-    CAST(4 AS BIGINT) AS columns_redefine FROM records GROUP BY 1"""
+    + """SELECT c_custkey AS acct_key, pos, o_orderkey AS order_key, o_totalprice AS price,
+    strftime(o_orderdate, '%Y-%m-%d') AS order_day, FALSE AS has_parts
+    FROM sized JOIN customer ON c_custkey = o_custkey"""
 )
 def split_redefine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split options choose the fields: without overlays, four columns per transaction
-    remain of nine (the overlay's five go)."""
+    """Without overlays: each order's other fields as they are, no part of its day."""
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    whole = d.decode_flat(records, lay.CUSTOMER, keep=())
-    short = d.decode_flat(records, lay.CUSTOMER, keep=(), split="redefine")
-    first = [c for c in whole.columns if c.endswith("_0") or c.startswith("FILLER_0")]
-    kept = [c for c in short.columns if c.endswith("_0") or c.startswith("FILLER_0")]
-    return short.groupBy(big("TRANSACTION_NBR", "transaction_nbr")).agg(
-        F.count("*").alias("records"),
-        F.lit(len(first) - 1).cast("bigint").alias("columns_nosplit"),
-        F.lit(len(kept)).cast("bigint").alias("columns_redefine"),
+    short = d.decode_flat(records, lay.ACCOUNT, keep=(), split="redefine")
+    each = ", ".join(f"{i}L, ORDER_KEY_{i}, PRICE_{i}, ORDER_DAY_{i}" for i in range(6))
+    orders = short.selectExpr("ACCT_KEY", f"stack(6, {each}) AS (pos, order_key, price, order_day)")
+    return orders.filter("order_key IS NOT NULL").select(
+        big("ACCT_KEY", "acct_key"),
+        "pos",
+        big("order_key"),
+        num("price"),
+        "order_day",
+        F.lit(any("DAY_YEAR" in c or "FILLER" in c for c in short.columns)).alias("has_parts"),
+    )
+
+
+@query(
+    """SELECT s_suppkey AS vendor_no, s_name AS vendor_name, lower(printf('%08x', s_suppkey)) AS seen_hex,
+    'VENDOR_NAME,FILLER_1,VENDOR_NO,BALANCE_GAP,NATION_GAP,FILLER_2,IN_CREDIT' AS first_view FROM supplier"""
+)
+def split_level1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two level-01 views of one record: both are decoded, or only the first."""
+    records = read_fb(spark, fx.suppliers(spark, sf_dir), lay.SUPPLIER.max_length)
+    both = d.decode_flat(records, lay.SUPPLIER_VIEWS, keep=("rec_no",))
+    first = d.decode_flat(records, lay.SUPPLIER_VIEWS, keep=(), split="level1")
+    return both.select(
+        big("VENDOR_NO", "vendor_no"),
+        F.rtrim("VENDOR_NAME").alias("vendor_name"),
+        F.lower(F.lpad(F.hex("SEEN_NO"), 8, "0")).alias("seen_hex"),
+        F.lit(",".join(first.columns)).alias("first_view"),
     )
 
 
 @query(
-    """SELECT CAST(s_suppkey AS VARCHAR) AS "STORE_NO", CAST(s_nationkey - 12 AS VARCHAR) AS "REGION_NO", '<>' AS "FILLER_1",
-    CAST(CAST(s_acctbal - 5000 AS DECIMAL(15,2)) AS VARCHAR) AS "STORE_BALANCE", s_name AS "STORE_NAME", '|' AS "FILLER_2",
-    CASE WHEN s_acctbal > 0 THEN 'Y' ELSE 'N' END AS "ACTIVE_STORE" FROM supplier"""
+    """SELECT CAST(s_suppkey AS VARCHAR) AS "VENDOR_NO", CAST(s_nationkey - 12 AS VARCHAR) AS "NATION_GAP", '<>' AS "FILLER_1",
+    CAST(CAST(s_acctbal - 5000 AS DECIMAL(15,2)) AS VARCHAR) AS "BALANCE_GAP", s_name AS "VENDOR_NAME", '|' AS "FILLER_2",
+    CASE WHEN s_acctbal > 0 THEN 'Y' ELSE 'N' END AS "IN_CREDIT" FROM supplier"""
 )
 def column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names as they come out of the layout: dashes replaced, fillers numbered."""
-    records = read_fb(spark, fx.stores(spark, sf_dir), lay.STORE.max_length)
-    return d.decode_text(records, lay.STORE, keep=())
+    records = read_fb(spark, fx.suppliers(spark, sf_dir), lay.SUPPLIER.max_length)
+    return d.decode_text(records, lay.SUPPLIER, keep=())
 
 
 @query(f"SELECT doc_id, {clean_sql('text')} AS text FROM documents")
@@ -349,71 +368,71 @@ def clean_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(codec.clean("text")).alias("text"))
 
 
-CUT_SQL = f"""SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name,
-  CASE c_nationkey % 3 WHEN 2 THEN 'BAD_FIELD_RECORD' WHEN 1 THEN 'NULL' ELSE c_mktsegment END AS customer_address,
-  CASE WHEN c_nationkey % 3 = 2 THEN 'BAD_FIELD_RECORD' ELSE {PHONE_SQL} END AS customer_phone,
-  CASE WHEN c_nationkey % 3 = 2 THEN 'BAD_FIELD_RECORD' ELSE '0' END AS transaction_nbr FROM customer"""
+CUT_SQL = f"""SELECT CAST(c_custkey AS VARCHAR) AS acct_key, c_name AS holder_name,
+  CASE c_nationkey % 3 WHEN 2 THEN 'BAD_FIELD_RECORD' WHEN 1 THEN 'NULL' ELSE c_mktsegment END AS segment,
+  CASE WHEN c_nationkey % 3 = 2 THEN 'BAD_FIELD_RECORD' ELSE {NATION_SQL} END AS nation_code,
+  '0' AS orders_held FROM customer"""
 
-PERSON_COLUMNS = ("CUSTOMER_ID", "CUSTOMER_NAME", "CUSTOMER_ADDRESS", "CUSTOMER_PHONE", "TRANSACTION_NBR")
+PERSON_COLUMNS = ("ACCT_KEY", "HOLDER_NAME", "SEGMENT", "NATION_CODE", "ORDERS_HELD")
 
 
 @query(CUT_SQL)
 def null_bad_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.cut_customers(spark, sf_dir))
-    text = d.decode_text(records, lay.CUSTOMER)
+    text = d.decode_text(records, lay.ACCOUNT)
     return text.select(*(F.col(c).alias(c.lower()) for c in PERSON_COLUMNS))
 
 
 @query(
-    """SELECT c_custkey AS customer_id, CASE WHEN c_nationkey % 3 = 2
-    THEN 'PERSONAL_DATA.CUSTOMER_ADDRESS,PERSONAL_DATA.CUSTOMER_PHONE,TRANSACTIONS.TRANSACTION_NBR,TRANSACTIONS.TRANSACTION'
+    """SELECT c_custkey AS acct_key, CASE WHEN c_nationkey % 3 = 2
+    THEN 'HOLDER.NATION_CODE,HOLDER.SEGMENT,BOOK.PLACED'
     ELSE '' END AS bad FROM customer"""
 )
 def bad_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed mode names the fields it could not decode."""
     records = read_vb(spark, fx.cut_customers(spark, sf_dir))
-    typed = d.decode_typed(records, lay.CUSTOMER)
-    return typed.select(big("CUSTOMER_ID", "customer_id"), F.array_join("_bad_fields", ",").alias("bad"))
+    typed = d.decode_typed(records, lay.ACCOUNT)
+    return typed.select(big("ACCT_KEY", "acct_key"), F.array_join("_bad_fields", ",").alias("bad"))
 
 
 @query(
-    f"""SELECT customer_id || chr(9) || customer_name || chr(9) || customer_address || chr(9) || customer_phone || chr(9)
-    || transaction_nbr || chr(9) AS value FROM ({CUT_SQL})"""
+    f"""SELECT acct_key || chr(9) || holder_name || chr(9) || segment || chr(9) || nation_code || chr(9)
+    || orders_held || chr(9) AS value FROM ({CUT_SQL})"""
 )
 def render_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.cut_customers(spark, sf_dir))
-    return tables.to_tsv(d.decode_text(records, lay.CUSTOMER), columns=PERSON_COLUMNS)
+    return tables.to_tsv(d.decode_text(records, lay.ACCOUNT), columns=PERSON_COLUMNS)
 
 
 @query(
-    """SELECT s_suppkey AS store_no, lower(printf('%08x', s_suppkey)) AS store_no_hex,
-    CASE WHEN s_acctbal > 0 THEN 'e8' ELSE 'd5' END AS active_hex, CAST(136 AS BIGINT) AS hex_digits FROM supplier"""
+    """SELECT s_suppkey AS vendor_no, lower(printf('%08x', s_suppkey)) AS vendor_no_hex,
+    CASE WHEN s_acctbal > 0 THEN 'e8' ELSE 'd5' END AS credit_hex, CAST(96 AS BIGINT) AS hex_digits FROM supplier"""
 )
 def hex_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = read_fb(spark, fx.stores(spark, sf_dir), lay.STORE.max_length)
-    reader = d.FieldReader(lay.STORE)
+    records = read_fb(spark, fx.suppliers(spark, sf_dir), lay.SUPPLIER.max_length)
+    reader = d.FieldReader(lay.SUPPLIER)
 
     def raw(name: str) -> str:
-        return codec.to_hex(reader.raw(lay.STORE.find(name)))
+        return codec.to_hex(reader.raw(lay.SUPPLIER.find(name)))
 
     return records.selectExpr(
-        f"{reader.value(lay.STORE.find('STORE-NO'))} AS store_no",
-        f"{raw('STORE-NO')} AS store_no_hex",
-        f"{raw('ACTIVE-STORE')} AS active_hex",
+        f"{reader.value(lay.SUPPLIER.find('VENDOR-NO'))} AS vendor_no",
+        f"{raw('VENDOR-NO')} AS vendor_no_hex",
+        f"{raw('IN-CREDIT')} AS credit_hex",
         f"cast(length({codec.to_hex('rec')}) AS bigint) AS hex_digits",
     )
 
 
 @query(
-    """SELECT '10' AS segment_ident, c_custkey AS cust_key, c_name AS cust_name, c_acctbal AS cust_balance FROM customer"""
+    """SELECT '10' AS kind_code, c_custkey AS cust_key, c_name AS cust_name, c_acctbal AS cust_balance FROM customer"""
 )
 def merged_layout_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A header layout and a body layout make one record layout."""
     header = lay.Layout.parse(lay.IDENT_TEXT)
     whole = header + lay.Layout.parse(lay.MIXED_BODIES["customer"])
-    records = rules.include(read_vb(spark, fx.mixed(spark, sf_dir)), whole, "SEGMENT-IDENT=10")
+    records = rules.include(read_vb(spark, fx.mixed(spark, sf_dir)), whole, "KIND-CODE=10")
     return d.decode_flat(records, whole).select(
-        F.col("SEGMENT_IDENT").alias("segment_ident"),
+        F.col("KIND_CODE").alias("kind_code"),
         big("CUST_KEY", "cust_key"),
         F.rtrim("CUST_NAME").alias("cust_name"),
         num("CUST_BALANCE", "cust_balance"),
@@ -424,69 +443,69 @@ def merged_layout_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _kept_customers(records: DataFrame) -> DataFrame:
-    return d.decode_flat(records, lay.CUSTOMER).select(
-        big("CUSTOMER_ID", "customer_id"),
-        F.rtrim("CUSTOMER_ADDRESS").alias("segment"),
-        big("TRANSACTION_NBR", "transaction_nbr"),
+    return d.decode_flat(records, lay.ACCOUNT).select(
+        big("ACCT_KEY", "acct_key"),
+        F.rtrim("SEGMENT").alias("segment"),
+        big("ORDERS_HELD", "orders_held"),
     )
 
 
 KEPT_SQL = CUSTOMER_SQL + (
-    "SELECT c_custkey AS customer_id, c_mktsegment AS segment, CAST(n AS BIGINT) AS transaction_nbr FROM records WHERE "
+    "SELECT c_custkey AS acct_key, c_mktsegment AS segment, CAST(n AS BIGINT) AS orders_held FROM records WHERE "
 )
 
 
-@query(KEPT_SQL + "n IN (1, 4, 5)")
+@query(KEPT_SQL + "n IN (2, 3, 6)")
 def include_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
     return _kept_customers(
-        rules.include(records, lay.CUSTOMER, "TRANSACTION-NBR=1:TRANSACTION-NBR=4:TRANSACTION-NBR=5")
+        rules.include(records, lay.ACCOUNT, "ORDERS-HELD=2:ORDERS-HELD=3:ORDERS-HELD=6")
     )
 
 
-@query(KEPT_SQL + "NOT (n = 5 OR (n = 1 AND c_mktsegment = 'BUILDING'))")
+@query(KEPT_SQL + "NOT (n = 6 OR (n = 1 AND c_mktsegment = 'BUILDING'))")
 def exclude_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    spec = "TRANSACTION-NBR=5:TRANSACTION-NBR=1,CUSTOMER-ADDRESS=building"
-    return _kept_customers(rules.exclude(records, lay.CUSTOMER, spec))
+    spec = "ORDERS-HELD=6:ORDERS-HELD=1,SEGMENT=building"
+    return _kept_customers(rules.exclude(records, lay.ACCOUNT, spec))
 
 
-@query(KEPT_SQL + "c_mktsegment IN ('BUILDING', 'MACHINERY') AND NOT n = 5")
+@query(KEPT_SQL + "c_mktsegment IN ('BUILDING', 'MACHINERY') AND NOT n = 6")
 def include_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
     return _kept_customers(
         rules.select_records(
             records,
-            lay.CUSTOMER,
-            include="CUSTOMER-ADDRESS=BUILDING:CUSTOMER-ADDRESS=MACHINERY",
-            exclude="TRANSACTION-NBR=5",
+            lay.ACCOUNT,
+            include="SEGMENT=BUILDING:SEGMENT=MACHINERY",
+            exclude="ORDERS-HELD=6",
         )
     )
 
 
-@query(KEPT_SQL + "n = 5 AND c_mktsegment = 'BUILDING'")
+@query(KEPT_SQL + "n = 6 AND c_mktsegment = 'BUILDING'")
 def include_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    spec = "TRANSACTION-NBR=5,CUSTOMER-ADDRESS=BUILDING"
-    return _kept_customers(rules.include(records, lay.CUSTOMER, spec, strict=True))
+    spec = "ORDERS-HELD=6,SEGMENT=BUILDING"
+    return _kept_customers(rules.include(records, lay.ACCOUNT, spec, strict=True))
 
 
 @query(KEPT_SQL + "n = 3")
 def record_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    return _kept_customers(rules.record_length(records, 64 + 3 * 43))
+    return _kept_customers(rules.record_length(records, 56 + 3 * 45))
 
 
 @query(
     LINES_SQL
     + """SELECT o_orderkey AS order_key, CAST(block AS BIGINT) AS block_no, o_orderstatus AS status,
-    CAST(49 + sum(stride) AS BIGINT) AS rec_len FROM lines WHERE o_orderstatus <> 'P' GROUP BY ALL
-    UNION ALL SELECT o_orderkey, 0, o_orderstatus, 49 FROM orders
+    CAST(40 + sum(stride) AS BIGINT) AS rec_len FROM lines WHERE o_orderstatus <> 'P' GROUP BY ALL
+    UNION ALL SELECT o_orderkey, 0, o_orderstatus, 40 FROM orders
     WHERE o_orderstatus <> 'P' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"""
 )
 def skip_record_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.composite(spark, sf_dir))
-    kept = rules.skip_records(records, lay.HEADER, "KEY-INDEX", "BF")
+    kept = rules.skip_records(records, lay.HEADER, "HOLD-FLAG", "A7")
     return _headers(kept)
 
 
@@ -499,7 +518,7 @@ def _headers(records: DataFrame) -> DataFrame:
 @query(
     LINES_SQL
     + """SELECT o_orderkey AS order_key, CAST(block AS BIGINT) AS block_no, o_orderstatus AS status,
-    CAST(49 + sum(stride) AS BIGINT) AS rec_len FROM lines GROUP BY ALL"""
+    CAST(40 + sum(stride) AS BIGINT) AS rec_len FROM lines GROUP BY ALL"""
 )
 def header_only_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _headers(rules.drop_header_only(read_vb(spark, fx.composite(spark, sf_dir)), lay.HEADER_LEN))
@@ -576,25 +595,25 @@ def _lines(segments: DataFrame, *more: str) -> DataFrame:
     )
 
 
-@query(LINES_SQL + f"SELECT {LINE_FIELDS_SQL}, CAST(49 + stride - 1 AS BIGINT) AS rec_len FROM lines")
+@query(LINES_SQL + f"SELECT {LINE_FIELDS_SQL}, CAST(40 + stride - 1 AS BIGINT) AS rec_len FROM lines")
 def split_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.composite(spark, sf_dir))
-    return _lines(s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "RECORD-LENGTH"), "rec_len")
+    return _lines(s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "LINE-BYTES"), "rec_len")
 
 
 @query(LINES_SQL + f"SELECT {LINE_FIELDS_SQL} FROM lines")
 def split_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The length in the segment leaves out three bytes of its prefix."""
+    """The length in the segment leaves out the four bytes of its prefix."""
     records = read_vb(spark, fx.composite(spark, sf_dir, offset=fx.OFFSET))
     return _lines(
-        s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "RECORD-LENGTH", length_offset=fx.OFFSET)
+        s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "LINE-BYTES", length_offset=fx.OFFSET)
     )
 
 
 @query(LINES_SQL + f"SELECT {LINE_FIELDS_SQL}, CAST(pos + 1 AS BIGINT) AS seg_no FROM lines")
 def split_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.composite(spark, sf_dir))
-    return _lines(s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "RECORD-LENGTH"), "seg_no")
+    return _lines(s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "LINE-BYTES"), "seg_no")
 
 
 MARKED = {"length_offset": fx.OFFSET, "skip_marker": fx.MARKER}
@@ -604,22 +623,22 @@ MARKED = {"length_offset": fx.OFFSET, "skip_marker": fx.MARKER}
 def split_skip_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned lines hold their length behind a marker."""
     records = read_vb(spark, fx.composite(spark, sf_dir, offset=fx.OFFSET, marked=True))
-    return _lines(s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "RECORD-LENGTH", **MARKED), "seg_no")
+    return _lines(s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "LINE-BYTES", **MARKED), "seg_no")
 
 
 @query(
     LINES_SQL
-    + """SELECT o_orderkey AS order_key, CAST(block AS BIGINT) AS block_no, CAST(49 + sum(stride) + 1 AS BIGINT) AS error_at,
+    + """SELECT o_orderkey AS order_key, CAST(block AS BIGINT) AS block_no, CAST(40 + sum(stride) + 1 AS BIGINT) AS error_at,
     CASE o_orderpriority WHEN '5-LOW' THEN 'segment longer than its record'
       WHEN '4-NOT SPECIFIED' THEN 'zero segment length without marker' ELSE 'segment prefix cut off' END AS error
     FROM lines WHERE o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED', '3-MEDIUM')
     GROUP BY o_orderkey, block, o_orderpriority
-    UNION ALL SELECT o_orderkey, 0, 50, 'no segment behind the header' FROM orders
+    UNION ALL SELECT o_orderkey, 0, 41, 'no segment behind the header' FROM orders
     WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"""
 )
 def split_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_vb(spark, fx.composite(spark, sf_dir, offset=fx.OFFSET, marked=True, broken=True))
-    rejects = s.split_rejects(records, lay.HEADER_LEN, lay.PREFIX, "RECORD-LENGTH", **MARKED)
+    rejects = s.split_rejects(records, lay.HEADER_LEN, lay.PREFIX, "LINE-BYTES", **MARKED)
     back = rejects.select(F.unhex("rec_hex").alias("rec"), "rec_len", "error", "error_at")
     return d.decode_flat(back, lay.HEADER, keep=("error", "error_at")).select(
         big("ORDER_KEY", "order_key"), big("BLOCK_NO", "block_no"), big("error_at"), "error"
@@ -630,7 +649,7 @@ def split_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_before_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments in front of a bad one are kept."""
     records = read_vb(spark, fx.composite(spark, sf_dir, offset=fx.OFFSET, marked=True, broken=True))
-    return _lines(s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "RECORD-LENGTH", **MARKED))
+    return _lines(s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "LINE-BYTES", **MARKED))
 
 
 # --- sinks ----------------------------------------------------------------------------
@@ -638,23 +657,23 @@ def split_before_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOADED = dt.date(2016, 4, 5)
 
 PERSON_SQL = CUSTOMER_SQL + (
-    f"SELECT c_custkey AS customer_id, c_name AS customer_name, {PHONE_SQL} AS customer_phone{{extra}} FROM records"
+    f"SELECT c_custkey AS acct_key, c_name AS holder_name, {NATION_SQL} AS nation_code{{extra}} FROM records"
 )
 
 
 def _people(spark: SparkSession, sf_dir: str, mode: str = "flat") -> DataFrame:
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    decoded = d.decode(records, lay.CUSTOMER, mode, keep=())
+    decoded = d.decode(records, lay.ACCOUNT, mode, keep=())
     return decoded.select(
-        F.col("CUSTOMER_ID").cast("bigint" if mode == "flat" else "string").alias("customer_id"),
-        F.rtrim("CUSTOMER_NAME").alias("customer_name"),
-        F.col("CUSTOMER_PHONE").alias("customer_phone"),
+        F.col("ACCT_KEY").cast("bigint" if mode == "flat" else "string").alias("acct_key"),
+        F.rtrim("HOLDER_NAME").alias("holder_name"),
+        F.col("NATION_CODE").alias("nation_code"),
     )
 
 
 @query(
     CUSTOMER_SQL
-    + f"SELECT c_custkey || chr(9) || c_name || chr(9) || {PHONE_SQL} || chr(9) AS value FROM records"
+    + f"SELECT c_custkey || chr(9) || c_name || chr(9) || {NATION_SQL} || chr(9) AS value FROM records"
 )
 def sink_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = tables.write(_people(spark, sf_dir, "text"), scratch_path(spark, "tsv"))
@@ -679,7 +698,7 @@ def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(PERSON_SQL.format(extra=", 'north' AS region, 'a1' AS batch"))
 def sink_partition_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _written(spark, sf_dir, "parquet", partition="region=north,batch=a1").select(
-        "customer_id", "customer_name", "customer_phone", "region", "batch"
+        "acct_key", "holder_name", "nation_code", "region", "batch"
     )
 
 
@@ -735,30 +754,30 @@ def sink_vb(spark: SparkSession, sf_dir: str) -> DataFrame:
         header_layout=lay.HEADER,
         header_len=lay.HEADER_LEN,
         segment_layout=lay.PREFIX,
-        length_field="RECORD-LENGTH",
+        length_field="LINE-BYTES",
         length_offset=fx.OFFSET,
         skip_marker=fx.MARKER,
-        skip_field="KEY-INDEX",
-        skip_hex="bf",
+        skip_field="HOLD-FLAG",
+        skip_hex="a7",
     )
     return _lines(read_vb(spark, out))
 
 
 @query(
     CUSTOMER_SQL
-    + f"""SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name, {PHONE_SQL} AS customer_phone,
-    CAST(n AS VARCHAR) AS transaction_nbr, '2016' AS load_year FROM records WHERE n IN (1, 4, 5)"""
+    + f"""SELECT CAST(c_custkey AS VARCHAR) AS acct_key, c_name AS holder_name, {NATION_SQL} AS nation_code,
+    CAST(n AS VARCHAR) AS orders_held, '2016' AS load_year FROM records WHERE n IN (2, 3, 6)"""
 )
 def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole convert job into a partitioned text table, read by name."""
     out = scratch_path(spark, "table")
-    include = "TRANSACTION-NBR=1:TRANSACTION-NBR=4:TRANSACTION-NBR=5"
+    include = "ORDERS-HELD=2:ORDERS-HELD=3:ORDERS-HELD=6"
     app = "app_" + out.rsplit("-", 1)[-1]
     jobs.convert(
         spark,
         fx.customers(spark, sf_dir),
         out,
-        layout=lay.CUSTOMER,
+        layout=lay.ACCOUNT,
         include=include,
         load_date="year",
         on=LOADED,
@@ -767,10 +786,10 @@ def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         register=True,
     )
     return spark.table(tables.table_name(app, "customers")).select(
-        F.col("CUSTOMER_ID").alias("customer_id"),
-        F.col("CUSTOMER_NAME").alias("customer_name"),
-        F.col("CUSTOMER_PHONE").alias("customer_phone"),
-        F.col("TRANSACTION_NBR").alias("transaction_nbr"),
+        F.col("ACCT_KEY").alias("acct_key"),
+        F.col("HOLDER_NAME").alias("holder_name"),
+        F.col("NATION_CODE").alias("nation_code"),
+        F.col("ORDERS_HELD").alias("orders_held"),
         F.col("LOAD_YEAR").alias("load_year"),
     )
 
@@ -780,26 +799,26 @@ def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     CUSTOMER_SQL
-    + """SELECT c_custkey AS customer_id, c_name AS customer_name, CAST(n AS BIGINT) AS transaction_nbr, pos,
+    + """SELECT c_custkey AS acct_key, c_name AS holder_name, CAST(n AS BIGINT) AS orders_held, pos,
     o_orderkey AS order_key, o_totalprice AS amount
-    FROM sized JOIN customer ON c_custkey = o_custkey WHERE n IN (1, 4, 5)"""
+    FROM sized JOIN customer ON c_custkey = o_custkey WHERE n IN (2, 3, 6)"""
 )
 def convert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan, keep records by transaction count, decode typed, one row per transaction."""
     records = read_vb(spark, fx.customers(spark, sf_dir))
-    kept = rules.include(records, lay.CUSTOMER, "TRANSACTION-NBR=1:TRANSACTION-NBR=4:TRANSACTION-NBR=5")
-    typed = d.decode_typed(kept, lay.CUSTOMER)
+    kept = rules.include(records, lay.ACCOUNT, "ORDERS-HELD=2:ORDERS-HELD=3:ORDERS-HELD=6")
+    typed = d.decode_typed(kept, lay.ACCOUNT)
     each = typed.select(
-        "CUSTOMER_ID",
-        "PERSONAL_DATA.CUSTOMER_NAME",
-        "TRANSACTIONS.TRANSACTION_NBR",
-        F.posexplode("TRANSACTIONS.TRANSACTION").alias("pos", "t"),
+        "ACCT_KEY",
+        "HOLDER.HOLDER_NAME",
+        "ORDERS_HELD",
+        F.posexplode("BOOK.PLACED").alias("pos", "t"),
     )
     return each.select(
-        big("CUSTOMER_ID", "customer_id"),
-        F.rtrim("CUSTOMER_NAME").alias("customer_name"),
-        big("TRANSACTION_NBR", "transaction_nbr"),
+        big("ACCT_KEY", "acct_key"),
+        F.rtrim("HOLDER_NAME").alias("holder_name"),
+        big("ORDERS_HELD", "orders_held"),
         big("pos"),
-        big("t.TRANSACTION_KEY", "order_key"),
-        num("t.TRANSACTION_AMOUNT", "amount"),
+        big("t.ORDER_KEY", "order_key"),
+        num("t.PRICE", "amount"),
     )

@@ -17,11 +17,12 @@ from mainspool.testsupport import encode as e
 
 _written: dict[tuple[str, str, str], str] = {}
 
-OFFSET = 3
-MARKER = "bf"
+OFFSET = 4
+MARKER = "a7"
 SKIPPED_STATUS = "P"
 LINES_PER_RECORD = 100
 PIECE = 30_000
+ORDERS_PER_RECORD = 6
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,19 +52,19 @@ def _joined(items: Column) -> Column:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> str:
-    """Variable-length: one record per customer and up to five of its orders, all orders."""
+    """Variable-length: one record per customer and up to six of its orders, all orders."""
 
     def build() -> DataFrame:
         orders = table(spark, sf_dir, "orders").withColumn("salt", F.col("o_orderkey") % 64)
         ranked = e.rank_in_key(orders, "o_custkey", ["o_orderkey"], "salt")
         one = F.concat(
-            e.digits(F.col("o_orderkey"), 12),
-            e.text(F.date_format("o_orderdate", "dd/MM/yy"), 8),
             e.comp3(F.col("o_totalprice"), 8, 2),
+            e.digits(F.col("o_orderkey"), 12),
+            e.text(F.date_format("o_orderdate", "yyyy-MM-dd"), 10),
             e.text(F.col("o_orderpriority"), 15),
         )
         blocks = (
-            ranked.withColumn("block", F.expr("(rn - 1) div 5"))
+            ranked.withColumn("block", F.expr(f"(rn - 1) div {ORDERS_PER_RECORD}"))
             .groupBy("o_custkey", "block")
             .agg(
                 F.count("*").alias("n"),
@@ -72,32 +73,36 @@ def customers(spark: SparkSession, sf_dir: str) -> str:
             .select("o_custkey", "n", _joined(F.col("items")).alias("body"))
         )
         customer = table(spark, sf_dir, "customer")
-        person = F.concat(
-            e.digits(F.col("c_custkey"), 12),
-            e.text(F.col("c_name"), 20),
-            e.text(F.col("c_mktsegment"), 20),
-            e.digits(F.col("c_nationkey"), 8),
-        )
+
+        def person(held: Column) -> Column:
+            return F.concat(
+                e.digits(F.col("c_custkey"), 12),
+                e.comp(held, 2),
+                e.text(F.col("c_name"), 24),
+                e.digits(F.col("c_nationkey"), 4),
+                e.text(F.col("c_mktsegment"), 14),
+            )
+
         on = F.col("c_custkey") == F.col("o_custkey")
-        some = customer.join(blocks, on).select(F.concat(person, e.comp(F.col("n"), 4), "body").alias("rec"))
-        none = customer.join(blocks, on, "left_anti").select(F.concat(person, e.comp(F.lit(0), 4)).alias("rec"))
+        some = customer.join(blocks, on).select(F.concat(person(F.col("n")), "body").alias("rec"))
+        none = customer.join(blocks, on, "left_anti").select(person(F.lit(0)).alias("rec"))
         return some.unionByName(none)
 
     return _once(spark, sf_dir, "customers", build)
 
 
 def cut_customers(spark: SparkSession, sf_dir: str) -> str:
-    """Variable-length customer records without orders, cut short: by nation, the record
-    ends inside the address or holds a blank one."""
+    """Variable-length account records without orders, cut short: by nation, the record
+    ends inside the nation code or holds a blank segment."""
 
     def build() -> DataFrame:
-        address = F.when(F.col("c_nationkey") % 3 == 1, F.lit("")).otherwise(F.col("c_mktsegment"))
+        segment = F.when(F.col("c_nationkey") % 3 == 1, F.lit("")).otherwise(F.col("c_mktsegment"))
         whole = F.concat(
             e.digits(F.col("c_custkey"), 12),
-            e.text(F.col("c_name"), 20),
-            e.text(address, 20),
-            e.digits(F.col("c_nationkey"), 8),
-            e.comp(F.lit(0), 4),
+            e.comp(F.lit(0), 2),
+            e.text(F.col("c_name"), 24),
+            e.digits(F.col("c_nationkey"), 4),
+            e.text(segment, 14),
         )
         cut = F.when(F.col("c_nationkey") % 3 == 2, F.substring(whole, 1, 40)).otherwise(whole)
         return table(spark, sf_dir, "customer").select(cut.alias("rec"))
@@ -110,12 +115,12 @@ def sale_record() -> Column:
     sold = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
     return F.concat(
         e.text(F.col("l_orderkey"), 12),
+        e.digits(F.col("l_linenumber"), 4),
         e.comp3(F.col("l_suppkey"), 5),
-        e.comp3(F.date_format("l_shipdate", "yyyyMMdd"), 5),
         e.comp3(F.col("l_partkey"), 5),
-        e.comp3(sold, 5),
+        e.comp3(F.date_format("l_shipdate", "yyyyMMdd"), 5),
         e.comp3(F.col("l_extendedprice"), 6, 2),
-        e.digits(F.col("l_linenumber"), 4),
+        e.comp3(sold, 5),
         e.zoned(gap, 5, 2),
     )
 
@@ -138,22 +143,22 @@ def sales_vb(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
-def stores(spark: SparkSession, sf_dir: str) -> str:
+def suppliers(spark: SparkSession, sf_dir: str) -> str:
     """Fixed-length: one record per supplier."""
 
     def build() -> DataFrame:
         record = F.concat(
-            e.comp(F.col("s_suppkey"), 4),
-            e.comp(F.col("s_nationkey") - 12, 2),
+            e.text(F.col("s_name"), 30),
             e.text(F.lit("<>"), 2),
+            e.comp(F.col("s_suppkey"), 4),
             e.comp((F.col("s_acctbal") - 5000).cast("decimal(15,2)") * 100, 8),
-            e.text(F.col("s_name"), 50),
+            e.comp(F.col("s_nationkey") - 12, 2),
             e.text(F.lit("|"), 1),
             e.text(F.when(F.col("s_acctbal") > 0, "Y").otherwise("N"), 1),
         )
         return table(spark, sf_dir, "supplier").select(record.alias("rec"))
 
-    return _once(spark, sf_dir, "stores", build, descriptors=False)
+    return _once(spark, sf_dir, "suppliers", build, descriptors=False)
 
 
 def mixed(spark: SparkSession, sf_dir: str) -> str:
@@ -247,11 +252,11 @@ def composite(
         def header(block: Column) -> Column:
             key = F.when(F.col("o_orderstatus") == SKIPPED_STATUS, F.unhex(F.lit(MARKER))).otherwise(e.text(F.lit("A"), 1))
             return F.concat(
-                key,
                 e.digits(F.col("o_orderkey"), 12),
-                e.digits(block, 6),
                 e.text(F.col("o_orderstatus"), 1),
-                e.text(F.col("o_orderpriority"), 29),
+                key,
+                e.digits(block, 6),
+                e.text(F.col("o_orderpriority"), 20),
             )
 
         tail = F.unhex(F.lit(""))

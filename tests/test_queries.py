@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from mainspool.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -17,7 +18,7 @@ def con():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert name in entry.oracle_sql()
     assert oracle.difference(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF_DIR) is None

@@ -69,6 +69,9 @@ def literal(text: str) -> str:
     return "'" + "".join(map(shown, text)) + "'"
 
 
+_UNSET = literal(" \x00")
+
+
 def piece(b: str, field: Field | Item) -> str:
     """The raw form of a field's bytes."""
     if field.kind == COMP3:
@@ -128,23 +131,32 @@ def _zoned(shown: str, field: Field | Item) -> str:
     """One digit in the low nibble of each byte; the last high nibble is the sign.
 
     Plain digit characters are the rule and are read as text; digits under other zones
-    are found by their low nibble.
+    are found by their low nibble. Leading blanks and low-values count as zeros, behind a
+    digit they are no number; a field of nothing else has no value (:func:`empty`).
     """
     size = field.size
     low = f"translate({shown}, {literal(_CHARACTERS)}, '{_LOW_NIBBLES}')"
+    behind = f"trim(LEADING {_UNSET} FROM {shown})"
+    clean = f"{behind} <> '' AND translate({behind}, {_UNSET}, '') = {behind}"
+    low = f"CASE WHEN {clean} THEN {low} END"
     sign = "1"
     if field.signed:
         last = f"(position(substring({shown}, {size}, 1), {literal(_SIGNED_DIGITS)}) - 1)"
         sign = f"(CASE WHEN {last} >= {_FIRST_NEGATIVE} THEN -1 ELSE 1 END)"
         shown = f"concat(substring({shown}, 1, {size - 1}), cast({last} % 10 AS string))"
     if size > LONG_DIGITS:
-        return _many_digits(low, size, field.scale, sign)
+        return _many_digits(f"({low})", size, field.scale, sign)
     quick = f"try_cast({shown} AS bigint)"
     plain = f"lpad(cast({quick} AS string), {size}, '0') = {shown}"
     number = f"(CASE WHEN {plain} THEN {quick} ELSE try_cast({low} AS bigint) END)"
     return _scaled(f"{number} * {sign}" if field.signed else number, size, field.scale)
 
 
+def empty(raw: str, field: Field | Item) -> str:
+    """Whether a zoned field's raw form is all blanks or low-values: no value, but not bad."""
+    return f"coalesce(translate({raw}, {_UNSET}, '') = '', false)"
+
+
 def _binary(unsigned: str, field: Field | Item) -> str:
     """Big-endian, two's complement when signed; eight bytes come signed already."""
     whole = unsigned

@@ -229,15 +229,27 @@ def normalise(name: str) -> str:
     return re.sub(r"[()]", "", re.sub(r"[, -]", "_", name.strip()))
 
 
-def column_names(labels: Iterable[str]) -> list[str]:
-    """Normalised names; fillers get a running number."""
-    out, fillers = [], 0
+def distinct_name(name: str, taken: set[str]) -> str:
+    """``name``, or where it is taken (in any case) with the first free ending ``_2``, ``_3``, ..;
+    the name given out is taken from then on."""
+    free, n = name, 1
+    while free.lower() in taken:
+        n += 1
+        free = f"{name}_{n}"
+    taken.add(free.lower())
+    return free
+
+
+def column_names(labels: Iterable[str], kept: Iterable[str] = ()) -> list[str]:
+    """Normalised names; fillers get a running number, names that repeat an earlier one, or one
+    of the ``kept`` columns, an ending (:func:`distinct_name`)."""
+    out, fillers, taken = [], 0, {k.lower() for k in kept}
     for label in labels:
         name = normalise(label)
         if "FILLER" in name:
             fillers += 1
             name = f"{name}_{fillers}"
-        out.append(name)
+        out.append(distinct_name(name, taken))
     return out
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mainspool.functions import codec
-from mainspool.layout import COMP, TEXT, Field, Item, Layout, Offset, column_names, normalise, placed
+from mainspool.layout import COMP, TEXT, ZONED, Field, Item, Layout, Offset, column_names, distinct_name, normalise, placed
 from mainspool.session import java_charsets, limit_generated_methods
 
 RECORD_COLUMNS = ("file", "rec_no", "rec_len", "rec")
@@ -78,11 +78,14 @@ class FieldReader:
 
     def as_string(self, field: Field, piece: str | None = None) -> str:
         """The value as text, before cleaning; NULL when undecodable."""
-        value = codec.value(piece or f"({self.piece(field)})", field)
+        raw = piece or f"({self.piece(field)})"
+        value = codec.value(raw, field)
         if field.kind == TEXT:
             return value
         shown = f"cast({value} AS string)"
-        return codec.comma_decimal(shown) if self.dialect == "comma" and field.scale else shown
+        if self.dialect == "comma" and field.scale:
+            shown = codec.comma_decimal(shown)
+        return f"CASE WHEN {codec.empty(raw, field)} THEN '' ELSE {shown} END" if field.kind == ZONED else shown
 
     def as_text(self, field: Field, piece: str | None = None) -> str:
         """The cleaned, trimmed text value; NULL when undecodable."""
@@ -145,7 +148,7 @@ def decode_text(
     limit_generated_methods(df.sparkSession)
     kept = _kept(df, keep)
     fields = layout.fields(split)
-    names = column_names([f.label for f in fields])
+    names = column_names([f.label for f in fields], kept)
     with java_charsets(df.sparkSession):
         df, reader = _with_counts(df, layout, split, dialect)
         raw = _staged(df, kept, [reader.piece(f) for f in fields])
@@ -162,7 +165,7 @@ def decode_flat(
     limit_generated_methods(df.sparkSession)
     kept = _kept(df, keep)
     fields = layout.fields(split)
-    names = column_names([f.label for f in fields])
+    names = column_names([f.label for f in fields], kept)
     with java_charsets(df.sparkSession):
         df, reader = _with_counts(df, layout, split)
         raw = _staged(df, kept, [reader.piece(f) for f in fields])
@@ -182,12 +185,13 @@ class _Tree:
         self.checks: list[str] = []
         self.fillers = self.lambdas = 0
 
-    def name(self, item: Item) -> str:
+    def name(self, item: Item, taken: set[str]) -> str:
+        """Column name of an item among siblings whose names are taken."""
         base = normalise(item.name)
-        if not item.is_filler:
-            return base
-        self.fillers += 1
-        return f"{base}_{self.fillers}"
+        if item.is_filler:
+            self.fillers += 1
+            base = f"{base}_{self.fillers}"
+        return distinct_name(base, taken)
 
     def variable(self) -> str:
         """A new lambda variable."""
@@ -204,16 +208,18 @@ class _Tree:
 
     def members(self, item: Item, at: Position) -> list[tuple[Item, Position, str]]:
         """Named children of a group with their offsets."""
-        inside = placed(item.children, Offset(), self.split)
-        return [(c, plus(at, self.reader.position(o)), self.name(c)) for c, o in inside]
+        inside, taken = placed(item.children, Offset(), self.split), set()
+        return [(c, plus(at, self.reader.position(o)), self.name(c, taken)) for c, o in inside]
 
     def column(self, item: Item, at: Position, path: str) -> str:
         """Value of an item outside any repeated group."""
         if item.occurs is not None:
             return self.array(item, at, path)
         if item.kind:
-            value = self.settle(typed(codec.value(self.stage(self.reader.piece_at(at, item)), item), item))
-            self.checks.append(f"CASE WHEN {value} IS NULL THEN '{path}' END")
+            raw = self.stage(self.reader.piece_at(at, item))
+            value = self.settle(typed(codec.value(raw, item), item))
+            unset = f" AND NOT {self.settle(codec.empty(raw, item))}" if item.kind == ZONED else ""
+            self.checks.append(f"CASE WHEN {value} IS NULL{unset} THEN '{path}' END")
             return value
         return struct([(n, self.column(c, a, f"{path}.{n}")) for c, a, n in self.members(item, at)])
 
@@ -280,9 +286,9 @@ def decode_typed(
     with java_charsets(df.sparkSession):
         df, reader = _with_counts(df, layout, split)
         tree = _Tree(reader, split)
-        columns = []
+        columns, taken = [], {k.lower() for k in (*kept, "_bad_fields")}
         for item, offset in layout.tops(split):
-            name = tree.name(item)
+            name = tree.name(item, taken)
             columns.append(f"{tree.column(item, reader.position(offset), name)} AS `{name}`")
         bad = f"array_compact(array({', '.join(tree.checks)})) AS _bad_fields"
         raw = _staged(df, kept, tree.pieces)

@@ -3,19 +3,31 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mainspool.layout import MARGINS, Layout
+from mainspool.functions import codec
+from mainspool.layout import MARGINS, TEXT, Layout, column_names
 from mainspool.operators.decode import FieldReader, decode
-from mainspool.operators.rules import Alternative, joined
+from mainspool.operators.rules import Alternative
 from mainspool.session import java_charsets
 
 
+# The keys of a catalog's JSON.
+_HEADER, _RECORDS, _PARTITION = "header_layout", "records", "hive_partition_data"
+_TYPE, _LAYOUT, _TABLE = "record", "copy_layout", "hive_table"
+_INCLUDE, _EXCLUDE, _VARIANT, _ENTRIES = "include_records", "exclude_records", "name", "entries"
+_LOAD_DATE = {
+    "day": ("appendCurrentDate", "appendCurrentDay"),
+    "month": ("appendCurrentMonth",),
+    "year": ("appendCurrentYear",),
+}
+
+
 @dataclass(frozen=True)
 class RecordType:
     """One record type: its layout and the rules that pick it.
@@ -54,20 +66,20 @@ class Catalog:
         def layout(name: str) -> Layout:
             return Layout.parse(get(name), margins)
 
-        header = layout(spec["header_layout"]) if spec.get("header_layout") else None
+        header = layout(spec[_HEADER]) if spec.get(_HEADER) else None
         types = []
-        for record in spec["records"]:
-            body = layout(record["copy_layout"])
+        for record in spec[_RECORDS]:
+            body = layout(record[_LAYOUT])
             types.append(
                 RecordType(
-                    record["record"],
+                    record[_TYPE],
                     header + body if header else body,
-                    _variants(record.get("include_records")),
-                    _variants(record.get("exclude_records")),
-                    record.get("hive_table"),
+                    _variants(record.get(_INCLUDE)),
+                    _variants(record.get(_EXCLUDE)),
+                    record.get(_TABLE),
                 )
             )
-        return cls(tuple(types), _pairs(spec.get("hive_partition_data")), _load_date(spec))
+        return cls(tuple(types), _pairs(spec.get(_PARTITION)), _load_date(spec))
 
     def type(self, name: str) -> RecordType:
         for t in self.types:
@@ -77,7 +89,7 @@ class Catalog:
 
 
 def _variants(entries: list[dict] | None) -> tuple[tuple[str, Alternative], ...]:
-    return tuple((e["name"], tuple(e["entries"].items())) for e in entries or ())
+    return tuple((e[_VARIANT], tuple(e[_ENTRIES].items())) for e in entries or ())
 
 
 def _pairs(text: str | None) -> dict[str, str]:
@@ -88,11 +100,7 @@ def _pairs(text: str | None) -> dict[str, str]:
 
 def _load_date(spec: dict) -> str | None:
     """The finest load-date part asked for."""
-    flags = {
-        "day": spec.get("appendCurrentDate") or spec.get("appendCurrentDay"),
-        "month": spec.get("appendCurrentMonth"),
-        "year": spec.get("appendCurrentYear"),
-    }
+    flags = {part: any(spec.get(key) for key in keys) for part, keys in _LOAD_DATE.items()}
     return next((part for part, on in flags.items() if on), None)
 
 
@@ -105,62 +113,81 @@ def _first(cases: list[tuple[Column, str]], default: str | None) -> Column:
 
 
 class _Looks:
-    """The joined field values rules look at, each made once as a column ``_look0``, .."""
-
-    def __init__(self) -> None:
-        self.columns: dict[tuple, tuple[str, str]] = {}
-
-    def hit(self, record_type: RecordType, rule: Alternative) -> Column:
-        """True where the rule matches, read by the type's layout."""
-        names = [name for name, _ in rule]
+    """The field values rules look at: raw forms, texts and joined values, each made once."""
+
+    def __init__(self, prefix: str, dialect: str):
+        self.prefix, self.dialect = prefix, dialect
+        self.raws: dict[tuple, tuple[str, str]] = {}
+        self.texts: dict[tuple, tuple[str, str]] = {}
+        self.joined: dict[tuple, tuple[str, str]] = {}
+
+    def _text(self, record_type: RecordType, name: str, only: str | None) -> str:
+        """The column of a field's trimmed text; ``only`` names the type it is read for."""
+        layout = record_type.layout
+        field, reader = layout.find(name), FieldReader(layout, self.dialect)
         # a field of a shared header is the same look in every type
-        key = tuple(record_type.layout.find(name) for name in names)
-        if key not in self.columns:
-            look = joined(FieldReader(record_type.layout), names)
-            self.columns[key] = (f"_look{len(self.columns)}", look)
-        return F.col(self.columns[key][0]) == "".join(v for _, v in rule).lower()
+        key = (only, field)
+        if key not in self.raws:
+            piece = reader.piece(field)
+            raw = f"{self.prefix}r{len(self.raws)}"
+            self.raws[key] = (raw, piece if only is None else f"CASE WHEN rec_type = {codec.literal(only)} THEN {piece} END")
+            self.texts[key] = (f"{self.prefix}t{len(self.texts)}", reader.as_string(field, raw))
+        return f"trimmed_{self.texts[key][0]}" if field.kind == TEXT else self.texts[key][0]
+
+    def hit(self, record_type: RecordType, rule: Alternative, only: str | None = None) -> Column:
+        """True where the rule matches, read by the type's layout."""
+        columns = tuple(self._text(record_type, name, only) for name, _ in rule)
+        if columns not in self.joined:
+            # numbers have no blanks
+            shown = [codec.quick_trim(c[8:]) if c.startswith("trimmed_") else c for c in columns]
+            self.joined[columns] = (f"{self.prefix}j{len(self.joined)}", f"lower(concat({', '.join(shown)}))")
+        return F.col(self.joined[columns][0]) == "".join(v for _, v in rule).lower()
+
+    def onto(self, df: DataFrame) -> DataFrame:
+        """The looks as columns, in three projections, each of which reads the one before."""
+        for made in (self.raws, self.texts, self.joined):
+            df = df.selectExpr("*", *(f"{sql} AS {name}" for name, sql in made.values()))
+        return df
 
 
-def classify(df: DataFrame, catalog: Catalog) -> DataFrame:
+def classify(df: DataFrame, catalog: Catalog, dialect: str = "mainframe") -> DataFrame:
     """All records with ``rec_type`` and ``rec_variant``; NULL where no type takes them.
 
     The first matching rule in catalog order wins. An exclude rule then rejects the
     records it matches, whichever type it is listed under, if the record's own layout
-    has the rule's fields.
+    has the rule's fields; its fields are read only in records of that type.
     """
-    looks = _Looks()
+    looks, later = _Looks("_in_", dialect), _Looks("_ex_", dialect)
     named = [(t.name, variant, looks.hit(t, rule)) for t in catalog.types for variant, rule in t.include]
     default = next((t.name for t in catalog.types if not t.include), None)
     unwanted = [
-        (F.col("rec_type") == t.name) & F.coalesce(looks.hit(t, rule), F.lit(False))
+        F.coalesce(later.hit(t, rule, t.name), F.lit(False))
         for t in catalog.types
         for other in catalog.types
         for _, rule in other.exclude
         if all(t.layout.has(name) for name, _ in rule)
     ]
     with java_charsets(df.sparkSession):
-        looked = df.selectExpr("*", *(f"{sql} AS {name}" for name, sql in looks.columns.values()))
-        typed = looked.withColumns(
-            {
-                "rec_type": _first([(hit, name) for name, _, hit in named], default),
-                "rec_variant": _first([(hit, variant) for _, variant, hit in named], default),
-            }
+        typed = looks.onto(df).select(
+            *df.columns,
+            _first([(hit, name) for name, _, hit in named], default).alias("rec_type"),
+            _first([(hit, variant) for _, variant, hit in named], default).alias("rec_variant"),
         )
         if unwanted:
-            typed = typed.withColumn("_dropped", reduce(lambda a, b: a | b, unwanted)).withColumns(
+            typed = later.onto(typed).withColumn("_dropped", reduce(lambda a, b: a | b, unwanted)).withColumns(
                 {c: F.when(F.col("_dropped"), None).otherwise(F.col(c)) for c in ("rec_type", "rec_variant")}
             )
         return typed.select(*df.columns, "rec_type", "rec_variant")
 
 
-def route(df: DataFrame, catalog: Catalog) -> DataFrame:
+def route(df: DataFrame, catalog: Catalog, dialect: str = "mainframe") -> DataFrame:
     """Records some type takes, with ``rec_type`` and ``rec_variant``."""
-    return classify(df, catalog).filter(F.col("rec_type").isNotNull())
+    return classify(df, catalog, dialect).filter(F.col("rec_type").isNotNull())
 
 
-def unrouted(df: DataFrame, catalog: Catalog) -> DataFrame:
+def unrouted(df: DataFrame, catalog: Catalog, dialect: str = "mainframe") -> DataFrame:
     """Records no type takes, or an exclude rule rejects."""
-    return classify(df, catalog).filter(F.col("rec_type").isNull()).drop("rec_type", "rec_variant")
+    return classify(df, catalog, dialect).filter(F.col("rec_type").isNull()).drop("rec_type", "rec_variant")
 
 
 def decode_type(routed: DataFrame, catalog: Catalog, name: str, mode: str = "text", **options) -> DataFrame:
@@ -170,5 +197,32 @@ def decode_type(routed: DataFrame, catalog: Catalog, name: str, mode: str = "tex
 
 
 def decode_types(routed: DataFrame, catalog: Catalog, mode: str = "text", **options) -> dict[str, DataFrame]:
-    """One lazy DataFrame per record type."""
+    """One lazy DataFrame per record type, each a scan of its own when it is run.
+
+    Where several types are wanted, :func:`decode_routed` gives all of them in one scan.
+    """
     return {t.name: decode_type(routed, catalog, t.name, mode, **options) for t in catalog.types}
+
+
+def decode_routed(routed: DataFrame, catalog: Catalog, mode: str = "flat", *, keep: Sequence[str] = (), split: str = "nosplit", **options) -> DataFrame:
+    """Every record decoded by its own type, in one scan: ``keep``, ``rec_type`` and a struct
+    column per type, named after it, that is NULL in records of other types.
+
+    In ``text`` and ``flat`` mode a struct has a field per elementary field; in ``typed`` mode
+    it is nested and ends in ``_bad_fields``.
+    """
+    kept = [k for k in keep if k != "rec_type"]
+    out = routed.select(*routed.columns)
+    names = {t.name: f"_type{i}" for i, t in enumerate(catalog.types)}
+    for t in catalog.types:
+        own = F.col("rec_type") == t.name
+        # the type's decode reads its own copy of the record, which is NULL in other records
+        part = out.withColumns({"_rec": F.col("rec"), "rec": F.when(own, F.col("rec")), "_len": F.col("rec_len"), "rec_len": F.when(own, F.col("rec_len"))})
+        carried = [c for c in part.columns if c not in ("rec", "rec_len")]
+        decoded = decode(part, t.layout, mode, keep=carried, split=split, **options)
+        fields = [c for c in decoded.columns if c not in carried]
+        plain = column_names([f.label for f in t.layout.fields(split)]) if mode != "typed" else fields
+        body = F.struct(*(F.col(f"`{c}`").alias(p) for c, p in zip(fields, plain)))
+        back = [F.col(c) for c in carried if c not in ("_rec", "_len")]
+        out = decoded.select(*back, F.col("_rec").alias("rec"), F.col("_len").alias("rec_len"), F.when(own, body).alias(names[t.name]))
+    return out.select(*kept, "rec_type", *(F.col(n).alias(t) for t, n in names.items()))

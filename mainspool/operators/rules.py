@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mainspool.functions import codec
 from mainspool.layout import TEXT, Layout, LayoutError
-from mainspool.operators.decode import FieldReader
+from mainspool.operators.decode import FieldReader, plus
 from mainspool.session import java_charsets
 
 Alternative = tuple[tuple[str, str], ...]
@@ -108,10 +108,16 @@ def record_length(df: DataFrame, n: int) -> DataFrame:
     return select_records(df, record_length=n)
 
 
-def skip_records(df: DataFrame, layout: Layout, name: str, hex_value: str) -> DataFrame:
-    """Drop records whose field holds exactly these bytes, given in hex."""
-    held = codec.to_hex(FieldReader(layout).raw(layout.find(name)))
-    return df.filter(F.expr(held) != hex_value.lower())
+def skip_records(df: DataFrame, layout: Layout, name: str, hex_value: str, *, unless: Column | None = None) -> DataFrame:
+    """Drop records whose field holds exactly these bytes, given in hex; rows where ``unless`` is
+    true stay whatever they hold."""
+    reader, field = FieldReader(layout), layout.find(name)
+    # a field that reaches past the record's end holds nothing that could be compared
+    inside = f"rec_len >= {plus(reader.position(field.offset), field.size)}"
+    held = f"CASE WHEN {inside} THEN {codec.to_hex(reader.raw(field))} ELSE '' END"
+    with java_charsets(df.sparkSession):
+        differs = F.expr(held) != hex_value.lower()
+        return df.filter(differs if unless is None else unless | differs)
 
 
 def drop_header_only(df: DataFrame, header_len: int) -> DataFrame:

@@ -37,6 +37,10 @@ def _read_numbers(data: np.ndarray, at: np.ndarray, kind: str, size: int, signed
         ok &= sign > 9
     else:
         digits, sign = low, high[:, -1] if signed else np.zeros(len(at), dtype=np.int64)
+        # leading blanks and low-values are zeros; behind a digit, or alone, they are no number
+        unset = (raw == 0x40) | (raw == 0)
+        begun = np.logical_or.accumulate(~unset, axis=1)
+        ok &= begun[:, -1] & ~(unset & begun).any(axis=1)
     ok &= (digits <= 9).all(axis=1)
     value = np.zeros(len(at), dtype=np.int64)
     for k in range(digits.shape[1]):
@@ -127,8 +131,23 @@ def walk_segments(
     length_offset: int = 0,
     skip_marker: str | None = None,
 ) -> DataFrame:
-    """Add ``_walk``: where each record's segments start, their strides, and the first
-    error, which ends a record's walk."""
+    """Add ``_walk`` to records longer than the header: where their segments start, the
+    strides, and the first error, which ends a record's walk."""
+    longer = df.filter(F.col("rec_len") > header_len)
+    return _walked(
+        longer, header_len, segment_layout, length_field, length_offset=length_offset, skip_marker=skip_marker
+    )
+
+
+def _walked(
+    df: DataFrame,
+    header_len: int,
+    segment_layout: Layout,
+    length_field: str,
+    *,
+    length_offset: int = 0,
+    skip_marker: str | None = None,
+) -> DataFrame:
     field = segment_layout.find(length_field)
     if field.kind == "text" or field.scale or field.offset.terms:
         raise LayoutError(f"{length_field} must be a whole number at a fixed position")
@@ -139,7 +158,7 @@ def walk_segments(
     walk = _walker(header_len, prefix_len, field, length_offset, marker)
     walk.__annotations__ = {"records": pa.Array, "return": pa.Array}
     udf = F.arrow_udf(walk, WALK_DDL)
-    return df.filter(F.col("rec_len") > header_len).withColumn("_walk", udf("rec"))
+    return df.withColumn("_walk", udf("rec"))
 
 
 def cut(rec: Column, header_len: int, start: Column, stride: Column) -> Column:
@@ -147,15 +166,46 @@ def cut(rec: Column, header_len: int, start: Column, stride: Column) -> Column:
     return F.concat(F.substring(rec, 1, header_len), F.substring(rec, start + 1, stride - 1))
 
 
-def split_segments(
-    df: DataFrame,
-    header_len: int,
-    segment_layout: Layout,
-    length_field: str,
-    *,
-    length_offset: int = 0,
-    skip_marker: str | None = None,
-) -> DataFrame:
+_STEP = "struct<starts: int, strides: int, error: string, error_at: int>"
+
+
+def split_tagged(df: DataFrame, header_len: int, segment_layout: Layout, length_field: str, **options) -> DataFrame:
+    """``(file, rec_no, seg_no, rec_len, rec, error, error_at, rec_hex)``: segments and rejects
+    of one walk. A segment has no ``error``; a reject has its record in hex instead of a segment.
+
+    A row of ``df`` that already carries an ``error`` (a file given up by the scan) is passed on
+    as a reject.
+    """
+    if "error" not in df.columns:
+        df = df.withColumn("error", F.lit(None).cast("string"))
+    corrupt, short = F.col("error").isNotNull(), F.col("rec_len") <= header_len
+    known = F.when(corrupt, F.col("error")).when(short, F.lit("no segment behind the header"))
+    known_at = F.when(~corrupt & short, F.col("rec_len") + 1)
+    walked = _walked(df, header_len, segment_layout, length_field, **options)
+    none = F.lit(None)
+    step = lambda *of: F.struct(*(c.alias(n) for c, n in zip(of, ("starts", "strides", "error", "error_at")))).cast(_STEP)
+    wrong = F.coalesce(known, F.col("_walk.error"))
+    at = F.when(known.isNotNull(), known_at).otherwise(F.col("_walk.error_at"))
+    steps = F.transform(F.arrays_zip("_walk.starts", "_walk.strides"), lambda s: step(s["starts"], s["strides"], none, none))
+    steps = F.when(known.isNotNull(), F.array().cast(f"array<{_STEP}>")).otherwise(steps)
+    rejected = F.when(wrong.isNotNull(), F.array(step(none, none, wrong, at))).otherwise(F.array().cast(f"array<{_STEP}>"))
+    each = walked.select("file", "rec_no", "rec_len", "rec", F.posexplode(F.concat(steps, rejected)).alias("_n", "_s"))
+    good = F.col("_s.error").isNull()
+    cuts = each.select(
+        "file",
+        "rec_no",
+        F.when(good, F.col("_n") + 1).alias("seg_no"),
+        F.col("rec_len").alias("_whole"),
+        F.when(good, cut(F.col("rec"), header_len, F.col("_s.starts"), F.col("_s.strides"))).alias("_cut"),
+        F.col("_s.error").alias("error"),
+        F.col("_s.error_at").alias("error_at"),
+        F.when(~good, F.expr(codec.to_hex("rec"))).alias("rec_hex"),
+    )
+    length = F.when(F.col("error").isNull(), F.octet_length("_cut")).otherwise(F.col("_whole"))
+    return cuts.select("file", "rec_no", "seg_no", length.alias("rec_len"), F.col("_cut").alias("rec"), "error", "error_at", "rec_hex")
+
+
+def split_segments(df: DataFrame, header_len: int, segment_layout: Layout, length_field: str, **options) -> DataFrame:
     """``(file, rec_no, seg_no, rec_len, rec)``: one record per segment, behind the header.
 
     ``length_field`` names the segment's length in ``segment_layout``, the segment's
@@ -164,9 +214,7 @@ def split_segments(
     length. Segments after an error are left out; :func:`split_rejects` lists them.
     Records no longer than the header hold no segment.
     """
-    walked = walk_segments(
-        df, header_len, segment_layout, length_field, length_offset=length_offset, skip_marker=skip_marker
-    )
+    walked = walk_segments(df, header_len, segment_layout, length_field, **options)
     each = walked.select(
         "file", "rec_no", "rec", F.posexplode(F.arrays_zip("_walk.starts", "_walk.strides")).alias("_n", "_s")
     )
@@ -179,28 +227,13 @@ def split_segments(
     return cuts.select("file", "rec_no", "seg_no", F.octet_length("rec").alias("rec_len"), "rec")
 
 
-def split_rejects(
-    df: DataFrame,
-    header_len: int,
-    segment_layout: Layout,
-    length_field: str,
-    *,
-    length_offset: int = 0,
-    skip_marker: str | None = None,
-) -> DataFrame:
+def split_rejects(df: DataFrame, header_len: int, segment_layout: Layout, length_field: str, **options) -> DataFrame:
     """``(file, rec_no, rec_len, error, error_at, rec_hex)``: records whose walk ended in an
     error, and records that hold no segment. ``error_at`` counts bytes from 1."""
-    walked = walk_segments(
-        df, header_len, segment_layout, length_field, length_offset=length_offset, skip_marker=skip_marker
-    )
-    shared = ("file", "rec_no", "rec_len")
-    broken = walked.filter(F.col("_walk.error").isNotNull()).select(
-        *shared, "_walk.error", "_walk.error_at", F.expr(codec.to_hex("rec")).alias("rec_hex")
-    )
-    short = df.filter(F.col("rec_len") <= header_len).select(
-        *shared,
-        F.lit("no segment behind the header").alias("error"),
-        (F.col("rec_len") + 1).alias("error_at"),
-        F.expr(codec.to_hex("rec")).alias("rec_hex"),
-    )
-    return broken.unionByName(short)
+    tagged = split_tagged(df, header_len, segment_layout, length_field, **options)
+    return rejects_of(tagged)
+
+
+def rejects_of(tagged: DataFrame) -> DataFrame:
+    """The rejects among the rows of :func:`split_tagged`."""
+    return tagged.filter(F.col("error").isNotNull()).select("file", "rec_no", "rec_len", "error", "error_at", "rec_hex")

@@ -27,6 +27,9 @@ from mainspool.sources.variable import read_vb
 from mainspool.testsupport import fixtures as fx
 from mainspool.testsupport import layouts as lay
 
+# Ranges small enough that test files are cut and indexed as large ones are.
+CHUNK = 1 << 18
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -56,7 +59,7 @@ def big(name: str, as_: str | None = None) -> Column:
 # customer records: up to six orders each, all orders; customers without orders once
 CUSTOMER_SQL = """
 WITH ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 64, o_orderkey) - 1 AS rn FROM orders
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS rn FROM orders
 ), placed AS (
   SELECT *, rn // 6 AS block, rn % 6 AS pos FROM ranked
 ), sized AS (
@@ -70,7 +73,7 @@ WITH ranked AS (
 # lineitems in composite records of up to 100
 LINES_SQL = """
 WITH ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey % 64, l_linenumber, l_partkey, l_suppkey,
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey // 4096, l_linenumber, l_partkey, l_suppkey,
     l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS rn FROM lineitem
 ), lines AS (
   SELECT *, rn // 100 AS block, rn % 100 AS pos, CASE WHEN l_linestatus = 'F' THEN 56 ELSE 46 END AS stride
@@ -106,7 +109,7 @@ def clean_sql(text: str) -> str:
     CAST(56 + 45 * n AS BIGINT) AS rec_len FROM records"""
 )
 def scan_vb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = read_vb(spark, fx.customers(spark, sf_dir))
+    records = read_vb(spark, fx.customers(spark, sf_dir), chunk_bytes=CHUNK)
     decoded = d.decode_flat(records, lay.ACCOUNT, keep=("rec_len",))
     return decoded.select(
         big("ACCT_KEY", "acct_key"),
@@ -133,9 +136,11 @@ def scan_multi_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_vb(spark, both).agg(F.count("*").alias("records"), F.sum("rec_len").cast("bigint").alias("bytes"))
 
 
-@query("SELECT CAST(sum(47 + 4) AS BIGINT) AS bytes FROM lineitem")
+@query("SELECT CAST(count(*) * (47 + 4) AS BIGINT) AS bytes, TRUE AS is_part FROM lineitem")
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_files(spark, fx.sales_vb(spark, sf_dir)).agg(F.sum("length").alias("bytes"))
+    """A row per file with its length: the lengths add up to the records written."""
+    files = list_files(spark, fx.sales_vb(spark, sf_dir)).filter("length > 0")
+    return files.agg(F.sum("length").alias("bytes"), F.every(F.expr("path LIKE '%/part-%.vb' AND length % 51 = 0")).alias("is_part"))
 
 
 @query(CUSTOMER_SQL + "SELECT CAST(56 + 45 * n AS BIGINT) AS rec_len, count(*) AS records FROM records GROUP BY 1")
@@ -150,7 +155,7 @@ def record_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def record_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record numbers run from 1 without gaps in every file, however it is cut up to read it."""
-    records = read_vb(spark, fx.sales_vb(spark, sf_dir), chunk_bytes=1 << 18)
+    records = read_vb(spark, fx.sales_vb(spark, sf_dir), chunk_bytes=CHUNK)
     each = records.groupBy("file").agg(
         F.count("*").alias("n"), F.min("rec_no").alias("lo"), F.max("rec_no").alias("hi"), F.sum("rec_no").alias("total")
     )
@@ -539,14 +544,16 @@ ROUTED_SQL = """SELECT 'customer' AS rec_type, c_custkey AS key, c_name AS label
   UNION ALL SELECT 'part', p_partkey, p_brand, p_size FROM part{parts}"""
 
 
+SHAPES = {
+    "customer": ("CUST_KEY", "CUST_NAME", "CUST_BALANCE"),
+    "order": ("ORDER_KEY", "ORDER_PRIORITY", "ORDER_PRICE"),
+    "part": ("PART_KEY", "PART_BRAND", "PART_SIZE"),
+}
+
+
 def _one_table(parts: dict[str, DataFrame]) -> DataFrame:
-    shapes = {
-        "customer": ("CUST_KEY", "CUST_NAME", "CUST_BALANCE"),
-        "order": ("ORDER_KEY", "ORDER_PRIORITY", "ORDER_PRICE"),
-        "part": ("PART_KEY", "PART_BRAND", "PART_SIZE"),
-    }
     out = None
-    for name, (key, label, amount) in shapes.items():
+    for name, (key, label, amount) in SHAPES.items():
         shaped = parts[name].select(
             F.lit(name).alias("rec_type"), big(key, "key"), F.rtrim(label).alias("label"), num(amount, "amount")
         )
@@ -556,9 +563,16 @@ def _one_table(parts: dict[str, DataFrame]) -> DataFrame:
 
 @query(ROUTED_SQL.format(orders="", parts=""))
 def route_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All types from one scan."""
     catalog = lay.mixed_catalog(excludes=False)
-    routed = r.route(read_vb(spark, fx.mixed(spark, sf_dir)), catalog)
-    return _one_table(r.decode_types(routed, catalog, "flat"))
+    routed = r.route(read_vb(spark, fx.mixed(spark, sf_dir), chunk_bytes=CHUNK), catalog)
+    both = r.decode_routed(routed, catalog, "flat")
+    return both.select(
+        "rec_type",
+        F.coalesce(*(big(f"{t}.{key}") for t, (key, _, _) in SHAPES.items())).alias("key"),
+        F.coalesce(*(F.rtrim(f"{t}.{label}") for t, (_, label, _) in SHAPES.items())).alias("label"),
+        F.coalesce(*(F.col(f"{t}.{amount}").cast("double") for t, (_, _, amount) in SHAPES.items())).alias("amount"),
+    )
 
 
 @query(ROUTED_SQL.format(orders=" WHERE o_orderpriority <> '5-LOW'", parts=" WHERE p_brand <> 'Brand#13'"))
@@ -597,7 +611,7 @@ def _lines(segments: DataFrame, *more: str) -> DataFrame:
 
 @query(LINES_SQL + f"SELECT {LINE_FIELDS_SQL}, CAST(40 + stride - 1 AS BIGINT) AS rec_len FROM lines")
 def split_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = read_vb(spark, fx.composite(spark, sf_dir))
+    records = read_vb(spark, fx.composite(spark, sf_dir), chunk_bytes=CHUNK)
     return _lines(s.split_segments(records, lay.HEADER_LEN, lay.PREFIX, "LINE-BYTES"), "rec_len")
 
 
@@ -740,7 +754,7 @@ def sink_by_type_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "by_type")
     routed = r.route(read_vb(spark, fx.mixed(spark, sf_dir)), catalog)
     folders = tables.write_by_type(routed, catalog, out, "parquet", mode="flat")
-    return _one_table({name: spark.read.parquet(folder) for name, folder in folders.items()})
+    return _one_table({name: tables.read_type(spark, folder, name) for name, folder in folders.items()})
 
 
 @query(LINES_SQL + f"SELECT {LINE_FIELDS_SQL} FROM lines WHERE o_orderstatus <> 'P'")

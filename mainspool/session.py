@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -18,6 +19,9 @@ _METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 _METHOD_LIMIT_DEFAULT = "65535"
 _JIT_LIMIT = "8000"
 
+# Plans are built by one thread at a time while the charset switch is on.
+_CHARSETS_LOCK = threading.RLock()
+
 
 @contextmanager
 def java_charsets(spark: SparkSession) -> Iterator[None]:
@@ -26,12 +30,13 @@ def java_charsets(spark: SparkSession) -> Iterator[None]:
     Spark captures the switch in the expression when a DataFrame is analysed, so
     the session setting is put back on exit and the plans keep working.
     """
-    before = spark.conf.get(_JAVA_CHARSETS, "false")
-    spark.conf.set(_JAVA_CHARSETS, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_JAVA_CHARSETS, before)
+    with _CHARSETS_LOCK:
+        before = spark.conf.get(_JAVA_CHARSETS, "false")
+        spark.conf.set(_JAVA_CHARSETS, "true")
+        try:
+            yield
+        finally:
+            spark.conf.set(_JAVA_CHARSETS, before)
 
 
 def limit_generated_methods(spark: SparkSession) -> None:
@@ -48,15 +53,26 @@ def limit_generated_methods(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, laptops) is a local one made.
+    Only a local session, where executors and driver share the disk, may name none and
+    gets one made; elsewhere that is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="mainspool-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
-    return named.rstrip("/")
+    return qualified(spark, named.rstrip("/"))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme and host that Spark resolves it against, for readers and writers
+    in tasks, which know no default file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(hadoop).toString()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

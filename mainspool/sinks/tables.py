@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from mainspool.functions import codec
 from mainspool.layout import Layout
 from mainspool.operators.decode import FieldReader, decode_text, struct
-from mainspool.operators.route import Catalog, decode_type
-from mainspool.session import java_charsets, limit_generated_methods, scratch_path
-from mainspool.sinks.vb import filesystem
+from mainspool.operators.route import Catalog, decode_routed
+from mainspool.session import java_charsets, limit_generated_methods
 
 FORMATS = ("tsv", "orc", "parquet")
 
@@ -90,14 +89,16 @@ def write(
     return target
 
 
-def tsv_by_type(routed: DataFrame, catalog: Catalog, *, trailing_tab: bool = True) -> DataFrame:
+def tsv_by_type(
+    routed: DataFrame, catalog: Catalog, *, trailing_tab: bool = True, split: str = "nosplit", dialect: str = "mainframe"
+) -> DataFrame:
     """``(rec_type, value)``: every record as a text line in its own type's columns."""
     limit_generated_methods(routed.sparkSession)
     with java_charsets(routed.sparkSession):
         raws, values, lines = [], [], []
         for i, t in enumerate(catalog.types):
-            fields, names = t.layout.fields(), t.layout.columns()
-            reader, own = FieldReader(t.layout), f"rec_type = {codec.literal(t.name)}"
+            fields, names = t.layout.fields(split), t.layout.columns(split)
+            reader, own = FieldReader(t.layout, dialect), f"rec_type = {codec.literal(t.name)}"
             pieces = struct([(n, reader.piece(f)) for f, n in zip(fields, names)])
             texts = struct([(n, reader.as_text(f, f"_{i}.`{n}`")) for f, n in zip(fields, names)])
             raws.append(f"CASE WHEN {own} THEN {pieces} END AS _{i}")
@@ -123,41 +124,52 @@ def write_by_type(
     bare_partition: bool = False,
     append: bool | None = None,
     trailing_tab: bool = True,
+    split: str = "nosplit",
+    dialect: str = "mainframe",
+    tasks_per_type: int | None = None,
 ) -> dict[str, str]:
-    """Write one folder per record type; gives back each type's folder.
-
-    Text goes out in one pass, to ``<path>/rec_type=<type>``. Typed columns differ by
-    type, so each type is a write of its own, to ``<path>/<type>``, as is text with
-    ``bare_partition``. For more than two types the routed records are then first written
-    once, split by type, to the shared scratch folder, so that the input is scanned and
-    classified once.
+    """Write one folder per record type, ``<path>/rec_type=<type>``, in one scan; gives back each
+    type's folder.
+
+    Text lines have the type's own columns. Typed files hold the kept columns and one struct per
+    type, of which only the folder's own is not NULL; :func:`read_type` opens it. A task writes a
+    file for each type it meets; ``tasks_per_type`` instead shuffles the records of each type
+    to so many tasks, for inputs of many more tasks than files wanted. Partition folders
+    come below the type's, bare values above it.
     """
+    if fmt not in FORMATS:
+        raise ValueError(f"fmt must be one of {FORMATS}, not {fmt!r}")
     path = path.rstrip("/")
     values = partition_values({**catalog.partition, **partition_values(partition)}, catalog.load_date, on)
     append = bool(values) if append is None else append
-    if fmt == "tsv" and not bare_partition:
-        lines = tsv_by_type(routed, catalog, trailing_tab=trailing_tab)
-        lines = lines.withColumns({k: F.lit(v) for k, v in values.items()}) if values else lines
-        lines.write.mode("append" if append else "errorifexists").partitionBy("rec_type", *values).text(path)
-        return {t.name: f"{path}/rec_type={t.name}" for t in catalog.types}
-
-    staged = None
-    if len(catalog.types) > 2:
-        staged = scratch_path(routed.sparkSession, "routed")
-        routed = routed.select("file", "rec_no", "rec_len", "rec", "rec_variant", "rec_type")
-        routed.write.partitionBy("rec_type").parquet(staged)
-        routed = routed.sparkSession.read.schema(routed.schema).parquet(staged)
-    mode = mode or ("text" if fmt == "tsv" else "typed")
-    folders = {}
-    for t in catalog.types:
-        decoded = decode_type(routed, catalog, t.name, mode, keep=keep)
-        options = {"partition": values, "bare_partition": bare_partition, "append": append, "trailing_tab": trailing_tab}
-        folders[t.name] = f"{path}/{t.name}"
-        write(decoded, folders[t.name], fmt, **options)
-    if staged:
-        system, folder = filesystem(staged)
-        system.delete_dir(folder)
-    return folders
+    if tasks_per_type is not None:
+        salt = F.pmod(F.xxhash64("file", "rec_no"), F.lit(tasks_per_type))
+        routed = routed.repartition(tasks_per_type * len(catalog.types), "rec_type", salt)
+    if fmt == "tsv":
+        rows = tsv_by_type(routed, catalog, trailing_tab=trailing_tab, split=split, dialect=dialect)
+    else:
+        rows = decode_routed(routed, catalog, mode or "typed", keep=keep, split=split)
+    if values and bare_partition:
+        path = "/".join([path, *values.values()])
+    elif values:
+        rows = rows.withColumns({k: F.lit(v) for k, v in values.items()})
+    by = ["rec_type", *([] if bare_partition else values)]
+    out = rows.write.mode("append" if append else "errorifexists").partitionBy(*by)
+    if fmt == "tsv":
+        out.text(path)
+    else:
+        out.format(fmt).save(path)
+    return {t.name: f"{path}/rec_type={t.name}" for t in catalog.types}
+
+
+def read_type(spark: SparkSession, folder: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """The records of one type that :func:`write_by_type` wrote, in flat columns: the kept ones,
+    the type's own, the partition's."""
+    rows = spark.read.format(fmt).load(folder)
+    own = {f.name for f in rows.schema.fields if f.dataType.typeName() == "struct"}
+    before = rows.columns[: rows.columns.index(name)]
+    after = rows.columns[rows.columns.index(name) :]
+    return rows.select(*(c for c in before if c not in own), f"`{name}`.*", *(c for c in after if c not in own))
 
 
 def table_name(app: str, table: str | None = None, include: str | None = None) -> str:
@@ -208,6 +220,15 @@ def register_table(spark: SparkSession, name: str, layout: Layout, path: str, fm
     return spark.table(name)
 
 
+def register_type(spark: SparkSession, name: str, folder: str, rec_type: str, fmt: str) -> DataFrame:
+    """A view of one type's typed output by name, in flat columns."""
+    rows = read_type(spark, folder, rec_type, fmt)
+    struct_fields = spark.read.format(fmt).load(folder).schema[rec_type].dataType.names
+    columns = ", ".join(f"`{rec_type}`.`{c}` AS `{c}`" if c in struct_fields else f"`{c}`" for c in rows.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {fmt}.`{folder}`")
+    return spark.table(name)
+
+
 def write_tsv(records: DataFrame, layout: Layout, path: str, **options) -> str:
     """Decode records as text and write tab-separated files."""
     return write(decode_text(records, layout, keep=()), path, "tsv", **options)

@@ -1,40 +1,32 @@
-"""Variable-length record files as a Spark data source (write side).
+"""Variable-length record files.
 
 Each task appends its records to part files, one run of equal ``file`` values at a
-time: ``<path>/<input name>/part-<first record number>-<task>.vb``. Nothing is
+time: ``<path>/<input name>/part-<first record number>-<task>-<n>.vb``. Records are not
 shuffled, a large input file is written by many tasks, and part names sort in record
 order. Concatenating the parts of one folder gives the file as one piece.
+
+Parts are written below a pending folder of the write; the list of those that tasks
+finished, a row each, is checkpointed, and tasks move them into place. A failing write
+takes back what it moved and removes the pending folder; ``_SUCCESS`` is written last.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
 
+from mainspool.session import qualified, shared_dir
 from mainspool.sources.files import list_files
-from mainspool.sources.framing import DESCRIPTOR, LONGEST
-
-FORMAT = "mainspool_vb"
-
-
-def filesystem(path: str):
-    """(filesystem, path in it) for a local path or a URI."""
-    from pyarrow import fs
+from mainspool.sources.framing import DESCRIPTOR, LONGEST, filesystem
 
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+_PART_DDL = "pending string, final string, source string, folder string"
+_REJECT_DDL = "rejected boolean, file string, rec_no bigint, rec_len int, error string, error_at int, rec_hex string"
+_REJECT_COLUMNS = ("file", "rec_no", "rec_len", "error", "error_at", "rec_hex")
 
 
 def framed(records: pa.Array, descriptors: bool) -> bytes:
@@ -58,100 +50,134 @@ def framed(records: pa.Array, descriptors: bool) -> bytes:
     return out.tobytes()
 
 
-@dataclass
-class Written(WriterCommitMessage):
-    """Part files of one task: (temporary path, final path)."""
+def _folder(file: str) -> str:
+    """The name an input's parts are put under."""
+    return file.rstrip("/").rsplit("/", 1)[-1].replace("'", "")
 
-    parts: list[tuple[str, str]]
 
+def _writer(root: str, pending: str, descriptors: bool, tagged: bool):
+    """Writes records to pending parts; gives a row per part, and the rejects as they come."""
 
-class VbWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, descriptors: bool):
-        self.path = path.rstrip("/")
-        self.descriptors = descriptors
-        self.pending = f"{self.path}/_pending-{uuid.uuid4().hex}"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        system, root = filesystem(self.path)
-        _, pending = filesystem(self.pending)
+        system, base = filesystem(pending)
         context = TaskContext.get()
-        task, attempt = context.partitionId(), context.taskAttemptId()
-        parts: list[tuple[str, str]] = []
+        task, folder = context.partitionId(), f"{base}/{context.taskAttemptId()}"
+        parts: list[tuple[str, str, str, str]] = []
         name = stream = None
+
+        def column(batch: pa.RecordBatch, which: str) -> pa.Array:
+            return batch.column(batch.schema.get_field_index(which))
+
+        def row(n: int, **columns) -> pa.RecordBatch:
+            names = [*("pending", "final", "source", "folder"), *(("rejected", *_REJECT_COLUMNS) if tagged else ())]
+            return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, _TYPES[c])) for c in names], names=names)
+
         try:
-            for batch in iterator:
+            for batch in batches:
+                if tagged:
+                    bad = pa.compute.is_valid(column(batch, "error"))
+                    rejects = batch.filter(bad)
+                    if rejects.num_rows:
+                        yield row(rejects.num_rows, rejected=pa.array([True] * rejects.num_rows), **{c: column(rejects, c) for c in _REJECT_COLUMNS})
+                    batch = batch.filter(pa.compute.invert(bad))
                 if not batch.num_rows:
                     continue
-                files = batch.column(batch.schema.get_field_index("file"))
-                numbers = batch.column(batch.schema.get_field_index("rec_no"))
-                records = batch.column(batch.schema.get_field_index("rec"))
+                files, numbers, records = (column(batch, c) for c in ("file", "rec_no", "rec"))
                 ends = pa.compute.run_end_encode(files).run_ends.to_pylist()
                 for begin, end in zip([0, *ends[:-1]], ends):
                     if files[begin].as_py() != name or stream is None:
                         if stream is not None:
                             stream.close()
                         name = files[begin].as_py()
-                        folder = name.rstrip("/").rsplit("/", 1)[-1].replace("'", "")
                         part = f"part-{numbers[begin].as_py():020d}-{task:06d}-{len(parts)}.vb"
-                        system.create_dir(f"{pending}/{attempt}")
-                        parts.append((f"{pending}/{attempt}/{len(parts)}", f"{root}/{folder}/{part}"))
+                        system.create_dir(folder)
+                        parts.append((f"{folder}/{len(parts)}", f"{root}/{_folder(name)}/{part}", name, _folder(name)))
                         stream = system.open_output_stream(parts[-1][0])
-                    stream.write(framed(records.slice(begin, end - begin), self.descriptors))
+                    stream.write(framed(records.slice(begin, end - begin), descriptors))
         finally:
             if stream is not None:
                 stream.close()
-        return Written(parts)
-
-    def commit(self, messages: list[Written | None]) -> None:
-        system, _ = filesystem(self.path)
-        _, pending = filesystem(self.pending)
-        parts = [p for m in messages if m is not None for p in m.parts]
-        _, root = filesystem(self.path)
-        for folder in {root, *(final.rsplit("/", 1)[0] for _, final in parts)}:
-            system.create_dir(folder)
-        with ThreadPoolExecutor(32) as pool:
-            list(pool.map(lambda p: system.move(*p), parts))
         if parts:
-            system.delete_dir(pending)
+            columns = dict(zip(("pending", "final", "source", "folder"), map(list, zip(*parts))))
+            yield row(len(parts), **{c: pa.array(v, pa.string()) for c, v in columns.items()})
 
-    def abort(self, messages: list[Written | None]) -> None:
-        system, pending = filesystem(self.pending)
-        from pyarrow import fs
-
-        if system.get_file_info(pending).type != fs.FileType.NotFound:
-            system.delete_dir(pending)
+    return run
 
 
-class VbDataSource(DataSource):
-    """``df.write.format("mainspool_vb")`` for rows of (file, rec_no, rec)."""
+_TYPES = {
+    **dict.fromkeys(("pending", "final", "source", "folder", "file", "error", "rec_hex"), pa.string()),
+    "rejected": pa.bool_(),
+    "rec_no": pa.int64(),
+    "rec_len": pa.int32(),
+    "error_at": pa.int32(),
+}
 
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
 
-    def writer(self, schema: StructType, overwrite: bool) -> VbWriter:
-        if overwrite:
-            raise ValueError("record files are never overwritten")
-        return VbWriter(self.options["path"], self.options.get("descriptors", "true") == "true")
+def _mover(root: str, back: bool):
+    """Moves parts into place, or takes away those already there. Safe to run again."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
 
-def write_vb(df: DataFrame, path: str, *, descriptors: bool = True) -> None:
+        system, _ = filesystem(root)
+        done = 0
+        for batch in batches:
+            for r in batch.to_pylist():
+                there = system.get_file_info([r["pending"], r["final"]])
+                found, moved = (i.type != fs.FileType.NotFound for i in there)
+                if back and moved:
+                    system.delete_file(r["final"])
+                elif not back and found:
+                    system.create_dir(r["final"].rsplit("/", 1)[0])
+                    system.move(r["pending"], r["final"])
+                elif not back and not moved:
+                    raise FileNotFoundError(r["pending"])
+                done += 1
+        yield pa.RecordBatch.from_arrays([pa.array([done])], names=["n"])
+
+    return run
+
+
+def write_vb(df: DataFrame, path: str, *, descriptors: bool = True) -> DataFrame | None:
     """Write records to variable-length files, one folder per input file; never overwrites.
 
-    With ``descriptors=False`` records are laid end to end, as in fixed-length files.
+    With ``descriptors=False`` records are laid end to end, as in fixed-length files. Two
+    input files of one base name would share a folder and are refused. Rows that carry an
+    ``error`` (:func:`mainspool.operators.segments.split_tagged`) are not written but given
+    back, from the same scan; without that column there is nothing to give back.
     """
-    spark = df.sparkSession
-    system, root = filesystem(path)
     from pyarrow import fs
 
+    spark = df.sparkSession
+    path = qualified(spark, path)
+    system, root = filesystem(path)
     if system.get_file_info(root).type != fs.FileType.NotFound and list_files(spark, path).limit(1).count():
         raise FileExistsError(f"{path} already holds files")
-    spark.dataSource.register(VbDataSource)
-    (
-        df.select("file", "rec_no", "rec")
-        .write.format(FORMAT)
-        .option("path", path)
-        .option("descriptors", str(descriptors).lower())
-        .mode("append")
-        .save()
-    )
+    shared_dir(spark)
+    tagged = "error" in df.columns
+    pending = f"{path}/_pending-{uuid.uuid4().hex}"
+    columns = ["file", "rec_no", "rec", *(("rec_len", "error", "error_at", "rec_hex") if tagged else ())]
+    ddl = f"{_PART_DDL}, {_REJECT_DDL}" if tagged else _PART_DDL
+    moved = None
+    try:
+        written = df.select(*columns).mapInArrow(_writer(root, pending, descriptors, tagged), ddl).checkpoint()
+        parts = written.filter("pending IS NOT NULL").select("pending", "final", "source", "folder")
+        mixed = parts.groupBy("folder").agg(F.min("source").alias("a"), F.max("source").alias("b")).filter("a <> b").first()
+        if mixed is not None:
+            raise ValueError(f"{mixed['a']} and {mixed['b']} would both be written to {mixed['folder']}")
+        moved = parts.repartition("pending").sortWithinPartitions("pending")
+        moved.mapInArrow(_mover(root, back=False), "n bigint").agg(F.sum("n")).first()
+        system.create_dir(root)
+        with system.open_output_stream(f"{root}/_SUCCESS"):
+            pass
+    except BaseException:
+        if moved is not None:
+            moved.mapInArrow(_mover(root, back=True), "n bigint").agg(F.sum("n")).first()
+        raise
+    finally:
+        _, folder = filesystem(pending)
+        if system.get_file_info(folder).type != fs.FileType.NotFound:
+            system.delete_dir(folder)
+    return written.filter("rejected").select(*_REJECT_COLUMNS) if tagged else None

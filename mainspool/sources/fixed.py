@@ -16,6 +16,12 @@ CHUNK_BYTES = 64 << 20
 RECORD_DDL = "file string, rec_no bigint, rec_len int, rec binary, error string"
 
 
+def spread(ranges: DataFrame, by: str, tasks: int) -> DataFrame:
+    """Byte ranges dealt to tasks by range of their order, so that tasks get equal numbers of them;
+    rows dealt round-robin from many small partitions would start in the same few tasks."""
+    return ranges.repartitionByRange(tasks, "file", by)
+
+
 def read_fb(
     spark: SparkSession, paths: str | Sequence[str], record_len: int, *, chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
@@ -41,5 +47,5 @@ def read_fb(
             for r in batch.to_pylist():
                 yield from fixed_records(r["file"], r["start"], r["end"], record_len)
 
-    records = ranges.repartition(tasks_for(total, step)).mapInArrow(read, RECORD_DDL)
+    records = spread(ranges, "start", tasks_for(total, step)).mapInArrow(read, RECORD_DDL)
     return records.drop("error")

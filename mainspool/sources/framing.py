@@ -45,15 +45,26 @@ CHAIN_SCHEMA = pa.schema(
     ]
 )
 
-def open_file(path: str):
-    """A seekable binary file for a path as Spark's file listing prints it."""
-    if path.startswith("file:"):
-        return open("/" + path[5:].lstrip("/"), "rb")
-    if "://" not in path:
-        return open(path, "rb")
+def filesystem(path: str):
+    """(filesystem, path in it) for a qualified path as Spark prints it; a path without a scheme
+    is local. The path may hold any characters: only scheme and host are read as a URI."""
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    scheme, _, rest = path.partition("://")
+    if not rest:
+        return fs.LocalFileSystem(), path
+    host, _, inner = rest.partition("/")
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    system, root = fs.FileSystem.from_uri(f"{scheme}://{host}/")
+    # object stores count the bucket into the path
+    return system, f"{root.rstrip('/')}/{inner}"
+
+
+def open_file(path: str):
+    """A seekable binary file for a path as Spark's file listing prints it."""
+    system, inner = filesystem(path)
     return system.open_input_file(inner)
 
 

@@ -1,97 +1,81 @@
 """Variable-length records, read in parallel inside a file.
 
 Record starts are known only by following descriptors from the start of the file.
-To cut one large file into ranges anyway, every chunk is scanned at once, from each
-plausible entry position (:func:`mainspool.sources.framing.chunk_chains`); joining
-the chunks' entries and exits then gives the one true entry of each chunk and the
-number of its first record. That index is small, one row a chunk, and is
-checkpointed, so the scan for it runs once. Files of one chunk need no index.
+To cut one large file into ranges anyway, every chunk but a file's last is scanned at
+once, from each plausible entry position (:func:`mainspool.sources.framing.chunk_chains`).
+That gives hops, from an entry to the first start behind its chunk, and how many records
+lie between. Which entries are true follows from hopping on from byte 0, by pointer
+doubling: joins that each double the reach, so a file of n chunks takes log n of them, no
+task ever holds a file's index, and any number of chunks will do. A file of one chunk has no
+hops. The index that results, one row a range, is checkpointed; give it to the readers to scan
+for it once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mainspool.session import shared_dir
 from mainspool.sources.files import list_files, tasks_for, totals
-from mainspool.sources.fixed import CHUNK_BYTES, RECORD_DDL
+from mainspool.sources.fixed import CHUNK_BYTES, RECORD_DDL, spread
 from mainspool.sources.framing import chunk_chains, variable_records
 
-# A larger file gets larger chunks, so a file's index stays a bounded table.
-CHUNKS_PER_FILE = 4096
-
-CHAIN_DDL = (
-    "file string, length bigint, chunk_bytes bigint, chunk bigint,"
-    " entries array<bigint>, exits array<bigint>, records array<bigint>"
-)
-RANGE_DDL = "file string, start bigint, end bigint, length bigint, first_rec_no bigint"
+HOP_DDL = "file string, pos bigint, dest bigint, n bigint"
 
 
 def _scan_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hops of each chunk that stay in the file."""
     for batch in batches:
         for r in batch.to_pylist():
-            yield chunk_chains(r["file"], r["chunk"], r["chunk_bytes"], r["length"])
-
-
-def _true_ranges(chunks: pd.DataFrame) -> pd.DataFrame:
-    """Follow one file's chunks from byte 0: one row in for each chunk, at most one out."""
-    by_number = chunks.set_index("chunk")
-    file, length, size = (chunks[c].iloc[0] for c in ("file", "length", "chunk_bytes"))
-    rows, pos, number = [], 0, 1
-    while pos < length:
-        chunk = pos // size
-        rows.append((file, pos, min((chunk + 1) * size, length), length, number))
-        entries, exits, records = by_number.loc[chunk, ["entries", "exits", "records"]]
-        i = np.searchsorted(entries, pos)
-        if i == len(entries) or entries[i] != pos:
-            break  # corrupt in this chunk: reading the range will say where
-        pos, number = exits[i], number + records[i]
-    return pd.DataFrame(rows, columns=["file", "start", "end", "length", "first_rec_no"])
-
-
-def vb_ranges(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    *,
-    chunk_bytes: int = CHUNK_BYTES,
-    chunks_per_file: int = CHUNKS_PER_FILE,
-) -> DataFrame:
+            row = chunk_chains(r["file"], r["chunk"], r["chunk_bytes"], r["length"])
+            entries, exits, records = (row.column(c).flatten() for c in ("entries", "exits", "records"))
+            hops = pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(r["file"]), len(entries)), entries, exits, records], names=["file", "pos", "dest", "n"])
+            yield hops.filter(pa.compute.less(exits, r["length"]))
+
+
+def _hop_on(reached: DataFrame, hops: DataFrame) -> DataFrame:
+    """Where rows (file, dest, n) get by one hop."""
+    then = hops.select(F.col("file").alias("_f"), F.col("pos").alias("_p"), F.col("dest").alias("_to"), F.col("n").alias("_n"))
+    return reached.join(then, (F.col("file") == F.col("_f")) & (F.col("dest") == F.col("_p")))
+
+
+def vb_ranges(spark: SparkSession, paths: str | Sequence[str], *, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The read index: ``(file, start, end, length, first_rec_no)``, one row a range.
 
     Write it to a table to read the same files again without another index scan.
     """
     files = list_files(spark, paths).filter("length > 0").select(F.col("path").alias("file"), "length")
     total, largest = totals(files)
-    whole = files.filter(F.col("length") <= chunk_bytes).select(
-        "file",
-        F.lit(0).cast("bigint").alias("start"),
-        F.col("length").alias("end"),
-        "length",
-        F.lit(1).cast("bigint").alias("first_rec_no"),
-    )
-    if largest <= chunk_bytes:
-        return whole
-    size = F.greatest(F.lit(chunk_bytes).cast("bigint"), F.ceil(F.col("length") / chunks_per_file)).cast("bigint")
+    size = F.lit(chunk_bytes).cast("bigint")
     chunks = (
-        files.filter(F.col("length") > chunk_bytes)
-        .withColumn("chunk_bytes", size)
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(length - 1) div chunk_bytes"))))
+        files.withColumn("chunk_bytes", size)
+        .withColumn("chunk", F.explode(F.expr("sequence(0L, (length - 1) div chunk_bytes)")))
+        .filter("(chunk + 1) * chunk_bytes < length")
     )
     shared_dir(spark)  # checkpoint() needs the folder set
-    index = (
-        chunks.repartition(tasks_for(total, chunk_bytes))
-        .mapInArrow(_scan_chunks, CHAIN_DDL)
-        .groupBy("file")
-        .applyInPandas(_true_ranges, RANGE_DDL)
-        .checkpoint()
+    hops = spread(chunks, "chunk", tasks_for(total, chunk_bytes)).mapInArrow(_scan_chunks, HOP_DDL)
+    doublings = max(0, -(-largest // chunk_bytes) - 1).bit_length()
+    steps = []
+    for _ in range(doublings):
+        hops = hops.checkpoint()
+        steps.append(hops)
+        hops = _hop_on(hops, hops).select("file", "pos", F.col("_to").alias("dest"), (F.col("n") + F.col("_n")).alias("n"))
+    reached = files.select("file", F.lit(0).cast("bigint").alias("dest"), F.lit(0).cast("bigint").alias("n"))
+    for hops in reversed(steps):
+        onward = _hop_on(reached, hops).select("file", F.col("_to").alias("dest"), (F.col("n") + F.col("_n")).alias("n"))
+        reached = reached.unionByName(onward).checkpoint()
+    ranges = reached.join(files.withColumnRenamed("file", "_f"), F.col("file") == F.col("_f")).select(
+        "file",
+        F.col("dest").alias("start"),
+        F.least(F.expr(f"(dest div {chunk_bytes} + 1) * {chunk_bytes}L"), F.col("length")).alias("end"),
+        "length",
+        (F.col("n") + 1).alias("first_rec_no"),
     )
-    return index.unionByName(whole)
+    return ranges.checkpoint()
 
 
 def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +87,15 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _scan(spark: SparkSession, paths: str | Sequence[str], chunk_bytes: int, index: DataFrame | None) -> DataFrame:
     ranges = vb_ranges(spark, paths, chunk_bytes=chunk_bytes) if index is None else index
     total = ranges.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
-    return ranges.repartition(tasks_for(total, chunk_bytes)).mapInArrow(_read_ranges, RECORD_DDL)
+    return spread(ranges, "start", tasks_for(total, chunk_bytes)).mapInArrow(_read_ranges, RECORD_DDL)
+
+
+def tagged_vb(
+    spark: SparkSession, paths: str | Sequence[str], *, chunk_bytes: int = CHUNK_BYTES, index: DataFrame | None = None
+) -> DataFrame:
+    """Records and rejects of one scan: ``(file, rec_no, rec_len, rec, error)``; a row with an
+    ``error`` says where a corrupt file was given up and holds no record."""
+    return _scan(spark, paths, chunk_bytes, index)
 
 
 def read_vb(

@@ -55,7 +55,7 @@ def customers(spark: SparkSession, sf_dir: str) -> str:
     """Variable-length: one record per customer and up to six of its orders, all orders."""
 
     def build() -> DataFrame:
-        orders = table(spark, sf_dir, "orders").withColumn("salt", F.col("o_orderkey") % 64)
+        orders = table(spark, sf_dir, "orders").withColumn("salt", F.expr("o_orderkey div 65536"))
         ranked = e.rank_in_key(orders, "o_custkey", ["o_orderkey"], "salt")
         one = F.concat(
             e.comp3(F.col("o_totalprice"), 8, 2),
@@ -199,7 +199,8 @@ def mixed(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "mixed", build)
 
 
-# Total order of one order's lineitems; the leading salt keeps ranking parallel.
+# Total order of one order's lineitems; the leading salt keeps ranking parallel, and there are
+# the more of them the more parts there are.
 LINE_ORDER = [
     "l_linenumber",
     "l_partkey",
@@ -238,7 +239,7 @@ def composite(
         if marked:
             with_marker = F.concat(F.unhex(F.lit(MARKER)), e.comp(said, 2).substr(2, 1), e.comp(F.lit(0), 2))
             prefix = F.when(F.col("l_returnflag") == "R", with_marker).otherwise(prefix)
-        lines = table(spark, sf_dir, "lineitem").withColumn("salt", F.col("l_partkey") % 64)
+        lines = table(spark, sf_dir, "lineitem").withColumn("salt", F.expr("l_partkey div 4096"))
         ranked = e.rank_in_key(lines, "l_orderkey", LINE_ORDER, "salt")
         blocks = (
             ranked.withColumn("block", F.expr(f"(rn - 1) div {LINES_PER_RECORD}"))

@@ -22,8 +22,16 @@ VECTORS = [
     ("zoned", 3, 0, True, "F1F2F3", D(123)),
     ("zoned", 3, 0, False, "F1F2C3", D(123)),
     ("zoned", 3, 0, False, "4040F7", D(7)),
-    ("zoned", 3, 0, False, "F74040", D(700)),
-    ("zoned", 3, 0, True, "404040", D(0)),
+    ("zoned", 3, 0, False, "0000F7", D(7)),
+    ("zoned", 4, 0, True, "4000F1D2", D(-12)),
+    ("zoned", 3, 0, False, "F74040", None),
+    ("zoned", 3, 0, False, "F1F240", None),
+    ("zoned", 3, 0, True, "F1F200", None),
+    ("zoned", 3, 0, False, "40F140", None),
+    ("zoned", 3, 0, True, "404040", None),
+    ("zoned", 3, 0, False, "000000", None),
+    ("zoned", 20, 0, False, "40" * 18 + "F1F2", D(12)),
+    ("zoned", 20, 0, False, "F1" * 19 + "40", None),
     ("zoned", 3, 0, False, "F1FAF3", None),
     ("zoned", 3, 0, False, "F14EF3", None),
     ("zoned", 1, 0, True, "D5", D(-5)),

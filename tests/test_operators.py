@@ -121,6 +121,83 @@ def test_variable_group(records, monkeypatch, unrolled):
     assert "T" in got[4]["_bad_fields"]
 
 
+MIXED = Layout.parse(
+    """
+          05 N PIC 9(1).
+          05 T OCCURS 0 TO 3 DEPENDING ON N.
+             10 X PIC X(2).
+             10 Y REDEFINES X PIC 9(2).
+             10 FILLER PIC X(1).
+             10 P PIC S9(3)V99 COMP-3.
+             10 M OCCURS 2.
+                15 Q PIC S9(2)V9.
+                15 FILLER PIC X(1).
+                15 B PIC S9(4) COMP.
+          05 TAIL PIC X(2).
+"""
+)
+
+
+def test_both_decoders_of_repeated_groups_agree(records, monkeypatch):
+    """Written out or by lambda: overlays, fillers, nested groups, scaled, blank and cut values."""
+    rng = random.Random(12)
+    choices = [b"\xf1", b"\xf2", b"\x40", b"\xc3", b"\x00", b"\x12", b"\x3c", b"\xd5"]
+    made = [bytes([0xF0 + rng.choice((0, 1, 2, 3, 4))]) + b"".join(rng.choice(choices) for _ in range(rng.randrange(60))) for _ in range(200)]
+    df = records(*(m.hex() for m in made))
+    got = []
+    for limit in (0, 1 << 30):
+        monkeypatch.setattr(d, "UNROLLED", limit)
+        got.append({x["rec_no"]: x for x in d.decode_typed(df, MIXED, keep=("rec_no",)).collect()})
+    assert len(got[0]) == 200 and got[0] == got[1]
+
+
+def test_repeated_and_reserved_names(records):
+    layout = Layout.parse(
+        """
+          05 G1.
+             10 A PIC X(1).
+          05 G2.
+             10 A PIC 9(1).
+             10 a PIC X(1).
+          05 FILE PIC X(1).
+          05 A-2 PIC X(1).
+          05 FILE PIC X(1).
+"""
+    )
+    df = records(*ebcdic("x1yfzg"))
+    text = d.decode_text(df, layout)
+    assert text.columns == ["file", "rec_no", "A", "A_2", "A_3", "FILE_2", "A_2_2", "FILE_3"]
+    assert tuple(text.first())[2:] == ("x", "1", "y", "f", "z", "g")
+    assert layout.columns() == ["A", "A_2", "A_3", "FILE", "A_2_2", "FILE_2"]
+    flat = d.decode_flat(df, layout, keep=())
+    assert flat.columns == layout.columns() and tuple(flat.first()) == ("x", 1, "y", "f", "z", "g")
+    typed = d.decode_typed(df, layout)
+    assert typed.columns == ["file", "rec_no", "G1", "G2", "FILE_2", "A_2", "FILE_3", "_bad_fields"]
+    assert typed.first()["G2"].asDict() == {"A": 1, "A_2": "y"}
+
+
+def test_unset_numbers(records):
+    df = records("4040f1f1c1", "4040f1404081", "c1c2000082", "c1c2400082", "c1c2f10083")
+    layout = Layout.parse("          05 A PIC X(2).\n          05 N PIC 9(2).\n          05 C PIC X(1).\n")
+    text = {x["rec_no"]: x["N"] for x in d.decode_text(df, layout, keep=("rec_no",)).collect()}
+    assert text == {1: "11", 2: "BAD_FIELD_RECORD", 3: "NULL", 4: "NULL", 5: "BAD_FIELD_RECORD"}
+    typed = {x["rec_no"]: (x["N"], x["_bad_fields"]) for x in d.decode_typed(df, layout, keep=("rec_no",)).collect()}
+    assert typed == {1: (11, []), 2: (None, ["N"]), 3: (None, []), 4: (None, []), 5: (None, ["N"])}
+
+
+def test_skip_behind_a_corrupt_count(records):
+    layout = Layout.parse("          05 N PIC 9(9) COMP.\n          05 T OCCURS 0 TO 3 DEPENDING ON N PIC X(9).\n          05 K PIC X.\n")
+    df = records("ffffffffbf", "00000000bf", "00000000c1")
+    assert numbers(rules.skip_records(df, layout, "K", "bf")) == [1, 3]
+
+
+def test_excluded_fields_are_read_in_their_type_only(records):
+    catalog = r.Catalog.from_json(CATALOG, LAYOUTS)
+    plan = r.classify(records("c1"), catalog)._jdf.queryExecution().optimizedPlan().toString()
+    # four looks: the header and A in either layout for includes, B for the exclude
+    assert plan.count("StringDecode") <= 4
+
+
 def test_variable_group_flat(records):
     df = d.decode_text(records(*ebcdic("1a12zz")), ODO, keep=())
     assert df.columns == ["N", "X_0", "M_0__0", "M_0__1", "X_1", "M_1__0", "M_1__1", "X_2", "M_2__0", "M_2__1", "TAIL"]

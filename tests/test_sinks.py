@@ -91,23 +91,86 @@ def test_by_type(spark, mixed, tmp_path):
         "t3": ["3\tz\t"],
     }
     folders = tables.write_by_type(r.route(mixed, catalog), catalog, f"{tmp_path}/pq", "parquet")
-    assert sorted(tuple(x) for x in spark.read.parquet(folders["t2"]).drop("_bad_fields").collect()) == [("2", 7, "c")]
+    assert sorted(tuple(x) for x in tables.read_type(spark, folders["t2"], "t2").drop("_bad_fields").collect()) == [("2", 7, "c")]
     dated = r.Catalog.from_json({**CATALOG, "appendCurrentDate": True}, LAYOUTS)
     folders = tables.write_by_type(r.route(mixed, dated), dated, f"{tmp_path}/bare", on=DAY, bare_partition=True)
-    assert lines(f"{folders['t1']}/2016/04/05") == ["1\tab\t", "1\tq\t"]
+    assert folders["t1"] == f"{tmp_path}/bare/2016/04/05/rec_type=t1"
+    assert lines(folders["t1"]) == ["1\tab\t", "1\tq\t"]
+
+
+def test_by_type_to_so_many_files(spark, mixed, tmp_path):
+    catalog = r.Catalog.from_json(CATALOG, LAYOUTS)
+    routed = r.route(mixed.repartition(5), catalog)
+    folders = tables.write_by_type(routed, catalog, f"{tmp_path}/few", tasks_per_type=1)
+    assert all(len(glob.glob(f"{f}/part-*")) == 1 for f in folders.values())
+    assert lines(folders["t1"]) == ["1\tab\t", "1\tq\t"]
+
+
+def test_all_types_come_from_one_scan(spark, mixed):
+    catalog = r.Catalog.from_json(CATALOG, LAYOUTS)
+    for mode in ("text", "flat", "typed"):
+        frame = r.decode_routed(r.route(mixed, catalog), catalog, mode, keep=("rec_no",))
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+        got = {x["rec_no"]: (x["rec_type"], [n for n in ("t1", "t2", "t3") if x[n] is not None]) for x in frame.collect()}
+        assert got == {1: ("t1", ["t1"]), 2: ("t2", ["t2"]), 3: ("t3", ["t3"]), 4: ("t1", ["t1"])}
+    assert [tuple(x["t2"])[:3] for x in frame.collect() if x["t2"]] == [("2", 7, "c")]
 
 
 def test_write_vb(spark, mixed, tmp_path):
     out = f"{tmp_path}/vb"
     frame = mixed.coalesce(1).withColumn("file", mixed.file).selectExpr("concat('/in/it''s ', rec_no % 2) file", "rec_no", "rec")
     write_vb(frame.orderBy("file", "rec_no"), out)
-    assert sorted(os.listdir(out)) == ["its 0", "its 1"]
+    assert sorted(x for x in os.listdir(out) if not x.startswith(".")) == ["_SUCCESS", "its 0", "its 1"]
     back = read_vb(spark, out)
     assert sorted(bytes(x["rec"]) for x in back.collect()) == sorted(bytes(x["rec"]) for x in mixed.collect())
     with pytest.raises(FileExistsError):
         write_vb(frame, out)
 
 
+def test_write_vb_refuses_two_inputs_of_one_name(mixed, tmp_path):
+    frame = mixed.selectExpr("concat('/in', rec_no % 2, '/a.vb') file", "rec_no", "rec")
+    with pytest.raises(ValueError, match="both be written to a.vb"):
+        write_vb(frame, f"{tmp_path}/out dir")
+    assert not glob.glob(f"{tmp_path}/out dir/**/*.vb", recursive=True)
+    write_vb(frame.filter("rec_no % 2 = 1"), f"{tmp_path}/out dir")
+    assert len(glob.glob(f"{tmp_path}/out dir/a.vb/*.vb")) >= 1
+
+
+def test_a_failing_move_takes_back_what_was_moved(mixed, tmp_path, monkeypatch):
+    from mainspool.sinks import vb
+
+    whole = vb._mover
+
+    def broken(root, back):
+        move = whole(root, back)
+
+        def run(batches):
+            yield from move(batches)
+            if not back:
+                raise OSError("disk gone")
+
+        return run
+
+    monkeypatch.setattr(vb, "_mover", broken)
+    frame = mixed.selectExpr("concat('/in/', rec_no) file", "rec_no", "rec")
+    with pytest.raises(Exception, match="disk gone"):
+        write_vb(frame, f"{tmp_path}/out")
+    assert not glob.glob(f"{tmp_path}/out/**/*.vb", recursive=True)
+    assert not glob.glob(f"{tmp_path}/out/_pending*") and not os.path.exists(f"{tmp_path}/out/_SUCCESS")
+
+
+def test_a_cluster_must_name_the_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from mainspool.session import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session)
+
+
 def test_write_vb_rejects_long_records(records, tmp_path):
     with pytest.raises(Exception, match="does not fit"):
         write_vb(records("40" * 65532), f"{tmp_path}/long")
@@ -149,6 +212,92 @@ def test_convert_catalog_job(spark, mixed, tmp_path):
     assert [tuple(x) for x in spark.table("cat_orc_t2").collect()] == [("2", 7, "c")]
 
 
+UNEQUAL = {
+    "records": [
+        {"record": "short", "copy_layout": "s", "hive_table": "own_short", "include_records": [{"name": "s", "entries": {"H": "1"}}]},
+        {"record": "long", "copy_layout": "l", "include_records": [{"name": "l", "entries": {"H": "2"}}]},
+    ],
+}
+SIGNED = {
+    "s": "          05 H PIC X.\n          05 N PIC S9(3)V99.\n          05 D PIC X(2).\n          05 E REDEFINES D PIC 9(2).\n          05 Z PIC X(1).\n",
+    "l": "          05 H PIC X.\n          05 N PIC S9(3)V99.\n          05 T PIC X(4).\n",
+}
+
+
+@pytest.mark.parametrize("fmt", ["tsv", "parquet", "orc"])
+def test_catalog_options_reach_data_and_table(spark, records, tmp_path, fmt):
+    catalog = r.Catalog.from_json(UNEQUAL, SIGNED)
+    write_vb(records("f1f0f0f1f5d0c1c2a9", "f2f0f0f1f5d0c1c2c3c4"), f"{tmp_path}/in")
+    app, own = f"opt_{fmt}", f"own_short_{fmt}"
+    catalog = r.Catalog((r.RecordType("short", catalog.types[0].layout, catalog.types[0].include, (), own), catalog.types[1]))
+    jobs.convert(spark, f"{tmp_path}/in", f"{tmp_path}/out", catalog=catalog, filetype="MFDVB", fmt=fmt, split="redefine", app=app, register=True)
+    short = spark.table(own)
+    assert short.columns == ["H", "N", "D", "Z"]
+    assert [str(v) for v in short.first()] == ["1", "-1,50" if fmt == "tsv" else "-1.50", "AB", "z"]
+    assert [str(v) for v in spark.table(f"{app}_long").first()] == ["2", "-1,50" if fmt == "tsv" else "-1.50", "ABCD"]
+
+
+def test_fixed_length_catalog(spark, records, tmp_path):
+    catalog = r.Catalog.from_json(UNEQUAL, SIGNED)
+    data = bytes.fromhex("f1f0f0f1f5f0c1c2a940" + "f2f0f0f1f5f0c1c2c3c4")
+    (tmp_path / "in.fb").write_bytes(data)
+    with pytest.raises(Exception, match="record_len"):
+        jobs.convert(spark, f"{tmp_path}/in.fb", f"{tmp_path}/no", catalog=catalog, filetype="MFFB")
+    out = jobs.convert(spark, f"{tmp_path}/in.fb", f"{tmp_path}/out", catalog=catalog, filetype="MFFB", record_len=10)
+    assert lines(out["short"]) == ["1\t1.50\tAB\tBAD_FIELD_RECORD\tz\t"]
+    assert lines(out["long"]) == ["2\t1.50\tABCD\t"]
+
+
+@pytest.mark.parametrize("mix", [{"include": "H=9"}, {"exclude": "H=9"}, {"strict": True}, {"table": "t"}])
+def test_a_catalog_refuses_rules_of_the_job(spark, tmp_path, mix):
+    catalog = r.Catalog.from_json(UNEQUAL, SIGNED)
+    with pytest.raises(ValueError, match="catalog"):
+        jobs.convert(spark, "/nowhere", f"{tmp_path}/out", catalog=catalog, **mix)
+
+
+@pytest.mark.parametrize("fmt", ["tsv", "parquet"])
+def test_catalog_schema_only(spark, tmp_path, fmt):
+    catalog = r.Catalog.from_json(CATALOG, LAYOUTS)
+    jobs.convert(spark, "/nowhere", f"{tmp_path}/later", catalog=catalog, fmt=fmt, app=f"later_{fmt}", schema_only=True)
+    assert spark.table(f"later_{fmt}_t2").columns == ["H", "N", "M"]
+    assert spark.table(f"later_{fmt}_t2").count() == 0
+
+
+def test_corrupt_files_in_jobs(spark, records, tmp_path):
+    write_vb(records(*ebcdic("a 01x", "b 02 ")), f"{tmp_path}/in/good")
+    (tmp_path / "in/bad.vb").write_bytes(b"\x00\x09\x00\x00" + "c 03y".encode("cp037") + b"\0\0\0\0")
+    with pytest.raises(Exception, match="bad record descriptor"):
+        jobs.convert(spark, f"{tmp_path}/in", f"{tmp_path}/fails", layout=AB)
+    jobs.convert(spark, f"{tmp_path}/in", f"{tmp_path}/out", layout=AB, on_corrupt="reject", rejects=f"{tmp_path}/rejects", chunk_bytes=4)
+    assert lines(f"{tmp_path}/out") == ["a\t1\tx\t", "b\t2\tNULL\t", "c\t3\ty\t"]
+    assert [(x["rec_no"], x["error"]) for x in spark.read.parquet(f"{tmp_path}/rejects").collect()] == [(2, "bad record descriptor at byte 9")]
+
+
+def test_split_job_accounts_for_every_record(spark, tmp_path):
+    prefix = Layout.parse("          05 ID PIC X(2).\n          05 LEN PIC 9(4) COMP.\n")
+    good = b"H" + b"AB\x00\x07xyz" * 2
+    data = [good, b"H", b"H" + b"AB\x00\x07xyz" + b"AB\x7f\xff"]
+    framed = b"".join((len(x) + 4).to_bytes(2, "big") + b"\0\0" + x for x in data)
+    (tmp_path / "in.vb").write_bytes(framed + b"\0\1\0\0")
+    header = Layout.parse("          05 K PIC X.\n")
+    jobs.split(spark, f"{tmp_path}/in.vb", f"{tmp_path}/out", header_layout=header, header_len=1, segment_layout=prefix,
+               length_field="LEN", on_corrupt="reject", rejects=f"{tmp_path}/rejects", skip_field="K", skip_hex="00")
+    assert sorted(bytes(x["rec"]) for x in read_vb(spark, f"{tmp_path}/out").collect()) == [b"HAB\x00\x07xy"] * 3
+    rejects = spark.read.parquet(f"{tmp_path}/rejects").collect()
+    assert sorted((x["rec_no"], x["error"], x["error_at"]) for x in rejects) == [
+        (2, "no segment behind the header", 2),
+        (3, "segment longer than its record", 9),
+        (4, f"bad record descriptor at byte {len(framed)}", None),
+    ]
+
+
+def test_bare_partition_job(spark, two, tmp_path):
+    write_vb(two, f"{tmp_path}/in")
+    jobs.convert(spark, f"{tmp_path}/in", f"{tmp_path}/out", layout=AB, partition="SITE=n", bare_partition=True, app="bare", table="two", register=True)
+    assert len(lines(f"{tmp_path}/out/n")) == 2
+    assert sorted(tuple(x) for x in spark.table("bare_two").collect()) == [("a", "1", "x", "n"), ("b", "2", "NULL", "n")]
+
+
 def test_comma_dialect_job(spark, records, tmp_path):
     layout = Layout.parse("          05 N PIC S9(3)V99.\n")
     write_vb(records("f0f0f1f5d0"), f"{tmp_path}/in")

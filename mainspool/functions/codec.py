@@ -189,11 +189,11 @@ def quick_trim(s: str) -> str:
 
 
 @cache
-def _accents() -> tuple[str, str]:
-    """Every character whose canonical decomposition holds an ASCII character, and
-    that character. No decomposition holds two."""
+def _accents(last: int = 0x10FFFF) -> tuple[str, str]:
+    """Every character up to ``last`` whose canonical decomposition holds an ASCII character,
+    and that character. No decomposition holds two."""
     source, target = [], []
-    for code in range(0x80, 0x110000):
+    for code in range(0x80, last + 1):
         if 0xD800 <= code < 0xE000:
             continue
         ascii_part = [c for c in unicodedata.normalize("NFD", chr(code)) if c < "\x80"]
@@ -203,14 +203,15 @@ def _accents() -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
-def clean(s: str) -> str:
+def clean(s: str, last: int = 0x10FFFF) -> str:
     """Blank line breaks, tabs and backspaces, fold to ASCII, trim.
 
     Folding is canonical decomposition followed by dropping what is not ASCII,
-    written as one character map. Printable ASCII, the rule, is only trimmed.
+    written as one character map of characters up to ``last``, the largest in the text (decoded
+    records hold none above U+00FF). Printable ASCII, the rule, is only trimmed.
     """
     blanked = reduce(lambda t, chars: f"replace({t}, {literal(chars)}, ' ')", BLANKED, s)
-    source, target = _accents()
+    source, target = _accents(last)
     folded = f"regexp_replace(translate({blanked}, {literal(source)}, {literal(target)}), '[^\\\\x00-\\\\x7F]+', '')"
     is_ascii = f"octet_length({s}) = length({s})"
     return (

@@ -90,7 +90,7 @@ class FieldReader:
     def as_text(self, field: Field, piece: str | None = None) -> str:
         """The cleaned, trimmed text value; NULL when undecodable."""
         shown = self.as_string(field, piece)
-        return codec.clean(shown) if field.kind == TEXT else shown
+        return codec.clean(shown, 0xFF) if field.kind == TEXT else shown
 
 
 def typed(value: str, field: Field | Item) -> str:

@@ -808,6 +808,130 @@ def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- whole catalog jobs, read through the tables they register -----------------------
+
+
+def _catalog_tables(spark: SparkSession, paths: str, fmt: str = "tsv", *, overlay: bool = False, **options) -> dict[str, DataFrame]:
+    """Convert a mixed file by catalog and open its tables by name."""
+    out = scratch_path(spark, "catalog")
+    app = "own_" + out.rsplit("-", 1)[-1]
+    catalog = lay.mixed_catalog(excludes=False, tables=app, overlay=overlay)
+    jobs.convert(spark, paths, out, catalog=catalog, fmt=fmt, register=True, chunk_bytes=CHUNK, **options)
+    return {t.name: spark.table(t.table) for t in catalog.types}
+
+
+@query(
+    """SELECT 'customer' AS rec_type, CAST(c_custkey AS VARCHAR) AS key, c_name AS label,
+      replace(CAST(CAST(c_acctbal AS DECIMAL(11,2)) AS VARCHAR), '.', ',') AS amount FROM customer
+    UNION ALL SELECT 'order', CAST(o_orderkey AS VARCHAR), o_orderpriority,
+      replace(CAST(CAST(o_totalprice AS DECIMAL(11,2)) AS VARCHAR), '.', ',') FROM orders
+    UNION ALL SELECT 'part', CAST(p_partkey AS VARCHAR), p_brand, CAST(p_size AS VARCHAR) FROM part"""
+)
+def catalog_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comma dialect reaches the text tables of a catalog."""
+    parts = _catalog_tables(spark, fx.mixed(spark, sf_dir), filetype="MFDVB")
+    out = None
+    for name, (key, label, amount) in SHAPES.items():
+        shaped = parts[name].select(F.lit(name).alias("rec_type"), F.col(key).alias("key"), F.col(label).alias("label"), F.col(amount).alias("amount"))
+        out = shaped if out is None else out.unionByName(shaped)
+    return out
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS priority, 'BAD_FIELD_RECORD' AS order_end,
+    'KIND_CODE,ORDER_KEY,ORDER_STATUS,ORDER_PRICE,ORDER_PRIORITY,ORDER_END' AS columns FROM orders"""
+)
+def catalog_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without overlays, the field behind one is found in the data and in the table alike."""
+    orders = _catalog_tables(spark, fx.mixed(spark, sf_dir), overlay=True, split="redefine")["order"]
+    return orders.select(
+        F.col("ORDER_KEY").alias("key"),
+        F.col("ORDER_PRIORITY").alias("priority"),
+        F.col("ORDER_END").alias("order_end"),
+        F.lit(",".join(orders.columns)).alias("columns"),
+    )
+
+
+@query(ROUTED_SQL.format(orders="", parts=""))
+def catalog_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of different lengths in a file of one record length, typed."""
+    return _one_table(_catalog_tables(spark, fx.mixed(spark, sf_dir, fixed=True), "parquet", filetype="MFFB", record_len=fx.MIXED_LENGTH))
+
+
+@query(
+    LINES_SQL
+    + """SELECT o_orderkey AS order_key, CAST(l_linenumber AS BIGINT) AS line_no, NULL AS error FROM lines
+    UNION ALL SELECT o_orderkey, NULL, CASE o_orderpriority WHEN '5-LOW' THEN 'segment longer than its record'
+      WHEN '4-NOT SPECIFIED' THEN 'zero segment length without marker' ELSE 'segment prefix cut off' END
+    FROM (SELECT DISTINCT o_orderkey, block, o_orderpriority FROM lines WHERE o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED', '3-MEDIUM'))
+    UNION ALL SELECT o_orderkey, NULL, 'no segment behind the header' FROM orders
+    WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"""
+)
+def split_job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments and rejects of the split job account for every record."""
+    out, rejects = scratch_path(spark, "segments"), scratch_path(spark, "rejects")
+    jobs.split(
+        spark,
+        fx.composite(spark, sf_dir, offset=fx.OFFSET, marked=True, broken=True),
+        out,
+        header_layout=lay.HEADER,
+        header_len=lay.HEADER_LEN,
+        segment_layout=lay.PREFIX,
+        length_field="LINE-BYTES",
+        rejects=rejects,
+        on_corrupt="reject",
+        chunk_bytes=CHUNK,
+        **MARKED,
+    )
+    lines = d.decode_flat(read_vb(spark, out), lay.HEADER + lay.PREFIX + lay.LINE, keep=())
+    bad = spark.read.parquet(rejects).select(F.unhex("rec_hex").alias("rec"), "rec_len", "error")
+    return lines.select(big("ORDER_KEY", "order_key"), big("LINE_NO", "line_no"), F.lit(None).cast("string").alias("error")).unionByName(
+        d.decode_flat(bad, lay.HEADER, keep=("error",)).select(big("ORDER_KEY", "order_key"), F.lit(None).cast("bigint").alias("line_no"), "error")
+    )
+
+
+# --- names and unset numbers ------------------------------------------------------------
+
+
+@query(
+    """SELECT form, s_name AS name, '<>' AS name_2, CAST(s_suppkey AS VARCHAR) AS number, CAST(s_nationkey - 12 AS VARCHAR) AS name_3
+    FROM supplier CROSS JOIN (VALUES ('text'), ('flat'), ('table')) AS forms(form)"""
+)
+def column_names_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names used twice, and names of scan columns, in text, typed and table form."""
+    records = read_fb(spark, fx.suppliers(spark, sf_dir), lay.REPEATED.max_length)
+    out = scratch_path(spark, "repeated")
+    app = "own_" + out.rsplit("-", 1)[-1]
+    jobs.convert(spark, fx.suppliers(spark, sf_dir), out, layout=lay.REPEATED, filetype="MFFB", app=app, table="repeated", register=True)
+    forms = {
+        "text": (d.decode_text(records, lay.REPEATED), "FILE_2"),
+        "flat": (d.decode_flat(records, lay.REPEATED), "FILE_2"),
+        "table": (spark.table(f"{app}_repeated"), "FILE"),
+    }
+    found = None
+    for form, (df, number) in forms.items():
+        one = df.select(F.lit(form).alias("form"), F.rtrim("NAME").alias("name"), F.col("NAME_2").alias("name_2"), F.col(number).cast("string").alias("number"), F.col("NAME_3").cast("string").alias("name_3"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query(
+    """SELECT l_orderkey AS order_key,
+    CASE l_linenumber % 4 WHEN 2 THEN CAST(l_linenumber AS VARCHAR) WHEN 3 THEN 'BAD_FIELD_RECORD' ELSE 'NULL' END AS line_pos,
+    CASE WHEN l_linenumber % 4 < 2 THEN 'NULL' ELSE CAST(-l_linenumber AS VARCHAR) END AS line_signed,
+    CASE WHEN l_linenumber % 4 = 3 THEN 'LINE_POS' ELSE '' END AS bad FROM lineitem"""
+)
+def zoned_unset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank and low-value numbers are empty, not zero; a blank behind a digit is bad."""
+    records = read_vb(spark, fx.unset(spark, sf_dir), chunk_bytes=CHUNK)
+    text = d.decode_text(records, lay.UNSET, keep=("file", "rec_no"))
+    typed = d.decode_typed(records, lay.UNSET, keep=("file", "rec_no")).select(
+        F.col("file").alias("f"), F.col("rec_no").alias("n"), F.array_join("_bad_fields", ",").alias("bad")
+    )
+    both = text.join(typed, (F.col("file") == F.col("f")) & (F.col("rec_no") == F.col("n")))
+    return both.select(big("ORDER_KEY", "order_key"), F.col("LINE_POS").alias("line_pos"), F.col("LINE_SIGNED").alias("line_signed"), "bad")
+
+
 # --- flagship -------------------------------------------------------------------------
 
 

@@ -161,9 +161,28 @@ def suppliers(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "suppliers", build, descriptors=False)
 
 
-def mixed(spark: SparkSession, sf_dir: str) -> str:
-    """Variable-length: customers, orders, parts and suppliers in one file; no type takes
-    the suppliers."""
+def unset(spark: SparkSession, sf_dir: str) -> str:
+    """Variable-length: a lineitem's number in two zoned fields, by number unset with blanks or
+    low-values, behind blanks, or with a blank behind it."""
+
+    def build() -> DataFrame:
+        n = F.col("l_linenumber")
+        kind = n % 4
+        behind = F.encode(F.lpad(n.cast("string"), 4, " "), "cp037")
+        before = F.encode(F.rpad(n.cast("string"), 4, " "), "cp037")
+        field = F.when(kind == 0, F.unhex(F.lit("40404040"))).when(kind == 1, F.unhex(F.lit("00000000")))
+        record = F.concat(e.digits(F.col("l_orderkey"), 12), field.when(kind == 2, behind).otherwise(before), F.when(kind < 2, F.unhex(F.lit("00400040"))).otherwise(e.zoned(-n, 4)))
+        return table(spark, sf_dir, "lineitem").select(record.alias("rec"))
+
+    return _once(spark, sf_dir, "unset", build)
+
+
+MIXED_LENGTH = 60
+
+
+def mixed(spark: SparkSession, sf_dir: str, fixed: bool = False) -> str:
+    """Customers, orders, parts and suppliers in one file, variable-length or blank up to one
+    fixed length; no type takes the suppliers."""
 
     def build() -> DataFrame:
         customer = table(spark, sf_dir, "customer").select(
@@ -194,9 +213,13 @@ def mixed(spark: SparkSession, sf_dir: str) -> str:
         supplier = table(spark, sf_dir, "supplier").select(
             F.concat(e.text(F.lit("40"), 2), e.digits(F.col("s_suppkey"), 12)).alias("rec")
         )
-        return customer.unionByName(order).unionByName(part).unionByName(supplier)
+        whole = customer.unionByName(order).unionByName(part).unionByName(supplier)
+        if not fixed:
+            return whole
+        blanks = F.unhex(F.lit("40" * MIXED_LENGTH))
+        return whole.select(F.substring(F.concat("rec", blanks), 1, MIXED_LENGTH).alias("rec"))
 
-    return _once(spark, sf_dir, "mixed", build)
+    return _once(spark, sf_dir, f"mixed-{fixed}", build, descriptors=not fixed)
 
 
 # Total order of one order's lineitems; the leading salt keeps ranking parallel, and there are

@@ -94,13 +94,11 @@ CATALOG_SPEC = {
         {
             "record": "customer",
             "copy_layout": "customer",
-            "hive_table": "customer",
             "include_records": [{"name": "customer", "entries": {"KIND-CODE": "10"}}],
         },
         {
             "record": "order",
             "copy_layout": "order",
-            "hive_table": "order",
             "include_records": [
                 {"name": "open", "entries": {"KIND-CODE": "20", "ORDER-STATUS": "o"}},
                 {"name": "other", "entries": {"KIND-CODE": "20"}},
@@ -110,7 +108,6 @@ CATALOG_SPEC = {
         {
             "record": "part",
             "copy_layout": "part",
-            "hive_table": "part",
             "include_records": [{"name": "part", "entries": {"KIND-CODE": "30"}}],
             "exclude_records": [{"name": "brand", "entries": {"KIND-CODE": "30", "PART-BRAND": "BRAND#13"}}],
         },
@@ -139,6 +136,32 @@ LINE_TEXT = """
            03 PRICE PIC S9(13)V99 COMP-3.
 """
 
+OVERLAID_ORDER = MIXED_BODIES["order"] + """
+           05 PRIORITY-PARTS REDEFINES ORDER-PRIORITY.
+              10 PRIORITY-RANK PIC X.
+              10 FILLER PIC X(14).
+           05 ORDER-END PIC X.
+"""
+
+REPEATED_TEXT = """
+           03 FRONT.
+              10 NAME PIC X(30).
+              10 NAME PIC X(2).
+              10 FILE PIC S9(9) COMP.
+           03 BACK.
+              10 FILE PIC S9(13)V99 COMP.
+              10 NAME PIC S9(4) COMP.
+              10 REC-NO PIC X.
+              10 FILE-2 PIC X.
+"""
+
+UNSET_TEXT = """
+           05 ORDER-KEY PIC 9(12).
+           05 LINE-POS PIC 9(4).
+           05 LINE-SIGNED PIC S9(4).
+"""
+
+
 ACCOUNT = Layout.parse(ACCOUNT_TEXT)
 SALES = Layout.parse(SALES_TEXT)
 SUPPLIER = Layout.parse(SUPPLIER_TEXT)
@@ -146,11 +169,17 @@ SUPPLIER_VIEWS = Layout.parse(VIEWS_TEXT)
 HEADER = Layout.parse(HEADER_TEXT)
 PREFIX = Layout.parse(PREFIX_TEXT)
 LINE = Layout.parse(LINE_TEXT)
+REPEATED = Layout.parse(REPEATED_TEXT)
+UNSET = Layout.parse(UNSET_TEXT)
 
 
-def mixed_catalog(excludes: bool = True, **extra) -> Catalog:
-    """The mixed file's catalog; ``extra`` adds top-level entries."""
+def mixed_catalog(excludes: bool = True, tables: str | None = None, overlay: bool = False, **extra) -> Catalog:
+    """The mixed file's catalog; ``tables`` starts the names of its tables, ``overlay`` gives
+    orders an overlay and an end mark, ``extra`` adds top-level entries."""
     spec = {**CATALOG_SPEC, **extra}
+    if tables is not None:
+        spec["records"] = [{**r, "hive_table": f"{tables}_{r['record']}"} for r in spec["records"]]
     if not excludes:
         spec["records"] = [{k: v for k, v in r.items() if k != "exclude_records"} for r in spec["records"]]
-    return Catalog.from_json(spec, {"ident": IDENT_TEXT, **MIXED_BODIES})
+    bodies = {**MIXED_BODIES, "order": OVERLAID_ORDER} if overlay else MIXED_BODIES
+    return Catalog.from_json(spec, {"ident": IDENT_TEXT, **bodies})

@@ -19,6 +19,7 @@ pruned.
 from __future__ import annotations
 
 import unicodedata
+from dataclasses import replace
 from functools import cache, reduce
 
 from pyspark.sql import Column
@@ -135,15 +136,21 @@ def _zoned(shown: str, field: Field | Item) -> str:
     digit they are no number; a field of nothing else has no value (:func:`empty`).
     """
     size = field.size
+    if "separate" in field.sign:
+        first, mark = (2, 1) if "leading" in field.sign else (1, size)
+        number = _zoned(f"substring({shown}, {first}, {size - 1})", replace(field, size=size - 1, signed=False, sign=""))
+        return f"CASE substring({shown}, {mark}, 1) WHEN '+' THEN {number} WHEN '-' THEN -{number} END"
     low = f"translate({shown}, {literal(_CHARACTERS)}, '{_LOW_NIBBLES}')"
     behind = f"trim(LEADING {_UNSET} FROM {shown})"
     clean = f"{behind} <> '' AND translate({behind}, {_UNSET}, '') = {behind}"
     low = f"CASE WHEN {clean} THEN {low} END"
     sign = "1"
     if field.signed:
-        last = f"(position(substring({shown}, {size}, 1), {literal(_SIGNED_DIGITS)}) - 1)"
+        leading = "leading" in field.sign
+        last = f"(position(substring({shown}, {1 if leading else size}, 1), {literal(_SIGNED_DIGITS)}) - 1)"
         sign = f"(CASE WHEN {last} >= {_FIRST_NEGATIVE} THEN -1 ELSE 1 END)"
-        shown = f"concat(substring({shown}, 1, {size - 1}), cast({last} % 10 AS string))"
+        digit, rest = f"cast({last} % 10 AS string)", f"substring({shown}, {2 if leading else 1}, {size - 1})"
+        shown = f"concat({digit}, {rest})" if leading else f"concat({rest}, {digit})"
     if size > LONG_DIGITS:
         return _many_digits(f"({low})", size, field.scale, sign)
     quick = f"try_cast({shown} AS bigint)"

@@ -63,6 +63,8 @@ class Item:
     digits: int = 0
     scale: int = 0
     signed: bool = False
+    sign: str = ""
+    usage: str | None = None
     redefines: str | None = None
     occurs: int | None = None
     depending: str | None = None
@@ -125,6 +127,7 @@ class Field:
     digits: int = 0
     scale: int = 0
     signed: bool = False
+    sign: str = ""
     subscripts: tuple[int, ...] = ()
 
     @property
@@ -157,7 +160,7 @@ def _flatten(item: Item, start: Offset, subs: tuple[int, ...], split: str) -> It
         at = start if i is None else start + item.stride() * i
         here = subs if i is None else subs + (i,)
         if item.kind:
-            yield Field(item.name, at, item.size, item.kind, item.digits, item.scale, item.signed, here)
+            yield Field(item.name, at, item.size, item.kind, item.digits, item.scale, item.signed, item.sign, here)
         else:
             for child, child_at in placed(item.children, at, split):
                 yield from _flatten(child, child_at, here, split)
@@ -300,7 +303,7 @@ def _entry(words: list[str]) -> Item | None:
     if rest and rest[0] not in _CLAUSES:
         name = rest.pop(0)
     pic = usage = redefines = depending = None
-    occurs = None
+    occurs, sign = None, set()
     while rest:
         word = rest.pop(0)
         if word == "REDEFINES":
@@ -322,23 +325,40 @@ def _entry(words: list[str]) -> Item | None:
             usage = _USAGES[word]
         elif word in ("VALUE", "VALUES"):
             break
-        elif word == "SIGN" or word in ("LEADING", "SEPARATE", "COMP-1", "COMP-2", "SYNC", "SYNCHRONIZED"):
+        elif word in ("LEADING", "SEPARATE"):
+            sign.add(word.lower())
+        elif word in ("COMP-1", "COMP-2", "SYNC", "SYNCHRONIZED"):
             raise LayoutError(f"{name}: {word} is not supported")
-        # USAGE IS, TIMES, INDEXED BY, JUSTIFIED and the like do not move bytes
-    item = Item(level, name, redefines=redefines, occurs=occurs, depending=depending)
+        # SIGN IS TRAILING CHARACTER, USAGE IS, TIMES, INDEXED BY, JUSTIFIED and the like do not move bytes
+    item = Item(level, name, usage=usage, sign=" ".join(sorted(sign)), redefines=redefines, occurs=occurs, depending=depending)
     if pic is None:
-        return replace(item, kind=None) if usage in (None, ZONED) else _group_usage(name)
+        return item
     kind, digits, scale, signed, size = _picture(pic)
-    if kind == ZONED:
-        kind = usage or ZONED
-        size = {ZONED: digits, COMP3: digits // 2 + 1}.get(kind) or (2 if digits <= 4 else 4 if digits <= 9 else 8)
-        if digits > 18 and kind == COMP or digits > 38:
-            raise LayoutError(f"{name}: {digits} digits are too many")
-    return replace(item, kind=kind, size=size, digits=digits, scale=scale, signed=signed)
+    if kind == TEXT:
+        return replace(item, kind=TEXT, size=size, sign="")
+    return _sized(replace(item, kind=usage or ZONED, digits=digits, scale=scale, signed=signed))
 
 
-def _group_usage(name: str) -> Item:
-    raise LayoutError(f"{name}: USAGE on a group is not supported; put it on the fields")
+def _sized(item: Item) -> Item:
+    """A number with the size its usage takes."""
+    digits, kind = item.digits, item.kind
+    if digits > 18 and kind == COMP or digits > 38:
+        raise LayoutError(f"{item.name}: {digits} digits are too many")
+    if item.sign and (kind != ZONED or not item.signed):
+        raise LayoutError(f"{item.name}: only signed display numbers have a sign of their own")
+    size = {ZONED: digits, COMP3: digits // 2 + 1}.get(kind) or (2 if digits <= 4 else 4 if digits <= 9 else 8)
+    return replace(item, size=size + ("separate" in item.sign))
+
+
+def _inherited(item: Item, usage: str | None, sign: str) -> Item:
+    """An item of a group whose usage or sign holds for the numbers that have none themselves."""
+    usage, sign = item.usage or usage, item.sign or sign
+    if not item.kind:
+        return replace(item, children=tuple(_inherited(c, usage, sign) for c in item.children))
+    if item.kind == TEXT:
+        return item
+    kind = usage or ZONED
+    return _sized(replace(item, kind=kind, sign=sign if kind == ZONED and item.signed else ""))
 
 
 def _parse_items(text: str, margins: tuple[int, int]) -> tuple[Item, ...]:
@@ -360,4 +380,4 @@ def _parse_items(text: str, margins: tuple[int, int]) -> tuple[Item, ...]:
             out.append(item)
         return out, i
 
-    return tuple(take(0, 0)[0])
+    return tuple(_inherited(item, None, "") for item in take(0, 0)[0])

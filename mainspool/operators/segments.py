@@ -149,7 +149,7 @@ def _walked(
     skip_marker: str | None = None,
 ) -> DataFrame:
     field = segment_layout.find(length_field)
-    if field.kind == "text" or field.scale or field.offset.terms:
+    if field.kind == "text" or field.scale or field.offset.terms or field.sign:
         raise LayoutError(f"{length_field} must be a whole number at a fixed position")
     prefix_len = segment_layout.max_length
     marker = bytes.fromhex(skip_marker) if skip_marker is not None else None

@@ -72,6 +72,34 @@ def test_binary_sizes():
     assert [f.size for f in layout.fields()] == [2, 4, 8, 50, 3, 2]
 
 
+def test_usage_and_sign_of_a_group():
+    layout = Layout.parse(
+        """
+           03 PACKED USAGE COMP-3.
+              05 A PIC S9(5).
+              05 B PIC X(3).
+              05 C PIC 9(4) DISPLAY.
+              05 INNER COMP.
+                 10 D PIC S9(9).
+           03 SIGNED SIGN IS LEADING SEPARATE CHARACTER.
+              05 E PIC S9(3).
+              05 F PIC 9(3).
+              05 G PIC S9(3) SIGN TRAILING SEPARATE.
+           03 H PIC S9(3) SIGN IS LEADING.
+"""
+    )
+    assert [(f.name, f.kind, f.size, f.sign) for f in layout.fields()] == [
+        ("A", "comp3", 3, ""),
+        ("B", "text", 3, ""),
+        ("C", "zoned", 4, ""),
+        ("D", "comp", 4, ""),
+        ("E", "zoned", 4, "leading separate"),
+        ("F", "zoned", 3, ""),
+        ("G", "zoned", 4, "separate"),
+        ("H", "zoned", 3, "leading"),
+    ]
+
+
 def test_split_options():
     layout = Layout.parse(SHELF)
     assert len(layout.fields()) == 3 + 4 * 6
@@ -116,7 +144,8 @@ def test_names():
         "           05 A PIC ZZ9.\n",
         "           05 A.\n",
         "           05 A REDEFINES B PIC X.\n",
-        "           05 A PIC S9(4) SIGN LEADING SEPARATE.\n",
+        "           05 A PIC S9(4) COMP-3 SIGN LEADING SEPARATE.\n",
+        "           05 A PIC 9(4) SIGN TRAILING SEPARATE.\n",
         "     \n",
     ],
 )

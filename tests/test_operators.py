@@ -185,6 +185,22 @@ def test_unset_numbers(records):
     assert typed == {1: (11, []), 2: (None, ["N"]), 3: (None, []), 4: (None, []), 5: (None, ["N"])}
 
 
+def test_signs_of_their_own(records):
+    layout = Layout.parse(
+        """
+          05 A PIC S9(2)V9 SIGN LEADING SEPARATE.
+          05 B PIC S9(3) SIGN TRAILING SEPARATE.
+          05 C PIC S9(3) SIGN LEADING.
+"""
+    )
+    df = records(
+        "60f0f1f5" + "f0f1f24e" + "d1f2f3", "4ef0f0f5" + "40f1f260" + "c1f2f3", "f0f0f1f5" + "f0f1f240" + "f1f2f3", "40404040" + "00000000" + "404040"
+    )
+    got = {x["rec_no"]: tuple(x)[1:] for x in d.decode_text(df, layout, keep=("rec_no",)).collect()}
+    bad = "BAD_FIELD_RECORD"
+    assert got == {1: ("-1.5", "12", "-123"), 2: ("0.5", "-12", "123"), 3: (bad, bad, "123"), 4: ("NULL", "NULL", "NULL")}
+
+
 def test_skip_behind_a_corrupt_count(records):
     layout = Layout.parse("          05 N PIC 9(9) COMP.\n          05 T OCCURS 0 TO 3 DEPENDING ON N PIC X(9).\n          05 K PIC X.\n")
     df = records("ffffffffbf", "00000000bf", "00000000c1")

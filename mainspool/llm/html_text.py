@@ -57,7 +57,7 @@ CUT = set("script style textarea title xmp iframe noembed noframes head nav asid
 CUT_WORDS = set(
     "ad ads advert advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs "
     "sidebar side aside footer masthead cookie cookies consent gdpr notice popup modal newsletter subscribe signup login share sharing social "
-    "related recommended comment comments disqus reply replies pagination pager toolbar widget search complementary contentinfo".split()
+    "related recommended comment comments disqus respond reply replies pagination pager toolbar topbar widget search skip alert dialog disclaimer complementary contentinfo".split()
 )
 
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
@@ -76,13 +76,15 @@ class Node:
 
 
 def _is_cut(name: str, attributes: str, parent: Node) -> bool:
-    if name in CUT or name == "header" and parent.name in ("body", "html", "div"):
+    outside = parent.name in ("body", "html", "div")
+    if name in CUT or name == "header" and outside:
         return True
     if name in ("html", "body", "article", "main") or "=" not in attributes:
         return False
     for found in _NAMED.finditer(attributes):
         value = found[1].strip("\"'")
-        if any(w.lower() in CUT_WORDS for w in _WORD.findall(value)):
+        words = {w.lower() for w in _WORD.findall(value)}
+        if words & CUT_WORDS or "header" in words and outside:
             return True
     return False
 

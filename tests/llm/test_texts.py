@@ -281,6 +281,9 @@ def test_pages_of_the_table(spark):
         ("<article><p>cut off here</p><p>and <a href='x", "cut off here and"),
         ("<ARTICLE><P>Case\n  and\tspace</P></ARTICLE>", "Case and space"),
         ("<article><p>x</p><p>x</p></article>", "x x"),
+        ("<body><div class='site-header'>Site</div><article><header><h1>Head</h1></header><p>text</p></article></body>", "Head text"),
+        ("<body><aside>no</aside><main><h1>Head</h1><p>one</p><div class='promo box'>no</div><p>two</p></main><section id='comments'><p>no</p></section></body>", "Head one two"),
+        ("<body><div role='navigation'>no</div><div id=cookieBanner>no</div><div><p>yes &lt;b&gt;</p></div></body>", "yes <b>"),
     ],
 )
 def test_page_text(page, text):

@@ -1,7 +1,7 @@
 """Quality rules learned as a decision list, from DataFrame and SQL functions only.
 
 Statistics of every whole text are native expressions. Labelled statistics are cut at
-quantiles of their own into at most ``BINS`` bins, and only the counts of good and bad
+halfway between quantiles of the good and of the bad into at most ``BINS`` bins, and only the counts of good and bad
 documents by bins reach the driver: at most ``CELLS`` cells, whatever the number of documents.
 Sequential covering on these counts grows a rule for bad documents, a conjunction of
 thresholds chosen by information gain on two thirds of the documents, prunes its last
@@ -162,7 +162,9 @@ def learn(stats: DataFrame, labels: DataFrame, id: str = "doc_id", quality: str
     # half of the edges from each side, so that rare bad documents have edges of their own
     shares = [(k + 1) / (BINS // 2 + 1) for k in range(BINS // 2)]
     probe = known.groupBy((F.col("q") > 0).alias("good")).agg(*(F.percentile_approx(f, shares, 10_000).alias(f) for f in names)).collect()
-    edges = {f: sorted({float(x) for r in probe for x in (r[f] or [])})[: BINS - 1] for f in names}
+    points = {f: sorted({float(x) for r in probe for x in (r[f] or [])}) for f in names}
+    # thresholds halfway between points, so that a rule keeps its distance from either side
+    edges = {f: [(a + b) / 2 for a, b in zip(p, p[1:])] for f, p in points.items()}
     if len(probe) < 2:
         return []
     bins = [F.expr(" + ".join([f"int({f} > {e!r}D)" for e in edges[f]]) or "0").alias(f) for f in names]

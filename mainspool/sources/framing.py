@@ -37,8 +37,8 @@ CHAIN_SCHEMA = pa.schema(
     [
         ("file", pa.string()),
         ("length", pa.int64()),
-        ("chunk_bytes", pa.int64()),
-        ("chunk", pa.int64()),
+        ("span", pa.int64()),
+        ("unit", pa.int64()),
         ("entries", pa.list_(pa.int64())),
         ("exits", pa.list_(pa.int64())),
         ("records", pa.list_(pa.int64())),
@@ -243,8 +243,8 @@ def chunk_chains(path: str, chunk: int, chunk_bytes: int, length: int) -> pa.Rec
     row = {
         "file": path,
         "length": length,
-        "chunk_bytes": chunk_bytes,
-        "chunk": chunk,
+        "span": chunk_bytes,
+        "unit": chunk,
         "entries": entries,
         "exits": [alive[e][0] for e in entries],
         "records": [alive[e][1] for e in entries],

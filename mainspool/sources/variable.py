@@ -3,18 +3,20 @@
 Record starts are known only by following descriptors from the start of the file.
 To cut one large file into ranges anyway, every chunk but a file's last is scanned at
 once, from each plausible entry position (:func:`mainspool.sources.framing.chunk_chains`).
-That gives hops, from an entry to the first start behind its chunk, and how many records
-lie between. Which entries are true follows from hopping on from byte 0, by pointer
-doubling: joins that each double the reach, so a file of n chunks takes log n of them, no
-task ever holds a file's index, and any number of chunks will do. A file of one chunk has no
-hops. The index that results, one row a range, is checkpointed; give it to the readers to scan
-for it once.
+That gives each chunk a map from entries to the first start behind it and the records
+between. Maps of ``FAN`` neighbours are composed into one, level by level, until one is left;
+going down again, the true entry of each unit gives those of the units it is made of. Each step
+is grouped by unit, so a group holds at most ``FAN`` maps, a file of n chunks takes log n
+steps, and any number of chunks will do. The index that results, one row a range, is
+checkpointed; give it to the readers to scan for it once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,25 +24,59 @@ from pyspark.sql import functions as F
 from mainspool.session import shared_dir
 from mainspool.sources.files import list_files, tasks_for, totals
 from mainspool.sources.fixed import CHUNK_BYTES, RECORD_DDL, spread
-from mainspool.sources.framing import chunk_chains, variable_records
+from mainspool.sources.framing import LONGEST, chunk_chains, variable_records
 
-HOP_DDL = "file string, pos bigint, dest bigint, n bigint"
+#: Maps composed into one.
+FAN = 16
+
+_MAP_DDL = "file string, length bigint, span bigint, unit bigint, entries array<bigint>, exits array<bigint>, records array<bigint>"
+_REACHED_DDL = "file string, length bigint, unit bigint, pos bigint, n bigint"
 
 
 def _scan_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hops of each chunk that stay in the file."""
     for batch in batches:
         for r in batch.to_pylist():
-            row = chunk_chains(r["file"], r["chunk"], r["chunk_bytes"], r["length"])
-            entries, exits, records = (row.column(c).flatten() for c in ("entries", "exits", "records"))
-            hops = pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(r["file"]), len(entries)), entries, exits, records], names=["file", "pos", "dest", "n"])
-            yield hops.filter(pa.compute.less(exits, r["length"]))
-
-
-def _hop_on(reached: DataFrame, hops: DataFrame) -> DataFrame:
-    """Where rows (file, dest, n) get by one hop."""
-    then = hops.select(F.col("file").alias("_f"), F.col("pos").alias("_p"), F.col("dest").alias("_to"), F.col("n").alias("_n"))
-    return reached.join(then, (F.col("file") == F.col("_f")) & (F.col("dest") == F.col("_p")))
+            yield chunk_chains(r["file"], r["chunk"], r["chunk_bytes"], r["length"])
+
+
+def _composed(units: pd.DataFrame) -> pd.DataFrame:
+    """One map of neighbouring units, for entries a record from before them can reach."""
+    units = units.sort_values("unit")
+    file, length, span, first = (units[c].iloc[0] for c in ("file", "length", "span", "unit"))
+    begin, end = first // FAN * FAN * span, (first // FAN + 1) * FAN * span
+    onward: dict[int, tuple[int, int]] = {}
+    for row in reversed(list(units.itertuples(index=False))):
+        here = {}
+        for entry, exit_, n in zip(row.entries, row.exits, row.records):
+            if exit_ >= end or exit_ >= length:
+                here[entry] = (exit_, n)
+            elif exit_ in onward:
+                far, more = onward[exit_]
+                here[entry] = (far, n + more)
+        onward |= here
+    entries = sorted(e for e in onward if e < begin + LONGEST)
+    row = (file, length, span * FAN, first // FAN, entries, [onward[e][0] for e in entries], [onward[e][1] for e in entries])
+    return pd.DataFrame([row], columns=["file", "length", "span", "unit", "entries", "exits", "records"])
+
+
+def _opened(span: int):
+    """From the true entry of a unit to those of its parts of ``span`` bytes."""
+
+    def run(reached: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        by_unit = {row.unit: row for row in parts.itertuples(index=False)}
+        for known in reached.itertuples(index=False):
+            pos, n, end = known.pos, known.n, min((known.unit + 1) * FAN * span, known.length)
+            while pos < end:
+                out.append((known.file, known.length, pos // span, pos, n))
+                part = by_unit.get(pos // span)
+                i = np.searchsorted(part.entries, pos) if part is not None else 0
+                if part is None or i == len(part.entries) or part.entries[i] != pos:
+                    break  # the last chunk, or corrupt in here: reading the range will say where
+                pos, n = part.exits[i], n + part.records[i]
+        return pd.DataFrame(out, columns=["file", "length", "unit", "pos", "n"])
+
+    return run
 
 
 def vb_ranges(spark: SparkSession, paths: str | Sequence[str], *, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -57,21 +93,22 @@ def vb_ranges(spark: SparkSession, paths: str | Sequence[str], *, chunk_bytes: i
         .filter("(chunk + 1) * chunk_bytes < length")
     )
     shared_dir(spark)  # checkpoint() needs the folder set
-    hops = spread(chunks, "chunk", tasks_for(total, chunk_bytes)).mapInArrow(_scan_chunks, HOP_DDL)
-    doublings = max(0, -(-largest // chunk_bytes) - 1).bit_length()
-    steps = []
-    for _ in range(doublings):
-        hops = hops.checkpoint()
-        steps.append(hops)
-        hops = _hop_on(hops, hops).select("file", "pos", F.col("_to").alias("dest"), (F.col("n") + F.col("_n")).alias("n"))
-    reached = files.select("file", F.lit(0).cast("bigint").alias("dest"), F.lit(0).cast("bigint").alias("n"))
-    for hops in reversed(steps):
-        onward = _hop_on(reached, hops).select("file", F.col("_to").alias("dest"), (F.col("n") + F.col("_n")).alias("n"))
-        reached = reached.unionByName(onward).checkpoint()
-    ranges = reached.join(files.withColumnRenamed("file", "_f"), F.col("file") == F.col("_f")).select(
+    maps = spread(chunks, "chunk", tasks_for(total, chunk_bytes)).mapInArrow(_scan_chunks, _MAP_DDL)
+    above = (F.col("unit") / FAN).cast("bigint").alias("above")
+    levels, span, units = [(maps.checkpoint(), chunk_bytes)], chunk_bytes, -(-largest // chunk_bytes)
+    while units > FAN:
+        maps = levels[-1][0].groupBy("file", above).applyInPandas(_composed, _MAP_DDL)
+        span, units = span * FAN, -(-units // FAN)
+        levels.append((maps.checkpoint(), span))
+    zero = F.lit(0).cast("bigint")
+    reached = files.select("file", "length", zero.alias("unit"), zero.alias("pos"), zero.alias("n"))
+    for maps, span in reversed(levels):
+        parts = maps.groupBy("file", above)
+        reached = reached.groupBy("file", F.col("unit").alias("above")).cogroup(parts).applyInPandas(_opened(span), _REACHED_DDL)
+    ranges = reached.select(
         "file",
-        F.col("dest").alias("start"),
-        F.least(F.expr(f"(dest div {chunk_bytes} + 1) * {chunk_bytes}L"), F.col("length")).alias("end"),
+        F.col("pos").alias("start"),
+        F.least(F.expr(f"(unit + 1) * {chunk_bytes}L"), F.col("length")).alias("end"),
         "length",
         (F.col("n") + 1).alias("first_rec_no"),
     )

@@ -34,7 +34,7 @@ from mainspool.llm.common import append, per_worker
 
 BITS = 18
 LEAST = 8
-LEAN = 5.0
+LEAN = 6.0
 SAMPLE = 8_000
 STEPS = 200
 SHRINK = 1e-4

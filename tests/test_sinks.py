@@ -244,7 +244,7 @@ def test_fixed_length_catalog(spark, records, tmp_path):
     with pytest.raises(Exception, match="record_len"):
         jobs.convert(spark, f"{tmp_path}/in.fb", f"{tmp_path}/no", catalog=catalog, filetype="MFFB")
     out = jobs.convert(spark, f"{tmp_path}/in.fb", f"{tmp_path}/out", catalog=catalog, filetype="MFFB", record_len=10)
-    assert lines(out["short"]) == ["1\t1.50\tAB\tBAD_FIELD_RECORD\tz\t"]
+    assert lines(out["short"]) == ["1\t1.50\tAB\t12\tz\t"]
     assert lines(out["long"]) == ["2\t1.50\tABCD\t"]
 
 

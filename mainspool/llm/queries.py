@@ -13,6 +13,10 @@ from mainspool.session import scratch_path
 
 #: Where the public model file lies; never copied into the repository.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+#: Fixed value: how the public byte-level vocabulary splits texts.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def grades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +60,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "training-order")
-    return training_order.write_order(table(spark, sf_dir, "documents"), path, sentencepieces.load(PIECES), key=20)
+    return training_order.write_order(table(spark, sf_dir, "documents"), path, training_order.load(RANKS), PATTERN, key=20)
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,27 +1,28 @@
 """Token ids as fixed-stride binary shards in training order.
 
-Texts are encoded by the public model's own library; each text ends with the end token, and the
-ids of a partition's texts run on through sequences of ``length`` ids, of which only the last of a
-partition is filled up. A sequence's number is its partition and its place there, a
-number below ``partitions << ROW_BITS``. A keyed Feistel network permutes the next power of
-four; numbers that leave the domain walk on along their cycle until they are back in it. The
-global slot of a sequence is its rank in this order: equal stretches of the permuted domain are
-the shards, a range partitioning brings each together, and a shard's first slot is the number of
-sequences in the shards before it. So ids are made once and moved once: permuting
-``0 .. n - 1`` itself would need the count of sequences first, which costs a second
-encoding or a second copy.
+Texts are encoded by a public byte-level pair vocabulary and library. Each text ends with the
+end token, the first id past the vocabulary, and the ids of a partition's texts run on through
+sequences of ``length`` ids, of which only the last of a partition is filled up, with end tokens.
+A sequence's number is its partition and its place there, a number below
+``partitions << ROW_BITS``. A keyed Feistel network permutes the next power of four; numbers
+that leave the domain walk on along their cycle until they are back in it. The global slot of a
+sequence is its rank in this order: equal stretches of the permuted domain are the shards, each
+task gets a range of them, and a shard's first slot is the number of sequences in the shards
+before it. So ids are made once and moved once: permuting ``0 .. n - 1`` itself would need
+the count of sequences first, which costs a second encoding or a second copy.
 
 A shard is a file of records of ``length`` little-endian ids, two bytes each (four for
-vocabularies over 65,536). The record of a slot is ``(slot - first) * stride`` bytes into
+vocabularies over 65,535). The record of a slot is ``(slot - first) * stride`` bytes into
 its shard, so reading goes on at any slot. A shard is written under a name of its
 attempt and renamed: a task that runs twice leaves one file with the same bytes.
 
 Null texts give no ids, empty ones the end token. Repeated rows are written each; an
-empty table gives no rows and empty shards.
+empty table gives no rows and no files.
 """
 
 from __future__ import annotations
 
+import base64
 import uuid
 from zlib import crc32
 
@@ -40,6 +41,9 @@ LENGTH = 1024
 #: Text bytes for a shard, and the fewest shards, so that small tables still spread.
 SHARD_BYTES, LEAST_SHARDS = 256 << 20, 64
 
+#: Tasks that write at most; a task writes its shards one after the other.
+TASKS = 100_000
+
 
 def feistel(numbers: np.ndarray, domain: int, key: int) -> np.ndarray:
     """A keyed permutation of ``0 .. domain - 1``."""
@@ -82,12 +86,39 @@ def filesystem(uri: str):
     return found, f"/{path}" if scheme in ("hdfs", "viewfs") else f"{host}/{path}"
 
 
-def _sequences(model: bytes, length: int, domain: int, key: int, shards: int, wide: str):
+class Encoder:
+    """The ids of whole texts, each with the end token, by the public library."""
+
+    def __init__(self, vocabulary: bytes, pattern: str, wide: str):
+        import tiktoken
+
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+        self.library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.wide = wide
+        self.end = max(ranks.values()) + 1
+
+    def encode(self, text: str) -> np.ndarray:
+        ids = self.library.encode_to_numpy(text, disallowed_special=())
+        return np.append(ids, self.end).astype(self.wide)
+
+
+def load(path: str) -> bytes:
+    """The vocabulary file (base64 piece and rank a line), read once on the driver."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def ids_in(vocabulary: bytes) -> int:
+    """Ids of a vocabulary with the end token."""
+    return max(int(line.split()[1]) for line in vocabulary.splitlines()) + 2
+
+
+def _sequences(vocabulary: bytes, pattern: str, length: int, domain: int, key: int, shards: int, wide: str):
     def run(batches):
-        import sentencepiece
         from pyspark import TaskContext
 
-        sp = per_worker(("library", crc32(model)), lambda: sentencepiece.SentencePieceProcessor(model_proto=model))
+        made = ("encoder", crc32(vocabulary), pattern, wide)
+        encoder = per_worker(made, lambda: Encoder(vocabulary, pattern, wide))
         first = TaskContext.get().partitionId() << ROW_BITS
         done, ids, owners, fill = 0, np.zeros(0, wide), [], 0
         stretch = -(-domain // shards)
@@ -99,7 +130,7 @@ def _sequences(model: bytes, length: int, domain: int, key: int, shards: int, wi
             if not count:
                 return None, ids, owners
             fill = count * length - len(ids) if last else 0
-            whole = np.r_[ids, np.zeros(fill, wide)] if last else ids[: count * length]
+            whole = np.r_[ids, np.full(fill, encoder.end, wide)] if last else ids[: count * length]
             ends = np.array([e for e, _ in owners])
             docs, sizes = [], []
             for k in range(count):
@@ -120,15 +151,13 @@ def _sequences(model: bytes, length: int, domain: int, key: int, shards: int, wi
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts = part.column(1).to_pylist()
-                some = [k for k, t in enumerate(texts) if t is not None]
-                docs = part.column(0).to_pylist()
-                found = sp.encode([texts[k] for k in some], num_threads=1) if some else []
                 parts, end = [ids], len(ids)
-                for k, x in zip(some, found):
-                    parts.append(np.array([*x, sp.eos_id()], wide))
-                    end += len(x) + 1
-                    owners.append((end, docs[k]))
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if text is None:
+                        continue
+                    parts.append(encoder.encode(text))
+                    end += len(parts[-1])
+                    owners.append((end, doc))
                 out, ids, owners = rows(np.concatenate(parts), owners, False)
                 if out is not None:
                     yield out
@@ -173,25 +202,24 @@ def _write(path: str):
     return run
 
 
-def write_order(docs: DataFrame, path: str, model: bytes, key: int, id: str = "doc_id", text: str = "text", length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Write the shards below ``path``, a shared folder; one row per sequence, by slot.
+def write_order(docs: DataFrame, path: str, vocabulary: bytes, pattern: str, key: int, id: str = "doc_id", text: str = "text", length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Write the shards below ``path``, a shared folder; one row per sequence.
 
     Columns: slot, shard, byte_offset, doc_ids (those with ids in the sequence, in order),
     n_tokens (less for the filled-up last of a partition), crc32 of the record.
     """
-    import sentencepiece
-
     files, base = filesystem(path)
     files.create_dir(base, recursive=True)
     texts = docs.select(F.col(f"`{id}`").cast("bigint").alias("i"), F.col(f"`{text}`").alias("t"))
     size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-size // shard_bytes))
-    vocabulary = sentencepiece.SentencePieceProcessor(model_proto=model).get_piece_size()
-    wide = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    wide = "<u2" if ids_in(vocabulary) <= 1 << 16 else "<u4"
     parts = max(1, texts.rdd.getNumPartitions())
-    run = _sequences(model, length, parts << ROW_BITS, key, shards, wide)
+    run = _sequences(vocabulary, pattern, length, parts << ROW_BITS, key, shards, wide)
     rows = texts.mapInArrow(run, "shard int, place bigint, doc_ids array<bigint>, n_tokens int, record binary")
-    dealt = rows.repartitionByRange("shard").sortWithinPartitions("shard", "place")
+    # shards are equal stretches, so ranges of them are even without sampling the rows first
+    tasks = min(shards, TASKS)
+    dealt = rows.repartitionById(tasks, F.expr(f"cast(shard * {tasks}L div {shards} AS int)")).sortWithinPartitions("shard", "place")
     written = materialise(dealt.mapInArrow(_write(path), "shard int, place bigint, doc_ids array<bigint>, n_tokens int, rank bigint, crc32 bigint"))
     counts = written.groupBy("shard").agg(F.max("rank").alias("n"))  # a row per shard
     first = counts.select("shard", F.coalesce(F.sum(F.col("n") + 1).over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))

@@ -1,16 +1,17 @@
 """Sharding, training order and the pipeline."""
 
+import base64
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
-import sentencepiece
+import tiktoken
 
 import corpus_pipeline
 from mainspool.llm import decontaminate, ordinal, sharding, simhash, training_order
-from mainspool.llm.queries import PIECES, QUERIES, grades
+from mainspool.llm.queries import PATTERN, QUERIES, RANKS, grades
 
 
 def _brute_shards(rows, n):
@@ -76,10 +77,9 @@ def test_training_order_round_trip(spark, tmp_path):
     rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "δ"]) for _ in range(rng.randint(0, 400)))) for i in range(300)]
     rows += [(900, None), (901, ""), (5, rows[5][1]), (902, "long " * 30_000), (None, "no id")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    with open(PIECES, "rb") as f:
-        model = f.read()
+    vocabulary = training_order.load(RANKS)
     path, length = str(tmp_path / "order"), 64
-    got = training_order.write_order(df, path, model, key=4, length=length, shard_bytes=4096).collect()
+    got = training_order.write_order(df, path, vocabulary, PATTERN, key=4, length=length, shard_bytes=4096).collect()
     assert sorted(r.slot for r in got) == list(range(len(got)))
     firsts = {}
     for r in got:
@@ -95,25 +95,33 @@ def test_training_order_round_trip(spark, tmp_path):
     # undo the permutation by brute force: sequences in order are the partitions' texts in order
     parts = df.rdd.glom().collect()
     numbers = []
-    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     want = []
     for p, part in enumerate(parts):
-        ids = [x for r in part if r.text is not None for x in (*sp.encode(r.text), sp.eos_id())]
+        ids = [x for r in part if r.text is not None for x in (*library.encode_ordinary(r.text), 50256)]
         count = -(-len(ids) // length)
         numbers += [(p << training_order.ROW_BITS) + k for k in range(count)]
-        want += [(ids + [0] * (count * length - len(ids)))[k * length : (k + 1) * length] for k in range(count)]
+        want += [(ids + [50256] * (count * length - len(ids)))[k * length : (k + 1) * length] for k in range(count)]
     place = training_order.feistel(np.array(numbers, np.uint64), len(parts) << training_order.ROW_BITS, 4)
     order = np.argsort(place)
     assert [read[s] for s in range(len(got))] == [want[i] for i in order]
     whole = {i for r in got for i in r.doc_ids}
     assert whole == {i for i, t in rows if t is not None}
-    assert sum(r.n_tokens for r in got) == sum(len(sp.encode(t)) + 1 for _, t in rows if t is not None)
+    assert sum(r.n_tokens for r in got) == sum(len(library.encode_ordinary(t)) + 1 for _, t in rows if t is not None)
 
 
 def test_training_order_of_nothing(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
-    with open(PIECES, "rb") as f:
-        assert training_order.write_order(df, str(tmp_path / "none"), f.read(), key=1).count() == 0
+    assert training_order.write_order(df, str(tmp_path / "none"), training_order.load(RANKS), PATTERN, key=1).count() == 0
+
+
+def test_ids_are_the_library_ids(spark):
+    vocabulary = training_order.load(RANKS)
+    encoder = training_order.Encoder(vocabulary, PATTERN, "<u2")
+    odd = ["", " ", "a  b\n\n c ", "it's we'll", "naïve ß 漢字 🜚 é", "x1 22 ###$%", "\t tabs\r\n", "a" * 200, "\u00a0 x\u2003y"]
+    for text in odd + [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]:
+        assert encoder.encode(text).tolist() == [*encoder.library.encode_ordinary(text), 50256]
 
 
 # the pipeline

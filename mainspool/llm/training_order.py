@@ -4,7 +4,7 @@ Texts are encoded by a public byte-level pair vocabulary and library. Each text
 end token, the first id past the vocabulary, and the ids of a partition's texts run on through
 sequences of ``length`` ids, of which only the last of a partition is filled up, with end tokens.
 A sequence's number is its partition and its place there, a number below
-``partitions << ROW_BITS``. A keyed Feistel network permutes the next power of four; numbers
+``PARTITIONS << ROW_BITS``. A keyed Feistel network permutes the next power of four; numbers
 that leave the domain walk on along their cycle until they are back in it. The global slot of a
 sequence is its rank in this order: equal stretches of the permuted domain are the shards, each
 task gets a range of them, and a shard's first slot is the number of sequences in the shards
@@ -34,7 +34,8 @@ from pyspark.sql.window import Window
 
 from mainspool.llm.common import materialise, per_worker
 
-ROW_BITS = 40
+#: Bits of a sequence's place in its partition, and more partitions than any table has.
+ROW_BITS, PARTITIONS = 40, 3 << 20
 ROUNDS = 8
 LENGTH = 1024
 
@@ -214,8 +215,7 @@ def write_order(docs: DataFrame, path: str, vocabulary: bytes, pattern: str, key
     size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-size // shard_bytes))
     wide = "<u2" if ids_in(vocabulary) <= 1 << 16 else "<u4"
-    parts = max(1, texts.rdd.getNumPartitions())
-    run = _sequences(vocabulary, pattern, length, parts << ROW_BITS, key, shards, wide)
+    run = _sequences(vocabulary, pattern, length, PARTITIONS << ROW_BITS, key, shards, wide)
     rows = texts.mapInArrow(run, "shard int, place bigint, doc_ids array<bigint>, n_tokens int, record binary")
     # shards are equal stretches, so ranges of them are even without sampling the rows first
     tasks = min(shards, TASKS)

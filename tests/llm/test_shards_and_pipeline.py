@@ -103,7 +103,7 @@ def test_training_order_round_trip(spark, tmp_path):
         count = -(-len(ids) // length)
         numbers += [(p << training_order.ROW_BITS) + k for k in range(count)]
         want += [(ids + [50256] * (count * length - len(ids)))[k * length : (k + 1) * length] for k in range(count)]
-    place = training_order.feistel(np.array(numbers, np.uint64), len(parts) << training_order.ROW_BITS, 4)
+    place = training_order.feistel(np.array(numbers, np.uint64), training_order.PARTITIONS << training_order.ROW_BITS, 4)
     order = np.argsort(place)
     assert [read[s] for s in range(len(got))] == [want[i] for i in order]
     whole = {i for r in got for i in r.doc_ids}

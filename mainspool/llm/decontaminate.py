@@ -43,7 +43,7 @@ K1, B = 1.2, 0.75
 SHINGLE, OVERLAP = 5, 0.8
 
 #: Items in a block of a list; bytes of item text in one index.
-BLOCK, INDEX_BYTES = 16, 64 << 20
+BLOCK, INDEX_BYTES = 16, 8 << 20
 
 #: The share of its threshold that an item may get before the pivot.
 BEFORE = 0.6

@@ -95,6 +95,7 @@ def convert(
     rejects: str | None = None,
     index: DataFrame | None = None,
     chunk_bytes: int | None = None,
+    bdw: bool = False,
 ) -> dict[str, str]:
     """Decode files and write them; gives back the folder of each table written.
 
@@ -105,7 +106,8 @@ def convert(
     length of fixed-length records, needed where a catalog's types differ in length;
     ``record_length`` keeps only records so long. With ``on_corrupt="reject"`` a corrupt
     file ends where it is corrupt; ``rejects`` is a folder that then lists such places. The
-    index of variable-length files is made once for both, unless ``index`` brings one.
+    index of variable-length files is made once for both, unless ``index`` brings one. ``bdw``
+    says that their records lie in blocks with descriptors.
     """
     framing, dialect = FILE_TYPES[filetype.upper()]
     if catalog is not None and (include or exclude or strict or table is not None):
@@ -116,6 +118,8 @@ def convert(
     extra = {"split": split, "dialect": dialect} if mode == "text" else {"split": split}
     empty = spark.createDataFrame([], _NO_RECORDS)
     reading = {} if chunk_bytes is None else {"chunk_bytes": chunk_bytes}
+    if framing == "variable":
+        reading["bdw"] = bdw
     if catalog is None and layout is None:
         raise LayoutError("convert needs a layout or a catalog")
 
@@ -203,6 +207,7 @@ def split(
     rejects: str | None = None,
     index: DataFrame | None = None,
     chunk_bytes: int | None = None,
+    bdw: bool = False,
 ) -> None:
     """Write one variable-length record per segment, in one folder per input file.
 
@@ -210,6 +215,8 @@ def split(
     error or that hold none and, with ``on_corrupt="reject"``, where corrupt files were given up.
     """
     reading = {} if chunk_bytes is None else {"chunk_bytes": chunk_bytes}
+    if FILE_TYPES[filetype.upper()][0] == "variable":
+        reading["bdw"] = bdw
     if FILE_TYPES[filetype.upper()][0] == "fixed":
         records = scan(spark, paths, filetype, layout=header_layout, record_len=record_len, **reading)
         records = records.withColumn("error", F.lit(None).cast("string"))

@@ -168,6 +168,21 @@ def record_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT count(*) AS records, CAST(1 AS BIGINT) AS first_no, TRUE AS dense, CAST(sum(l_orderkey) AS BIGINT) AS keys
+    FROM lineitem"""
+)
+def scan_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in blocks with descriptors: all are found and numbered without gaps."""
+    records = read_vb(spark, fx.blocked(spark, sf_dir), chunk_bytes=CHUNK, bdw=True)
+    decoded = d.decode_flat(records, lay.SALES).select("file", "rec_no", F.rtrim("ORDER_REF").cast("bigint").alias("key"))
+    each = decoded.groupBy("file").agg(
+        F.count("*").alias("n"), F.min("rec_no").alias("lo"), F.max("rec_no").alias("hi"), F.sum("rec_no").alias("total"), F.sum("key").alias("keys")
+    )
+    dense = (F.col("hi") == F.col("n")) & (F.col("total") == F.expr("n * (n + 1) div 2"))
+    return each.agg(F.sum("n").alias("records"), F.min("lo").alias("first_no"), F.every(dense).alias("dense"), F.sum("keys").alias("keys"))
+
+
 # --- field decode ---------------------------------------------------------------------
 
 

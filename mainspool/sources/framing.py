@@ -157,6 +157,45 @@ def variable_records(path: str, start: int, end: int, length: int, first: int) -
                 return
 
 
+def blocked_records(path: str, start: int, end: int, length: int, first: int) -> Iterator[pa.RecordBatch]:
+    """Records of the blocks that start in ``[start, end)``: a block has a descriptor like a
+    record's, and holds whole records. A block that does not is where the file is given up."""
+    rec_no, at = first, start
+    for batch in variable_records(path, start, end, length, 1):
+        if batch.column(4).null_count < batch.num_rows:  # the scan's own reject
+            yield _reject(path, rec_no, at, batch.column(4)[0].as_py().rsplit(" at byte ", 1)[0])
+            return
+        blocks = batch.column(3)
+        ends = np.frombuffer(blocks.buffers()[1], dtype=np.int32)[1 : len(blocks) + 1].tolist()
+        body = blocks.buffers()[2].to_pybytes()[: ends[-1]] if ends[-1] else b""
+        starts: list[int] = []
+        begin, bad = 0, None
+        for stop in ends:
+            found, nxt, corrupt = follow(body, begin, stop)
+            starts += found
+            if corrupt or nxt != stop:
+                # a record that reaches past its block is not whole
+                if not corrupt and found and nxt > stop:
+                    nxt = starts.pop()
+                bad = nxt
+                break
+            begin = stop
+        last = begin if bad is None else bad
+        if starts:
+            where = np.array(starts, dtype=np.int64)
+            sizes = np.diff(np.append(where, last)) - DESCRIPTOR
+            kept = np.ones(last, dtype=bool)
+            for k in range(DESCRIPTOR):
+                kept[where + k] = False
+            yield _batch(path, rec_no, sizes, np.frombuffer(body, dtype=np.uint8, count=last)[kept])
+            rec_no += len(starts)
+        if bad is not None:
+            block = next(i for i, stop in enumerate(ends) if bad < stop or i + 1 == len(ends))
+            yield _reject(path, rec_no, at + bad + DESCRIPTOR * (block + 1), "bad record descriptor in a block")
+            return
+        at += ends[-1] + DESCRIPTOR * len(ends)
+
+
 def fixed_records(path: str, start: int, end: int, record_len: int) -> Iterator[pa.RecordBatch]:
     """Fixed-length records in ``[start, end)``; the file's last one may be short."""
     step = max(BLOCK // record_len, 1) * record_len

@@ -19,12 +19,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mainspool.session import shared_dir
 from mainspool.sources.files import list_files, tasks_for, totals
 from mainspool.sources.fixed import CHUNK_BYTES, RECORD_DDL, spread
-from mainspool.sources.framing import LONGEST, chunk_chains, variable_records
+from mainspool.sources.framing import LONGEST, blocked_records, chunk_chains, variable_records
 
 #: Maps composed into one.
 FAN = 16
@@ -79,10 +80,43 @@ def _opened(span: int):
     return run
 
 
-def vb_ranges(spark: SparkSession, paths: str | Sequence[str], *, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def _count_blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges with the number of records in their blocks, and whether one ends in a reject."""
+    for batch in batches:
+        counts, bad = [], []
+        for r in batch.to_pylist():
+            found = [(b.num_rows, b.column(3).null_count) for b in blocked_records(r["file"], r["start"], r["end"], r["length"], 1)]
+            counts.append(sum(n for n, rejected in found if not rejected))
+            bad.append(any(rejected for _, rejected in found))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(bad)], names=[*batch.schema.names, "n", "bad"])
+
+
+def _numbered(ranges: DataFrame, chunk_bytes: int) -> DataFrame:
+    """First record numbers from the counts of ranges: prefix sums in stretches of ranges, then
+    over the stretches of a file."""
+    counted = spread(ranges.drop("first_rec_no"), "start", max(1, ranges.count())).mapInArrow(
+        _count_blocked, "file string, start bigint, end bigint, length bigint, n bigint, bad boolean"
+    )
+    counted = counted.withColumn("stretch", F.expr(f"start div ({chunk_bytes}L * 4096)")).checkpoint()
+    # a file ends where a block is corrupt, whichever range that is in
+    ends = counted.filter("bad").groupBy(F.col("file").alias("f")).agg(F.min("start").alias("e"))
+    counted = counted.join(ends, F.col("file") == F.col("f"), "left").filter("e IS NULL OR start <= e").drop("f", "e")
+    before = lambda *by: W.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(W.unboundedPreceding, -1)
+    stretches = counted.groupBy("file", "stretch").agg(F.sum("n").alias("n"))
+    offsets = stretches.select(F.col("file").alias("f"), F.col("stretch").alias("s"), F.coalesce(F.sum("n").over(before("file", "stretch")), F.lit(0)).alias("o"))
+    local = counted.withColumn("b", F.coalesce(F.sum("n").over(before("file", "stretch", "start")), F.lit(0)))
+    joined = local.join(offsets, (F.col("file") == F.col("f")) & (F.col("stretch") == F.col("s")))
+    return joined.select("file", "start", "end", "length", (F.col("o") + F.col("b") + 1).alias("first_rec_no")).checkpoint()
+
+
+def vb_ranges(
+    spark: SparkSession, paths: str | Sequence[str], *, chunk_bytes: int = CHUNK_BYTES, bdw: bool = False
+) -> DataFrame:
     """The read index: ``(file, start, end, length, first_rec_no)``, one row a range.
 
-    Write it to a table to read the same files again without another index scan.
+    Write it to a table to read the same files again without another index scan. With ``bdw``
+    the files hold blocks with descriptors of their own; the index is then one of blocks, and
+    the records in them are counted in a scan more.
     """
     files = list_files(spark, paths).filter("length > 0").select(F.col("path").alias("file"), "length")
     total, largest = totals(files)
@@ -112,7 +146,8 @@ def vb_ranges(spark: SparkSession, paths: str | Sequence[str], *, chunk_bytes: i
         "length",
         (F.col("n") + 1).alias("first_rec_no"),
     )
-    return ranges.checkpoint()
+    ranges = ranges.checkpoint()
+    return _numbered(ranges, chunk_bytes) if bdw else ranges
 
 
 def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,18 +156,31 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from variable_records(r["file"], r["start"], r["end"], r["length"], r["first_rec_no"])
 
 
-def _scan(spark: SparkSession, paths: str | Sequence[str], chunk_bytes: int, index: DataFrame | None) -> DataFrame:
-    ranges = vb_ranges(spark, paths, chunk_bytes=chunk_bytes) if index is None else index
+def _read_blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for r in batch.to_pylist():
+            yield from blocked_records(r["file"], r["start"], r["end"], r["length"], r["first_rec_no"])
+
+
+def _scan(
+    spark: SparkSession, paths: str | Sequence[str], chunk_bytes: int, index: DataFrame | None, bdw: bool
+) -> DataFrame:
+    ranges = vb_ranges(spark, paths, chunk_bytes=chunk_bytes, bdw=bdw) if index is None else index
     total = ranges.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
-    return spread(ranges, "start", tasks_for(total, chunk_bytes)).mapInArrow(_read_ranges, RECORD_DDL)
+    return spread(ranges, "start", tasks_for(total, chunk_bytes)).mapInArrow(_read_blocked if bdw else _read_ranges, RECORD_DDL)
 
 
 def tagged_vb(
-    spark: SparkSession, paths: str | Sequence[str], *, chunk_bytes: int = CHUNK_BYTES, index: DataFrame | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    chunk_bytes: int = CHUNK_BYTES,
+    index: DataFrame | None = None,
+    bdw: bool = False,
 ) -> DataFrame:
     """Records and rejects of one scan: ``(file, rec_no, rec_len, rec, error)``; a row with an
     ``error`` says where a corrupt file was given up and holds no record."""
-    return _scan(spark, paths, chunk_bytes, index)
+    return _scan(spark, paths, chunk_bytes, index, bdw)
 
 
 def read_vb(
@@ -142,16 +190,18 @@ def read_vb(
     on_corrupt: str = "fail",
     chunk_bytes: int = CHUNK_BYTES,
     index: DataFrame | None = None,
+    bdw: bool = False,
 ) -> DataFrame:
     """``(file, rec_no, rec_len, rec)`` of variable-length files; ``rec`` is without
-    its descriptor, ``rec_no`` counts from 1 in each file.
+    its descriptor, ``rec_no`` counts from 1 in each file. ``bdw`` says that the records lie in
+    blocks with descriptors of their own; without it such a file reads as a record per block.
 
     A corrupt descriptor ends its file, as no later record start can be trusted. It
     fails the query, or with ``on_corrupt="reject"`` shows up in :func:`vb_rejects`.
     """
     if on_corrupt not in ("fail", "reject"):
         raise ValueError(f"on_corrupt must be 'fail' or 'reject', not {on_corrupt!r}")
-    scanned = _scan(spark, paths, chunk_bytes, index)
+    scanned = _scan(spark, paths, chunk_bytes, index, bdw)
     if on_corrupt == "fail":
         message = F.concat(F.col("file"), F.lit(": "), F.col("error"))
         scanned = scanned.filter(F.col("error").isNull() | F.raise_error(message).cast("boolean"))
@@ -166,7 +216,8 @@ def vb_rejects(
     *,
     chunk_bytes: int = CHUNK_BYTES,
     index: DataFrame | None = None,
+    bdw: bool = False,
 ) -> DataFrame:
     """``(file, rec_no, error)``: where each corrupt file was given up."""
-    scanned = _scan(spark, paths, chunk_bytes, index)
+    scanned = _scan(spark, paths, chunk_bytes, index, bdw)
     return scanned.filter(F.col("error").isNotNull()).select("file", "rec_no", "error")

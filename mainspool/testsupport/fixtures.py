@@ -143,6 +143,22 @@ def sales_vb(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+def blocked(spark: SparkSession, sf_dir: str) -> str:
+    """Variable-length sales records in blocks: up to 40 records of an order, each behind its own
+    descriptor, behind the block's."""
+
+    def build() -> DataFrame:
+        size = F.lpad(F.hex(F.octet_length("rec") + 4), 4, "0")
+        framed = F.concat(size, F.lit("0000"), F.hex("rec"))
+        each = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", sale_record().alias("rec"))
+        part = F.pmod(F.xxhash64("l_partkey", "rec"), F.lit(4096))
+        blocks = each.groupBy("l_orderkey", part).agg(F.collect_list(framed).alias("records"))
+        cut = F.explode(F.expr("transform(sequence(0, (size(records) - 1) div 40), i -> slice(records, i * 40 + 1, 40))"))
+        return blocks.select(cut.alias("records")).select(F.unhex(F.array_join("records", "")).alias("rec"))
+
+    return _once(spark, sf_dir, "blocked", build)
+
+
 def suppliers(spark: SparkSession, sf_dir: str) -> str:
     """Fixed-length: one record per supplier."""
 

@@ -66,6 +66,26 @@ def test_one_scan_gives_records_and_rejects(spark, record_file):
     assert sorted((r["rec_no"], r["rec"], r["error"]) for r in found) == [(1, b"ab", None), (2, b"c", None), (3, None, "bad record descriptor at byte 11")]
 
 
+@pytest.mark.parametrize("chunk", [50, 1000, 1 << 20])
+def test_blocks_with_descriptors(spark, record_file, chunk):
+    rng = random.Random(14)
+    records = random_records(13, 300, 40)
+    blocks, at = [], 0
+    while at < len(records):
+        n = rng.randrange(0, 9)
+        blocks.append(framed(records[at : at + n]))
+        at += n
+    path = record_file(framed(blocks))
+    assert rows(read_vb(spark, path, chunk_bytes=chunk, bdw=True)) == expected(records)
+    broken = record_file(framed([*blocks, framed([b"last"]) + b"\0\1\0\0"]) + framed([framed([b"unseen"])]), "broken.vb")
+    kept = read_vb(spark, broken, chunk_bytes=chunk, bdw=True, on_corrupt="reject")
+    assert rows(kept) == expected([*records, b"last"])
+    where = len(framed(blocks)) + 4 + 8
+    assert [(r["rec_no"], r["error"]) for r in vb_rejects(spark, broken, chunk_bytes=chunk, bdw=True).collect()] == [
+        (302, f"bad record descriptor in a block at byte {where}")
+    ]
+
+
 def test_paths_with_odd_characters(spark, record_file):
     path = record_file(framed([b"ab"]), "a b%20c/d#e?f+.vb")
     assert rows(read_vb(spark, path.rsplit("/", 1)[0])) == [(1, 2, b"ab")]

@@ -53,7 +53,7 @@ def test_records_longer_than_chunks(spark, record_file):
 
 def test_a_file_of_many_chunks(spark, record_file):
     """More than 4,096 ranges in one file, full of what looks like record starts."""
-    records = [b"\x00\x08\x00\x00" * 4, b"\x00\x08\x00\x00" * 9 + b"x"] * 3500
+    records = [b"\x00\x08\x00\x00" * 4, b"\x00\x08\x00\x00" * 9 + b"x"] * 3000
     path = record_file(framed(records))
     ranges = vb_ranges(spark, path, chunk_bytes=40)
     assert ranges.count() > 4096

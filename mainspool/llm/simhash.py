@@ -221,7 +221,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", kee
     distinct = materialise(marked.groupBy("fp").agg(F.min(f"`{id}`").alias("least")))
     roots = components(linked(distinct, radius))
     of_root = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("class"))
-    ids = of_root.groupBy("class").agg(F.min("least").alias("component_id"))
+    # written, so that a class of very many fingerprints is a skewed join, which Spark splits
+    ids = materialise(of_root.groupBy("class").agg(F.min("least").alias("component_id")))
     classes = materialise(of_root.join(ids, "class").select(F.col("fp").alias("__fp"), F.col("class").alias("class_fp"), "component_id"))
     named = without(marked, ["fingerprint", "component_id", "class_fp"])
     return named.join(classes, named.fp == classes["__fp"]).select(*named.columns, "class_fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -40,6 +40,9 @@ TEMPER = 0.3
 FLOOR = 0.6
 UNKNOWN = "und"
 
+#: Rows of evidence that are sent to all tasks at most.
+EVIDENCE_ROWS = 20_000
+
 #: Pseudo-counts: a trigram's, a declaration's, and the weight of the parent's prior.
 TRIGRAM, DECLARED, PARENT = 0.5, 1.0, 20.0
 
@@ -168,6 +171,8 @@ def identify(docs: DataFrame, declared: str = "lang", host: str = "source", suff
     own = docs.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])), declared_code(F.col(f"`{declared}`")).alias(keys[0]), text_of(suffix).alias(keys[1]), text_of(parent).alias(keys[2]), text_of(host).alias(keys[3]))
     said = materialise(evidence(score(own, model, text, keep=keys), model, keys))
     said = said.select(*(F.col(c).alias(f"{c}2") for c in keys), "__prior")
+    if said.count() <= EVIDENCE_ROWS:  # else joined by shuffle
+        said = F.broadcast(said)
     scored = without(score(own, model, text, keep=[*keep, *keys]), ["language", "posterior", "text_language", "kept"])
     keep = [c for c in keep if c.lower() not in {"language", "posterior", "text_language", "kept"}]
     joined = scored.join(said, [scored[c].eqNullSafe(said[f"{c}2"]) for c in keys], "left")

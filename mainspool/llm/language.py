@@ -129,8 +129,9 @@ def _logs(counts: list[Column], weight: float, parent: list[Column]) -> list[Col
     return [F.log((n + weight * p) / total) for n, p in zip(counts, parent)]
 
 
-def evidence(scored: DataFrame, model: Model, keys: list[str]) -> DataFrame:
-    """``keys`` (declared, suffix, parent, host) with ``__prior``, log evidence by class."""
+def evidence(scored: DataFrame, model: Model, keys: list[str], rows: DataFrame | None = None) -> DataFrame:
+    """``keys`` (declared, suffix, parent, host) with ``__prior``, log evidence by class, for each
+    of their combinations in ``rows``, by default in the scored rows."""
     k = len(model.languages)
     best = F.array_position("__text", F.array_max("__text")) - 1
     cube = materialise(scored.where("__letters > 0").groupBy(*keys, best.alias("__class")).agg(F.count("*").alias("__n")))
@@ -144,7 +145,7 @@ def evidence(scored: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     every = [float(n or 0) for n in every]
     total = sum(every)
     base = [(n + 1.0) / (total + k) for n in every]
-    out = scored.select(*keys).distinct() if not total else scored.groupBy(*keys).agg(F.lit(1).alias("__one")).drop("__one")
+    out = (scored if rows is None else rows).select(*keys).distinct()
     n_suffix, n_declared = (max(1, cube.select(c).distinct().count()) for c in (suffix, declared))
     for name, by in (("__d", [declared]), ("__s", [suffix]), ("__p", [suffix, parent]), ("__h", [suffix, parent, host])):
         other = counted(name, *by).select(*(F.col(c).alias(f"__{c}") for c in by), name)
@@ -169,7 +170,7 @@ def identify(docs: DataFrame, declared: str = "lang", host: str = "source", suff
     keys = ["__declared", "__suffix", "__parent", "__host"]
     text_of = lambda c: F.lit(None).cast("string") if c is None else F.col(f"`{c}`").cast("string")
     own = docs.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])), declared_code(F.col(f"`{declared}`")).alias(keys[0]), text_of(suffix).alias(keys[1]), text_of(parent).alias(keys[2]), text_of(host).alias(keys[3]))
-    said = materialise(evidence(score(own, model, text, keep=keys), model, keys))
+    said = materialise(evidence(score(own, model, text, keep=keys), model, keys, own))
     said = said.select(*(F.col(c).alias(f"{c}2") for c in keys), "__prior")
     if said.count() <= EVIDENCE_ROWS:  # else joined by shuffle
         said = F.broadcast(said)

@@ -233,10 +233,17 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: in
 
     Null ids come last. Rows equal in every column are one row.
     """
-    columns = [f"`{c}`" for c in docs.columns]
-    hashed = docs.withColumn("__row", F.xxhash64(*columns))
-    found = near_duplicates(hashed, id, text, keep=[id, "__row"], radius=radius)
+    hashed = with_row_hash(docs)
+    return keep_first(hashed, near_duplicates(hashed, id, text, keep=[id, "__row"], radius=radius), "class_fp", id)
+
+
+def with_row_hash(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("__row", F.xxhash64(*(f"`{c}`" for c in docs.columns)))
+
+
+def keep_first(hashed: DataFrame, found: DataFrame, key: str, id: str) -> DataFrame:
+    """The rows of ``hashed`` that come first in their class ``key`` of ``found``."""
     order = F.struct(F.col(f"`{id}`").isNull().alias("n"), F.col(f"`{id}`").alias("i"), F.col("__row").alias("r"))
-    chosen = materialise(found.groupBy("class_fp").agg(F.min(order).alias("o")).select(F.col("o.i").alias("__i"), F.col("o.r").alias("__r")))
+    chosen = materialise(found.groupBy(key).agg(F.min(order).alias("o")).select(F.col("o.i").alias("__i"), F.col("o.r").alias("__r")))
     same = (hashed["__row"] == chosen["__r"]) & hashed[f"`{id}`"].eqNullSafe(chosen["__i"])
     return hashed.join(chosen, same, "left_semi").dropDuplicates(["__row", id]).drop("__row")

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from mainspool.llm import decontaminate, simhash
+import corpus_pipeline
+from mainspool.llm import decontaminate, near_copies, simhash
 from mainspool.llm.components import components
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -136,6 +137,53 @@ def test_near_duplicates_of_nothing(spark):
     assert simhash.near_duplicates(df).count() == 0 and simhash.keep_one(df).count() == 0
 
 
+# near copies by Jaccard similarity
+
+
+def _brute_sets(texts):
+    out = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        out.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set())
+    return out
+
+
+def test_near_copies_like_all_pairs_by_jaccard(spark):
+    rng = random.Random(8)
+    texts = [None, "", "one two", "One two", "a b c d e f"]
+    for copies, changes, chain in ((30, 1, False), (8, 4, True), (10, 12, False)):
+        base = [f"w{rng.randrange(3000)}" for _ in range(150)]
+        for _ in range(copies):  # a dense class, a chain, and copies on both sides of the line
+            words = list(base)
+            for _ in range(changes):
+                words[rng.randrange(len(words))] = f"z{rng.randrange(9999)}"
+            texts.append(" ".join(words))
+            base = words if chain else base
+    sets = _brute_sets(texts)
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for k, b in enumerate(sets[:i]):
+            if root[i] != root[k] and len(a & b) >= 0.8 * len(a | b):
+                lo, hi = sorted((root[i], root[k]))
+                root = [lo if r == hi else r for r in root]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_copies.keep_one(df).collect()) == sorted(set(root))
+
+
+def test_the_pipeline_drops_copies_that_fingerprints_tell_apart(spark):
+    rng = random.Random(1)
+    while True:
+        words = [f"w{rng.randrange(500)}" for _ in range(120)]
+        copy = words[:50] + ["changed"] + words[51:80] + ["words"] + words[81:]
+        texts = [" ".join(words), " ".join(copy)]
+        a, b = _brute_sets(texts)
+        if (simhash.fingerprint(texts[0]) ^ simhash.fingerprint(texts[1])).bit_count() > 4 and len(a & b) >= 0.8 * len(a | b):
+            break
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert [r.doc_id for r in stage(spark, df, "").collect()] == [0]
+
+
 # decontamination
 
 

@@ -9,8 +9,10 @@ headers, footers, sidebars, notices, adverts, forms, comments. For every node le
 with C its characters, T its elements, LC and LT those in links, NLC the characters outside
 links, LCb and Cb the body's (zeros count as one). Elements that only format text within a block
 do not count as elements, so a paragraph is no thinner for its bold words. A block's sum is that
-of its child blocks' densities. The block with the largest sum is the article; the least density on its way up to the body is the threshold, and outside the article only nodes that
-reach it take part, each with its own largest-sum node.
+of its child blocks' densities. The article is the outermost article element around the block
+with the largest sum, else the outermost main, else the last one on the way up before further content is
+mostly links; all of it that is not cut is text. The least density from the largest-sum block up to the body
+is the threshold, and outside the article only nodes that are denser take part.
 
 Blocks are separated by one space, as white space within is; references are decoded once. Null
 or empty pages, and pages with markup only, have empty text. Of equal sums the first in page
@@ -60,6 +62,9 @@ CUT_WORDS = set(
     "related recommended comment comments disqus respond reply replies pagination pager toolbar topbar widget search skip alert dialog disclaimer complementary contentinfo".split()
 )
 
+#: Share of characters in links from which content counts as links.
+LINK_SHARE = 0.5
+
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -181,6 +186,22 @@ def measure(nodes: list[Node]) -> None:
             node.parent.sum += node.density
 
 
+def _article(best: Node) -> Node:
+    """The article around the block with the largest sum."""
+    around = [best]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    for name in ("article", "main"):
+        if named := [n for n in around if n.name == name]:
+            return named[-1]
+    top = best
+    for up in around[1:]:  # up to where what comes in is mostly links
+        if up.link_chars - top.link_chars > LINK_SHARE * (up.chars - top.chars):
+            break
+        top = up
+    return top
+
+
 def content(root: Node) -> list[Node]:
     """The article's nodes, in page order."""
     nodes = _walk(root)
@@ -195,8 +216,9 @@ def content(root: Node) -> list[Node]:
         if up.chars:
             threshold = min(threshold, up.density)
         up = up.parent
+    top = _article(best)
     above = set()
-    up = best
+    up = top
     while up is not None:
         above.add(id(up))
         up = up.parent
@@ -205,7 +227,7 @@ def content(root: Node) -> list[Node]:
         node = todo.pop()
         if node.cut:
             continue
-        if node is best:
+        if node is top:
             out.append(node)
         elif id(node) in above:
             todo += [c for c in reversed(node.children) if isinstance(c, Node)]

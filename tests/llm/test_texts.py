@@ -298,6 +298,17 @@ def test_dense_block_wins_without_names():
     assert "link number" not in got and got.count("article") == 48
 
 
+def test_all_of_an_article_is_text():
+    p = "sentence of an article " * 13
+    first, second = (f"<section>{f'<p>{p}</p>' * n}</section>" for n in (5, 3))
+    rest = "<h2>Second head</h2><ul><li>item one</li><li>item two</li></ul><blockquote>Quoted words</blockquote><pre>code</pre><table><tr><td>cell</td></tr></table><section><p>short end</p></section>"
+    want = " ".join(["The title Lead", *[p.strip()] * 8, "bare words Second head item one item two Quoted words code cell short end"])
+    links = "".join(f"<li><a href='/{i}'>link number {i}</a></li>" for i in range(30))
+    for name in ("article", "main", "div"):
+        page = f"<body><ul>{links}</ul><{name}><h1>The title</h1>Lead{first}{second}bare words{rest}</{name}><ul>{links}</ul></body>"
+        assert html_text.extract(page) == want
+
+
 def test_deep_and_long_pages(spark):
     deep = "<div>" * 5000 + "<p>deep text</p>"
     long = "<article>" + "<p>paragraph text</p>" * 20_000 + "</article>"

@@ -2,7 +2,9 @@
 
 The page is read into a tree of elements, with the usual implied ends. Subtrees that cannot be
 article text are cut by element or by a word of their class, id or role: scripts, styles, menus,
-headers, footers, sidebars, notices, adverts, forms, comments. For every node left
+headers, footers, sidebars, notices, adverts, forms, comments. Forms and what is named by such a word stay
+if they hold the page's main element (its first main, else its first article, else its first h1) or,
+on pages without main and article, more than half of the page's text. For every node left
 
     density = C / T * log(C / LC * T / LT, base ln(C / NLC * LC + LCb / Cb * C + e))
 
@@ -53,7 +55,7 @@ _ENDED_BY = {
 _HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "option": {"select"}}
 
 #: Elements that are never article text.
-CUT = set("script style textarea title xmp iframe noembed noframes head nav aside footer form button select template noscript svg canvas object menu dialog input label".split())
+CUT = set("script style textarea title xmp iframe noembed noframes head nav aside footer button select template noscript svg canvas object menu dialog input label".split())
 
 #: Words of a class, id or role that mark what is not article text.
 CUT_WORDS = set(
@@ -71,25 +73,33 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "cut", "chars", "link_chars", "tags", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "children", "cut", "marked", "chars", "link_chars", "tags", "link_tags", "density", "sum")
 
-    def __init__(self, name: str, parent: Node | None, cut: bool = False):
-        self.name, self.parent, self.cut = name, parent, cut
+    def __init__(self, name: str, parent: Node | None, cut: bool = False, marked: bool = False):
+        self.name, self.parent, self.cut, self.marked = name, parent, cut, marked
         self.children: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _is_cut(name: str, attributes: str, parent: Node) -> bool:
-    outside = parent.name in ("body", "html", "div")
-    if name in CUT or name == "header" and outside:
+def _is_outside(parent: Node) -> bool:
+    return parent.name in ("body", "html", "div")
+
+
+def _is_cut(name: str, parent: Node) -> bool:
+    return name in CUT or name == "header" and _is_outside(parent)
+
+
+def _is_marked(name: str, attributes: str, parent: Node) -> bool:
+    """Whether the element is cut unless it holds the page's main content."""
+    if name == "form":
         return True
     if name in ("html", "body", "article", "main") or "=" not in attributes:
         return False
     for found in _NAMED.finditer(attributes):
         value = found[1].strip("\"'")
         words = {w.lower() for w in _WORD.findall(value)}
-        if words & CUT_WORDS or "header" in words and outside:
+        if words & CUT_WORDS or "header" in words and _is_outside(parent):
             return True
     return False
 
@@ -134,16 +144,40 @@ def parse(page: str) -> Node:
                 top = up
             if top is not None:
                 close(top)
-        node = Node(name, at, _is_cut(name, mark[3] or mark[6] or "", at))
+        node = Node(name, at, _is_cut(name, at), _is_marked(name, mark[3] or mark[6] or "", at))
         at.children.append(node)
         if name in _RAW:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = stop.end() if stop else end
         elif name not in _VOID and not (mark[0].endswith("/>") and name in ("svg", "path")):
             at = node
+    _cut_marked(root)
     return root
 
 
+def _cut_marked(root: Node) -> None:
+    """Cut the marked nodes that do not hold the page's main content."""
+    nodes = _walk(root)
+    if not any(n.marked for n in nodes):
+        return
+    first: dict[str, Node] = {}
+    chars: dict[int, int] = {}
+    for node in nodes:
+        first.setdefault(node.name, node)
+    for node in reversed(nodes):
+        n = chars[id(node)] = chars.get(id(node), 0) + sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        if node.parent is not None:
+            chars[id(node.parent)] = chars.get(id(node.parent), 0) + n
+    up = main = first.get("main") or first.get("article") or first.get("h1")
+    around = set()
+    while up is not None:
+        around.add(id(up))
+        up = up.parent
+    by_size = main is None or main.name == "h1"
+    for node in nodes:
+        node.cut = node.marked and id(node) not in around and not (by_size and 2 * chars[id(node)] > chars[id(root)])
+
+
 def _walk(root: Node) -> list[Node]:
     """Nodes that are not cut, parents first, in page order."""
     out, todo = [], [root]

@@ -309,6 +309,18 @@ def test_all_of_an_article_is_text():
         assert html_text.extract(page) == want
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div class='container has-sidebar'", "div class='content no-sidebar'", "div id='page' class='menu-open'", "div class='post-with-comments'", "section class='article widget'", "form action='/' id=aspnetForm"],
+)
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<h1>Head</h1>{}", "{}"])
+def test_wrappers_named_after_other_blocks_are_not_cut(wrapper, inner):
+    p = "sentence of an article " * 13
+    body = inner.format(f"<p>{p}</p><p>{p}</p>")
+    page = f"<body><{wrapper}><div class='sidebar'>no</div>{body}<form><p>no</p></form><div id='comments'><p>no {'x' * 99}</p></div></{wrapper.split()[0]}></body>"
+    assert html_text.extract(page) == " ".join(["Head"] * ("h1" in inner) + [p.strip()] * 2)
+
+
 def test_deep_and_long_pages(spark):
     deep = "<div>" * 5000 + "<p>deep text</p>"
     long = "<article>" + "<p>paragraph text</p>" * 20_000 + "</article>"

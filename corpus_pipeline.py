@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mainspool.llm import decontaminate, language, near_copies, ordinal, sentencepieces
+from mainspool.llm import decontaminate, language, ordinal, sentencepieces, simhash
 from mainspool.llm.common import table
 from mainspool.llm.queries import PIECES, grades
 from mainspool.session import scratch_path
@@ -29,8 +29,8 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies (five words, 0.8), that of the smallest id."""
-    return near_copies.keep_one(docs)
+    """One document of each class of linked fingerprints, that of the smallest id."""
+    return simhash.keep_one(docs).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mainspool.llm import decision_list, decontaminate, html_text, language, licenses, ordinal, sentencepieces, sharding, simhash, training_order
+from mainspool.llm import decision_list, decontaminate, html_text, language, licenses, mixing, ordinal, sentencepieces, sharding, simhash, training_order
 from mainspool.llm.common import table
 from mainspool.session import scratch_path
 
@@ -72,6 +72,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("licenses").alias("l")).select("doc_id", "l.*")
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,7 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_training_order,
         op9_html_text,
         op10_license_scan,
+        op11_source_mix,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_source_mix": mixing.oracle()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mainspool.llm import decision_list, decontaminate, html_text, language, licenses, mixing, ordinal, sentencepieces, sharding, simhash, training_order
+from mainspool.llm import decision_list, decontaminate, html_text, infill, language, licenses, mixing, ordinal, sentencepieces, sharding, simhash, training_order
 from mainspool.llm.common import table
 from mainspool.session import scratch_path
 
@@ -76,6 +76,13 @@ def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the rearranged texts, and of those put back from them."""
+    moved = infill.restore(infill.transform(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+    digests = (F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored"))
+    return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,7 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_text,
         op10_license_scan,
         op11_source_mix,
+        op12_infill,
     )
 }
 
-ORACLES: dict[str, str] = {"op11_source_mix": mixing.oracle()}
+ORACLES: dict[str, str] = {"op11_source_mix": mixing.oracle(), "op12_infill": infill.oracle()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mainspool.llm import decision_list, decontaminate, html_text, infill, language, licenses, mixing, ordinal, sentencepieces, sharding, simhash, training_order
+from mainspool.llm import decision_list, decontaminate, dialogue, html_text, infill, language, licenses, mixing, ordinal, sentencepieces, sharding, simhash, training_order
 from mainspool.llm.common import table
 from mainspool.session import scratch_path
 
@@ -83,6 +83,10 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair(dialogue.damage(table(spark, sf_dir, "conversations")), dropped="dropped")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,7 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_license_scan,
         op11_source_mix,
         op12_infill,
+        op13_conversation_repair,
     )
 }
 
-ORACLES: dict[str, str] = {"op11_source_mix": mixing.oracle(), "op12_infill": infill.oracle()}
+ORACLES: dict[str, str] = {"op11_source_mix": mixing.oracle(), "op12_infill": infill.oracle(), "op13_conversation_repair": dialogue.oracle()}

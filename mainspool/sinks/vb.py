@@ -1,33 +1,39 @@
 """Variable-length record files.
 
 Each task appends its records to part files, one run of equal ``file`` values at a
-time: ``<path>/<input name>/part-<first record number>-<task>-<n>.vb``. Records are not
+time: ``<path>/<input name>/part-<first record number>-<task>-<n>-..vb``. Records are not
 shuffled, a large input file is written by many tasks, and part names sort in record
 order. Concatenating the parts of one folder gives the file as one piece.
 
-Parts are written below a pending folder of the write; the list of those that tasks
-finished, a row each, is checkpointed, and tasks move them into place. A failing write
-takes back what it moved and removes the pending folder; ``_SUCCESS`` is written last.
+Parts are written in place and committed by a manifest (:mod:`mainspool.sinks.commit`): nothing
+is moved, and the readers of this library read what the manifest lists. With a block size records are
+packed into blocks that have descriptors of their own.
 """
 
 from __future__ import annotations
 
-import uuid
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource
+from pyspark.sql.types import StructType
 
-from mainspool.session import qualified, shared_dir
+from mainspool.session import qualified, scratch_path
+from mainspool.sinks.commit import AttemptNames, PartWriter, save
 from mainspool.sources.files import list_files
 from mainspool.sources.framing import DESCRIPTOR, LONGEST, filesystem
 
-_PART_DDL = "pending string, final string, source string, folder string"
-_REJECT_DDL = "rejected boolean, file string, rec_no bigint, rec_len int, error string, error_at int, rec_hex string"
+_REFUSED = "would both be written to"
+_REJECT_DDL = "file string, rec_no bigint, rec_len int, error string, error_at int, rec_hex string"
 _REJECT_COLUMNS = ("file", "rec_no", "rec_len", "error", "error_at", "rec_hex")
 
+#: Bytes of a part's records kept back to fill blocks with.
+BLOCKED = 4 << 20
+
 
 def framed(records: pa.Array, descriptors: bool) -> bytes:
     """The bytes of a batch of records, each behind its descriptor."""
@@ -55,129 +61,167 @@ def _folder(file: str) -> str:
     return file.rstrip("/").rsplit("/", 1)[-1].replace("'", "")
 
 
-def _writer(root: str, pending: str, descriptors: bool, tagged: bool):
-    """Writes records to pending parts; gives a row per part, and the rejects as they come."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        system, base = filesystem(pending)
-        context = TaskContext.get()
-        task, folder = context.partitionId(), f"{base}/{context.taskAttemptId()}"
-        parts: list[tuple[str, str, str, str]] = []
-        name = stream = None
-
-        def column(batch: pa.RecordBatch, which: str) -> pa.Array:
-            return batch.column(batch.schema.get_field_index(which))
+def block_ends(sizes: np.ndarray, block: int) -> np.ndarray:
+    """Of framed records of these sizes, how many lie in each block, as running totals: each block takes
+    as many whole records as fit."""
+    room = block - DESCRIPTOR
+    if len(sizes) and sizes.max() > room:
+        raise ValueError(f"a record of {sizes.max() - DESCRIPTOR} bytes does not fit a block of {block}")
+    ends, total, at = [], np.concatenate([[0], np.cumsum(sizes)]), 0
+    while at < len(sizes):
+        at = int(np.searchsorted(total, total[at] + room, "right")) - 1
+        ends.append(at)
+    return np.array(ends, dtype=np.int64)
+
+
+def blocked(records: bytes, sizes: np.ndarray, block: int, last: bool) -> tuple[bytes, int]:
+    """Framed records packed into blocks; gives the bytes and how many records they hold. Unless these are
+    the ``last``, the block that may not be full is left for later."""
+    ends = block_ends(sizes, block)
+    if not last:
+        ends = ends[:-1]
+    if not len(ends):
+        return b"", 0
+    starts = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])]
+    lengths = np.diff(starts) + DESCRIPTOR
+    out = bytearray()
+    for start, stop, length in zip(starts[:-1].tolist(), starts[1:].tolist(), lengths.tolist()):
+        out += length.to_bytes(2, "big") + b"\0\0"
+        out += records[start:stop]
+    return bytes(out), int(ends[-1])
+
+
+class _Part:
+    """One open part file."""
+
+    def __init__(self, names: AttemptNames, source: str, first: int, block: int):
+        self.names, self.source, self.block = names, source, block
+        self.path = names.new(_folder(source), f"part-{first:020d}-", ".vb")
+        self.stream, self.bytes, self.rows = names.open(self.path), 0, 0
+        self.held, self.sizes = bytearray(), [np.zeros(0, np.int64)]
+
+    def add(self, data: bytes, sizes: np.ndarray) -> None:
+        self.rows += len(sizes)
+        if not self.block:
+            self._put(data)
+            return
+        self.held += data
+        self.sizes.append(sizes)
+        if len(self.held) >= BLOCKED:
+            self._pack(last=False)
+
+    def _pack(self, last: bool) -> None:
+        sizes = np.concatenate(self.sizes)
+        data, n = blocked(bytes(self.held), sizes, self.block, last)
+        self._put(data)
+        del self.held[: int(sizes[:n].sum())]
+        self.sizes = [sizes[n:]]
+
+    def _put(self, data: bytes) -> None:
+        self.stream.write(data)
+        self.bytes += len(data)
+
+    def close(self) -> dict:
+        if self.block:
+            self._pack(last=True)
+        self.stream.close()
+        return {"path": self.path, "bytes": self.bytes, "rows": self.rows, "source": self.source}
+
+
+class _RecordWriter(PartWriter):
+    def __init__(self, options: dict[str, str], schema: StructType):
+        super().__init__(options)
+        self.columns = schema.names
+        self.descriptors, self.block, self.rejects = options["descriptors"] == "true", int(options["block"]), options.get("rejects")
+
+    def write_parts(self, batches: Iterator[pa.RecordBatch], names: AttemptNames) -> list[dict]:
+        files: list[dict] = []
+        part: _Part | None = None
+        rejected: list[pa.RecordBatch] = []
+
+        def column(batch: pa.RecordBatch, name: str) -> pa.Array:
+            return batch.column(self.columns.index(name))
 
-        def row(n: int, **columns) -> pa.RecordBatch:
-            names = [*("pending", "final", "source", "folder"), *(("rejected", *_REJECT_COLUMNS) if tagged else ())]
-            return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, _TYPES[c])) for c in names], names=names)
-
-        try:
-            for batch in batches:
-                if tagged:
-                    bad = pa.compute.is_valid(column(batch, "error"))
-                    rejects = batch.filter(bad)
-                    if rejects.num_rows:
-                        yield row(rejects.num_rows, rejected=pa.array([True] * rejects.num_rows), **{c: column(rejects, c) for c in _REJECT_COLUMNS})
-                    batch = batch.filter(pa.compute.invert(bad))
-                if not batch.num_rows:
-                    continue
-                files, numbers, records = (column(batch, c) for c in ("file", "rec_no", "rec"))
-                ends = pa.compute.run_end_encode(files).run_ends.to_pylist()
-                for begin, end in zip([0, *ends[:-1]], ends):
-                    if files[begin].as_py() != name or stream is None:
-                        if stream is not None:
-                            stream.close()
-                        name = files[begin].as_py()
-                        part = f"part-{numbers[begin].as_py():020d}-{task:06d}-{len(parts)}.vb"
-                        system.create_dir(folder)
-                        parts.append((f"{folder}/{len(parts)}", f"{root}/{_folder(name)}/{part}", name, _folder(name)))
-                        stream = system.open_output_stream(parts[-1][0])
-                    stream.write(framed(records.slice(begin, end - begin), descriptors))
-        finally:
-            if stream is not None:
-                stream.close()
-        if parts:
-            columns = dict(zip(("pending", "final", "source", "folder"), map(list, zip(*parts))))
-            yield row(len(parts), **{c: pa.array(v, pa.string()) for c, v in columns.items()})
-
-    return run
-
-
-_TYPES = {
-    **dict.fromkeys(("pending", "final", "source", "folder", "file", "error", "rec_hex"), pa.string()),
-    "rejected": pa.bool_(),
-    "rec_no": pa.int64(),
-    "rec_len": pa.int32(),
-    "error_at": pa.int32(),
-}
-
-
-def _mover(root: str, back: bool):
-    """Moves parts into place, or takes away those already there. Safe to run again."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        system, _ = filesystem(root)
-        done = 0
         for batch in batches:
-            for r in batch.to_pylist():
-                there = system.get_file_info([r["pending"], r["final"]])
-                found, moved = (i.type != fs.FileType.NotFound for i in there)
-                if back and moved:
-                    system.delete_file(r["final"])
-                elif not back and found:
-                    system.create_dir(r["final"].rsplit("/", 1)[0])
-                    system.move(r["pending"], r["final"])
-                elif not back and not moved:
-                    raise FileNotFoundError(r["pending"])
-                done += 1
-        yield pa.RecordBatch.from_arrays([pa.array([done])], names=["n"])
-
-    return run
-
-
-def write_vb(df: DataFrame, path: str, *, descriptors: bool = True) -> DataFrame | None:
+            if self.rejects:
+                bad = pa.compute.is_valid(column(batch, "error"))
+                if pa.compute.any(bad).as_py():
+                    rejected.append(batch.filter(bad).select([self.columns.index(c) for c in _REJECT_COLUMNS]))
+                    batch = batch.filter(pa.compute.invert(bad))
+            if not batch.num_rows:
+                continue
+            inputs, numbers, records = (column(batch, c) for c in ("file", "rec_no", "rec"))
+            ends = pa.compute.run_end_encode(inputs).run_ends.to_pylist()
+            for begin, end in zip([0, *ends[:-1]], ends):
+                if part is None or inputs[begin].as_py() != part.source:
+                    if part is not None:
+                        files.append(part.close())
+                    part = _Part(names, inputs[begin].as_py(), numbers[begin].as_py(), self.block)
+                some = records.slice(begin, end - begin)
+                part.add(framed(some, self.descriptors), pa.compute.binary_length(some).to_numpy().astype(np.int64) + DESCRIPTOR)
+        if part is not None:
+            files.append(part.close())
+        if rejected:
+            self._keep(pa.Table.from_batches(rejected).rename_columns(list(_REJECT_COLUMNS)), names)
+        return files
+
+    def _keep(self, rejected: pa.Table, names: AttemptNames) -> None:
+        """Rejects go to a table of the write's own; a repeated task writes the same file again."""
+        import pyarrow.parquet as pq
+
+        system, base = filesystem(self.rejects)
+        whole = f"{base}/.{names.task}-{names.attempt}-{self.id}"
+        with system.open_output_stream(whole) as out:
+            pq.write_table(rejected, out)
+        system.move(whole, f"{base}/part-{names.task:06d}.parquet")
+
+    def check(self, files: list[dict]) -> None:
+        inputs: dict[str, str] = {}
+        for f in files:
+            other = inputs.setdefault(_folder(f["source"]), f["source"])
+            if other != f["source"]:
+                raise ValueError(f"{min(other, f['source'])} and {max(other, f['source'])} {_REFUSED} {_folder(other)}")
+
+
+class RecordFiles(DataSource):
+    """The sink that :func:`write_vb` writes with."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "mainspool_records"
+
+    def writer(self, schema: StructType, overwrite: bool) -> _RecordWriter:
+        return _RecordWriter(dict(self.options), schema)
+
+
+def write_vb(df: DataFrame, path: str, *, descriptors: bool = True, block: int | None = None) -> DataFrame | None:
     """Write records to variable-length files, one folder per input file; never overwrites.
 
-    With ``descriptors=False`` records are laid end to end, as in fixed-length files. Two
+    With ``descriptors=False`` records are laid end to end, as in fixed-length files. With ``block`` each
+    part holds blocks of up to so many bytes, to be read with ``bdw=True``. Two
     input files of one base name would share a folder and are refused. Rows that carry an
     ``error`` (:func:`mainspool.operators.segments.split_tagged`) are not written but given
     back, from the same scan; without that column there is nothing to give back.
     """
     from pyarrow import fs
 
+    if block is not None and not (descriptors and 2 * DESCRIPTOR <= block <= LONGEST):
+        raise ValueError(f"a block holds records with descriptors and takes {2 * DESCRIPTOR} to {LONGEST} bytes")
     spark = df.sparkSession
     path = qualified(spark, path)
     system, root = filesystem(path)
     if system.get_file_info(root).type != fs.FileType.NotFound and list_files(spark, path).limit(1).count():
         raise FileExistsError(f"{path} already holds files")
-    shared_dir(spark)
-    tagged = "error" in df.columns
-    pending = f"{path}/_pending-{uuid.uuid4().hex}"
-    columns = ["file", "rec_no", "rec", *(("rec_len", "error", "error_at", "rec_hex") if tagged else ())]
-    ddl = f"{_PART_DDL}, {_REJECT_DDL}" if tagged else _PART_DDL
-    moved = None
+    columns, options = ["file", "rec_no", "rec"], {"descriptors": descriptors, "block": block or 0}
+    if "error" in df.columns:
+        columns += ["rec_len", "error", "error_at", "rec_hex"]
+        options["rejects"] = scratch_path(spark, "rejects")
+        at, inner = filesystem(options["rejects"])
+        at.create_dir(inner)
     try:
-        written = df.select(*columns).mapInArrow(_writer(root, pending, descriptors, tagged), ddl).checkpoint()
-        parts = written.filter("pending IS NOT NULL").select("pending", "final", "source", "folder")
-        mixed = parts.groupBy("folder").agg(F.min("source").alias("a"), F.max("source").alias("b")).filter("a <> b").first()
-        if mixed is not None:
-            raise ValueError(f"{mixed['a']} and {mixed['b']} would both be written to {mixed['folder']}")
-        moved = parts.repartition("pending").sortWithinPartitions("pending")
-        moved.mapInArrow(_mover(root, back=False), "n bigint").agg(F.sum("n")).first()
-        system.create_dir(root)
-        with system.open_output_stream(f"{root}/_SUCCESS"):
-            pass
-    except BaseException:
-        if moved is not None:
-            moved.mapInArrow(_mover(root, back=True), "n bigint").agg(F.sum("n")).first()
-        raise
-    finally:
-        _, folder = filesystem(pending)
-        if system.get_file_info(folder).type != fs.FileType.NotFound:
-            system.delete_dir(folder)
-    return written.filter("rejected").select(*_REJECT_COLUMNS) if tagged else None
+        save(df.select(*columns), RecordFiles, path, **options)
+    except PySparkException as failed:
+        # what the commit refuses comes back as the text of an error in a worker
+        refused = re.search(rf"ValueError: (.* {_REFUSED} \S.*)", str(failed))
+        raise ValueError(refused[1]) if refused else failed
+    return spark.read.schema(_REJECT_DDL).parquet(options["rejects"]) if "error" in df.columns else None

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mainspool.sinks.commit import committed, manifests
+
 
 def split_paths(paths: str | Sequence[str]) -> list[str]:
     """A path, a comma-separated list of paths, or a list of either."""
@@ -15,9 +17,19 @@ def split_paths(paths: str | Sequence[str]) -> list[str]:
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str], recursive: bool = True) -> DataFrame:
-    """``(path, length, modificationTime)`` of every file below the paths; no content is read."""
+    """``(path, length, modificationTime)`` of every file below the paths; no content is read.
+
+    Where a path was written by this library, its manifest says which files there are."""
+    given = split_paths(paths)
+    found = manifests(spark, given)
+    known = [m for path in given for m in found[path]]
+    others = [path for path in given if not found[path]]
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    return listing.load(split_paths(paths)).select("path", "length", "modificationTime")
+    names = ("path", "length", "modificationTime")
+    parts = [listing.load(others).select(*names)] if others else []
+    if known:
+        parts.append(committed(spark, known).select(*names))
+    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
 def totals(files: DataFrame) -> tuple[int, int]:

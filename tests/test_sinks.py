@@ -4,7 +4,9 @@ import datetime as dt
 import glob
 import os
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from mainspool.layout import Layout
 from mainspool.operators import decode as d
@@ -12,6 +14,7 @@ from mainspool.operators import route as r
 from mainspool.plans import jobs
 from mainspool.sinks import tables
 from mainspool.sinks.vb import write_vb
+from mainspool.sources.files import list_files
 from mainspool.sources.variable import read_vb
 
 AB = Layout.parse("          05 A-KEY PIC X(2).\n          05 B PIC 9(2).\n          05 FILLER PIC X(1).\n")
@@ -121,7 +124,7 @@ def test_write_vb(spark, mixed, tmp_path):
     out = f"{tmp_path}/vb"
     frame = mixed.coalesce(1).withColumn("file", mixed.file).selectExpr("concat('/in/it''s ', rec_no % 2) file", "rec_no", "rec")
     write_vb(frame.orderBy("file", "rec_no"), out)
-    assert sorted(x for x in os.listdir(out) if not x.startswith(".")) == ["_SUCCESS", "its 0", "its 1"]
+    assert sorted(x for x in os.listdir(out) if not x.startswith((".", "_manifest-"))) == ["_SUCCESS", "its 0", "its 1"]
     back = read_vb(spark, out)
     assert sorted(bytes(x["rec"]) for x in back.collect()) == sorted(bytes(x["rec"]) for x in mixed.collect())
     with pytest.raises(FileExistsError):
@@ -137,27 +140,99 @@ def test_write_vb_refuses_two_inputs_of_one_name(mixed, tmp_path):
     assert len(glob.glob(f"{tmp_path}/out dir/a.vb/*.vb")) >= 1
 
 
-def test_a_failing_move_takes_back_what_was_moved(mixed, tmp_path, monkeypatch):
+def test_a_failing_commit_takes_back_all_parts(mixed, tmp_path, monkeypatch):
     from mainspool.sinks import vb
 
-    whole = vb._mover
+    def broken(self, files):
+        raise OSError("disk gone")
 
-    def broken(root, back):
-        move = whole(root, back)
-
-        def run(batches):
-            yield from move(batches)
-            if not back:
-                raise OSError("disk gone")
-
-        return run
-
-    monkeypatch.setattr(vb, "_mover", broken)
+    monkeypatch.setattr(vb._RecordWriter, "check", broken)
     frame = mixed.selectExpr("concat('/in/', rec_no) file", "rec_no", "rec")
     with pytest.raises(Exception, match="disk gone"):
         write_vb(frame, f"{tmp_path}/out")
     assert not glob.glob(f"{tmp_path}/out/**/*.vb", recursive=True)
-    assert not glob.glob(f"{tmp_path}/out/_pending*") and not os.path.exists(f"{tmp_path}/out/_SUCCESS")
+    assert not glob.glob(f"{tmp_path}/out/_*")
+
+
+def _record_batches(*runs):
+    return [pa.record_batch({"file": [f"/in/{name}"] * len(records), "rec_no": list(range(len(records))), "rec": [b"r" * n for n in records]}) for name, records in runs]
+
+
+@pytest.fixture
+def attempt(tmp_path, monkeypatch):
+    """Write batches as an attempt of a task; gives its commit message."""
+    from types import SimpleNamespace
+
+    from mainspool.sinks import vb
+
+    schema = T.StructType.fromDDL("file string, rec_no bigint, rec binary")
+    writer = vb._RecordWriter({"path": f"{tmp_path}/out", "write_id": "w1", "descriptors": "true", "block": "0"}, schema)
+
+    def run(task, number, batches):
+        context = SimpleNamespace(partitionId=lambda: task, taskAttemptId=lambda: number)
+        monkeypatch.setattr("pyspark.TaskContext.get", staticmethod(lambda: context))
+        return writer.write(iter(batches))
+
+    run.writer = writer
+    return run
+
+
+def test_failed_killed_and_repeated_attempts_leave_one_copy(spark, tmp_path, attempt):
+    def failing():
+        yield from _record_batches(("a", [3, 4]), ("b", [5]))
+        raise OSError("gone")
+
+    with pytest.raises(OSError, match="gone"):
+        attempt(0, 1, failing())
+    assert not glob.glob(f"{tmp_path}/out/*/*.vb")
+    attempt(0, 2, _record_batches(("a", [3, 4])))  # killed behind its first file: no message
+    whole = _record_batches(("a", [3, 4]), ("b", [5]))
+    attempt(0, 3, whole)  # a second copy of the task, whose message is not taken
+    messages = [attempt(0, 4, whole), attempt(1, 5, _record_batches(("b", [7, 9]))), None]
+    assert len(glob.glob(f"{tmp_path}/out/*/*.vb")) == 6
+    # readers that follow the manifest see what was committed even with strays about
+    attempt.writer.commit(messages)
+    assert len(glob.glob(f"{tmp_path}/out/*/*.vb")) == 3
+    attempt(1, 6, _record_batches(("b", [7, 9])))  # a late one
+    assert sorted(x["rec_len"] for x in read_vb(spark, f"{tmp_path}/out").collect()) == [3, 4, 5, 7, 9]
+    assert list_files(spark, f"{tmp_path}/out").count() == 3
+    rows = list_files(spark, [f"{tmp_path}/out", f"{tmp_path}/out/b"]).collect()
+    assert len(rows) == 3 + 3 and all(r["length"] == os.path.getsize(r["path"].removeprefix("file:")) and r["modificationTime"] for r in rows)
+
+
+def test_an_aborted_write_leaves_nothing(tmp_path, attempt):
+    message = attempt(0, 1, _record_batches(("a", [3])))
+    attempt(0, 2, _record_batches(("a", [3])))
+    attempt.writer.abort([message, None])
+    assert not glob.glob(f"{tmp_path}/out/*/*") and not glob.glob(f"{tmp_path}/out/_*")
+
+
+@pytest.mark.parametrize("block, sizes", [(8, [0, 0, 0]), (30, [1, 22, 0, 9, 9, 22, 3, 4, 5, 6, 7]), (65535, [40_000, 30_000, 20_000, 65_527, 1]), (100, [])])
+def test_blocks_hold_whole_records(spark, records, tmp_path, block, sizes, monkeypatch):
+    from mainspool.sinks import vb
+
+    monkeypatch.setattr(vb, "BLOCKED", 64)
+    frame = records(*("40" * n for n in sizes)) if sizes else records("40").limit(0)
+    write_vb(frame.coalesce(1), f"{tmp_path}/out", block=block)
+    back = read_vb(spark, f"{tmp_path}/out", bdw=True).orderBy("rec_no").collect()
+    assert [(x["rec_no"], x["rec_len"]) for x in back] == [(i + 1, n) for i, n in enumerate(sizes)]
+    blocks = [x["rec_len"] + 4 for x in read_vb(spark, f"{tmp_path}/out").collect()]
+    want, left = [], 0
+    for n in sizes:  # first fit in order
+        if left < n + 4:
+            want.append(4)
+            left = block - 4
+        want[-1] += n + 4
+        left -= n + 4
+    assert sorted(blocks) == sorted(want)
+
+
+def test_blocks_must_fit(records, tmp_path):
+    with pytest.raises(Exception, match="does not fit a block of 20"):
+        write_vb(records("40" * 13), f"{tmp_path}/out", block=20)
+    for wrong in ({"block": 7}, {"block": 70_000}, {"block": 100, "descriptors": False}):
+        with pytest.raises(ValueError, match="a block holds"):
+            write_vb(records("40"), f"{tmp_path}/other", **wrong)
 
 
 def test_a_cluster_must_name_the_shared_folder(monkeypatch):

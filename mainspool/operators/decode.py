@@ -55,6 +55,22 @@ class FieldReader:
             self.counts[name] = f"greatest(coalesce(cast({self.value(self.layout.find(name))} AS bigint), 0L), 0L)"
         return self.counts[name]
 
+    def counters(self, split: str) -> list[str]:
+        """The counts that offsets hang on, in record order."""
+        names = {counter for f in self.layout.fields(split) for _, counter in f.offset.terms}
+        return sorted(names, key=lambda n: self.layout.find(n).offset.base)
+
+    def typed_columns(self, split: str, reserved: Iterable[str], piece: str, value: str) -> tuple[list[str], list[str], list[tuple[str, str]]]:
+        """Raw forms, values, and the named nested columns of typed mode; those of a stage are referred to by
+        the prefix ``piece`` or ``value`` and their number."""
+        tree = _Tree(self, split, piece, value)
+        columns, taken = [], {k.lower() for k in (*reserved, "_bad_fields")}
+        for item, offset in self.layout.tops(split):
+            name = tree.name(item, taken)
+            columns.append((name, tree.column(item, self.position(offset), name)))
+        columns.append(("_bad_fields", f"array_compact(array({', '.join(tree.checks)}))"))
+        return tree.pieces, tree.values, columns
+
     def position(self, offset: Offset) -> Position:
         at: Position = offset.base
         for size, counter in offset.terms:
@@ -123,9 +139,8 @@ def _kept(df: DataFrame, keep: Sequence[str] | None) -> list[str]:
 
 def _with_counts(df: DataFrame, layout: Layout, split: str, dialect: str = "mainframe") -> tuple[DataFrame, FieldReader]:
     """Add the counts that later offsets hang on as columns, each made once."""
-    names = {counter for f in layout.fields(split) for _, counter in f.offset.terms}
     reader = FieldReader(layout, dialect)
-    for i, name in enumerate(sorted(names, key=lambda n: layout.find(n).offset.base)):
+    for i, name in enumerate(reader.counters(split)):
         df = df.withColumn(f"_count{i}", F.expr(reader.count(name)))
         reader.counts[name] = f"_count{i}"
     return df, reader
@@ -178,8 +193,8 @@ class _Tree:
     """Nested columns of a layout, in three projections: raw forms, values, and the nested
     columns with their checks. Each reads a column of the one before several times."""
 
-    def __init__(self, reader: FieldReader, split: str):
-        self.reader, self.split = reader, split
+    def __init__(self, reader: FieldReader, split: str, piece: str, value: str):
+        self.reader, self.split, self.piece_name, self.value_name = reader, split, piece, value
         self.pieces: list[str] = []
         self.values: list[str] = []
         self.checks: list[str] = []
@@ -200,11 +215,11 @@ class _Tree:
 
     def stage(self, piece: str) -> str:
         self.pieces.append(piece)
-        return f"_{len(self.pieces) - 1}"
+        return f"{self.piece_name}{len(self.pieces) - 1}"
 
     def settle(self, value: str) -> str:
         self.values.append(value)
-        return f"_v{len(self.values) - 1}"
+        return f"{self.value_name}{len(self.values) - 1}"
 
     def members(self, item: Item, at: Position) -> list[tuple[Item, Position, str]]:
         """Named children of a group with their offsets."""
@@ -285,15 +300,10 @@ def decode_typed(
     kept = _kept(df, keep)
     with java_charsets(df.sparkSession):
         df, reader = _with_counts(df, layout, split)
-        tree = _Tree(reader, split)
-        columns, taken = [], {k.lower() for k in (*kept, "_bad_fields")}
-        for item, offset in layout.tops(split):
-            name = tree.name(item, taken)
-            columns.append(f"{tree.column(item, reader.position(offset), name)} AS `{name}`")
-        bad = f"array_compact(array({', '.join(tree.checks)})) AS _bad_fields"
-        raw = _staged(df, kept, tree.pieces)
-        values = raw.selectExpr(*kept, *(f"{v} AS _v{i}" for i, v in enumerate(tree.values)))
-        return values.selectExpr(*kept, *columns, bad)
+        pieces, values, columns = reader.typed_columns(split, kept, "_", "_v")
+        raw = _staged(df, kept, pieces)
+        made = raw.selectExpr(*kept, *(f"{v} AS _v{i}" for i, v in enumerate(values)))
+        return made.selectExpr(*kept, *(f"{sql} AS `{name}`" for name, sql in columns))
 
 
 def decode(df: DataFrame, layout: Layout, mode: str = "text", **options) -> DataFrame:

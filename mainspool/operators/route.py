@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from mainspool.functions import codec
 from mainspool.layout import MARGINS, TEXT, Layout, column_names
-from mainspool.operators.decode import FieldReader, decode
+from mainspool.operators.decode import FieldReader, decode, struct, typed
 from mainspool.operators.rules import Alternative
-from mainspool.session import java_charsets
+from mainspool.session import java_charsets, limit_generated_methods
 
 
 # The keys of a catalog's JSON.
@@ -204,25 +204,80 @@ def decode_types(routed: DataFrame, catalog: Catalog, mode: str = "text", **opti
     return {t.name: decode_type(routed, catalog, t.name, mode, **options) for t in catalog.types}
 
 
-def decode_routed(routed: DataFrame, catalog: Catalog, mode: str = "flat", *, keep: Sequence[str] = (), split: str = "nosplit", **options) -> DataFrame:
+def decode_routed(
+    routed: DataFrame,
+    catalog: Catalog,
+    mode: str = "flat",
+    *,
+    keep: Sequence[str] = (),
+    split: str = "nosplit",
+    dialect: str = "mainframe",
+    reserved: Sequence[str] = (),
+) -> DataFrame:
     """Every record decoded by its own type, in one scan: ``keep``, ``rec_type`` and a struct
     column per type, named after it, that is NULL in records of other types.
 
     In ``text`` and ``flat`` mode a struct has a field per elementary field; in ``typed`` mode
-    it is nested and ends in ``_bad_fields``.
+    it is nested and ends in ``_bad_fields``. Names avoid the ``reserved`` ones. All types share three
+    projections, one for raw forms, one for values and one for what is made of them, however many types there are.
     """
+    if mode not in ("text", "flat", "typed"):
+        raise ValueError(f"mode must be text, typed or flat, not {mode!r}")
+    limit_generated_methods(routed.sparkSession)
     kept = [k for k in keep if k != "rec_type"]
-    out = routed.select(*routed.columns)
-    names = {t.name: f"_type{i}" for i, t in enumerate(catalog.types)}
-    for t in catalog.types:
-        own = F.col("rec_type") == t.name
-        # the type's decode reads its own copy of the record, which is NULL in other records
-        part = out.withColumns({"_rec": F.col("rec"), "rec": F.when(own, F.col("rec")), "_len": F.col("rec_len"), "rec_len": F.when(own, F.col("rec_len"))})
-        carried = [c for c in part.columns if c not in ("rec", "rec_len")]
-        decoded = decode(part, t.layout, mode, keep=carried, split=split, **options)
-        fields = [c for c in decoded.columns if c not in carried]
-        plain = column_names([f.label for f in t.layout.fields(split)]) if mode != "typed" else fields
-        body = F.struct(*(F.col(f"`{c}`").alias(p) for c, p in zip(fields, plain)))
-        back = [F.col(c) for c in carried if c not in ("_rec", "_len")]
-        out = decoded.select(*back, F.col("_rec").alias("rec"), F.col("_len").alias("rec_len"), F.when(own, body).alias(names[t.name]))
-    return out.select(*kept, "rec_type", *(F.col(n).alias(t) for t, n in names.items()))
+    shapes = [_Shape(i, t, mode, split, dialect, reserved) for i, t in enumerate(catalog.types)]
+    names = [f"`{k}`" for k in kept] + ["rec_type"]
+    with java_charsets(routed.sparkSession):
+        df, counts = routed.selectExpr(*names, *(c for c in ("rec", "rec_len") if c not in kept)), []
+        for k in range(max((len(s.counters) for s in shapes), default=0)):
+            # a count may lie behind a group of an earlier count
+            made = [s.count(k) for s in shapes if k < len(s.counters)]
+            counts += [name for _, name in made]
+            df = df.selectExpr("*", *(f"{sql} AS {name}" for sql, name in made))
+        for shape in shapes:
+            shape.plan()
+        df = df.selectExpr(*names, *(s.struct(s.pieces, "_p") for s in shapes))
+        df = df.selectExpr(*names, *(s.struct(s.values, "_v") for s in shapes))
+        df = df.selectExpr(*names, *(s.struct(s.columns, "_t") for s in shapes))
+        return df.select(*kept, "rec_type", *(F.col(f"_t{s.i}").alias(s.type.name) for s in shapes))
+
+
+class _Shape:
+    """The expressions of one type's decode, as members of structs that are NULL in other types' records."""
+
+    def __init__(self, i: int, record_type: RecordType, mode: str, split: str, dialect: str, reserved: Sequence[str]):
+        self.i, self.type, self.mode, self.split, self.reserved = i, record_type, mode, split, reserved
+        self.own = f"rec_type = {codec.literal(record_type.name)}"
+        self.reader = FieldReader(record_type.layout, dialect)
+        self.counters = self.reader.counters(split)
+        self.pieces: list[tuple[str, str]] = []
+        self.values: list[tuple[str, str]] = []
+        self.columns: list[tuple[str, str]] = []
+
+    def count(self, k: int) -> tuple[str, str]:
+        """The k-th count later offsets hang on: its expression and the column it is put in."""
+        name, column = self.counters[k], f"_c{self.i}_{k}"
+        sql = f"CASE WHEN {self.own} THEN {self.reader.count(name)} END"
+        self.reader.counts[name] = column
+        return sql, column
+
+    def plan(self) -> None:
+        p, v = f"_p{self.i}.p", f"_v{self.i}.v"
+        if self.mode == "typed":
+            pieces, values, columns = self.reader.typed_columns(self.split, self.reserved, p, v)
+            self.columns = columns
+        else:
+            fields = self.type.layout.fields(self.split)
+            names = column_names([f.label for f in fields], self.reserved)
+            pieces = [self.reader.piece(f) for f in fields]
+            if self.mode == "flat":
+                values = [typed(codec.value(f"{p}{k}", f), f) for k, f in enumerate(fields)]
+                self.columns = [(n, f"{v}{k}") for k, n in enumerate(names)]
+            else:
+                values = [self.reader.as_text(f, f"{p}{k}") for k, f in enumerate(fields)]
+                self.columns = [(n, codec.marked(f"{v}{k}")) for k, n in enumerate(names)]
+        self.pieces = [(f"p{k}", sql) for k, sql in enumerate(pieces)]
+        self.values = [(f"v{k}", sql) for k, sql in enumerate(values)]
+
+    def struct(self, members: list[tuple[str, str]], prefix: str) -> str:
+        return f"CASE WHEN {self.own} THEN {struct(members)} END AS {prefix}{self.i}"

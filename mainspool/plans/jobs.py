@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mainspool.layout import Layout, LayoutError
 from mainspool.operators.decode import decode
-from mainspool.operators.route import Catalog, decode_routed, route
+from mainspool.operators.route import Catalog, route
 from mainspool.operators.rules import select_records, skip_records
 from mainspool.operators.segments import split_tagged
 from mainspool.sinks.tables import (
@@ -142,7 +142,7 @@ def convert(
         if schema_only:
             folders = {t.name: f"{root}/rec_type={t.name}" for t in catalog.types}
             if fmt != "tsv":
-                _empty_types(spark, plain, folders, fmt, mode, split)
+                _empty_types(spark, plain, root, fmt, mode, split)
         else:
             folders = write_by_type(
                 route(records, catalog, dialect),
@@ -161,7 +161,7 @@ def convert(
                     below = {} if bare_partition else values
                     register_table(spark, _table_of(t, app), t.layout, folders[t.name], fmt, split=split, partition=below)
                 else:
-                    register_type(spark, _table_of(t, app), folders[t.name], t.name, fmt)
+                    register_type(spark, _table_of(t, app), folders[t.name], fmt)
         return folders
 
     values = partition_values(partition, load_date, on)
@@ -180,12 +180,10 @@ def convert(
     return {name: output}
 
 
-def _empty_types(spark: SparkSession, catalog: Catalog, folders: Mapping[str, str], fmt: str, mode: str, split: str) -> None:
+def _empty_types(spark: SparkSession, catalog: Catalog, root: str, fmt: str, mode: str, split: str) -> None:
     """Folders of typed output without rows, so that views of them find their columns."""
     none = spark.createDataFrame([], f"{_NO_RECORDS}, rec_type string, rec_variant string")
-    rows = decode_routed(none, catalog, mode, split=split).drop("rec_type")
-    for folder in folders.values():
-        rows.write.mode("append").format(fmt).save(folder)
+    write_by_type(none, catalog, root, fmt, mode=mode, split=split, append=True)
 
 
 def split(

@@ -21,6 +21,7 @@ from mainspool.operators import segments as s
 from mainspool.plans import jobs
 from mainspool.session import java_charsets, scratch_path
 from mainspool.sinks import tables
+from mainspool.sinks.vb import write_vb
 from mainspool.sources.files import list_files
 from mainspool.sources.fixed import read_fb
 from mainspool.sources.variable import read_vb
@@ -772,6 +773,39 @@ def sink_by_type_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_table({name: tables.read_type(spark, folder, name) for name, folder in folders.items()})
 
 
+@query(
+    """SELECT 'customer' AS rec_type, c_custkey AS key, 'KIND_CODE,CUST_KEY,CUST_NAME,CUST_BALANCE,_bad_fields' AS columns, CAST(NULL AS VARCHAR) AS rank FROM customer
+    UNION ALL SELECT 'order', o_orderkey, 'KIND_CODE,ORDER_KEY,ORDER_STATUS,ORDER_PRICE,ORDER_PRIORITY,PRIORITY_PARTS,ORDER_END,_bad_fields',
+      substr(o_orderpriority, 1, 1) FROM orders
+    UNION ALL SELECT 'part', p_partkey, 'KIND_CODE,PART_KEY,PART_BRAND,PART_SIZE,_bad_fields', NULL FROM part"""
+)
+def sink_by_type_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested columns, one ORC table per record type with that type's columns only."""
+    catalog = lay.mixed_catalog(excludes=False, overlay=True)
+    routed = r.route(read_vb(spark, fx.mixed(spark, sf_dir), chunk_bytes=CHUNK), catalog)
+    folders = tables.write_by_type(routed, catalog, scratch_path(spark, "by_type"), "orc", mode="typed")
+    out = None
+    for name, (key, _, _) in SHAPES.items():
+        table = tables.read_type(spark, folders[name], name, "orc")
+        rank = F.col("PRIORITY_PARTS.PRIORITY_RANK") if name == "order" else F.lit(None).cast("string")
+        shaped = table.select(F.lit(name).alias("rec_type"), big(key, "key"), F.lit(",".join(table.columns)).alias("columns"), rank.alias("rank"))
+        out = shaped if out is None else out.unionByName(shaped)
+    return out
+
+
+@query(
+    """SELECT CAST(l_orderkey AS VARCHAR) AS order_ref, CAST(l_linenumber AS BIGINT) AS line_pos, l_extendedprice AS net_price, TRUE AS blocked FROM lineitem"""
+)
+def sink_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records packed into blocks with descriptors, read again as blocks; read as records, they are blocks."""
+    out = scratch_path(spark, "blocks")
+    records = read_fb(spark, fx.sales(spark, sf_dir), lay.SALES.max_length, chunk_bytes=CHUNK)
+    write_vb(records, out, block=4096)
+    fewer = read_vb(spark, out).count() * 40 < read_vb(spark, out, bdw=True).count() + 4000
+    back = d.decode_flat(read_vb(spark, out, bdw=True, chunk_bytes=CHUNK), lay.SALES)
+    return back.select(F.rtrim("ORDER_REF").alias("order_ref"), big("LINE_POS", "line_pos"), num("NET_PRICE", "net_price"), F.lit(fewer).alias("blocked"))
+
+
 @query(LINES_SQL + f"SELECT {LINE_FIELDS_SQL} FROM lines WHERE o_orderstatus <> 'P'")
 def sink_vb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole split job: segments written as variable-length files and read again."""

@@ -75,6 +75,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(hadoop).toString()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of this path, by the cluster's own file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

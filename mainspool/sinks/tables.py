@@ -13,7 +13,8 @@ from mainspool.functions import codec
 from mainspool.layout import Layout
 from mainspool.operators.decode import FieldReader, decode_text, struct
 from mainspool.operators.route import Catalog, decode_routed
-from mainspool.session import java_charsets, limit_generated_methods
+from mainspool.session import exists, java_charsets, limit_generated_methods
+from mainspool.sinks.typed import write_types
 
 FORMATS = ("tsv", "orc", "parquet")
 
@@ -131,45 +132,41 @@ def write_by_type(
     """Write one folder per record type, ``<path>/rec_type=<type>``, in one scan; gives back each
     type's folder.
 
-    Text lines have the type's own columns. Typed files hold the kept columns and one struct per
-    type, of which only the folder's own is not NULL; :func:`read_type` opens it. A task writes a
+    Text lines have the type's own columns, typed files the kept columns and the type's own, in a
+    schema per type (:mod:`mainspool.sinks.typed`). A task writes a
     file for each type it meets; ``tasks_per_type`` instead shuffles the records of each type
     to so many tasks, for inputs of many more tasks than files wanted. Partition folders
     come below the type's, bare values above it.
     """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}, not {fmt!r}")
+    spark = routed.sparkSession
     path = path.rstrip("/")
     values = partition_values({**catalog.partition, **partition_values(partition)}, catalog.load_date, on)
     append = bool(values) if append is None else append
     if tasks_per_type is not None:
         salt = F.pmod(F.xxhash64("file", "rec_no"), F.lit(tasks_per_type))
         routed = routed.repartition(tasks_per_type * len(catalog.types), "rec_type", salt)
-    if fmt == "tsv":
-        rows = tsv_by_type(routed, catalog, trailing_tab=trailing_tab, split=split, dialect=dialect)
-    else:
-        rows = decode_routed(routed, catalog, mode or "typed", keep=keep, split=split)
-    if values and bare_partition:
+    by = {} if bare_partition else values
+    if bare_partition:
         path = "/".join([path, *values.values()])
-    elif values:
-        rows = rows.withColumns({k: F.lit(v) for k, v in values.items()})
-    by = ["rec_type", *([] if bare_partition else values)]
-    out = rows.write.mode("append" if append else "errorifexists").partitionBy(*by)
     if fmt == "tsv":
-        out.text(path)
+        rows = tsv_by_type(routed, catalog, trailing_tab=trailing_tab, split=split, dialect=dialect)
+        rows = rows.withColumns({k: F.lit(v) for k, v in by.items()})
+        rows.write.mode("append" if append else "errorifexists").partitionBy("rec_type", *by).text(path)
     else:
-        out.format(fmt).save(path)
+        if not append and exists(spark, path):
+            raise FileExistsError(f"{path} already exists")
+        kept = [k for k in keep if k != "rec_type"]
+        rows = decode_routed(routed, catalog, mode or "typed", keep=kept, split=split, reserved=[*kept, "rec_type", *values])
+        write_types(rows, [t.name for t in catalog.types], path, fmt, kept=kept, below="/".join(f"{k}={v}" for k, v in by.items()))
     return {t.name: f"{path}/rec_type={t.name}" for t in catalog.types}
 
 
 def read_type(spark: SparkSession, folder: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """The records of one type that :func:`write_by_type` wrote, in flat columns: the kept ones,
-    the type's own, the partition's."""
-    rows = spark.read.format(fmt).load(folder)
-    own = {f.name for f in rows.schema.fields if f.dataType.typeName() == "struct"}
-    before = rows.columns[: rows.columns.index(name)]
-    after = rows.columns[rows.columns.index(name) :]
-    return rows.select(*(c for c in before if c not in own), f"`{name}`.*", *(c for c in after if c not in own))
+    """The records of one type that :func:`write_by_type` wrote: the kept columns, the type's own,
+    the partition's."""
+    return spark.read.format(fmt).load(folder)
 
 
 def table_name(app: str, table: str | None = None, include: str | None = None) -> str:
@@ -220,12 +217,9 @@ def register_table(spark: SparkSession, name: str, layout: Layout, path: str, fm
     return spark.table(name)
 
 
-def register_type(spark: SparkSession, name: str, folder: str, rec_type: str, fmt: str) -> DataFrame:
-    """A view of one type's typed output by name, in flat columns."""
-    rows = read_type(spark, folder, rec_type, fmt)
-    struct_fields = spark.read.format(fmt).load(folder).schema[rec_type].dataType.names
-    columns = ", ".join(f"`{rec_type}`.`{c}` AS `{c}`" if c in struct_fields else f"`{c}`" for c in rows.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {fmt}.`{folder}`")
+def register_type(spark: SparkSession, name: str, folder: str, fmt: str) -> DataFrame:
+    """A view of one type's typed output by name."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fmt}.`{folder}`")
     return spark.table(name)
 
 

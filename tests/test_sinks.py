@@ -6,6 +6,7 @@ import os
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mainspool.layout import Layout
@@ -120,6 +121,66 @@ def test_all_types_come_from_one_scan(spark, mixed):
     assert [tuple(x["t2"])[:3] for x in frame.collect() if x["t2"]] == [("2", 7, "c")]
 
 
+def _many_types(n):
+    spec = {
+        "header_layout": "h",
+        "records": [
+            {"record": f"k{i}", "copy_layout": f"l{i}", "include_records": [{"name": f"k{i}", "entries": {"H": f"{i:02d}"}}]}
+            for i in range(n)
+        ],
+    }
+    layouts = {"h": "          05 H PIC X(2).\n"}
+    layouts |= {f"l{i}": f"          05 N{i} PIC 9(3).\n          05 G{i}.\n             10 T{i} PIC X(2) OCCURS 2.\n" for i in range(n)}
+    return r.Catalog.from_json(spec, layouts)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_thirty_types_have_thirty_schemas_from_one_scan(spark, records, tmp_path, fmt):
+    catalog = _many_types(30)
+    rows = records(*ebcdic(*(f"{i % 29:02d}{i:03d}ab{i % 10}z" for i in range(200)))).repartition(3)
+    routed = r.route(rows, catalog)
+    plan = r.decode_routed(routed, catalog, "typed")._jdf.queryExecution().analyzed().toString()
+    assert plan.count("LogicalRDD") == 1
+    # rules take three projections, decoding three and one for names, however many types there are
+    assert plan.count("Project [") <= 12
+    folders = tables.write_by_type(routed, catalog, f"{tmp_path}/out", fmt, keep=("rec_no",), partition="S=1")
+    got = []
+    for i in range(30):
+        table = tables.read_type(spark, folders[f"k{i}"], f"k{i}", fmt)
+        assert table.columns == ["rec_no", "H", f"N{i}", f"G{i}", "_bad_fields", "S"]
+        got += [(x["rec_no"], x["H"], int(x[f"N{i}"]), x[f"G{i}"][f"T{i}"], x["S"]) for x in table.collect()]
+    assert sorted(got) == [(i + 1, f"{i % 29:02d}", i, ["ab", f"{i % 10}z"], 1) for i in range(200)]
+    with pytest.raises(FileExistsError):
+        tables.write_by_type(routed, catalog, f"{tmp_path}/out", fmt)
+    tables.write_by_type(routed, catalog, f"{tmp_path}/out", fmt, keep=("rec_no",), partition="S=2")
+    assert {x["S"] for x in tables.read_type(spark, folders["k3"], "k3", fmt).select("S").distinct().collect()} == {1, 2}
+
+
+def test_small_row_groups_and_names_that_clash(spark, records, tmp_path, monkeypatch):
+    from mainspool.sinks import typed
+
+    monkeypatch.setattr(typed, "ROW_GROUP", 1)
+    monkeypatch.setattr(typed, "HELD", 0)
+    layouts = {"h": "          05 REC-TYPE PIC X.\n", "l1": "          05 REC-NO PIC X(2).\n", "l2": "          05 SITE PIC 9(2).\n", "l3": "          05 Z PIC X.\n"}
+    spec = {**CATALOG, "records": [{**t, "include_records": [{"name": "n", "entries": {"REC-TYPE": f"{i + 1}"}}]} for i, t in enumerate(CATALOG["records"])]}
+    catalog = r.Catalog.from_json(spec, layouts)
+    routed = r.route(records(*ebcdic("1ab", "207c", "1cd")), catalog)
+    folders = tables.write_by_type(routed, catalog, f"{tmp_path}/out", "parquet", mode="flat", keep=("rec_no",), partition={"SITE": "x"})
+    first = tables.read_type(spark, folders["t1"], "t1")
+    assert first.columns == ["rec_no", "REC_TYPE_2", "REC_NO_2", "SITE"]
+    assert sorted(tuple(x) for x in first.collect()) == [(1, "1", "ab", "x"), (3, "1", "cd", "x")]
+    assert [tuple(x) for x in tables.read_type(spark, folders["t2"], "t2").collect()] == [(2, "2", 7, "x")]
+    assert tables.read_type(spark, folders["t3"], "t3").count() == 0
+
+
+def test_a_failing_task_leaves_no_typed_files(spark, mixed, tmp_path):
+    catalog = r.Catalog.from_json(CATALOG, LAYOUTS)
+    routed = r.route(mixed, catalog).withColumn("rec", F.when(F.col("rec_no") < 4, F.col("rec")).otherwise(F.raise_error(F.lit("torn")).cast("binary")))
+    with pytest.raises(Exception, match="torn"):
+        tables.write_by_type(routed, catalog, f"{tmp_path}/out", "parquet")
+    assert not glob.glob(f"{tmp_path}/out/**/*.parquet", recursive=True) and not glob.glob(f"{tmp_path}/out/_*")
+
+
 def test_write_vb(spark, mixed, tmp_path):
     out = f"{tmp_path}/vb"
     frame = mixed.coalesce(1).withColumn("file", mixed.file).selectExpr("concat('/in/it''s ', rec_no % 2) file", "rec_no", "rec")

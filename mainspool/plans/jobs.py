@@ -26,7 +26,7 @@ from mainspool.sinks.tables import (
 )
 from mainspool.sinks.vb import write_vb
 from mainspool.sources.fixed import read_fb
-from mainspool.sources.variable import read_vb, tagged_vb, vb_ranges, vb_rejects
+from mainspool.sources.variable import current_ranges, read_vb, tagged_vb, vb_ranges, vb_rejects
 
 # Names of the file types.
 FILE_TYPES = {"MFVB": ("variable", "mainframe"), "MFFB": ("fixed", "mainframe"), "MFDVB": ("variable", "comma")}
@@ -129,10 +129,11 @@ def convert(
         length = record_len or layout.max_length if catalog is None else _fixed_length(catalog, record_len)
         records = read_fb(spark, paths, length, **reading)
     else:
-        index = vb_ranges(spark, paths, **reading) if index is None else index
-        records = read_vb(spark, paths, on_corrupt=on_corrupt, index=index, **reading)
+        # made, or checked, once for records and rejects
+        index = vb_ranges(spark, paths, **reading) if index is None else current_ranges(spark, paths, index, **reading)
+        records = read_vb(spark, paths, on_corrupt=on_corrupt, index=index, checked=True, **reading)
         if rejects is not None:
-            vb_rejects(spark, paths, index=index, **reading).write.parquet(rejects)
+            vb_rejects(spark, paths, index=index, checked=True, **reading).write.parquet(rejects)
 
     if catalog is not None:
         records = select_records(records, record_length=record_length)

@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mainspool.functions import codec
@@ -24,7 +25,8 @@ from mainspool.sinks import tables
 from mainspool.sinks.vb import write_vb
 from mainspool.sources.files import list_files
 from mainspool.sources.fixed import read_fb
-from mainspool.sources.variable import read_vb
+from mainspool.sources.framing import filesystem, open_file
+from mainspool.sources.variable import keep_index, read_vb
 from mainspool.testsupport import fixtures as fx
 from mainspool.testsupport import layouts as lay
 
@@ -187,6 +189,50 @@ def scan_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- field decode ---------------------------------------------------------------------
 
 
+def _append_files(batches):
+    """Appends the bytes of each row's ``source`` to its ``target``, in a task."""
+    for batch in batches:
+        for source, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            system, inner = filesystem(target)
+            with open_file(source) as f, system.open_append_stream(inner) as out:
+                while data := f.read(1 << 20):
+                    out.write(data)
+        yield batch
+
+
+@query(
+    """SELECT CAST(l_orderkey AS VARCHAR) AS order_ref, CAST(l_linenumber AS BIGINT) AS line_pos, l_extendedprice AS net_price
+    FROM lineitem WHERE l_linenumber % 3 = 0 UNION ALL SELECT CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS BIGINT), l_extendedprice
+    FROM lineitem, (VALUES (1), (2)) WHERE l_linenumber % 3 = 2"""
+)
+def index_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index kept while files are added, removed and appended to reads what is there."""
+    root, kept = scratch_path(spark, "indexed"), scratch_path(spark, "index")
+    lines = fx.table(spark, sf_dir, "lineitem")
+
+    def put(rest: int) -> None:
+        with java_charsets(spark):
+            number = (F.monotonically_increasing_id() + 1).alias("rec_no")
+            rows = lines.filter(F.col("l_linenumber") % 3 == rest).select(F.lit("lines").alias("file"), number, fx.sale_record().alias("rec"))
+        write_vb(rows, f"{root}/{rest}")
+
+    put(0)
+    put(1)
+    keep_index(spark, root, kept, chunk_bytes=CHUNK)
+    put(2)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/1")
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    by_place = F.row_number().over(W.orderBy("path"))  # a row per file
+    old, new = (list_files(spark, f"{root}/{n}/lines").select("path", by_place.alias("k")) for n in (0, 2))
+    # the first file takes what has no partner
+    pairs = new.join(old.withColumnRenamed("path", "target"), "k", "left").crossJoin(old.filter("k = 1").select(F.col("path").alias("first")))
+    pairs = pairs.select("path", F.coalesce("target", "first").alias("target"))
+    pairs.repartition("target").mapInArrow(_append_files, "path string, target string").count()
+    index = keep_index(spark, root, kept, chunk_bytes=CHUNK)
+    back = d.decode_flat(read_vb(spark, root, index=index, chunk_bytes=CHUNK), lay.SALES)
+    return back.select(F.rtrim("ORDER_REF").alias("order_ref"), big("LINE_POS", "line_pos"), num("NET_PRICE", "net_price"))
+
+
 @query(
     """SELECT doc_id, piece, regexp_replace(substr(text, piece * 30000 + 1, 30000), '[^\\x00-\\xFF]', '?', 'g') AS text
     FROM (SELECT doc_id, text, unnest(range(greatest((length(text) - 1) // 30000, 0) + 1)) AS piece FROM documents)"""

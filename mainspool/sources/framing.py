@@ -248,13 +248,14 @@ def _block_exits(buf: bytes, entries: list[int], stop: int) -> dict[int, tuple[i
     return out
 
 
-def chunk_chains(path: str, chunk: int, chunk_bytes: int, length: int) -> pa.RecordBatch:
+def chunk_chains(path: str, chunk: int, chunk_bytes: int, length: int, base: int = 0) -> pa.RecordBatch:
     """Where record chains go that enter a chunk at any plausible position.
 
     The true entry is not known yet: it depends on every earlier chunk. So each
     plausible entry is followed. One that meets a corrupt descriptor is left out: if it
     is the true one after all, reading the chunk from there finds the same corruption.
-    ``exits`` are the first starts behind the chunk.
+    ``exits`` are the first starts behind the chunk. Chunks and positions count from ``base``, a record
+    start, and ``length`` is that of the file behind it.
     """
     begin = chunk * chunk_bytes
     end = min(begin + chunk_bytes, length)
@@ -262,7 +263,7 @@ def chunk_chains(path: str, chunk: int, chunk_bytes: int, length: int) -> pa.Rec
     with open_file(path) as f:
         for at in range(begin, end, BLOCK):
             stop = min(at + BLOCK, end)
-            f.seek(at)
+            f.seek(base + at)
             buf = f.read(min(stop - at + DESCRIPTOR - 1, length - at))
             if at == begin:
                 first = _plausible(buf, min(LONGEST, end - begin), stop - at) if chunk else [0]
@@ -289,3 +290,14 @@ def chunk_chains(path: str, chunk: int, chunk_bytes: int, length: int) -> pa.Rec
         "records": [alive[e][1] for e in entries],
     }
     return pa.RecordBatch.from_pylist([row], schema=CHAIN_SCHEMA)
+
+
+def bytes_at(path: str, starts: list[int], size: int) -> list[bytes]:
+    """The bytes at some places of a file, as far as it reaches."""
+    out = []
+    with open_file(path) as f:
+        length = f.size()
+        for start in starts:
+            f.seek(min(start, length))
+            out.append(f.read(max(min(size, length - start), 0)))
+    return out

@@ -1,5 +1,6 @@
 """Scans: any cut of a file into ranges gives the same records."""
 
+import os
 import random
 
 import pytest
@@ -7,7 +8,7 @@ import pytest
 from mainspool.sources import framing
 from mainspool.sources.files import list_files, split_paths
 from mainspool.sources.fixed import read_fb
-from mainspool.sources.variable import read_vb, tagged_vb, vb_ranges, vb_rejects
+from mainspool.sources.variable import keep_index, read_vb, tagged_vb, vb_ranges, vb_rejects
 
 
 def framed(records):
@@ -51,6 +52,75 @@ def test_records_longer_than_chunks(spark, record_file):
     assert rows(read_vb(spark, path, chunk_bytes=500)) == expected(records)
 
 
+def _set_time(path, seconds):
+    os.utime(path, (seconds, seconds))
+
+
+@pytest.mark.parametrize("chunk", [700, 1 << 20])
+def test_an_index_by_any_name_reads_what_is_there(spark, record_file, tmp_path, chunk):
+    """Old, grown, replaced, shortened, touched, removed and new files, and a path the index does not know."""
+    made = {name: random_records(20 + i, 60, 80) for i, name in enumerate(["old", "grown", "replaced", "grown and other", "short", "touched", "gone", "torn"])}
+    for name, records in made.items():
+        _set_time(record_file(framed(records), f"in/{name}"), 1000)
+    root, kept = f"{tmp_path}/in", f"{tmp_path}/index"
+    first = keep_index(spark, root, kept, chunk_bytes=chunk)
+    same = keep_index(spark, root, kept, chunk_bytes=chunk)
+    assert sorted(os.listdir(kept)) == ["v=00000001"] and rows_of(first) == rows_of(same)
+    more = random_records(30, 40, 90)
+    _set_time(record_file(framed(made["grown"] + more), "in/grown"), 2000)
+    _set_time(record_file(framed(made["replaced"][::-1]), "in/replaced"), 2000)  # same length, other time
+    _set_time(record_file(framed(made["grown and other"][::-1] + more), "in/grown and other"), 2000)
+    _set_time(record_file(framed(made["short"][:30]), "in/short"), 2000)
+    _set_time(f"{root}/touched", 3000)
+    os.remove(f"{root}/gone")
+    _set_time(record_file(framed(made["torn"]) + b"\0\x50\0\0half", "in/torn"), 2000)
+    record_file(framed(random_records(31, 50, 90)), "in/new")
+    record_file(framed(random_records(32, 50, 90)), "elsewhere/other")
+    for paths, indexes in (([root, f"{tmp_path}/elsewhere"], (first, first.drop("mark"), first.limit(0))), (f"{root}/grown", (first,))):
+        fresh = rows_of(tagged_vb(spark, paths))
+        for index in indexes:
+            assert rows_of(tagged_vb(spark, paths, chunk_bytes=chunk, index=index)) == fresh
+    second = keep_index(spark, root, kept, chunk_bytes=chunk)
+    assert sorted(os.listdir(kept)) == ["v=00000001", "v=00000002"]
+    assert rows_of(read_vb(spark, root, on_corrupt="reject", index=second, checked=True)) == rows_of(read_vb(spark, root, on_corrupt="reject"))
+    grown = sorted((r["start"], r["end"]) for r in second.collect() if r["file"].endswith("/grown"))
+    assert grown[0][0] == 0 and grown[-1][1] == os.path.getsize(f"{root}/grown") and all(a[1] <= b[0] + 94 for a, b in zip(grown, grown[1:]))
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_only_new_and_grown_parts_are_scanned(spark, record_file, tmp_path, monkeypatch):
+    from mainspool.sources import variable
+
+    records = random_records(40, 200, 80)
+    _set_time(record_file(framed(records), "in/a"), 1000)
+    index = keep_index(spark, f"{tmp_path}/in", f"{tmp_path}/index", chunk_bytes=500).cache()
+    scanned = []
+    whole = variable._ranges
+    monkeypatch.setattr(variable, "_ranges", lambda spark, files, *a: scanned.extend((r["file"].rsplit("/", 1)[1], r["base"], r["n0"]) for r in files.collect()) or whole(spark, files, *a))
+    read_vb(spark, f"{tmp_path}/in", index=index, chunk_bytes=500).count()
+    assert scanned == []
+    _set_time(record_file(framed(records + records), "in/a"), 2000)
+    record_file(framed(records), "in/b")
+    read_vb(spark, f"{tmp_path}/in", index=index, chunk_bytes=500).count()
+    last = max(index.collect(), key=lambda r: r["start"])
+    assert sorted(scanned) == [("a", last["start"], last["first_rec_no"] - 1), ("b", 0, 0)]
+
+
+def test_an_index_of_blocks(spark, record_file, tmp_path):
+    def blocks(records):
+        return b"".join((len(b) + 4).to_bytes(2, "big") + b"\0\0" + b for b in (framed(records[i : i + 5]) for i in range(0, len(records), 5)))
+
+    _set_time(record_file(blocks(random_records(50, 60, 80)), "in/a"), 1000)
+    record_file(blocks(random_records(51, 60, 80)), "in/b")
+    index = keep_index(spark, f"{tmp_path}/in", f"{tmp_path}/index", chunk_bytes=600, bdw=True)
+    record_file(blocks(random_records(50, 60, 80) + random_records(52, 9, 80)), "in/a")
+    got = read_vb(spark, f"{tmp_path}/in", index=index, chunk_bytes=600, bdw=True)
+    assert rows_of(got) == rows_of(read_vb(spark, f"{tmp_path}/in", bdw=True))
+
+
 def test_a_file_of_many_chunks(spark, record_file):
     """More than 4,096 ranges in one file, full of what looks like record starts."""
     records = [b"\x00\x08\x00\x00" * 4, b"\x00\x08\x00\x00" * 9 + b"x"] * 3000

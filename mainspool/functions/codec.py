@@ -161,7 +161,8 @@ def _zoned(shown: str, field: Field | Item) -> str:
 
 def empty(raw: str, field: Field | Item) -> str:
     """Whether a zoned field's raw form is all blanks or low-values: no value, but not bad."""
-    return f"coalesce(translate({raw}, {_UNSET}, '') = '', false)"
+    # most numbers start with a digit, and one look says so
+    return f"coalesce({raw} < '!' AND translate({raw}, {_UNSET}, '') = '', false)"
 
 
 def _binary(unsigned: str, field: Field | Item) -> str:

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mainspool.functions import codec
-from mainspool.layout import TEXT, Layout, LayoutError
+from mainspool.layout import COMP, COMP3, TEXT, Layout, LayoutError
 from mainspool.operators.decode import FieldReader, plus
 from mainspool.session import java_charsets
+from mainspool.sources.pushed import Look, Place, RawFilter
 
 Alternative = tuple[tuple[str, str], ...]
 
@@ -64,6 +65,40 @@ def matches(reader: FieldReader, alternatives: Sequence[Alternative], strict: bo
     return F.expr(f"coalesce({' OR '.join(f'({f})' for f in found)}, false)")
 
 
+def raw_filter(
+    layout: Layout | None = None,
+    *,
+    include: str | None = None,
+    exclude: str | None = None,
+    record_length: int | None = None,
+    strict: bool = False,
+) -> RawFilter | None:
+    """What a scan can leave out by these rules before records become rows: a part of what
+    :func:`select_records` drops, to be applied behind it as well. None where that is nothing."""
+    wanted = _looks(layout, parse_rules(include), strict)
+    # a rule that cannot be read from bytes may let any record in
+    included = None if not wanted or None in wanted else tuple(wanted)
+    excluded = tuple(look for look in _looks(layout, parse_rules(exclude), strict) if look is not None)
+    if record_length is None and included is None and not excluded:
+        return None
+    return RawFilter(record_length, included, excluded)
+
+
+def _looks(layout: Layout | None, alternatives: Sequence[Alternative], strict: bool) -> list[Look | None]:
+    """A look per set of fields; None for fields whose bytes do not tell."""
+    literals: dict[tuple[str, ...], set] = {}
+    for pairs in alternatives:
+        values = tuple(v.lower() for _, v in pairs)
+        literals.setdefault(tuple(n for n, _ in pairs), set()).add(values if strict else "".join(values))
+    out: list[Look | None] = []
+    for names, values in literals.items():
+        fields = [layout.find(n) for n in names]
+        plain = all(not f.offset.terms and (f.kind == TEXT or f.kind in (COMP, COMP3) and not f.scale) for f in fields)
+        places = tuple(Place(f.offset.base, f.size, f.kind, f.signed) for f in fields)
+        out.append(Look(places, frozenset(values), strict) if plain else None)
+    return out
+
+
 def include(df: DataFrame, layout: Layout, spec: str, *, strict: bool = False) -> DataFrame:
     """Records that match the spec; an empty spec keeps all."""
     return select_records(df, layout, include=spec, strict=strict)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from mainspool.layout import Layout, LayoutError
 from mainspool.operators.decode import decode
 from mainspool.operators.route import Catalog, route
-from mainspool.operators.rules import select_records, skip_records
+from mainspool.operators.rules import raw_filter, select_records, skip_records
 from mainspool.operators.segments import split_tagged
 from mainspool.sinks.tables import (
     partition_values,
@@ -41,18 +41,31 @@ def scan(
     *,
     layout: Layout | None = None,
     record_len: int | None = None,
+    include: str | None = None,
+    exclude: str | None = None,
+    record_length: int | None = None,
+    strict: bool = False,
     **options,
 ) -> DataFrame:
-    """Records of ``MFVB``, ``MFFB`` or ``MFDVB`` files. A fixed length comes from the layout
-    unless given."""
-    framing, _ = FILE_TYPES[filetype.upper()]
+    """Records of ``MFVB``, ``MFFB`` or ``MFDVB`` files that the rules keep. A fixed length comes from the
+    layout unless given. What the rules can tell from bytes is left out while reading."""
+    framing, dialect = FILE_TYPES[filetype.upper()]
+    rules = {"include": include, "exclude": exclude, "record_length": record_length, "strict": strict}
+    options["where"] = raw_filter(layout, **rules)
+    # conditions may need a column that is not wanted
+    wanted = options.pop("columns", None)
+    if wanted is not None:
+        options["columns"] = [c for c in ("file", "rec_no", "rec_len", "rec") if c in {*wanted, "rec_len", "rec"}]
     if framing == "variable":
-        return read_vb(spark, paths, **options)
-    if record_len is None:
-        if layout is None:
-            raise LayoutError("fixed-length files need a layout or a record length")
-        record_len = layout.max_length
-    return read_fb(spark, paths, record_len, **options)
+        records = read_vb(spark, paths, **options)
+    else:
+        if record_len is None:
+            if layout is None:
+                raise LayoutError("fixed-length files need a layout or a record length")
+            record_len = layout.max_length
+        records = read_fb(spark, paths, record_len, **options)
+    kept = select_records(records, layout, dialect=dialect, **rules)
+    return kept if wanted is None else kept.select(*wanted)
 
 
 def _fixed_length(catalog: Catalog, record_len: int | None) -> int:
@@ -123,15 +136,18 @@ def convert(
     if catalog is None and layout is None:
         raise LayoutError("convert needs a layout or a catalog")
 
+    where = raw_filter(layout, include=include, exclude=exclude, record_length=record_length, strict=strict)
+    unnamed = ("rec_len", "rec")
+    named = ("file", *unnamed)  # for errors
     if schema_only:
         records = empty
     elif framing == "fixed":
         length = record_len or layout.max_length if catalog is None else _fixed_length(catalog, record_len)
-        records = read_fb(spark, paths, length, **reading)
+        records = read_fb(spark, paths, length, columns=unnamed, where=where, **reading)
     else:
         # made, or checked, once for records and rejects
         index = vb_ranges(spark, paths, **reading) if index is None else current_ranges(spark, paths, index, **reading)
-        records = read_vb(spark, paths, on_corrupt=on_corrupt, index=index, checked=True, **reading)
+        records = read_vb(spark, paths, on_corrupt=on_corrupt, index=index, checked=True, columns=named, where=where, **reading)
         if rejects is not None:
             vb_rejects(spark, paths, index=index, checked=True, **reading).write.parquet(rejects)
 

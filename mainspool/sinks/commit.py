@@ -16,7 +16,6 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from mainspool.sources.framing import filesystem
@@ -25,6 +24,12 @@ from mainspool.sources.framing import filesystem
 MANIFEST = "_manifest-"
 SUCCESS = "_SUCCESS"
 
+#: Bytes of manifests that the driver reads itself.
+SMALL = 1 << 20
+
+_LISTED = pa.schema([("path", pa.string()), ("length", pa.int64()), ("modificationTime", pa.timestamp("us", "UTC"))])
+_LISTED_DDL = "path string, length bigint, modificationTime timestamp"
+
 
 class Parts(WriterCommitMessage):
     """The files one task wrote: ``{"path": below the root, "bytes": .., "rows": .., ..}``."""
@@ -131,14 +136,15 @@ def save(df: DataFrame, source: type[DataSource], path: str, **options: object)
     return write_id
 
 
-def manifests(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
-    """The manifests in the root of each path (or of what it matches), none where it was written otherwise."""
-    out: dict[str, list[str]] = {}
+def manifests(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[tuple[str, int]]]:
+    """The manifests in the root of each path (or of what it matches) and their sizes, none where it was
+    written otherwise."""
+    out: dict[str, list[tuple[str, int]]] = {}
     conf = spark._jsc.hadoopConfiguration()
     for path in paths:
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MANIFEST}*")
         found = hadoop.getFileSystem(conf).globStatus(hadoop)
-        out[path] = sorted(f.getPath().toString() for f in found or ())
+        out[path] = sorted((f.getPath().toString(), f.getLen()) for f in found or ())
     return out
 
 
@@ -159,11 +165,15 @@ def _read_manifests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                         pa.array([r["bytes"] for r in some], pa.int64()),
                         pa.array([at] * len(some), pa.timestamp("us", "UTC")),
                     ],
-                    names=["path", "length", "modificationTime"],
+                    schema=_LISTED,
                 )
 
 
-def committed(spark: SparkSession, found: list[str]) -> DataFrame:
-    """``(path, length, modificationTime)`` of the files that manifests list, read by tasks."""
-    rows = spark.createDataFrame([(p,) for p in found], "path string").repartition(min(len(found), 64))
-    return rows.mapInArrow(_read_manifests, "path string, length bigint, modificationTime timestamp").where(F.col("length") >= 0)
+def committed(spark: SparkSession, found: list[tuple[str, int]]) -> DataFrame:
+    """``(path, length, modificationTime)`` of the files that manifests list; large manifests are read by tasks."""
+    paths = [path for path, _ in found]
+    if sum(size for _, size in found) <= SMALL:
+        batches = list(_read_manifests([pa.record_batch({"path": paths})]))
+        return spark.createDataFrame(pa.Table.from_batches(batches, schema=_LISTED), _LISTED_DDL)
+    rows = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 64))
+    return rows.mapInArrow(_read_manifests, _LISTED_DDL)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from mainspool.sinks.commit import committed, manifests
 
@@ -32,12 +31,6 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], recursive: bool
     return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
-def totals(files: DataFrame) -> tuple[int, int]:
-    """(bytes in all files, bytes in the largest): two numbers to size the read by."""
-    row = files.agg(F.sum("length").alias("total"), F.max("length").alias("largest")).first()
-    return row["total"] or 0, row["largest"] or 0
-
-
 def tasks_for(total: int, chunk_bytes: int) -> int:
     """Tasks to spread the byte ranges over: about one chunk each."""
     return max(1, -(-total // chunk_bytes))

@@ -17,22 +17,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from mainspool.sources.pushed import Output
+
 # Size of a record descriptor and the longest record it can announce.
 DESCRIPTOR = 4
 LONGEST = 0xFFFF
 
 BLOCK = 8 << 20
 
-RECORD_SCHEMA = pa.schema(
-    [
-        ("file", pa.string()),
-        ("rec_no", pa.int64()),
-        ("rec_len", pa.int32()),
-        ("rec", pa.binary()),
-        ("error", pa.string()),
-    ]
-)
-
 CHAIN_SCHEMA = pa.schema(
     [
         ("file", pa.string()),
@@ -98,32 +90,7 @@ def follow_unseen(buf: bytes, pos: int, stop: int, owner: array, me: int) -> tup
     return starts, pos, False
 
 
-def _batch(path: str, first: int, lengths: np.ndarray, body: np.ndarray) -> pa.RecordBatch:
-    """Records laid end to end in ``body`` as one batch."""
-    n = len(lengths)
-    offsets = np.zeros(n + 1, dtype=np.int32)
-    np.cumsum(lengths, out=offsets[1:])
-    records = pa.BinaryArray.from_buffers(
-        pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(body))]
-    )
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.repeat(pa.scalar(path), n),
-            pa.array(np.arange(first, first + n, dtype=np.int64)),
-            pa.array(lengths.astype(np.int32)),
-            records,
-            pa.nulls(n, pa.string()),
-        ],
-        schema=RECORD_SCHEMA,
-    )
-
-
-def _reject(path: str, rec_no: int, offset: int, reason: str) -> pa.RecordBatch:
-    row = {"file": path, "rec_no": rec_no, "rec_len": None, "rec": None, "error": f"{reason} at byte {offset}"}
-    return pa.RecordBatch.from_pylist([row], schema=RECORD_SCHEMA)
-
-
-def variable_records(path: str, start: int, end: int, length: int, first: int) -> Iterator[pa.RecordBatch]:
+def variable_records(path: str, start: int, end: int, length: int, first: int, out: Output = Output(), code: int = 0) -> Iterator[pa.RecordBatch]:
     """Records that start in ``[start, end)``; ``start`` must be a record start.
 
     A descriptor that is no descriptor, or that reaches past the end of the file,
@@ -143,27 +110,26 @@ def variable_records(path: str, start: int, end: int, length: int, first: int) -
             if starts:
                 begin = np.array(starts, dtype=np.int64)
                 sizes = np.diff(np.append(begin, nxt)) - DESCRIPTOR
-                kept = np.ones(nxt, dtype=bool)
-                for k in range(DESCRIPTOR):
-                    kept[begin + k] = False
-                yield _batch(path, rec_no, sizes, np.frombuffer(buf, dtype=np.uint8, count=nxt)[kept])
+                batch = out.batch(path, code, rec_no, np.frombuffer(buf, dtype=np.uint8), begin + DESCRIPTOR, sizes)
+                if batch is not None:
+                    yield batch
                 rec_no += len(starts)
             at += nxt
             if corrupt:
-                yield _reject(path, rec_no, at, "bad record descriptor")
+                yield out.reject(path, code, rec_no, at, "bad record descriptor")
                 return
             if not starts and at < end:
-                yield _reject(path, rec_no, at, "record cut off by the end of the file")
+                yield out.reject(path, code, rec_no, at, "record cut off by the end of the file")
                 return
 
 
-def blocked_records(path: str, start: int, end: int, length: int, first: int) -> Iterator[pa.RecordBatch]:
+def blocked_records(path: str, start: int, end: int, length: int, first: int, out: Output = Output(), code: int = 0) -> Iterator[pa.RecordBatch]:
     """Records of the blocks that start in ``[start, end)``: a block has a descriptor like a
     record's, and holds whole records. A block that does not is where the file is given up."""
     rec_no, at = first, start
     for batch in variable_records(path, start, end, length, 1):
         if batch.column(4).null_count < batch.num_rows:  # the scan's own reject
-            yield _reject(path, rec_no, at, batch.column(4)[0].as_py().rsplit(" at byte ", 1)[0])
+            yield out.reject(path, code, rec_no, at, batch.column(4)[0].as_py().rsplit(" at byte ", 1)[0])
             return
         blocks = batch.column(3)
         ends = np.frombuffer(blocks.buffers()[1], dtype=np.int32)[1 : len(blocks) + 1].tolist()
@@ -184,19 +150,18 @@ def blocked_records(path: str, start: int, end: int, length: int, first: int) ->
         if starts:
             where = np.array(starts, dtype=np.int64)
             sizes = np.diff(np.append(where, last)) - DESCRIPTOR
-            kept = np.ones(last, dtype=bool)
-            for k in range(DESCRIPTOR):
-                kept[where + k] = False
-            yield _batch(path, rec_no, sizes, np.frombuffer(body, dtype=np.uint8, count=last)[kept])
+            kept = out.batch(path, code, rec_no, np.frombuffer(body, dtype=np.uint8), where + DESCRIPTOR, sizes)
+            if kept is not None:
+                yield kept
             rec_no += len(starts)
         if bad is not None:
             block = next(i for i, stop in enumerate(ends) if bad < stop or i + 1 == len(ends))
-            yield _reject(path, rec_no, at + bad + DESCRIPTOR * (block + 1), "bad record descriptor in a block")
+            yield out.reject(path, code, rec_no, at + bad + DESCRIPTOR * (block + 1), "bad record descriptor in a block")
             return
         at += ends[-1] + DESCRIPTOR * len(ends)
 
 
-def fixed_records(path: str, start: int, end: int, record_len: int) -> Iterator[pa.RecordBatch]:
+def fixed_records(path: str, start: int, end: int, record_len: int, out: Output = Output(), code: int = 0) -> Iterator[pa.RecordBatch]:
     """Fixed-length records in ``[start, end)``; the file's last one may be short."""
     step = max(BLOCK // record_len, 1) * record_len
     with open_file(path) as f:
@@ -206,7 +171,9 @@ def fixed_records(path: str, start: int, end: int, record_len: int) -> Iterator[
             n = -(-len(buf) // record_len)
             sizes = np.full(n, record_len, dtype=np.int64)
             sizes[-1] = len(buf) - (n - 1) * record_len
-            yield _batch(path, at // record_len + 1, sizes, np.frombuffer(buf, dtype=np.uint8))
+            batch = out.batch(path, code, at // record_len + 1, np.frombuffer(buf, dtype=np.uint8), np.arange(n, dtype=np.int64) * record_len, sizes)
+            if batch is not None:
+                yield batch
 
 
 def _plausible(buf: bytes, window: int, stop: int) -> list[int]:

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from mainspool.session import qualified, shared_dir
 from mainspool.sources.files import list_files, tasks_for
-from mainspool.sources.fixed import CHUNK_BYTES, RECORD_DDL, spread
+from mainspool.sources.fixed import CHUNK_BYTES, FEW_RANGES, read_ranges, spread
 from mainspool.sources.framing import LONGEST, blocked_records, bytes_at, chunk_chains, variable_records
+from mainspool.sources.pushed import Output, RawFilter
 
 #: Maps composed into one.
 FAN = 16
@@ -137,8 +138,15 @@ def _ranges(spark: SparkSession, files: DataFrame, chunk_bytes: int, bdw: bool)
     ``n0`` records."""
     shared_dir(spark)  # checkpoint() needs the folder set
     rest = files.withColumn("rest", F.col("length") - F.col("base"))
-    sizes = rest.agg(F.sum("rest").alias("total"), F.max("rest").alias("largest")).first()
-    total, largest = sizes["total"] or 0, sizes["largest"] or 0
+    few = rest.limit(FEW_RANGES + 1).toArrow()
+    if few.num_rows <= FEW_RANGES:  # listed once
+        rest = spark.createDataFrame(few, rest.schema)
+        files = rest.drop("rest")
+        each = few.column("rest").to_pylist()
+        total, largest = sum(each), max(each, default=0)
+    else:
+        sizes = rest.agg(F.sum("rest").alias("total"), F.max("rest").alias("largest")).first()
+        total, largest = sizes["total"], sizes["largest"]
     if largest <= chunk_bytes:  # nothing to look for: each file is one range
         one = rest.select("file", F.col("base").alias("start"), F.col("length").alias("end"), "length", (F.col("n0") + 1).alias("first_rec_no"), "modified")
         return _numbered(one, chunk_bytes) if bdw else one
@@ -259,27 +267,26 @@ def _newest(spark: SparkSession, folder: str) -> int:
     return max((int(s.getPath().getParent().getName()[2:]) for s in found or ()), default=0)
 
 
-def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in batch.to_pylist():
-            yield from variable_records(r["file"], r["start"], r["end"], r["length"], r["first_rec_no"])
-
-
-def _read_blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in batch.to_pylist():
-            yield from blocked_records(r["file"], r["start"], r["end"], r["length"], r["first_rec_no"])
-
-
 def _scan(
-    spark: SparkSession, paths: str | Sequence[str], chunk_bytes: int, index: DataFrame | None, bdw: bool, checked: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    chunk_bytes: int,
+    index: DataFrame | None,
+    bdw: bool,
+    checked: bool = False,
+    columns: Sequence[str] | None = None,
+    where: RawFilter | None = None,
 ) -> DataFrame:
     if index is None:
         ranges = vb_ranges(spark, paths, chunk_bytes=chunk_bytes, bdw=bdw)
     else:
         ranges = index if checked else current_ranges(spark, paths, index, chunk_bytes=chunk_bytes, bdw=bdw)
-    total = ranges.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
-    return spread(ranges, "start", tasks_for(total, chunk_bytes)).mapInArrow(_read_blocked if bdw else _read_ranges, RECORD_DDL)
+    read = blocked_records if bdw else variable_records
+
+    def records(r: dict, out: Output) -> Iterator[pa.RecordBatch]:
+        return read(r["file"], r["start"], r["end"], r["length"], r["first_rec_no"], out, r["code"])
+
+    return read_ranges(ranges.select("file", "start", "end", "length", "first_rec_no"), chunk_bytes, records, columns, where)
 
 
 def tagged_vb(
@@ -290,10 +297,12 @@ def tagged_vb(
     index: DataFrame | None = None,
     bdw: bool = False,
     checked: bool = False,
+    columns: Sequence[str] | None = None,
+    where: RawFilter | None = None,
 ) -> DataFrame:
     """Records and rejects of one scan: ``(file, rec_no, rec_len, rec, error)``; a row with an
     ``error`` says where a corrupt file was given up and holds no record."""
-    return _scan(spark, paths, chunk_bytes, index, bdw, checked)
+    return _scan(spark, paths, chunk_bytes, index, bdw, checked, columns, where)
 
 
 def read_vb(
@@ -305,6 +314,8 @@ def read_vb(
     index: DataFrame | None = None,
     bdw: bool = False,
     checked: bool = False,
+    columns: Sequence[str] | None = None,
+    where: RawFilter | None = None,
 ) -> DataFrame:
     """``(file, rec_no, rec_len, rec)`` of variable-length files; ``rec`` is without
     its descriptor, ``rec_no`` counts from 1 in each file. ``bdw`` says that the records lie in
@@ -314,13 +325,14 @@ def read_vb(
     fails the query, or with ``on_corrupt="reject"`` shows up in :func:`vb_rejects`.
 
     An ``index`` spares the search for record starts in files it still fits (:func:`current_ranges`); ``checked``
-    says that it was made for these paths just now.
+    says that it was made for these paths just now. ``columns`` are those to fill, and ``where`` says which
+    records need not become rows (:func:`mainspool.operators.rules.raw_filter`).
     """
     if on_corrupt not in ("fail", "reject"):
         raise ValueError(f"on_corrupt must be 'fail' or 'reject', not {on_corrupt!r}")
-    scanned = _scan(spark, paths, chunk_bytes, index, bdw, checked)
+    scanned = _scan(spark, paths, chunk_bytes, index, bdw, checked, columns, where)
     if on_corrupt == "fail":
-        message = F.concat(F.col("file"), F.lit(": "), F.col("error"))
+        message = F.concat(F.col("file"), F.lit(": "), F.col("error")) if "file" in scanned.columns else F.col("error")
         scanned = scanned.filter(F.col("error").isNull() | F.raise_error(message).cast("boolean"))
     else:
         scanned = scanned.filter(F.col("error").isNull())

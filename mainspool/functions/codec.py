@@ -25,7 +25,7 @@ from functools import cache, reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mainspool.layout import COMP, COMP3, TEXT, Field, Item
+from mainspool.layout import COMP, COMP3, EDITED, FLOAT, TEXT, Field, Item, Picture
 
 CHARSET = "cp037"
 
@@ -77,6 +77,8 @@ def piece(b: str, field: Field | Item) -> str:
     """The raw form of a field's bytes."""
     if field.kind == COMP3:
         return f"hex({b})"
+    if field.kind == FLOAT:
+        return f"cast(conv(hex({b}), 16, {-10 if field.size == 8 else 10}) AS bigint)"
     if field.kind != COMP:
         return f"decode({b}, '{CHARSET}')"
     if field.size < 8:
@@ -94,6 +96,10 @@ def value(raw: str, field: Field | Item) -> str:
         return _packed(raw, field.size, field.scale)
     if field.kind == COMP:
         return _binary(raw, field)
+    if field.kind == FLOAT:
+        return _floating(raw, field.size)
+    if field.kind == EDITED:
+        return _edited(raw, field)
     return _zoned(raw, field)
 
 
@@ -159,12 +165,53 @@ def _zoned(shown: str, field: Field | Item) -> str:
     return _scaled(f"{number} * {sign}" if field.signed else number, size, field.scale)
 
 
+def _floating(bits: str, size: int) -> str:
+    """Hexadecimal floating point: a sign, a power of 16 from 64 and a fraction; as DOUBLE, as the
+    power of a short one goes beyond FLOAT."""
+    places = 8 * size - 8
+    power = f"(shiftrightunsigned({bits}, {places}) & 127)"
+    # a fraction of 56 bits is rounded to the 53 of a DOUBLE; a power of two changes none of them
+    fraction = f"cast({bits} & {(1 << places) - 1}L AS double)"
+    negative = f"{bits} < 0" if size == 8 else f"{bits} >= {1 << 31}L"
+    # adding zero makes a negative zero a plain one
+    return f"(CASE WHEN {negative} THEN -{fraction} ELSE {fraction} END * pow(2D, 4 * ({power} - 64) - {places}) + 0D)"
+
+
+def float_text(value: str, size: int) -> str:
+    """The shortest text of a floating-point number that tells it from its neighbours of the same size."""
+    if size == 8:
+        return f"cast({value} AS string)"
+    fits = f"{value} = 0D OR abs({value}) BETWEEN 1.17549435E-38D AND 3.4028235E38D"
+    return f"CASE WHEN {fits} THEN cast(cast({value} AS float) AS string) ELSE cast({value} AS string) END"
+
+
+def _edited(shown: str, field: Field | Item) -> str:
+    """A number edited for print: its digits, where the picture allows the text."""
+    picture = Picture.parse(field.picture)
+    held = shown
+    if "0" in picture.places:  # zeros that are no digits of the number
+        held = "concat(" + ", ".join(f"substring({shown}, {i + 1}, 1)" for i in range(field.size) if picture.is_digit(i)) + ")"
+    digits = f"concat('0', regexp_replace({held}, '[^0-9]', ''))"
+    negative = f"contains({shown}, '-') OR contains({shown}, 'CR') OR contains({shown}, 'DB')"
+    sign = f"(CASE WHEN {negative} THEN -1 ELSE 1 END)" if field.signed else "1"
+    if field.digits > LONG_DIGITS:
+        number = _many_digits(digits, field.digits, field.scale, sign)
+    else:
+        number = _scaled(f"try_cast({digits} AS bigint) * {sign}", field.digits, field.scale)
+    return f"CASE WHEN {shown} RLIKE {literal(f'^(?:{picture.pattern()})$')} THEN {number} END"
+
+
 def empty(raw: str, field: Field | Item) -> str:
     """Whether a zoned field's raw form is all blanks or low-values: no value, but not bad."""
     # most numbers start with a digit, and one look says so
     return f"coalesce({raw} < '!' AND translate({raw}, {_UNSET}, '') = '', false)"
 
 
+def unset(raw: str, value: str, field: Field | Item) -> str:
+    """:func:`empty`, for a field that has no value: blanks are zero in pictures that suppress every digit."""
+    return empty(raw, field) if field.kind != EDITED else f"{empty(raw, field)} AND {value} IS NULL"
+
+
 def _binary(unsigned: str, field: Field | Item) -> str:
     """Big-endian, two's complement when signed; eight bytes come signed already."""
     whole = unsigned

@@ -9,10 +9,11 @@ positions and types to the Column expressions in :mod:`mainspool.functions` and
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field, replace
 
 TEXT, ZONED, COMP, COMP3 = "text", "zoned", "comp", "comp3"
+FLOAT, EDITED = "float", "edited"
 SPLITS = ("nosplit", "redefine", "level1")
 
 # Source columns that hold layout text (0-based slice).
@@ -24,6 +25,10 @@ _USAGES = {
     "COMP-5": COMP,
     "COMPUTATIONAL": COMP,
     "BINARY": COMP,
+    "COMP-1": "float4",
+    "COMPUTATIONAL-1": "float4",
+    "COMP-2": "float8",
+    "COMPUTATIONAL-2": "float8",
     "COMP-3": COMP3,
     "COMPUTATIONAL-3": COMP3,
     "PACKED-DECIMAL": COMP3,
@@ -31,25 +36,44 @@ _USAGES = {
 }
 
 
+# Bytes of the floating-point usages.
+_FLOATS = {"float4": 4, "float8": 8}
+
+
 class LayoutError(ValueError):
     """The layout text describes something the engine cannot decode."""
 
 
+# 0-based byte offset: a number, or SQL text where only a record tells
+Position = int | str
+
+
+def plus(at: Position, more: Position) -> Position:
+    if isinstance(at, int) and isinstance(more, int):
+        return at + more
+    return at if more == 0 else f"({at} + {more})"
+
+
 @dataclass(frozen=True)
 class Offset:
-    """A byte offset: a constant plus ``size * count(field)`` terms.
+    """A byte offset: a constant plus ``size * count(field)`` terms, from the start of the record or from
+    a place that only a walk of the record finds.
 
     The terms appear only behind a repeated group whose length depends on a
-    count held in the record itself.
+    count held in the record itself. ``after`` is a walk and the occurrence whose start is meant, or -1 for the
+    end of the last; it appears in and behind a repeated group whose occurrences differ in length. ``needs`` names
+    counts that must exceed a number for the place to be there.
     """
 
-    base: int = 0
+    base: Position = 0
     terms: tuple[tuple[int, str], ...] = ()
+    after: tuple[Walk, int] | None = None
+    needs: tuple[tuple[str, int], ...] = ()
 
     def __add__(self, other: Offset | int) -> Offset:
         if isinstance(other, int):
-            return Offset(self.base + other, self.terms)
-        return Offset(self.base + other.base, self.terms + other.terms)
+            return replace(self, base=plus(self.base, other))
+        return replace(self, base=plus(self.base, other.base), terms=self.terms + other.terms)
 
 
 @dataclass(frozen=True)
@@ -65,6 +89,7 @@ class Item:
     signed: bool = False
     sign: str = ""
     usage: str | None = None
+    picture: str = ""
     redefines: str | None = None
     occurs: int | None = None
     depending: str | None = None
@@ -80,12 +105,43 @@ class Item:
             return Offset(self.size)
         return _span_of(self.children)
 
+    @property
+    def varies(self) -> bool:
+        """Whether occurrences differ in length: they hold a group repeated by a count."""
+        return any(not c.redefines and (c.depending is not None or c.varies) for c in self.children)
+
     def stride(self) -> int:
         """Bytes taken by one occurrence of a repeated item; must be constant."""
-        span = self.span()
-        if span.terms:
-            raise LayoutError(f"{self.name}: a repeated group may not hold a variable group")
-        return span.base
+        if self.varies:
+            raise LayoutError(f"{self.name}: occurrences differ in length")
+        return self.span().base
+
+    def end(self, at: Offset) -> Offset:
+        """The offset behind all occurrences of an item that starts at ``at``."""
+        if self.occurs is not None and self.varies:
+            return Offset(0, (), (Walk(self, at), -1))
+        if not self.varies:
+            return at + self.total()
+        for child in self.children:
+            if not child.redefines:
+                at = child.end(at)
+        return at
+
+    def fields_inside(self) -> dict[str, Item]:
+        """The elementary items of one occurrence that are not repeated in it, by name."""
+        out: dict[str, Item] = {}
+        for child in self.children:
+            if child.occurs is None:
+                out |= {child.name: child} if child.kind else child.fields_inside()
+        return out
+
+    def counted_by(self, labels: Mapping[str, str]) -> Item:
+        """The item with the counts of groups in it renamed."""
+        return replace(
+            self,
+            depending=labels.get(self.depending, self.depending) if self.depending else None,
+            children=tuple(c.counted_by(labels) for c in self.children),
+        )
 
     def total(self) -> Offset:
         """Bytes taken by all occurrences."""
@@ -104,6 +160,14 @@ class Item:
         return one * (self.occurs or 1)
 
 
+@dataclass(frozen=True)
+class Walk:
+    """A repeated item whose occurrences differ in length, and where it starts."""
+
+    item: Item
+    start: Offset
+
+
 def _span_of(items: Iterable[Item]) -> Offset:
     span = Offset()
     for item in items:
@@ -116,6 +180,11 @@ def _max_bytes_of(items: Iterable[Item]) -> int:
     return sum(i.max_bytes() for i in items if not i.redefines)
 
 
+def label(name: str, subscripts: tuple[int, ...]) -> str:
+    """A name with the subscripts of its occurrence."""
+    return f"{name} ({', '.join(map(str, subscripts))})" if subscripts else name
+
+
 @dataclass(frozen=True)
 class Field:
     """An elementary field at one position (one per subscript combination)."""
@@ -129,13 +198,12 @@ class Field:
     signed: bool = False
     sign: str = ""
     subscripts: tuple[int, ...] = ()
+    picture: str = ""
 
     @property
     def label(self) -> str:
         """Display name; repeated fields carry their subscripts."""
-        if not self.subscripts:
-            return self.name
-        return f"{self.name} ({', '.join(map(str, self.subscripts))})"
+        return label(self.name, self.subscripts)
 
 
 def placed(items: Iterable[Item], start: Offset, split: str = "nosplit") -> Iterator[tuple[Item, Offset]]:
@@ -152,17 +220,27 @@ def placed(items: Iterable[Item], start: Offset, split: str = "nosplit") -> Iter
             continue
         starts[item.name] = at
         yield item, at
-        at = at + item.total()
+        at = item.end(at)
 
 
 def _flatten(item: Item, start: Offset, subs: tuple[int, ...], split: str) -> Iterator[Field]:
     for i in range(item.occurs) if item.occurs is not None else (None,):
-        at = start if i is None else start + item.stride() * i
-        here = subs if i is None else subs + (i,)
+        here, one = (subs, item) if i is None else (subs + (i,), item)
+        if i is None:
+            at = start
+        elif item.varies:
+            at = Offset(0, (), (Walk(item, start), i))
+            # counts held by the occurrence are those of this one
+            one = item.counted_by({n: label(n, here) for n in item.fields_inside()})
+        else:
+            at = start + item.stride() * i
+            if item.depending and (start.after or start.needs):
+                # behind its last element a nested group's record goes on with something else
+                at = replace(at, needs=(*at.needs, (item.depending, i)))
         if item.kind:
-            yield Field(item.name, at, item.size, item.kind, item.digits, item.scale, item.signed, item.sign, here)
+            yield Field(item.name, at, item.size, item.kind, item.digits, item.scale, item.signed, item.sign, here, item.picture)
         else:
-            for child, child_at in placed(item.children, at, split):
+            for child, child_at in placed(one.children, at, split):
                 yield from _flatten(child, child_at, here, split)
 
 
@@ -190,7 +268,9 @@ class Layout:
             views = _views(part)
             for view in views[:1] if split == "level1" else views:
                 out += placed(view, at, split)
-            at = at + _span_of(views[0])
+            for item in views[0]:
+                if not item.redefines:
+                    at = item.end(at)
         return out
 
     def fields(self, split: str = "nosplit") -> list[Field]:
@@ -256,6 +336,98 @@ def column_names(labels: Iterable[str], kept: Iterable[str] = ()) -> list[str]:
     return out
 
 
+# --- edited pictures ---------------------------------------------------------------
+
+# What picture characters stand for.
+_FILL = {"Z": " ", "*": "*"}
+_INSERTED = {",": ",", "B": " ", "0": "0", "/": "/"}
+_FLOATING = "+-$"
+
+
+@dataclass(frozen=True)
+class Picture:
+    """A number edited for print: what each character of its text may be.
+
+    ``places`` has a symbol per character: ``9`` a digit, ``Z`` or ``*`` a digit or its fill character, ``+ - $`` more
+    than once a floating symbol, once a fixed one, ``, B 0 /`` inserted, ``.`` the point, ``CR`` and ``DB`` two places.
+    """
+
+    places: tuple[str, ...]
+    digits: int
+    scale: int
+    signed: bool
+
+    @classmethod
+    def parse(cls, flat: str) -> Picture:
+        body, tail = flat, ()
+        if flat.endswith(("CR", "DB")):
+            body, tail = flat[:-2], (flat[-2:-1] + "1", flat[-2:-1] + "2")
+        point = body.find(".") if "." in body else body.find("V")
+        places = tuple(body.replace("V", ""))
+        floating = next((c for c in _FLOATING if body.count(c) > 1), "")
+        if not re.fullmatch(r"[+\-$]?[+\-$]*[Z*9,B0/.V+\-$]*[+\-]?", body) or body.count(".") + body.count("V") > 1:
+            raise LayoutError(f"unsupported picture {flat}")
+        symbols = [c for c in body if c in "9Z*" or c == floating]
+        digits = len(symbols) - bool(floating)
+        behind = [c for c in body[point + 1 :] if c in "9Z*" or c == floating] if point >= 0 else []
+        if digits < 1 or "Z" in body and "*" in body or floating and ("Z" in body or "*" in body):
+            raise LayoutError(f"unsupported picture {flat}")
+        return cls(places + tail, digits, len(behind), bool(tail) or "+" in body or "-" in body)
+
+    @property
+    def floating(self) -> str:
+        return next((c for c in _FLOATING if self.places.count(c) > 1), "")
+
+    def is_digit(self, i: int) -> bool:
+        """Whether a place may hold a digit of the number; the first floating symbol never does."""
+        c = self.places[i]
+        return c in ("9", "Z", "*") or bool(self.floating) and c == self.floating and i != self.places.index(c)
+
+    def pattern(self) -> str:
+        """A regular expression of the texts the picture allows: with each number of suppressed places, those are
+        filled, a floating symbol stands at their end, and from there on all is as in the picture."""
+        n, first = len(self.places), next((i for i, c in enumerate(self.places) if c in _FILL or c == self.floating), None)
+        if first is None:
+            return "".join(self._plain(i) for i in range(n))
+        stop = first  # behind the last place that may be suppressed, at most the point
+        for i in range(first, n):
+            c = self.places[i]
+            if c in _FILL or c == self.floating:
+                stop = i + 1
+            elif c not in _INSERTED:
+                break
+        fill = _FILL.get(self.places[first], " ")
+        front, behind = "".join(self._plain(i) for i in range(first)), "".join(self._plain(i) for i in range(stop, n))
+        ways = []
+        for cut in range(first + bool(self.floating), stop + 1):
+            if cut == stop or self.is_digit(cut):
+                filled = cut - first - bool(self.floating)
+                symbol = self._sign(self.floating) if self.floating else ""
+                ways.append(re.escape(fill) * filled + symbol + "".join(self._plain(i) for i in range(cut, stop)))
+        found = f"{front}(?:{'|'.join(ways)}){behind}"
+        if any(self.places[i] == "9" for i in range(n)):
+            return found
+        # nothing but suppressed digits: zero is all filled, but for a point among asterisks
+        zero = "".join("\\." if c == "." and fill == "*" else "." if c in ("C1", "C2", "D1", "D2") else re.escape(fill) for c in self.places)
+        return f"(?:{found}|{zero}| {{{n}}})"
+
+    def _sign(self, c: str) -> str:
+        return {"+": "[+-]", "-": "[ -]", "$": "\\$"}[c]
+
+    def _plain(self, i: int) -> str:
+        """The pattern of one unsuppressed place."""
+        c = self.places[i]
+        if self.is_digit(i):
+            return "[0-9]"
+        if c in _FLOATING:
+            return self._sign(c)
+        if c in ("C1", "D1"):
+            return "(?:CR|  )" if c == "C1" else "(?:DB|  )"
+        if c in ("C2", "D2"):
+            return ""
+        return re.escape(_INSERTED.get(c, c))
+
+
 # --- layout text ------------------------------------------------------------------
 
 _TOKEN = re.compile(r"'[^']*'\.?|\"[^\"]*\"\.?|\S+")
@@ -287,7 +459,8 @@ def _picture(pic: str) -> tuple[str, int, int, bool, int]:
         return TEXT, 0, 0, False, len(flat)
     number = re.fullmatch(r"(S?)(9*)(?:V(9*))?", flat)
     if not number or not (number[2] or number[3]):
-        raise LayoutError(f"unsupported picture {pic}")
+        edited = Picture.parse(flat)
+        return EDITED, edited.digits, edited.scale, edited.signed, len(edited.places)
     scale = len(number[3] or "")
     return ZONED, len(number[2]) + scale, scale, bool(number[1]), 0
 
@@ -327,7 +500,7 @@ def _entry(words: list[str]) -> Item | None:
             break
         elif word in ("LEADING", "SEPARATE"):
             sign.add(word.lower())
-        elif word in ("COMP-1", "COMP-2", "SYNC", "SYNCHRONIZED"):
+        elif word in ("SYNC", "SYNCHRONIZED"):
             raise LayoutError(f"{name}: {word} is not supported")
         # SIGN IS TRAILING CHARACTER, USAGE IS, TIMES, INDEXED BY, JUSTIFIED and the like do not move bytes
     item = Item(level, name, usage=usage, sign=" ".join(sorted(sign)), redefines=redefines, occurs=occurs, depending=depending)
@@ -336,6 +509,13 @@ def _entry(words: list[str]) -> Item | None:
     kind, digits, scale, signed, size = _picture(pic)
     if kind == TEXT:
         return replace(item, kind=TEXT, size=size, sign="")
+    if kind == EDITED:
+        if usage not in (None, ZONED):
+            raise LayoutError(f"{name}: an edited picture is for display")
+        picture = re.sub(r"(.)\((\d+)\)", lambda m: m[1] * int(m[2]), pic)
+        return replace(item, kind=EDITED, size=size, digits=digits, scale=scale, signed=signed, sign="", picture=picture)
+    if usage in _FLOATS:
+        raise LayoutError(f"{name}: a floating-point number has no picture")
     return _sized(replace(item, kind=usage or ZONED, digits=digits, scale=scale, signed=signed))
 
 
@@ -355,9 +535,11 @@ def _inherited(item: Item, usage: str | None, sign: str) -> Item:
     usage, sign = item.usage or usage, item.sign or sign
     if not item.kind:
         return replace(item, children=tuple(_inherited(c, usage, sign) for c in item.children))
-    if item.kind == TEXT:
+    if item.kind in (TEXT, EDITED, FLOAT):
         return item
     kind = usage or ZONED
+    if kind in _FLOATS:
+        raise LayoutError(f"{item.name}: a floating-point number has no picture")
     return _sized(replace(item, kind=kind, sign=sign if kind == ZONED and item.signed else ""))
 
 
@@ -366,17 +548,21 @@ def _parse_items(text: str, margins: tuple[int, int]) -> tuple[Item, ...]:
     if not entries:
         raise LayoutError("the layout text holds no entries")
 
-    def take(i: int, level: int) -> tuple[list[Item], int]:
+    def take(i: int, level: int, usage: str | None = None) -> tuple[list[Item], int]:
         """Siblings from ``i`` on, down to the first entry above ``level``."""
         out: list[Item] = []
         while i < len(entries) and entries[i].level >= level:
             item = entries[i]
             i += 1
             if not item.kind:
-                children, i = take(i, item.level + 1)
-                if not children:
+                used = item.usage or usage
+                children, i = take(i, item.level + 1, used)
+                if children:
+                    item = replace(item, children=tuple(children))
+                elif used in _FLOATS:
+                    item = replace(item, kind=FLOAT, size=_FLOATS[used], signed=True)
+                else:
                     raise LayoutError(f"{item.name} has neither a picture nor fields")
-                item = replace(item, children=tuple(children))
             out.append(item)
         return out, i
 

@@ -7,14 +7,14 @@ groups become structs, repeated groups arrays, numbers numbers.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mainspool.functions import codec
-from mainspool.layout import COMP, TEXT, ZONED, Field, Item, Layout, Offset, column_names, distinct_name, normalise, placed
+from mainspool.layout import COMP, EDITED, FLOAT, TEXT, ZONED, Field, Item, Layout, Offset, Position, column_names, distinct_name, normalise, placed, plus
 from mainspool.session import java_charsets, limit_generated_methods
 
 RECORD_COLUMNS = ("file", "rec_no", "rec_len", "rec")
@@ -23,22 +23,21 @@ DIALECTS = ("mainframe", "comma")
 # Repeated groups of up to this many fields in all are decoded without a lambda.
 UNROLLED = 64
 
-# 0-based byte offset: a number, or SQL text behind a variable group
-Position = int | str
-
-
-def plus(at: Position, more: Position) -> Position:
-    if isinstance(at, int) and isinstance(more, int):
-        return at + more
-    return at if more == 0 else f"({at} + {more})"
-
-
 def bytes_at(at: Position, size: int, source: str = "rec") -> str:
     """Bytes of the record, or of another source, from a 0-based offset."""
     start = at + 1 if isinstance(at, int) else f"cast({at} + 1 AS int)"
     return f"substring({source}, {start}, {size})"
 
 
+def _count(value: str) -> str:
+    return f"greatest(coalesce(cast({value} AS bigint), 0L), 0L)"
+
+
+def _depending(item: Item) -> set[str]:
+    """The counts that groups in an item go by."""
+    return {name for c in item.children for name in ({c.depending} if c.depending else set()) | _depending(c)}
+
+
 class FieldReader:
     """SQL expressions for the fields of one layout over the columns of a scan."""
 
@@ -48,17 +47,46 @@ class FieldReader:
         self.layout = layout
         self.dialect = dialect
         self.counts: dict[str, str] = {}
+        self.walks: dict[str, str] = {}
+        self.depth = 0
 
     def count(self, name: str) -> str:
         """The element count a record holds, as a BIGINT; 0 where it holds none."""
         if name not in self.counts:
-            self.counts[name] = f"greatest(coalesce(cast({self.value(self.layout.find(name))} AS bigint), 0L), 0L)"
+            self.counts[name] = _count(self.value(self.layout.find(name)))
         return self.counts[name]
 
-    def counters(self, split: str) -> list[str]:
-        """The counts that offsets hang on, in record order."""
-        names = {counter for f in self.layout.fields(split) for _, counter in f.offset.terms}
-        return sorted(names, key=lambda n: self.layout.find(n).offset.base)
+    def steps(self, split: str, prefix: str = "") -> list[tuple[str, str]]:
+        """What offsets hang on, each a (column, SQL) that may read those before it: counts, and walks."""
+        out: list[tuple[str, str]] = []
+        seen: set[str] = set()
+
+        def count(name: str) -> None:
+            if name not in seen:
+                seen.add(name)
+                visit(self.layout.find(name).offset)
+                out.append((column := f"{prefix}_count{len(out)}", self.count(name)))
+                self.counts[name] = column
+
+        def visit(offset: Offset) -> None:
+            if offset.after:
+                walk, _ = offset.after
+                visit(walk.start)
+                if walk.item.depending:
+                    count(walk.item.depending)
+                sql = self.walk(walk.item, self.position(walk.start))
+                if sql not in seen and sql not in self.walks.values():
+                    seen.add(sql)
+                    out.append((column := f"{prefix}_walk{len(out)}", sql))
+                    self.walks[sql] = column
+            for _, name in offset.terms:
+                count(name)
+            for name, _ in offset.needs:
+                count(name)
+
+        for field in self.layout.fields(split):
+            visit(field.offset)
+        return out
 
     def typed_columns(self, split: str, reserved: Iterable[str], piece: str, value: str) -> tuple[list[str], list[str], list[tuple[str, str]]]:
         """Raw forms, values, and the named nested columns of typed mode; those of a stage are referred to by
@@ -71,12 +99,70 @@ class FieldReader:
         columns.append(("_bad_fields", f"array_compact(array({', '.join(tree.checks)}))"))
         return tree.pieces, tree.values, columns
 
-    def position(self, offset: Offset) -> Position:
+    def position(self, offset: Offset, known: Mapping[str, str] = {}, source: str = "rec", length: str = "rec_len") -> Position:
+        """SQL of an offset in ``source``; ``known`` has counts that lie in ``source``, others lie in the record."""
         at: Position = offset.base
+        if offset.after:
+            walk, i = offset.after
+            places = self.walk(walk.item, self.position(walk.start, known, source, length), known, source, length)
+            # a walk ends in the place behind the last occurrence
+            found = f"element_at({places}, -1)" if i < 0 else f"CASE WHEN size({places}) > {i + 1} THEN get({places}, {i}) END"
+            at = plus(f"({found})", at)
         for size, counter in offset.terms:
-            at = plus(at, f"{self.count(counter)} * {size}")
+            at = plus(at, f"{known.get(counter) or self.count(counter)} * {size}")
+        if offset.needs:
+            there = " AND ".join(f"{self.count(counter)} > {i}" for counter, i in offset.needs)
+            return f"(CASE WHEN {there} THEN {at} END)"
+        return at
+
+    def present(self, item: Item, known: Mapping[str, str] = {}) -> str:
+        """How many elements there are: the item's own count, at most what the layout allows."""
+        if not item.depending:
+            return f"{item.occurs}"
+        return f"cast(least({known.get(item.depending) or self.count(item.depending)}, {item.occurs}) AS int)"
+
+    def walk(self, item: Item, at: Position, known: Mapping[str, str] = {}, source: str = "rec", length: str = "rec_len") -> str:
+        """Where the occurrences of an item of varying length start, and behind them the end of the last: an array
+        found by going through the record, each occurrence saying by its own counts where the next one is."""
+        depth = self.depth
+        self.depth += 1
+        places, n = f"w{depth}", f"n{depth}"
+        here = f"element_at({places}, -1)"
+        behind = self.behind(replace(item, occurs=None, depending=None), here, known, source, length)
+        self.depth = depth
+        steps = f"slice(sequence(1, {item.occurs}), 1, {self.present(item, known)})"
+        sql = f"aggregate({steps}, array(cast({at} AS bigint)), ({places}, {n}) -> concat({places}, array(cast({behind} AS bigint))))"
+        return self.walks.get(sql, sql)
+
+    def behind(self, item: Item, at: Position, known: Mapping[str, str], source: str, length: str) -> Position:
+        """The place behind an item that starts at ``at``."""
+        if item.occurs is not None and item.varies:
+            return f"element_at({self.walk(item, at, known, source, length)}, -1)"
+        if not item.varies:
+            whole = item.total()
+            return plus(at, self.position(whole, known, source, length))
+        known = {**known, **self.counts_inside(item, at, known, source, length)}
+        for child in item.children:
+            if not child.redefines:
+                at = self.behind(child, at, known, source, length)
         return at
 
+    def counts_inside(self, item: Item, at: Position, known: Mapping[str, str], source: str, length: str) -> dict[str, str]:
+        """The counts held in one occurrence of an item that groups in it go by."""
+        wanted, out = _depending(item), {}
+
+        def look(items: Iterable[Item], at: Position) -> None:
+            for child, offset in placed(items, Offset(at)):
+                if child.occurs is None and (child.name in wanted or child.children):
+                    where = self.position(offset, {**known, **out}, source, length)
+                    if child.kind:
+                        out[child.name] = _count(codec.value(f"({self.piece_at(where, child, source, length)})", child))
+                    else:
+                        look(child.children, where)
+
+        look(item.children, at)
+        return out
+
     def piece_at(self, at: Position, field: Field | Item, source: str = "rec", length: str = "rec_len") -> str:
         """Raw form of a field at an offset; NULL when it reaches past the end of the source."""
         raw = codec.piece(bytes_at(at, field.size, source), field)
@@ -98,10 +184,10 @@ class FieldReader:
         value = codec.value(raw, field)
         if field.kind == TEXT:
             return value
-        shown = f"cast({value} AS string)"
-        if self.dialect == "comma" and field.scale:
+        shown = codec.float_text(value, field.size) if field.kind == FLOAT else f"cast({value} AS string)"
+        if self.dialect == "comma" and (field.scale or field.kind == FLOAT):
             shown = codec.comma_decimal(shown)
-        return f"CASE WHEN {codec.empty(raw, field)} THEN '' ELSE {shown} END" if field.kind == ZONED else shown
+        return f"CASE WHEN {codec.unset(raw, value, field)} THEN '' ELSE {shown} END" if field.kind in (ZONED, EDITED) else shown
 
     def as_text(self, field: Field, piece: str | None = None) -> str:
         """The cleaned, trimmed text value; NULL when undecodable."""
@@ -118,6 +204,8 @@ def type_name(field: Field | Item) -> str:
     """SQL type of a field in typed mode."""
     if field.kind == TEXT:
         return "string"
+    if field.kind == FLOAT:
+        return "double"
     if field.kind == COMP:
         if field.scale:
             return f"decimal({max(codec.COMP_DIGITS[field.size], field.scale)},{field.scale})"
@@ -138,11 +226,10 @@ def _kept(df: DataFrame, keep: Sequence[str] | None) -> list[str]:
 
 
 def _with_counts(df: DataFrame, layout: Layout, split: str, dialect: str = "mainframe") -> tuple[DataFrame, FieldReader]:
-    """Add the counts that later offsets hang on as columns, each made once."""
+    """Add what later offsets hang on as columns, each made once."""
     reader = FieldReader(layout, dialect)
-    for i, name in enumerate(reader.counters(split)):
-        df = df.withColumn(f"_count{i}", F.expr(reader.count(name)))
-        reader.counts[name] = f"_count{i}"
+    for name, sql in reader.steps(split):
+        df = df.withColumn(name, F.expr(sql))
     return df, reader
 
 
@@ -221,10 +308,12 @@ class _Tree:
         self.values.append(value)
         return f"{self.value_name}{len(self.values) - 1}"
 
-    def members(self, item: Item, at: Position) -> list[tuple[Item, Position, str]]:
+    def members(self, item: Item, at: Position, known: Mapping[str, str] = {}, source: str = "rec", length: str = "rec_len") -> list[tuple[Item, Position, str]]:
         """Named children of a group with their offsets."""
-        inside, taken = placed(item.children, Offset(), self.split), set()
-        return [(c, plus(at, self.reader.position(o)), self.name(c, taken)) for c, o in inside]
+        out, taken = [], set()
+        for child, offset in placed(item.children, Offset(at), self.split):
+            out.append((child, self.reader.position(offset, known, source, length), self.name(child, taken)))
+        return out
 
     def column(self, item: Item, at: Position, path: str) -> str:
         """Value of an item outside any repeated group."""
@@ -233,23 +322,19 @@ class _Tree:
         if item.kind:
             raw = self.stage(self.reader.piece_at(at, item))
             value = self.settle(typed(codec.value(raw, item), item))
-            unset = f" AND NOT {self.settle(codec.empty(raw, item))}" if item.kind == ZONED else ""
+            unset = f" AND NOT {self.settle(codec.empty(raw, item))}" if item.kind in (ZONED, EDITED) else ""
             self.checks.append(f"CASE WHEN {value} IS NULL{unset} THEN '{path}' END")
             return value
         return struct([(n, self.column(c, a, f"{path}.{n}")) for c, a, n in self.members(item, at)])
 
-    def present(self, item: Item) -> str:
-        """How many elements a record holds: its own count, at most what the layout allows."""
-        return f"cast(least({self.reader.count(item.depending)}, {item.occurs}) AS int)" if item.depending else f"{item.occurs}"
-
     def array(self, item: Item, at: Position, path: str) -> str:
         """A repeated item outside any other."""
-        stride = item.stride()
         said = self.reader.count(item.depending) if item.depending else f"{item.occurs}"
-        fits = f"{said} <= {item.occurs} AND rec_len >= {plus(at, f'{said} * {stride}')}"
+        end = f"element_at({self.reader.walk(item, at)}, -1)" if item.varies else plus(at, f"{said} * {item.stride()}")
+        fits = f"{said} <= {item.occurs} AND rec_len >= {end}"
         self.checks.append(f"CASE WHEN NOT {self.settle(self.stage(fits))} THEN '{path}' END")
-        if item.occurs * item.leaves() > UNROLLED:
-            elements, shape = self.element(item, at, "rec")
+        if item.varies or item.occurs * item.leaves() > UNROLLED:
+            elements, shape = self.element(item, at, "rec", {}, "rec_len")
             return self.settle(shape(self.stage(elements)))
         # few enough to write out, which stays in generated code; lambdas do not
         one = replace(item, occurs=None, depending=None)
@@ -257,32 +342,43 @@ class _Tree:
         self.checks = []
         for i in range(item.occurs):
             self.fillers = fillers
-            elements.append(self.column(one, plus(at, i * stride), path))
+            elements.append(self.column(one, plus(at, i * item.stride()), path))
         self.checks = checks
-        return f"slice(array({', '.join(elements)}), 1, {self.settle(self.stage(self.present(item)))})"
+        return f"slice(array({', '.join(elements)}), 1, {self.settle(self.stage(self.reader.present(item)))})"
 
-    def element(self, item: Item, at: Position, source: str) -> tuple[str, Callable[[str], str]]:
+    def element(self, item: Item, at: Position, source: str, known: Mapping[str, str], length: str) -> tuple[str, Callable[[str], str]]:
         """Array of raw forms of a repeated item, and the function from it to values.
 
         Each occurrence is cut out of its source first, so that its fields are not each
         cut out of the whole record.
         """
         i, cut = self.variable(), self.variable()
-        subscripts = f"slice(sequence(0, {item.occurs - 1}), 1, {self.present(item)})"
-        cuts = f"transform({subscripts}, {i} -> {bytes_at(plus(at, f'{i} * {item.stride()}'), item.stride(), source)})"
-        raw, shape = self.inside(item, 0, cut)
+        if item.varies:
+            places, start = self.variable(), self.variable()
+            walked = self.reader.walk(item, at, known, source, length)
+            size = f"cast(get({places}, {i} + 1) - {start} AS int)"
+            each = f"transform(slice({places}, 1, size({places}) - 1), ({start}, {i}) -> substring({source}, cast({start} + 1 AS int), {size}))"
+            cuts = f"element_at(transform(array({walked}), {places} -> {each}), 1)"
+        else:
+            subscripts = f"slice(sequence(0, {item.occurs - 1}), 1, {self.reader.present(item, known)})"
+            cuts = f"transform({subscripts}, {i} -> {bytes_at(plus(at, f'{i} * {item.stride()}'), item.stride(), source)})"
+        raw, shape = self.inside(item, 0, cut, known)
         element = self.variable()
         return f"transform({cuts}, {cut} -> {raw})", lambda raws: f"transform({raws}, {element} -> {shape(element)})"
 
-    def inside(self, item: Item, at: int, source: str) -> tuple[str, Callable[[str], str]]:
+    def inside(self, item: Item, at: Position, source: str, known: Mapping[str, str]) -> tuple[str, Callable[[str], str]]:
         """Like :meth:`element`, for one occurrence, held in ``source``."""
+        length = f"octet_length({source})"
         if item.kind:
-            piece = self.reader.piece_at(at, item, source, f"octet_length({source})")
+            piece = self.reader.piece_at(at, item, source, length)
             return piece, lambda raw: typed(codec.value(raw, item), item)
         raws, shapes = [], []
-        for child, child_at, name in self.members(item, at):
-            make = self.element if child.occurs is not None else self.inside
-            raw, shape = make(child, child_at, source)
+        known = {**known, **self.reader.counts_inside(item, at, known, source, length)}
+        for child, child_at, name in self.members(item, at, known, source, length):
+            if child.occurs is not None:
+                raw, shape = self.element(child, child_at, source, known, length)
+            else:
+                raw, shape = self.inside(child, child_at, source, known)
             raws.append((name, raw))
             shapes.append((name, shape))
         return struct(raws), lambda raw: struct([(name, shape(f"{raw}.`{name}`")) for name, shape in shapes])

@@ -228,12 +228,11 @@ def decode_routed(
     shapes = [_Shape(i, t, mode, split, dialect, reserved) for i, t in enumerate(catalog.types)]
     names = [f"`{k}`" for k in kept] + ["rec_type"]
     with java_charsets(routed.sparkSession):
-        df, counts = routed.selectExpr(*names, *(c for c in ("rec", "rec_len") if c not in kept)), []
-        for k in range(max((len(s.counters) for s in shapes), default=0)):
-            # a count may lie behind a group of an earlier count
-            made = [s.count(k) for s in shapes if k < len(s.counters)]
-            counts += [name for _, name in made]
-            df = df.selectExpr("*", *(f"{sql} AS {name}" for sql, name in made))
+        df = routed.selectExpr(*names, *(c for c in ("rec", "rec_len") if c not in kept))
+        for k in range(max((len(s.steps) for s in shapes), default=0)):
+            # a step may read the one before it, in each type
+            made = [(s.own, *s.steps[k]) for s in shapes if k < len(s.steps)]
+            df = df.selectExpr("*", *(f"CASE WHEN {own} THEN {sql} END AS {name}" for own, name, sql in made))
         for shape in shapes:
             shape.plan()
         df = df.selectExpr(*names, *(s.struct(s.pieces, "_p") for s in shapes))
@@ -249,18 +248,11 @@ class _Shape:
         self.i, self.type, self.mode, self.split, self.reserved = i, record_type, mode, split, reserved
         self.own = f"rec_type = {codec.literal(record_type.name)}"
         self.reader = FieldReader(record_type.layout, dialect)
-        self.counters = self.reader.counters(split)
+        self.steps = self.reader.steps(split, f"_{i}")
         self.pieces: list[tuple[str, str]] = []
         self.values: list[tuple[str, str]] = []
         self.columns: list[tuple[str, str]] = []
 
-    def count(self, k: int) -> tuple[str, str]:
-        """The k-th count later offsets hang on: its expression and the column it is put in."""
-        name, column = self.counters[k], f"_c{self.i}_{k}"
-        sql = f"CASE WHEN {self.own} THEN {self.reader.count(name)} END"
-        self.reader.counts[name] = column
-        return sql, column
-
     def plan(self) -> None:
         p, v = f"_p{self.i}.p", f"_v{self.i}.v"
         if self.mode == "typed":

@@ -375,6 +375,82 @@ def decode_occurs_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select(*columns)
 
 
+@query(
+    """SELECT c_custkey AS cust_key, c_acctbal AS printed, c_acctbal AS signed, CAST(CAST(c_acctbal AS DECIMAL(9,2)) AS VARCHAR) AS shown,
+    CAST(c_nationkey AS VARCHAR) AS nation FROM customer"""
+)
+def decode_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances edited for print with commas, a floating sign and CR, read back as numbers and as text."""
+    records = read_fb(spark, fx.figures(spark, sf_dir), lay.FIGURES.max_length, chunk_bytes=CHUNK)
+    flat = d.decode_flat(records, lay.FIGURES).select("file", "rec_no", big("CUST_KEY", "cust_key"), num("PRINTED", "printed"), num("SIGNED", "signed"))
+    text = d.decode_text(records, lay.FIGURES).select("file", "rec_no", F.col("SIGNED").alias("shown"), F.col("NATION").alias("nation"))
+    return flat.join(text, ["file", "rec_no"]).drop("file", "rec_no")
+
+
+@query(
+    """SELECT c_custkey AS cust_key, c_acctbal AS exact, CAST(c_nationkey AS DOUBLE) / 8 - 1 AS short,
+    CAST(CAST(c_nationkey AS DOUBLE) / 8 - 1 AS VARCHAR) AS shown FROM customer"""
+)
+def decode_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hexadecimal floating point of eight and four bytes."""
+    records = read_fb(spark, fx.figures(spark, sf_dir), lay.FIGURES.max_length, chunk_bytes=CHUNK)
+    typed = d.decode_typed(records, lay.FIGURES).select("file", "rec_no", big("CUST_KEY", "cust_key"), F.col("EXACT").alias("exact"), F.col("SHORT").alias("short"))
+    text = d.decode_text(records, lay.FIGURES).select("file", "rec_no", F.col("SHORT").alias("shown"))
+    return typed.join(text, ["file", "rec_no"]).drop("file", "rec_no")
+
+
+BASKET_SQL = """
+WITH ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey // 4096, l_linenumber, l_partkey, l_suppkey,
+    l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS rn FROM lineitem
+), held AS (
+  SELECT o_custkey, o_orderkey, o_orderstatus, coalesce(rn // 4, 0) AS chunk, rn, l_linenumber, l_partkey, l_extendedprice
+  FROM orders LEFT JOIN ranked ON o_orderkey = l_orderkey
+)
+"""
+
+
+@query(
+    BASKET_SQL
+    + """SELECT o_custkey AS owner, o_orderkey AS order_key, o_orderstatus AS status, CAST(l_linenumber AS BIGINT) AS line_no, l_partkey AS part_key,
+    l_extendedprice AS price, CASE l_linenumber % 3 WHEN 0 THEN '' WHEN 1 THEN 'one' WHEN 2 THEN 'one,two' END AS notes, 'END' AS mark, TRUE AS good FROM held"""
+)
+def decode_nested_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of varying length in groups of varying length, nested, all orders and lines."""
+    t = d.decode_typed(read_vb(spark, fx.baskets(spark, sf_dir), chunk_bytes=CHUNK), lay.BASKET, keep=())
+    placed = t.select("OWNER", "LAST_MARK", (F.size("_bad_fields") == 0).alias("good"), F.explode("PLACED").alias("p"))
+    lines = placed.select("OWNER", "LAST_MARK", "good", "p", F.explode_outer("p.LINE").alias("l"))
+    return lines.select(
+        big("OWNER", "owner"),
+        big("p.ORDER_KEY", "order_key"),
+        F.col("p.STATUS").alias("status"),
+        big("l.LINE_NO", "line_no"),
+        big("l.PART_KEY", "part_key"),
+        num("l.PRICE", "price"),
+        F.array_join("l.NOTE", ",").alias("notes"),
+        F.col("LAST_MARK").alias("mark"),
+        "good",
+    )
+
+
+@query(
+    BASKET_SQL
+    + """SELECT o_custkey AS owner, o_orderkey AS order_key, o_orderstatus AS status, count(l_partkey) AS held, CAST(coalesce(sum(l_partkey), 0) AS BIGINT) AS parts,
+    'END' AS mark FROM held GROUP BY o_custkey, o_orderkey, o_orderstatus, chunk"""
+)
+def decode_nested_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records in a column per subscript: the columns of occurrences that a record lacks are NULL."""
+    f = d.decode_flat(read_vb(spark, fx.baskets(spark, sf_dir), chunk_bytes=CHUNK), lay.BASKET, keep=())
+
+    def occurrence(i: int) -> Column:
+        lines = [F.coalesce(F.col(f"PART_KEY_{i}__{k}").cast("bigint"), F.lit(0)) for k in range(4)]
+        return F.struct(F.col(f"ORDER_KEY_{i}").alias("k"), F.col(f"STATUS_{i}").alias("s"), F.col(f"LINES_HELD_{i}").alias("m"), sum(lines[1:], lines[0]).alias("p"))
+
+    each = f.select("OWNER", "LAST_MARK", F.explode(F.array(*map(occurrence, range(3)))).alias("o")).filter("o.k IS NOT NULL")
+    return each.select(big("OWNER", "owner"), big("o.k", "order_key"), F.col("o.s").alias("status"), big("o.m", "held"), F.col("o.p").cast("bigint").alias("parts"), F.col("LAST_MARK").alias("mark"))
+
+
+
 @query(
     CUSTOMER_SQL
     + """SELECT c_custkey AS acct_key, pos, o_orderkey AS order_key, o_totalprice AS price,

@@ -45,6 +45,29 @@ def comp(c: Column, size: int) -> Column:
     return F.unhex(F.substring(wide, 17 - 2 * size, 2 * size))
 
 
+def hex_float(c: Column, size: int) -> Column:
+    """Hexadecimal floating point; a DOUBLE fits one of eight bytes as it is."""
+    value, places = F.abs(c.cast("double")), 8 * size - 8
+    power = F.floor(F.floor(F.log2(value)) / 4).cast("int") + 1
+    fraction = lambda p: F.floor(value * F.pow(F.lit(2.0), places - 4 * p))
+    # the logarithm may be rounded to the next whole number
+    power = F.when(fraction(power) >= 1 << places, power + 1).when(fraction(power) < 1 << (places - 4), power - 1).otherwise(power)
+    head = F.hex((F.when(c < 0, 192).otherwise(64) + power).cast("bigint"))
+    some = F.unhex(F.concat(F.lpad(head, 2, "0"), F.lpad(F.hex(fraction(power).cast("bigint")), places // 4, "0")))
+    return F.when(value > 0, some).otherwise(F.unhex(F.lit("00" * size)))
+
+
+def edited(c: Column, size: int, minus: str = "") -> Column:
+    """A number with two places and commas, blanks in front; ``minus`` behind negative ones, or else a sign before the digits."""
+    shown = F.format_number(F.abs(c), 2)
+    negative = F.round(c, 2) < 0
+    if minus:
+        whole = F.concat(F.lpad(shown, size - len(minus), " "), F.when(negative, minus).otherwise(" " * len(minus)))
+    else:
+        whole = F.lpad(F.concat(F.when(negative, "-").otherwise("+"), shown), size, " ")
+    return F.encode(whole, "cp037")
+
+
 def rank_in_key(df: DataFrame, key: str, order: list[str], salt: str, name: str = "rn") -> DataFrame:
     """``row_number() over (partition by key order by salt, order)``, safe for hot keys.
 

@@ -193,6 +193,56 @@ def unset(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "unset", build)
 
 
+def figures(spark: SparkSession, sf_dir: str) -> str:
+    """Fixed-length: a customer's balance edited for print in two ways and in floating point."""
+
+    def build() -> DataFrame:
+        balance = F.col("c_acctbal")
+        nation = F.when(F.col("c_nationkey") > 0, F.lpad(F.col("c_nationkey").cast("string"), 3, " ")).otherwise("   ")
+        record = F.concat(
+            e.digits(F.col("c_custkey"), 12),
+            e.edited(balance, 14, "CR"),
+            e.edited(balance, 12),
+            e.hex_float(balance, 8),
+            e.hex_float(F.col("c_nationkey") / 8 - 1, 4),
+            F.encode(nation, "cp037"),
+        )
+        return table(spark, sf_dir, "customer").select(record.alias("rec"))
+
+    return _once(spark, sf_dir, "figures", build, descriptors=False)
+
+
+def baskets(spark: SparkSession, sf_dir: str) -> str:
+    """Variable-length: a customer's orders, up to three a record, each with up to four of its lines, each
+    with up to two notes. All orders and lines."""
+
+    def build() -> DataFrame:
+        lines = table(spark, sf_dir, "lineitem").withColumn("salt", F.expr("l_partkey div 4096"))
+        ranked = e.rank_in_key(lines, "l_orderkey", LINE_ORDER, "salt")
+        notes = F.col("l_linenumber") % 3
+        note = F.when(notes == 0, F.unhex(F.lit(""))).when(notes == 1, e.text(F.lit("one"), 3)).otherwise(e.text(F.lit("onetwo"), 6))
+        line = F.concat(e.digits(F.col("l_linenumber"), 4), e.comp3(F.col("l_extendedprice"), 8, 2), e.digits(notes, 1), note, e.digits(F.col("l_partkey"), 12))
+        held = (
+            ranked.withColumn("chunk", F.expr("(rn - 1) div 4"))
+            .groupBy("l_orderkey", "chunk")
+            .agg(F.count("*").alias("m"), F.collect_list(F.struct("rn", F.hex(line).alias("bytes"))).alias("items"))
+            .select("l_orderkey", "chunk", "m", _joined(F.col("items")).alias("body"))
+        )
+        orders = table(spark, sf_dir, "orders")
+        each = orders.join(held, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumns({"chunk": F.coalesce("chunk", F.lit(0)), "m": F.coalesce("m", F.lit(0))})
+        body = F.coalesce("body", F.unhex(F.lit("")))
+        placed = F.concat(e.digits(F.col("o_orderkey"), 12), e.comp(F.col("m"), 2), body, e.text(F.col("o_orderstatus"), 1))
+        dealt = e.rank_in_key(each.select("o_custkey", "o_orderkey", "chunk", placed.alias("placed"), F.expr("o_orderkey div 65536").alias("salt")), "o_custkey", ["o_orderkey", "chunk"], "salt")
+        blocks = (
+            dealt.withColumn("block", F.expr("(rn - 1) div 3"))
+            .groupBy("o_custkey", "block")
+            .agg(F.count("*").alias("n"), F.collect_list(F.struct("rn", F.hex("placed").alias("bytes"))).alias("items"))
+        )
+        return blocks.select(F.concat(e.digits(F.col("o_custkey"), 12), e.digits(F.col("n"), 1), _joined(F.col("items")), e.text(F.lit("END"), 3)).alias("rec"))
+
+    return _once(spark, sf_dir, "baskets", build)
+
+
 MIXED_LENGTH = 60
 
 

@@ -161,6 +161,32 @@ UNSET_TEXT = """
            05 LINE-SIGNED PIC S9(4).
 """
 
+BASKET_TEXT = """
+           05 OWNER PIC 9(12).
+           05 ORDERS-HELD PIC 9.
+           05 PLACED OCCURS 0 TO 3 DEPENDING ON ORDERS-HELD.
+              10 ORDER-KEY PIC 9(12).
+              10 LINES.
+                 15 LINES-HELD PIC 9(4) COMP.
+              10 LINE OCCURS 0 TO 4 DEPENDING ON LINES-HELD.
+                 15 LINE-NO PIC 9(4).
+                 15 PRICE PIC S9(13)V99 COMP-3.
+                 15 NOTES-HELD PIC 9.
+                 15 NOTE PIC X(3) OCCURS 0 TO 2 DEPENDING ON NOTES-HELD.
+                 15 PART-KEY PIC 9(12).
+              10 STATUS PIC X.
+           05 LAST-MARK PIC X(3).
+"""
+
+FIGURES_TEXT = """
+           05 CUST-KEY PIC 9(12).
+           05 PRINTED PIC Z,ZZZ,ZZ9.99CR.
+           05 SIGNED PIC +,+++,++9.99.
+           05 EXACT COMP-2.
+           05 SHORT USAGE IS COMP-1.
+           05 NATION PIC ZZZ.
+"""
+
 
 ACCOUNT = Layout.parse(ACCOUNT_TEXT)
 SALES = Layout.parse(SALES_TEXT)
@@ -171,6 +197,8 @@ PREFIX = Layout.parse(PREFIX_TEXT)
 LINE = Layout.parse(LINE_TEXT)
 REPEATED = Layout.parse(REPEATED_TEXT)
 UNSET = Layout.parse(UNSET_TEXT)
+FIGURES = Layout.parse(FIGURES_TEXT)
+BASKET = Layout.parse(BASKET_TEXT)
 
 
 def mixed_catalog(excludes: bool = True, tables: str | None = None, overlay: bool = False, **extra) -> Catalog:

@@ -365,3 +365,68 @@ def test_split_walks_once_without_shuffle(records):
     assert "Exchange" not in plan
     # dropped records never reach Python
     assert plan.index("ArrowEvalPython") < plan.index("Filter")
+
+
+NESTED = """
+          05 ID PIC 9(2).
+          05 N PIC 9(1).
+          05 G OCCURS 0 TO 3 DEPENDING ON N.
+             10 A PIC X.
+             10 INNER.
+                15 M PIC 9.
+             10 H OCCURS 0 TO 4 DEPENDING ON M.
+                15 K PIC 9.
+                15 V OCCURS 0 TO 2 DEPENDING ON K PIC X(2).
+             10 T PIC X.
+             10 TT REDEFINES T PIC 9.
+          05 C PIC 9.
+          05 Q OCCURS 0 TO 2 DEPENDING ON C PIC X.
+          05 LAST PIC X(2).
+"""
+
+
+def _nested(i, groups, q, last):
+    body = "".join(f"{a}{len(hs)}" + "".join(f"{len(vs)}{''.join(vs)}" for vs in hs) + t for a, hs, t in groups)
+    return f"{i:02d}{len(groups)}{body}{len(q)}{q}{last}"
+
+
+def _random_nested(rng, i):
+    values = lambda n: [rng.choice("abcxyz") + str(rng.randrange(10)) for _ in range(rng.randint(0, n))]
+    groups = [(rng.choice("pq"), [values(2) for _ in range(rng.randint(0, 4))], rng.choice("5678")) for _ in range(rng.randint(0, 3))]
+    return i, groups, "".join(rng.choice("rs") for _ in range(rng.randint(0, 2))), rng.choice(["zz", "yy"])
+
+
+def test_groups_of_varying_length_in_groups_of_varying_length(records):
+    layout, rng = Layout.parse(NESTED), random.Random(3)
+    made = [_random_nested(rng, i) for i in range(40)]
+    frame = records(*(_nested(*m).encode("cp037").hex() for m in made))
+    typed = {int(x["ID"]): x for x in d.decode_typed(frame, layout).collect()}
+    flat = {int(x["ID"]): x for x in d.decode_text(frame, layout).collect()}
+    for i, groups, q, last in made:
+        row = typed[i]
+        got = [(g["A"], [list(h["V"]) for h in g["H"]], g["T"], int(g["INNER"]["M"]), int(g["TT"])) for g in row["G"]]
+        assert got == [(a, hs, t, len(hs), int(t)) for a, hs, t in groups]
+        assert (list(row["Q"]), row["LAST"], row["_bad_fields"]) == (list(q), last, [])
+        row = flat[i].asDict()
+        want = {"ID": str(i), "N": str(len(groups)), "C": str(len(q)), "LAST": last}
+        for a, (mark, hs, t) in enumerate(groups):
+            want |= {f"A_{a}": mark, f"M_{a}": str(len(hs)), f"T_{a}": t, f"TT_{a}": t}
+            for b, vs in enumerate(hs):
+                want |= {f"K_{a}__{b}": str(len(vs)), **{f"V_{a}__{b}__{c}": v for c, v in enumerate(vs)}}
+        want |= {f"Q_{k}": v for k, v in enumerate(q)}
+        held = {k: v for k, v in row.items() if k in want or v != "BAD_FIELD_RECORD" and not k.startswith(("file", "rec_no", "Q_"))}
+        assert held == want
+    # all types of a catalog share the walk's stages with others
+    catalog = r.Catalog((r.RecordType("n", layout, (("n", (("C", "0"),)),)), r.RecordType("rest", layout)))
+    routed = r.decode_routed(r.route(frame, catalog), catalog, "typed").collect()
+    assert sorted(int((x["n"] or x["rest"])["ID"]) for x in routed) == [m[0] for m in sorted(made)]
+
+
+def test_nested_counts_that_do_not_fit(records):
+    layout = Layout.parse(NESTED)
+    rows = [_nested(1, [("p", [["a1"]], "5")], "", "zz")[:-4], "029" + "p15" * 3 + "0zz", "031p9" + "0" * 9 + "50zz", "04"]
+    got = {x["rec_no"]: x for x in d.decode_typed(records(*(t.encode("cp037").hex() for t in rows)), layout).collect()}
+    assert "LAST" in got[1]["_bad_fields"] and [list(h["V"]) for h in got[1]["G"][0]["H"]] == [["a1"]]
+    assert "G" in got[2]["_bad_fields"] and len(got[2]["G"]) == 3  # nine said, three allowed
+    assert len(got[3]["G"][0]["H"]) == 4  # so do inner ones give what is allowed
+    assert got[4]["G"] == [] and "N" in got[4]["_bad_fields"]

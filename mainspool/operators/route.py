@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mainspool.functions import codec
-from mainspool.layout import MARGINS, TEXT, Layout, column_names
+from mainspool.layout import MARGINS, TEXT, Field, Layout, column_names
 from mainspool.operators.decode import FieldReader, decode, struct, typed
 from mainspool.operators.rules import Alternative
 from mainspool.session import java_charsets, limit_generated_methods
@@ -28,6 +28,10 @@ _LOAD_DATE = {
 }
 
 
+#: Values of a column that a CASE tells apart; more are looked up in a hash table.
+CASES = 32
+
+
 @dataclass(frozen=True)
 class RecordType:
     """One record type: its layout and the rules that pick it.
@@ -104,14 +108,6 @@ def _load_date(spec: dict) -> str | None:
     return next((part for part, on in flags.items() if on), None)
 
 
-def _first(cases: list[tuple[Column, str]], default: str | None) -> Column:
-    """CASE WHEN in order."""
-    if not cases:
-        return F.lit(default)
-    chain = reduce(lambda c, case: c.when(case[0], case[1]), cases[1:], F.when(*cases[0]))
-    return chain.otherwise(F.lit(default))
-
-
 class _Looks:
     """The field values rules look at: raw forms, texts and joined values, each made once."""
 
@@ -120,11 +116,17 @@ class _Looks:
         self.raws: dict[tuple, tuple[str, str]] = {}
         self.texts: dict[tuple, tuple[str, str]] = {}
         self.joined: dict[tuple, tuple[str, str]] = {}
+        self.found: dict[tuple[int, str], Field] = {}
+
+    def _field(self, layout: Layout, name: str) -> Field:
+        if (id(layout), name) not in self.found:
+            self.found[id(layout), name] = layout.find(name)
+        return self.found[id(layout), name]
 
     def _text(self, record_type: RecordType, name: str, only: str | None) -> str:
         """The column of a field's trimmed text; ``only`` names the type it is read for."""
         layout = record_type.layout
-        field, reader = layout.find(name), FieldReader(layout, self.dialect)
+        field, reader = self._field(layout, name), FieldReader(layout, self.dialect)
         # a field of a shared header is the same look in every type
         key = (only, field)
         if key not in self.raws:
@@ -134,14 +136,14 @@ class _Looks:
             self.texts[key] = (f"{self.prefix}t{len(self.texts)}", reader.as_string(field, raw))
         return f"trimmed_{self.texts[key][0]}" if field.kind == TEXT else self.texts[key][0]
 
-    def hit(self, record_type: RecordType, rule: Alternative, only: str | None = None) -> Column:
-        """True where the rule matches, read by the type's layout."""
+    def key(self, record_type: RecordType, rule: Alternative, only: str | None = None) -> tuple[str, str]:
+        """The column of the joined values a rule looks at, read by the type's layout, and the value that matches."""
         columns = tuple(self._text(record_type, name, only) for name, _ in rule)
         if columns not in self.joined:
             # numbers have no blanks
             shown = [codec.quick_trim(c[8:]) if c.startswith("trimmed_") else c for c in columns]
             self.joined[columns] = (f"{self.prefix}j{len(self.joined)}", f"lower(concat({', '.join(shown)}))")
-        return F.col(self.joined[columns][0]) == "".join(v for _, v in rule).lower()
+        return self.joined[columns][0], "".join(v for _, v in rule).lower()
 
     def onto(self, df: DataFrame) -> DataFrame:
         """The looks as columns, in three projections, each of which reads the one before."""
@@ -150,6 +152,36 @@ class _Looks:
         return df
 
 
+def _ranked(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """Adds ``_rank``, the place of the first rule ``(column, value)`` that holds, or NULL.
+
+    Rules that look at the same column are one lookup of its value, each value with the first place it has: a CASE
+    where they are few, a hash join with the values sent along where they are many. So the work per record
+    grows with the fields looked at, not with the rules.
+    """
+    places: dict[str, dict[str, int]] = {}
+    for i, (column, value) in enumerate(rules):
+        places.setdefault(column, {}).setdefault(value, i)
+    found = []
+    for n, (column, first) in enumerate(places.items()):
+        if len(first) <= CASES:
+            chain = " ".join(f"WHEN {codec.literal(v)} THEN {i}" for v, i in first.items())
+            found.append(F.expr(f"CASE {column} {chain} END"))
+            continue
+        table = df.sparkSession.createDataFrame(list(first.items()), f"_value{n} string, _place{n} int")
+        df = df.join(F.broadcast(table), F.col(column) == F.col(f"_value{n}"), "left")
+        found.append(F.col(f"_place{n}"))
+    rank = F.lit(None).cast("int") if not found else found[0] if len(found) == 1 else F.least(*found)
+    return df.withColumn("_rank", rank)
+
+
+def _at_rank(values: Sequence[str | None], default: str | None) -> Column:
+    """The value of the rule at ``_rank``."""
+    if not values:
+        return F.lit(default).cast("string")
+    return F.when(F.col("_rank").isNull(), F.lit(default)).otherwise(F.get(F.array(*map(F.lit, values)), F.col("_rank")))
+
+
 def classify(df: DataFrame, catalog: Catalog, dialect: str = "mainframe") -> DataFrame:
     """All records with ``rec_type`` and ``rec_variant``; NULL where no type takes them.
 
@@ -158,23 +190,29 @@ def classify(df: DataFrame, catalog: Catalog, dialect: str = "mainframe") -> Dat
     has the rule's fields; its fields are read only in records of that type.
     """
     looks, later = _Looks("_in_", dialect), _Looks("_ex_", dialect)
-    named = [(t.name, variant, looks.hit(t, rule)) for t in catalog.types for variant, rule in t.include]
+    named = [(t.name, variant, rule, t) for t in catalog.types for variant, rule in t.include]
+    keys = [looks.key(t, rule) for _, _, rule, t in named]
     default = next((t.name for t in catalog.types if not t.include), None)
-    unwanted = [
-        F.coalesce(later.hit(t, rule, t.name), F.lit(False))
-        for t in catalog.types
-        for other in catalog.types
-        for _, rule in other.exclude
-        if all(t.layout.has(name) for name, _ in rule)
-    ]
+    unwanted: dict[str, set[str]] = {}
+    has: dict[tuple[str, str], bool] = {}
+    for t in catalog.types:
+        for other in catalog.types:
+            for _, rule in other.exclude:
+                for name, _ in rule:
+                    if (t.name, name) not in has:
+                        has[t.name, name] = t.layout.has(name)
+                if all(has[t.name, name] for name, _ in rule):
+                    column, value = later.key(t, rule, t.name)
+                    unwanted.setdefault(column, set()).add(value)
     with java_charsets(df.sparkSession):
-        typed = looks.onto(df).select(
+        typed = _ranked(looks.onto(df), keys).select(
             *df.columns,
-            _first([(hit, name) for name, _, hit in named], default).alias("rec_type"),
-            _first([(hit, variant) for _, variant, hit in named], default).alias("rec_variant"),
+            _at_rank([name for name, *_ in named], default).alias("rec_type"),
+            _at_rank([variant for _, variant, *_ in named], default).alias("rec_variant"),
         )
         if unwanted:
-            typed = later.onto(typed).withColumn("_dropped", reduce(lambda a, b: a | b, unwanted)).withColumns(
+            hits = [F.coalesce(F.col(column).isin(sorted(values)), F.lit(False)) for column, values in unwanted.items()]
+            typed = later.onto(typed).withColumn("_dropped", reduce(lambda a, b: a | b, hits)).withColumns(
                 {c: F.when(F.col("_dropped"), None).otherwise(F.col(c)) for c in ("rec_type", "rec_variant")}
             )
         return typed.select(*df.columns, "rec_type", "rec_variant")

@@ -682,6 +682,24 @@ ROUTED_SQL = """SELECT 'customer' AS rec_type, c_custkey AS key, c_name AS label
   UNION ALL SELECT 'part', p_partkey, p_brand, p_size FROM part{parts}"""
 
 
+@query(
+    """SELECT 'part' AS rec_type, p_brand || ' ' || p_size AS rec_variant, count(*) AS records FROM part GROUP BY p_brand, p_size
+    UNION ALL SELECT 'order', CASE WHEN o_orderpriority = '5-LOW' THEN 'low' ELSE 'order' END, count(*) FROM orders GROUP BY ALL
+    UNION ALL SELECT 'customer', 'customer', count(*) FROM customer"""
+)
+def route_many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog with a rule for each brand and size, looked up by hash; the first rule that holds wins."""
+    base = lay.mixed_catalog(excludes=False)
+    brands = [f"Brand#{n}" for n in range(1, 61)]
+    each = tuple((f"{brand} {size}", (("PART-SIZE", str(size)), ("PART-BRAND", brand))) for size in range(1, 61) for brand in brands)
+    low = ("low", (("KIND-CODE", "20"), ("ORDER-PRIORITY", "5-LOW")))
+    customer, order, part = base.types
+    repeated = tuple((f"again {v}", rule) for v, rule in each)  # never the first
+    types = (customer, r.RecordType("order", order.layout, (low, ("order", (("KIND-CODE", "20"),)))), r.RecordType("part", part.layout, each + repeated))
+    routed = r.route(read_vb(spark, fx.mixed(spark, sf_dir), chunk_bytes=CHUNK), r.Catalog(types))
+    return routed.groupBy("rec_type", "rec_variant").agg(F.count("*").alias("records"))
+
+
 SHAPES = {
     "customer": ("CUST_KEY", "CUST_NAME", "CUST_BALANCE"),
     "order": ("ORDER_KEY", "ORDER_PRIORITY", "ORDER_PRICE"),

@@ -430,3 +430,29 @@ def test_nested_counts_that_do_not_fit(records):
     assert "G" in got[2]["_bad_fields"] and len(got[2]["G"]) == 3  # nine said, three allowed
     assert len(got[3]["G"][0]["H"]) == 4  # so do inner ones give what is allowed
     assert got[4]["G"] == [] and "N" in got[4]["_bad_fields"]
+
+
+@pytest.mark.parametrize("cases", [32, 0])
+def test_many_rules_like_first_match_by_hand(records, monkeypatch, cases):
+    monkeypatch.setattr(r, "CASES", cases)
+    layout, rng = Layout.parse("          05 A PIC X(2).\n          05 B PIC X(1).\n          05 N PIC 9(2).\n"), random.Random(2)
+    rows = [rng.choice("abc ") + rng.choice("ab ") + rng.choice("xy ") + f"{rng.randrange(40):02d}" for _ in range(200)] + ["a", "ab"]
+    types = []
+    for t in range(6):
+        pairs = [rng.choice([(("A", rng.choice(["a", "AB", "b", ""])),), (("N", str(rng.randrange(40))),), (("A", rng.choice("abc")), ("B", rng.choice("xy")))]) for _ in range(50)]
+        types.append(r.RecordType(f"t{t}", layout, tuple((f"v{t}.{i}", p) for i, p in enumerate(pairs)), tuple((f"e{i}", (("N", str(n)),)) for i, n in enumerate(rng.sample(range(40), 2)))))
+    types.append(r.RecordType("rest", layout))
+    held = {"A": lambda x: x[:2].strip().lower() if len(x) >= 2 else None, "B": lambda x: x[2:3].strip() if len(x) >= 3 else None, "N": lambda x: str(int(x[3:])) if len(x) == 5 else None}
+
+    def hit(x, rule):
+        values = [held[n](x) for n, _ in rule]
+        return None not in values and "".join(values) == "".join(v for _, v in rule).lower()
+
+    for catalog in (r.Catalog(tuple(types)), r.Catalog(tuple(types[:2])), r.Catalog((types[-1],)), r.Catalog(())):
+        got = {x["rec_no"]: (x["rec_type"], x["rec_variant"]) for x in r.classify(records(*ebcdic(*rows)), catalog).collect()}
+        for i, x in enumerate(rows):
+            rest = next((t.name for t in catalog.types if not t.include), None)
+            want = next(((t.name, v) for t in catalog.types for v, rule in t.include if hit(x, rule)), (rest, rest))
+            if want[0] and any(hit(x, rule) for t in catalog.types for _, rule in t.exclude):
+                want = (None, None)
+            assert got[i + 1] == want

@@ -14,7 +14,10 @@ the count of sequences first, which costs a second encoding or a second copy.
 A shard is a file of records of ``length`` little-endian ids, two bytes each (four for
 vocabularies over 65,535). The record of a slot is ``(slot - first) * stride`` bytes into
 its shard, so reading goes on at any slot. A shard is written under a name of its
-attempt and renamed: a task that runs twice leaves one file with the same bytes.
+attempt and renamed when its last record is in it: an attempt that fails or is killed publishes
+no part of a shard, and of two attempts the second finds the first one's whole shard and leaves it. The
+order is one for one partitioning of the table: sequences run on through a partition, so other partitions make
+other sequences; a fixed one would cost a shuffle of the texts.
 
 Null texts give no ids, empty ones the end token. Repeated rows are written each; an
 empty table gives no rows and no files.
@@ -23,6 +26,7 @@ empty table gives no rows and no files.
 from __future__ import annotations
 
 import base64
+import contextlib
 import uuid
 from zlib import crc32
 
@@ -171,13 +175,26 @@ def _sequences(vocabulary: bytes, pattern: str, length: int, domain: int, key: i
 
 def _write(path: str):
     def run(batches):
+        from pyarrow import fs
+
         files, base = filesystem(path)
         shard, stream, temp, rank = None, None, "", 0
 
         def close():
-            if stream is not None:
-                stream.close()
-                files.move(temp, f"{base}/shard-{shard:08d}.bin")
+            """Publish the shard whose last record is written."""
+            nonlocal stream
+            if stream is None:
+                return
+            stream.close()
+            stream = None
+            place, size = f"{base}/shard-{shard:08d}.bin", files.get_file_info(temp).size
+            there = files.get_file_info(place)
+            if there.type == fs.FileType.NotFound:
+                files.move(temp, place)
+                return
+            files.delete_file(temp)  # another attempt was first
+            if there.size != size:
+                raise RuntimeError(f"{place} holds {there.size} bytes, not the {size} of this attempt")
 
         try:
             for batch in batches:
@@ -197,8 +214,15 @@ def _write(path: str):
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:4], pa.array(ranks), pa.array(crcs)], names=["shard", "place", "doc_ids", "n_tokens", "rank", "crc32"]
                 )
-        finally:
             close()
+        except BaseException:
+            # a failed or killed attempt may hold the first records of a shard only
+            if stream is not None:
+                with contextlib.suppress(OSError):
+                    stream.close()
+                with contextlib.suppress(OSError):
+                    files.delete_file(temp)
+            raise
 
     return run
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -111,6 +112,39 @@ def test_training_order_round_trip(spark, tmp_path):
     assert sum(r.n_tokens for r in got) == sum(len(library.encode_ordinary(t)) + 1 for _, t in rows if t is not None)
 
 
+def _records(shards):
+    """Batches of records as a writing task gets them: (shard, number of records)."""
+    for shard, n in shards:
+        data = [bytes([shard, k]) * 4 for k in range(n)]
+        yield pa.record_batch({"shard": pa.array([shard] * n, pa.int32()), "place": list(range(n)), "doc_ids": [[k] for k in range(n)], "n_tokens": pa.array([4] * n, pa.int32()), "record": data})
+
+
+def test_failed_killed_and_repeated_attempts_leave_whole_shards(tmp_path):
+    def failing():
+        yield from _records([(1, 3), (2, 2)])
+        raise OSError("gone")
+
+    write = training_order._write(str(tmp_path))
+    with pytest.raises(OSError, match="gone"):
+        list(write(failing()))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["shard-00000001.bin"]  # the second has no end
+    killed = write(_records([(1, 3), (2, 5)]))
+    next(killed)
+    next(killed)
+    killed.close()
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["shard-00000001.bin"]
+    slow = write(_records([(1, 3), (2, 5)]))  # one attempt stands still while another does it all
+    next(slow)
+    for _ in range(2):
+        assert sum(b.num_rows for b in write(_records([(1, 3), (2, 5)]))) == 8
+    list(slow)
+    whole = {f"shard-{s:08d}.bin": b"".join(bytes([s, k]) * 4 for k in range(n)) for s, n in ((1, 3), (2, 5))}
+    assert {p.name: p.read_bytes() for p in tmp_path.iterdir()} == whole
+    with pytest.raises(RuntimeError, match="holds 24 bytes, not the 16"):
+        list(write(_records([(1, 2)])))
+    assert {p.name: p.read_bytes() for p in tmp_path.iterdir()} == whole
+
+
 def test_training_order_of_nothing(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert training_order.write_order(df, str(tmp_path / "none"), training_order.load(RANKS), PATTERN, key=1).count() == 0

@@ -9,10 +9,12 @@ For each language the log-probability is the sum of
 - the host's prior: counts of the same kind, smoothed towards the parent domain's, these
   towards those of all documents.
 
-All but the trigram counts come from one grouped aggregation over all documents; trigrams are
-counted on about ``sample`` documents, drawn row by row with a fixed seed. Languages are the
-declared values with at least ``SHARE`` of that sample. One more class, ``und``, stands for any
-other language: every trigram is equally likely in it.
+All but the trigram counts come from one grouped aggregation over all documents. Languages are the
+values declared by at least ``LEAST`` documents of the whole table (in small tables by ``SHARE`` of them),
+however rare among the others. Trigrams are counted on about ``sample`` documents of each language, drawn row by
+row with a fixed seed. One more class, ``und``, stands for any
+other language: every trigram is equally likely in it. :func:`of_pages` derives declaration, suffix, parent domain
+and host of web pages.
 
 A document is kept if it has a letter, and its best class is a language with a posterior
 of at least ``floor``. Null or empty texts are evidence for nothing: their language is what
@@ -34,8 +36,10 @@ from pyspark.sql import functions as F
 from mainspool.llm.common import append, materialise, per_worker, without
 
 BUCKETS = 1 << 15
-SAMPLE = 10_000
-SHARE = 0.005
+#: Documents of each language whose trigrams are counted, about.
+SAMPLE = 2500
+#: Documents that make a declared value a language; in tables where that is more, a share of all declared ones.
+LEAST, SHARE = 50, 0.005
 TEMPER = 0.3
 FLOOR = 0.6
 UNKNOWN = "und"
@@ -73,34 +77,49 @@ def declared_code(column: Column) -> Column:
     return F.when(code != "", code)
 
 
+def of_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """``pages`` with ``host``, ``parent`` (its last two labels), ``suffix`` (the last) and ``declared``, the
+    language that the page's first html element names; null where there is none. Addresses of numbers have a host only."""
+    pages = without(pages, ["host", "parent", "suffix", "declared"])
+    host = F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    named = pages.withColumn("host", F.when(host != "", F.regexp_replace(host, r"\.+$", "")))
+    domain = F.when(F.col("host").rlike(r"[a-z]$"), F.col("host"))
+    shown = F.regexp_extract(F.col(f"`{html}`"), r"(?is)<html(?:\s[^>]*?)?\slang\s*=\s*[\"']?\s*([a-z][a-z0-9_-]*)", 1)
+    return named.select(
+        "*",
+        F.when(domain.contains("."), F.substring_index(domain, ".", -2)).alias("parent"),
+        F.substring_index(domain, ".", -1).alias("suffix"),
+        F.when(shown != "", shown).alias("declared"),
+    )
+
+
 def train(docs: DataFrame, declared: str = "lang", text: str = "text", sample: int = SAMPLE) -> Model:
     rows = docs.select(F.col(f"`{text}`").alias("t"), declared_code(F.col(f"`{declared}`")).alias("lang")).where("lang is not null and t is not null")
-    share = min(1.0, sample / max(rows.count(), 1))
-    rows = rows.where(F.rand(7) < share)  # not by text: a hot text would come whole
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per code
+    least = min(LEAST, SHARE * sum(counts.values()))
+    languages = sorted(x for x, n in counts.items() if n >= least)
+    shares = docs.sparkSession.createDataFrame([(x, min(1.0, sample / counts[x])) for x in languages], "of string, share double")
+    drawn = rows.withColumn("r", F.rand(7))  # not by text: a hot text would come whole
+    rows = drawn.join(F.broadcast(shares), (F.col("lang") == F.col("of")) & (F.col("r") < F.col("share"))).select("t", "lang")
 
     def count(batches):
         letter = per_worker("letters", _letters)
         sums: dict[str, np.ndarray] = {}
-        docs_of: dict[str, int] = {}
         for batch in batches:
             for t, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 found += np.bincount(trigrams(t, letter), minlength=BUCKETS)
-                docs_of[lang] = docs_of.get(lang, 0) + 1
         for lang, found in sums.items():
             place = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * (len(place) + 1)), pa.array(np.r_[place, -1].astype(np.int32)), pa.array(np.r_[found[place], docs_of[lang]])],
+                [pa.array([lang] * len(place), pa.string()), pa.array(place.astype(np.int32)), pa.array(found[place])],
                 names=["lang", "place", "n"],
             )
 
     partial = materialise(rows.mapInArrow(count, "lang string, place int, n bigint").groupBy("lang", "place").agg(F.sum("n").alias("n")))
-    sizes = {r.lang: r.n for r in partial.where("place = -1").collect()}
-    total = sum(sizes.values())
-    languages = sorted(x for x, n in sizes.items() if n >= SHARE * total)
     table = np.full((len(languages) + 1, BUCKETS), -np.log(BUCKETS))
     for k, lang in enumerate(languages):  # a row of the table each: at most BUCKETS counts
-        found = partial.where((F.col("lang") == lang) & (F.col("place") >= 0)).select("place", "n").toArrow()
+        found = partial.where(F.col("lang") == lang).select("place", "n").toArrow()
         n = np.full(BUCKETS, TRIGRAM)
         n[found.column("place").to_numpy()] += found.column("n").to_numpy()
         table[k] = np.log(n / n.sum())

@@ -141,6 +141,83 @@ def test_posterior_like_brute_force(tongues):
             assert got[r.lang, None, None, r.source][i] == pytest.approx(want)
 
 
+def _spoken(rng, sounds, n):
+    return "".join(rng.choice(sounds) for _ in range(n))
+
+
+def test_rare_languages_are_languages(spark):
+    rng = random.Random(12)
+    rows = [(i, _spoken(rng, "bcdlou e", 60), "aa", "s") for i in range(11_950)]
+    rows += [(i, _spoken(rng, "xyzwqk j", 60), "rr", "s") for i in range(20_000, 20_050)]  # 0.4 %
+    rows += [(i, _spoken(rng, "fghmv pt", 60), "qq", "s") for i in range(30_000, 30_030)]  # too few to tell from slips
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(8)
+    got = {r.doc_id: (r.language, r.kept) for r in language.identify(df, sample=200).collect()}
+    assert sum(got[i] == ("rr", True) for i in range(20_000, 20_050)) >= 48
+    assert sum(got[i] == ("aa", True) for i in range(11_950)) >= 11_800
+    assert not any(got[i][1] for i in range(30_000, 30_030) if got[i][0] == "qq")
+    few = df.where("doc_id % 100 = 0 or doc_id between 20000 and 20002")  # of a small table, a share
+    assert "rr" in language.train(few).languages
+
+
+def test_evidence_of_pages(spark):
+    made = [
+        ("https://a.site.de/x?y=http://b.fr", "<!doctype html><HTML class='l' lang=\"de-AT\"><p>x"),
+        ("http://user:pw@WWW.Site.CO.UK:80/", "<html xml:lang='fr'><body lang='en'>"),
+        ("http://10.0.0.1/x", "<html\nlang=fr-FR >"),
+        ("ftp://localhost", "<html data-lang='xx'>"),
+        ("no address", None),
+        (None, "<p lang='de'>"),
+        ("http://host.", "<html lang=''>"),
+    ]
+    df = spark.createDataFrame(made, "url string, html string").selectExpr("*", "1 as suffix")
+    got = [(r.host, r.parent, r.suffix, r.declared) for r in language.of_pages(df).collect()]
+    assert got == [
+        ("a.site.de", "site.de", "de", "de-AT"),
+        ("www.site.co.uk", "co.uk", "uk", None),
+        ("10.0.0.1", None, None, "fr-FR"),
+        ("localhost", None, "localhost", None),
+        (None, None, None, None),
+        (None, None, None, None),
+        ("host", None, "host", None),
+    ]
+
+
+def test_suffix_and_domain_evidence_like_brute_force(spark):
+    rng = random.Random(5)
+    sounds = {"aa": "bcdlou", "bb": "nprst aei", "cc": "xyzwqk uo"}
+    rows = []
+    for i in range(500):
+        lang = rng.choice(list(sounds))
+        suffix = {"aa": "ax", "bb": "bx", "cc": rng.choice(["bx", "cx"])}[lang] if i % 5 else None
+        parent = f"p{rng.randrange(3)}.{suffix}" if suffix else None
+        page = f"<html{f' lang={lang}' if i % 3 else ''}><p>{_spoken(rng, sounds[lang], rng.randint(0, 60))}"
+        rows.append((i, f"http://h{rng.randrange(4)}.{parent}/" if parent else f"http://10.0.0.{rng.randrange(3)}/", page))
+    pages = html_text.main_text(language.of_pages(spark.createDataFrame(rows, "page_id long, url string, html string")))
+    keys = ["declared", "suffix", "parent", "host"]
+    model = language.train(pages, "declared")
+    assert model.languages == ["aa", "bb", "cc", "und"]
+    scored = language.score(pages, model)
+    held = scored.collect()
+    counted = [(r, int(np.argmax(r["__text"]))) for r in held if r["__letters"] > 0]
+    k, every = len(model.languages), Counter(b for _, b in counted)
+    base = [(every[i] + 1) / (len(counted) + k) for i in range(k)]
+    many = {c: len({r[c] for r, _ in counted}) for c in keys}
+    got = {tuple(r[c] for c in keys): r["__prior"] for r in language.evidence(scored, model, keys).collect()}
+    assert any(s and p for _, s, p, _ in got)
+    for r in held:
+        same = lambda *by: Counter(b for q, b in counted if all(q[c] == r[c] for c in by))
+        host, up = same("suffix", "parent", "host"), same("suffix", "parent")
+        for i in range(k):
+            parent = (up[i] + 20 * base[i]) / (sum(up.values()) + 20)
+            want = math.log((host[i] + 20 * parent) / (sum(host.values()) + 20))
+            for c in ("declared", "suffix"):
+                if r[c] is not None:
+                    want += math.log((same(c)[i] + 1) / (every[i] + many[c] + 1))
+            assert got[tuple(r[c] for c in keys)][i] == pytest.approx(want)
+    found = language.identify(pages, "declared", "host", "suffix", "parent", keep=["page_id"]).collect()
+    assert sum(r.language == next(x for x, s in sounds.items() if set(rows[r.page_id][2].split("<p>")[1]) <= set(s)) for r in found if len(rows[r.page_id][2]) > 60) > 100
+
+
 def test_language_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert language.identify(none).count() == 0

@@ -12,8 +12,8 @@ with C its characters, T its elements, LC and LT those in links, NLC the charact
 links, LCb and Cb the body's (zeros count as one). Elements that only format text within a block
 do not count as elements, so a paragraph is no thinner for its bold words. A block's sum is that
 of its child blocks' densities. The article is the outermost article element around the block
-with the largest sum, else the outermost main, else the last one on the way up before further content is
-mostly links; all of it that is not cut is text. The least density from the largest-sum block up to the body
+with the largest sum and its sibling articles that are not mostly links, else the outermost main, else the last one on
+the way up before further content is mostly links; all of it that is not cut is text. The least density from the largest-sum block up to the body
 is the threshold, and outside the article only nodes that are denser take part.
 
 Blocks are separated by one space, as white space within is; references are decoded once. Null
@@ -25,6 +25,8 @@ nesting of any depth is walked without recursion. Repeated rows get equal result
 from __future__ import annotations
 
 import re
+from collections import Counter
+from functools import cache
 from html import unescape
 from math import e, log
 
@@ -52,7 +54,6 @@ _ENDED_BY = {
     "option": {"option"},
     "tbody": {"tr", "td", "th", "thead", "tbody"},
 }
-_HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "option": {"select"}}
 
 #: Elements that are never article text.
 CUT = set("script style textarea title xmp iframe noembed noframes head nav aside footer button select template noscript svg canvas object menu dialog input label".split())
@@ -64,19 +65,45 @@ CUT_WORDS = set(
     "related recommended comment comments disqus respond reply replies pagination pager toolbar topbar widget search skip alert dialog disclaimer complementary contentinfo".split()
 )
 
+#: Words that go with those in names of the same kind.
+WITH_WORDS = set(
+    "area article bar block body bottom box btn button buttons center col column container content count entry foot footer form group head header holder "
+    "icon icons inner inline item items large left link links list main media mini mobile outer page panel pane post posts reader right row section "
+    "sections site slot slots small stories story section thread title top unit user users vertical wrap wrapper zone".split()
+)
+
+#: Words of names of reader comments.
+COMMENT_WORDS = {"comment", "comments", "disqus", "respond", "reply", "replies"}
+
 #: Share of characters in links from which content counts as links.
 LINK_SHARE = 0.5
 
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# elements that no implied end reaches across
+_SCOPES = set("body td th article section div ul ol menu dl table select".split())
+
+
+@cache
+def _apart(word: str) -> tuple[str, ...]:
+    """The words that a word is put together of, if they are all known; else the word."""
+    if word in CUT_WORDS or word in WITH_WORDS or len(word) > 40:
+        return (word,)
+    found: list[tuple[str, ...] | None] = [()]
+    for end in range(1, len(word) + 1):
+        # two letters are no part of a compound, but in front
+        parts = (found[i] + (word[i:end],) for i in range(end) if found[i] is not None and (end - i > 2 or not i) and (word[i:end] in CUT_WORDS or word[i:end] in WITH_WORDS))
+        found.append(next(parts, None))
+    return found[-1] or (word,)
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "cut", "marked", "chars", "link_chars", "tags", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "children", "cut", "marked", "inside", "chars", "link_chars", "tags", "link_tags", "density", "sum")
 
     def __init__(self, name: str, parent: Node | None, cut: bool = False, marked: bool = False):
         self.name, self.parent, self.cut, self.marked = name, parent, cut, marked
+        self.inside = name in ("article", "main") or parent is not None and parent.inside
         self.children: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
@@ -86,21 +113,26 @@ def _is_outside(parent: Node) -> bool:
     return parent.name in ("body", "html", "div")
 
 
-def _is_cut(name: str, parent: Node) -> bool:
-    return name in CUT or name == "header" and _is_outside(parent)
+def _is_cut(name: str) -> bool:
+    return name in CUT
 
 
 def _is_marked(name: str, attributes: str, parent: Node) -> bool:
     """Whether the element is cut unless it holds the page's main content."""
-    if name == "form":
+    if name == "form" or name == "header" and _is_outside(parent):
         return True
-    if name in ("html", "body", "article", "main") or "=" not in attributes:
+    if name in ("html", "body", "main") or "=" not in attributes:
         return False
     for found in _NAMED.finditer(attributes):
-        value = found[1].strip("\"'")
-        words = {w.lower() for w in _WORD.findall(value)}
-        if words & CUT_WORDS or "header" in words and _is_outside(parent):
-            return True
+        for token in found[1].strip("\"'").split():
+            words = {part for w in _WORD.findall(token) for part in _apart(w.lower())}
+            if name == "article":  # a reader's comment may be one
+                if words & COMMENT_WORDS and words <= CUT_WORDS | WITH_WORDS:
+                    return True
+            elif words & CUT_WORDS and (not parent.inside or words <= CUT_WORDS | WITH_WORDS):
+                return True
+            elif "header" in words and _is_outside(parent) and not parent.inside:
+                return True
     return False
 
 
@@ -108,10 +140,20 @@ def parse(page: str) -> Node:
     """The page's element tree; text is in place among the children, decoded."""
     root = at = Node("html", None)
     pos, end = 0, len(page)
+    # open elements by name, in the page and since the last that no implied end reaches across
+    open_: Counter[str] = Counter()
+    scopes: list[Counter[str]] = [Counter()]
 
     def close(stop: Node) -> None:
+        """End the open elements up to ``stop``."""
         nonlocal at
-        at = stop.parent or stop
+        last = stop.parent or stop
+        while at is not last:
+            open_[at.name] -= 1
+            if at.name in _SCOPES:
+                scopes.pop()
+            scopes[-1][at.name] -= 1
+            at = at.parent
 
     while pos < end:
         mark = _MARK.search(page, pos)
@@ -125,32 +167,34 @@ def parse(page: str) -> Node:
         if not name or mark[5] and not mark[0].endswith(">"):
             continue
         if mark[1] or mark[4]:
-            up = at
-            while up.parent is not None and up.name != name:
-                up = up.parent
-            if up.name == name and up.parent is not None:
+            if open_[name] > 0:
+                up = at
+                while up.name != name:
+                    up = up.parent
                 close(up)
             continue
         if name in ("html", "body") and (name == "html" or any(isinstance(c, Node) and c.name == "body" for c in root.children)):
             continue
-        if name in _ENDS_P or name in _ENDED_BY:
-            ended, holds = _ENDED_BY.get(name, ()), _HOLDS.get(name, ())
-            up, top = at, None
-            while up.parent is not None and up.name not in holds and up.name not in ("body", "td", "th", "article", "section", "div"):
-                if up.name in ended or up.name == "p" and name in _ENDS_P:
-                    top = up
+        ended = _ENDED_BY.get(name, frozenset()) | ({"p"} if name in _ENDS_P else frozenset())
+        left = sum(scopes[-1][n] for n in ended)
+        if left > 0:
+            up = top = at
+            while left > 0:  # all of them are above, none beyond the scope
+                if up.name in ended:
+                    left, top = left - 1, up
                 up = up.parent
-            if up.name in ended and up.parent is not None:
-                top = up
-            if top is not None:
-                close(top)
-        node = Node(name, at, _is_cut(name, at), _is_marked(name, mark[3] or mark[6] or "", at))
+            close(top)
+        node = Node(name, at, _is_cut(name), _is_marked(name, mark[3] or mark[6] or "", at))
         at.children.append(node)
         if name in _RAW:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = stop.end() if stop else end
         elif name not in _VOID and not (mark[0].endswith("/>") and name in ("svg", "path")):
             at = node
+            open_[name] += 1
+            scopes[-1][name] += 1
+            if name in _SCOPES:
+                scopes.append(Counter())
     _cut_marked(root)
     return root
 
@@ -174,8 +218,20 @@ def _cut_marked(root: Node) -> None:
         around.add(id(up))
         up = up.parent
     by_size = main is None or main.name == "h1"
+    headline = _only_headline(nodes)
     for node in nodes:
-        node.cut = node.marked and id(node) not in around and not (by_size and 2 * chars[id(node)] > chars[id(root)])
+        node.cut = node.cut or node.marked and id(node) not in around and node is not headline and not (by_size and 2 * chars[id(node)] > chars[id(root)])
+
+
+def _only_headline(nodes: list[Node]) -> Node | None:
+    """The header that holds the first h1, where no article or main has an h1 and the header is that of a part of the page."""
+    first = next((n for n in nodes if n.name == "h1"), None)
+    if first is None or any(n.name == "h1" and n.inside for n in nodes):
+        return None
+    up = first.parent
+    while up is not None and up.name != "header":
+        up = up.parent
+    return up if up is not None and up.parent is not None and up.parent.name == "div" else None
 
 
 def _walk(root: Node) -> list[Node]:
@@ -220,20 +276,24 @@ def measure(nodes: list[Node]) -> None:
             node.parent.sum += node.density
 
 
-def _article(best: Node) -> Node:
-    """The article around the block with the largest sum."""
+def _article(best: Node) -> list[Node]:
+    """The article around the block with the largest sum, as its nodes."""
     around = [best]
     while around[-1].parent is not None:
         around.append(around[-1].parent)
-    for name in ("article", "main"):
-        if named := [n for n in around if n.name == name]:
-            return named[-1]
+    mains = [n for n in around if n.name == "main"]
+    if articles := [n for n in around if n.name == "article"]:
+        top = articles[-1]
+        beside = top.parent.children if top.parent is not None else [top]
+        return [n for n in beside if n is top or isinstance(n, Node) and n.name == "article" and not n.cut and n.link_chars <= LINK_SHARE * n.chars]
+    if mains:
+        return [mains[-1]]
     top = best
     for up in around[1:]:  # up to where what comes in is mostly links
         if up.link_chars - top.link_chars > LINK_SHARE * (up.chars - top.chars):
             break
         top = up
-    return top
+    return [top]
 
 
 def content(root: Node) -> list[Node]:
@@ -250,9 +310,9 @@ def content(root: Node) -> list[Node]:
         if up.chars:
             threshold = min(threshold, up.density)
         up = up.parent
-    top = _article(best)
-    above = set()
-    up = top
+    tops = _article(best)
+    whole, above = {id(n) for n in tops}, set()
+    up = tops[0]
     while up is not None:
         above.add(id(up))
         up = up.parent
@@ -261,11 +321,11 @@ def content(root: Node) -> list[Node]:
         node = todo.pop()
         if node.cut:
             continue
-        if node is top:
+        if id(node) in whole:
             out.append(node)
         elif id(node) in above:
             todo += [c for c in reversed(node.children) if isinstance(c, Node)]
-        elif node.density > threshold and node.name in ("article", "main", "section", "div", "p", "h1"):
+        elif node.density > threshold and node.link_chars <= LINK_SHARE * node.chars and node.name in ("article", "main", "section", "div", "p", "h1"):
             out.append(node)
     return out
 

@@ -455,3 +455,34 @@ def test_templates_find_themselves_and_near_copies(spark):
     assert len(got[903]) == 4000 and {f.license for f in got[903]} == {"MIT notice"} and got[904] == []
     with pytest.raises(ValueError):
         licenses.Scanner({"x": "word"})
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><h1>T</h1><p>One text of some words.</p><section class='related-work'><p>Kept work.</p></section><section class='search-methods'><p>Kept methods.</p></section><section class='notice-period'><p>Kept period.</p></section></article>", "T One text of some words. Kept work. Kept methods. Kept period."),
+        ("<article><p>One text of some words.</p><div class='related-posts'>no</div><div class='share-buttons'>no</div><div id='comments'>no</div><div class='ad-slot'>no</div></article>", "One text of some words."),
+        ("<div class='content'><header><h1>Title</h1></header><p>A text of several words, and more.</p><p>Another one of them, too.</p></div>", "Title A text of several words, and more. Another one of them, too."),
+        ("<body><header><h1>Site</h1></header><article><h1>Title</h1><p>A text of several words.</p></article></body>", "Title A text of several words."),
+        ("<article><p>A text of several words.</p><div class='usercomments'><p>no</p></div><ol class='commentlist'><li>no</ol><section class='readerComments'>no</section></article>", "A text of several words."),
+        ("<article><p>A text of several words.</p><p class='commentary'>Kept comment.</p><p class='shareholders'>Kept too.</p><article class='comment-body'><p>no</p></article></article>", "A text of several words. Kept comment. Kept too."),
+        ("<body><div><article><h2>One</h2><p>The first text, of several words.</p></article><article><h2>Two</h2><p>The second text.</p></article><article><a href='x'>A teaser of another page</a></article></div></body>", "One The first text, of several words. Two The second text."),
+        ("<main><div class='user-comments'>no</div><p>A text <b>of several</b> words.<p>More of them.</main>", "A text of several words. More of them."),
+        ("<article><ul><li>one<ul><li>two<li>three</ul><li>four</ul><table><tr><td>a<td>b<tr><td>c</table><dl><dt>d<dd>e<dt>f</dl></article>", "one two three four a b c d e f"),
+        ("</p></div><article><p>A text</i> of</section> words.</p></article></html></b>", "A text of words."),
+    ],
+)
+def test_articles_are_whole_and_without_comments(page, text):
+    assert html_text.extract(page) == text
+
+
+@pytest.mark.parametrize("a, b", [("<b>", "<p>x"), ("<b>", "</i>"), ("<p><td><b>", "<p>x</p>"), ("<table><td><b>", "<td>x"), ("<ul><li>", "<li>x"), ("<dl><dt><i>", "<dd>x"), ("<p>", "<p>"), ("<div class='usercommentlistusercommentlist'>", "</div>")])
+def test_time_grows_with_the_page(a, b):
+    import time
+
+    def took(n):
+        page, start = a * n + b * n, time.process_time()
+        html_text.extract(page)
+        return time.process_time() - start
+
+    assert took(40_000) < 12 * max(took(10_000), 0.02)

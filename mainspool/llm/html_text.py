@@ -311,7 +311,12 @@ def content(root: Node) -> list[Node]:
             threshold = min(threshold, up.density)
         up = up.parent
     tops = _article(best)
-    whole, above = {id(n) for n in tops}, set()
+    chosen = {id(n) for n in tops}
+    articles = Counter(id(n.parent) for n in nodes if n.name == "article")
+    for node in nodes:  # teasers among articles
+        if node.name == "article" and node.link_chars > LINK_SHARE * node.chars and id(node) not in chosen:
+            node.cut = articles[id(node.parent)] > 1
+    above = set()
     up = tops[0]
     while up is not None:
         above.add(id(up))
@@ -321,7 +326,7 @@ def content(root: Node) -> list[Node]:
         node = todo.pop()
         if node.cut:
             continue
-        if id(node) in whole:
+        if id(node) in chosen:
             out.append(node)
         elif id(node) in above:
             todo += [c for c in reversed(node.children) if isinstance(c, Node)]

@@ -476,7 +476,7 @@ def test_articles_are_whole_and_without_comments(page, text):
     assert html_text.extract(page) == text
 
 
-@pytest.mark.parametrize("a, b", [("<b>", "<p>x"), ("<b>", "</i>"), ("<p><td><b>", "<p>x</p>"), ("<table><td><b>", "<td>x"), ("<ul><li>", "<li>x"), ("<dl><dt><i>", "<dd>x"), ("<p>", "<p>"), ("<div class='usercommentlistusercommentlist'>", "</div>")])
+@pytest.mark.parametrize("a, b", [("<b>", "<p>x"), ("<b>", "</i>"), ("<p><td><b>", "<p>x</p>"), ("<table><td><b>", "<td>x"), ("<ul><li>", "<li>x"), ("<dl><dt><i>", "<dd>x"), ("<p>", "<p>"), ("<div class='usercommentlistusercommentlist'>", "</div>"), ("<article><a>x</a></article>", "<p>y")])
 def test_time_grows_with_the_page(a, b):
     import time
 

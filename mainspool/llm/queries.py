@@ -106,4 +106,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op11_source_mix": mixing.oracle(), "op12_infill": infill.oracle(), "op13_conversation_repair": dialogue.oracle()}
+ORACLES: dict[str, str] = {"op1_sharding": sharding.oracle(8), "op11_source_mix": mixing.oracle(), "op12_infill": infill.oracle(), "op13_conversation_repair": dialogue.oracle()}

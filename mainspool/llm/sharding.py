@@ -83,3 +83,25 @@ def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
 def write_shards(sharded: DataFrame, path: str) -> None:
     """One folder per shard, files and rows in order; an existing folder fails."""
     sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def oracle(shards: int) -> str:
+    """The shards of ``documents`` in SQL, with one window over all rows where Spark has partition totals."""
+    step = "list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: xor(c >> 1, (c & 1) * 3988292384))"
+    octets = "list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    crc = "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), octets), lambda s, b: xor(s >> 8, crcs[xor(s & 255, b) + 1])), 4294967295)"
+    return f"""
+WITH crc_table AS (
+  SELECT list({step} ORDER BY x) AS crcs FROM (SELECT unnest(range(256)) AS x)
+), sized AS (
+  SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + 1 AS BIGINT) AS size, {octets} AS octets FROM documents
+), summed AS (
+  SELECT doc_id, size, {crc} AS text_crc32 FROM sized, crc_table
+), placed AS (
+  SELECT *, sum(size) OVER () AS total, sum(size) OVER w - size AS before, row_number() OVER w - 1 AS position
+  FROM summed WINDOW w AS (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), dealt AS (
+  SELECT *, CAST(least((2 * before + size) * {shards} // (2 * total), {shards - 1}) AS INT) AS shard FROM placed
+)
+SELECT doc_id, size, text_crc32, '{LAW}' AS law, shard, CAST(position - min(position) OVER (PARTITION BY shard) AS BIGINT) AS slot,
+  CAST(position AS BIGINT) AS position, CAST(NULL AS INT) AS grown_shard FROM dealt"""

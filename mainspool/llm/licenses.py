@@ -7,8 +7,9 @@ version numbers stay whole). A template with n distinct bigrams can only match a
 
 These bounds prune templates and spans before any set is compared: a template is looked at only
 where enough of its bigrams stand close enough together. As bigrams outside the
-template only lower the coefficient, the best span starts and ends at one of its bigrams; all
-such spans within the bounds are compared. Of overlapping findings the best stays: more
+template only lower the coefficient, the best span starts and ends at one of its bigrams, and its first bigram does
+not come again in it: without the first place it would have as many in common. All
+such spans within the bounds are compared; a place lies in as many of them as the template has bigrams at most. Of overlapping findings the best stays: more
 bigrams in common, then a higher coefficient, then an earlier start, then the name. Templates of one word are not
 allowed. Equal findings in different places are each reported.
 
@@ -19,6 +20,7 @@ run over lines. Repeated rows get equal results.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,59 @@ THRESHOLD = 0.8
 
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 
+# The parts that the two- and the three-clause licence share, and the third clause.
+_BSD_CONDITIONS = """Redistribution and use in source and binary forms, with or without modification, are permitted
+    provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
+    notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the
+    above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+    materials provided with the distribution."""
+_BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+    promote products derived from this software without specific prior written permission."""
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+    WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+    PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+    INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+    GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+    LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+    OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+# The GNU licences' names, versions and what their notices call the work; the attribution licences' parts.
+_GNU = {
+    "GPL-2.0": ("General Public License", "2", "program"),
+    "GPL-3.0": ("General Public License", "3", "program"),
+    "LGPL-2.1": ("Lesser General Public License", "2.1", "library"),
+    "LGPL-3.0": ("Lesser General Public License", "3", "library"),
+    "AGPL-3.0": ("Affero General Public License", "3", "program"),
+}
+_CC = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_GNU_WARRANTY = """This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+    implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."""
+_GNU_LATER = """This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as
+    published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."""
+_GNU_ONLY = """This {work} is free software; you can redistribute it and/or modify it under the terms of version {version} of
+    the GNU {name} as published by the Free Software Foundation."""
+
+
+def _families() -> dict[str, str]:
+    """The headers, notices and statements of licences that differ in name and version."""
+    out = {}
+    for spdx, (name, version, work) in _GNU.items():
+        for kind, grant in (("or-later", _GNU_LATER), ("only", _GNU_ONLY)):
+            out[f"{spdx}-{kind}"] = f"{grant} {_GNU_WARRANTY}".format(name=name, version=version, work=work)
+        out[f"{spdx} notice"] = f"This work is licensed under the GNU {name}, version {version}."
+    for spdx, name in _CC.items():
+        out[f"CC-{spdx}-4.0 notice"] = f"Licensed under CC {spdx} 4.0."
+        out[f"CC-{spdx}-4.0 statement"] = f"This work is licensed under a Creative Commons {name} 4.0 International License."
+    return out
+
+
 # Public licence texts and the customary short notices, by SPDX name.
 TEMPLATES = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -49,13 +104,8 @@ TEMPLATES = {
         INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER
         IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
         PERFORMANCE OF THIS SOFTWARE.""",
-    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
-        provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
-        notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the
-        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
-        materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS
-        IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
-        MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "BSD-2-Clause": f"{_BSD_CONDITIONS} {_BSD_DISCLAIMER}",
+    "BSD-3-Clause": f"{_BSD_CONDITIONS} {_BSD_THIRD} {_BSD_DISCLAIMER}",
     "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
         held liable for any damages arising from the use of this software. Permission is granted to anyone to use this
         software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject
@@ -69,27 +119,29 @@ TEMPLATES = {
         Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
         on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
         the specific language governing permissions and limitations under the License.""",
-    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the
-        GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
-        your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY
-        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
-        General Public License for more details.""",
     "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+        modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
+        binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright
+        laws, the author or authors of this software dedicate any and all copyright interest in the software to the public
+        domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and
+        successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future
+        rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+        EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
+        AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN
+        AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+        OTHER DEALINGS IN THE SOFTWARE.""",
+    "Unlicense opening": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
         modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
         binary, for any purpose, commercial or non-commercial, and by any means.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+        was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
     "MIT notice": "Released under the MIT License.",
     "MIT notice (licensed)": "Licensed under the MIT License.",
     "BSD-3-Clause notice": "Licensed under the BSD 3-Clause License.",
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
-    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "MPL-2.0 notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "CC-BY-4.0 notice": "Licensed under CC BY 4.0.",
-    "CC-BY-SA-4.0 notice": "Licensed under CC BY-SA 4.0.",
-    "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0 statement": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC0-1.0 statement": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
+    **_families(),
 }
 
 
@@ -100,8 +152,6 @@ def normalise(text: str | None) -> list[str]:
 class Scanner:
     """Templates as sets of bigrams, each numbered, and the bounds that follow from the threshold."""
 
-    LIMIT = 300_000
-
     def __init__(self, templates: dict[str, str], threshold: float = THRESHOLD):
         self.threshold = threshold
         self.names = sorted(templates)
@@ -160,11 +210,16 @@ class Scanner:
             seen.add(b)
             later.append(len(seen))
         later.reverse()
+        again, last_of = [len(where)] * len(where), {}  # where each place's bigram comes again
+        for i in reversed(range(len(where))):
+            again[i] = last_of.get(which[i], len(where))
+            last_of[which[i]] = i
         for i, start in enumerate(where):
-            if i + least > len(where):
+            if later[i] < least:
                 break
+            stop = again[i]
             common, distinct, best, last = set(), set(), None, start
-            for place, b in zip(where[i:], which[i:]):
+            for place, b in zip(islice(where, i, stop), islice(which, i, stop)):
                 for p in range(last, place):
                     distinct.add((words[p], words[p + 1]))
                 last = place

@@ -486,3 +486,30 @@ def test_time_grows_with_the_page(a, b):
         return time.process_time() - start
 
     assert took(40_000) < 12 * max(took(10_000), 0.02)
+
+
+SIBLINGS = {
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "AGPL-3.0 notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "LGPL-2.1 notice": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "CC-BY-ND-4.0 notice": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 notice": "licensed under cc by-nc-sa 4.0",
+}
+
+
+def test_siblings_keep_their_names():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, text in {**licenses.TEMPLATES, **SIBLINGS}.items():
+        got = scanner.scan(f"Some words before. {text} Others behind, and more of them.")
+        assert [f["license"] for f in got] == [name], name
+
+
+def test_long_repeated_words_take_time_in_proportion():
+    import time
+
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for words in ("released under ", "licensed under the gnu general public license ", "the software is provided ", licenses.TEMPLATES["MIT"] + " "):
+        text = words * (20_000 // len(words.split()) + 1)
+        start = time.process_time()
+        scanner.scan(text + "Released under the MIT License.")
+        assert time.process_time() - start < 6

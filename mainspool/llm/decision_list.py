@@ -1,12 +1,13 @@
 """Quality rules learned as a decision list, from DataFrame and SQL functions only.
 
-Statistics of every whole text are native expressions. Labelled statistics are cut at
-halfway between quantiles of the good and of the bad into at most ``BINS`` bins, and only the counts of good and bad
-documents by bins reach the driver: at most ``CELLS`` cells, whatever the number of documents.
-Sequential covering on these counts grows a rule for bad documents, a conjunction of
-thresholds chosen by information gain on two thirds of the documents, prunes its last
-conditions while that improves it on the other third, keeps it if most of what it
-covers there is bad, removes what it covers and goes on. The rules come out as one ordered
+Statistics of every whole text are native expressions. Sequential covering grows a rule for
+bad documents, a conjunction of thresholds, condition by condition: the thresholds tried lie halfway between
+quantiles of the good and of the bad that the rule so far holds for, in the middle, in the tails and among values other than
+zero, and are found anew for each condition, so that a rare kind of junk has thresholds of its own once the
+common kinds are covered. The counts of good and bad by feature and threshold interval are all that reaches the
+driver. The condition of most information gain on two thirds of the documents is taken; the last ones are pruned while that
+improves the rule on the other third, and the rule stays if there most of what it covers is bad. What it covers is
+removed, and so on until no rule holds up; then single conditions are tried the same way. The rules come out as one ordered
 Spark conditional expression.
 
 Null and empty texts have no words. A text is a failure of the base rules, or kept if the first
@@ -32,9 +33,11 @@ WINDOW, LEAST_WORDS, MOST_REPEATED = 3, 50, 50
 
 _BLANK_SQL = "' \\t\\n\\u000b\\u000c\\r'"
 
-BINS = 8
-CELLS = 8**6
-RULES, CONDITIONS = 8, 4
+#: Quantiles of good and of bad documents between which thresholds lie.
+SHARES = (0.001, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99, 0.995, 0.999)
+
+#: A rule stands by its documents of the pruning third: so much more than this share bad, with one more of either kind assumed.
+PRECISION, LEAST_BAD = 0.75, 3
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -104,74 +107,104 @@ def _gain(p0: float, n0: float, p: float, n: float) -> float:
     return p * (log2(p / (p + n)) - log2(p0 / (p0 + n0))) if p else 0.0
 
 
-def cover(cells: list[tuple[tuple[int, ...], bool, int, int]], edges: dict[str, list[float]]) -> list[Rule]:
-    """Rules from cells (bins, in the growing part, bad, good); a bin counts the edges below."""
-    names = list(edges)
-    rules: list[Rule] = []
-
-    def holds(cell, conditions) -> bool:
-        return all((cell[0][f] > k) == above for f, above, k in conditions)
-
-    def count(part, conditions, growing) -> tuple[int, int]:
-        some = [c for c in part if c[1] == growing and holds(c, conditions)]
-        return sum(c[2] for c in some), sum(c[3] for c in some)
-
-    def worth(part, conditions) -> float:
-        p, n = count(part, conditions, False)
-        return (p - n) / (p + n) if p + n else -1.0
-
-    left = list(cells)
-    while len(rules) < RULES:
-        conditions: list[tuple[int, bool, int]] = []
-        p, n = count(left, conditions, True)
-        while p and n and len(conditions) < CONDITIONS:
-            inside = [c for c in left if c[1] and holds(c, conditions)]
-            best = None
-            for f, name in enumerate(names):
-                by_bin: dict[int, list[int]] = {}
-                for bins, _, bad, good in inside:
-                    got = by_bin.setdefault(bins[f], [0, 0])
-                    got[0] += bad
-                    got[1] += good
-                for k in range(len(edges[name])):
-                    a = [sum(v[i] for b, v in by_bin.items() if b > k) for i in (0, 1)]
-                    for above, (q, m) in ((True, a), (False, [p - a[0], n - a[1]])):
-                        gain = _gain(p, n, q, m)
-                        if gain > 1e-9 and (best is None or gain > best[0]):
-                            best = (gain, (f, above, k), q, m)
-            if best is None:
-                break
-            conditions.append(best[1])
-            p, n = best[2], best[3]
-        while len(conditions) > 1 and worth(left, conditions[:-1]) >= worth(left, conditions):
-            conditions.pop()
-        if not conditions or worth(left, conditions) <= 0.5:
+def _thresholds(known: DataFrame) -> dict[str, list[float]]:
+    """Halfway between neighbouring quantiles of either side, so that a rule keeps its distance from both."""
+    shares = list(SHARES)
+    probe = known.groupBy("bad").agg(
+        *(F.percentile_approx(f, shares, 10_000).alias(f) for f in FEATURES),
+        *(F.percentile_approx(F.when(F.col(f) != 0, F.col(f)), shares, 10_000).alias(f"{f}_set") for f in FEATURES),
+        *(F.array(F.min(f), F.max(f)).alias(f"{f}_ends") for f in FEATURES),
+    ).collect()
+    out = {}
+    for f in FEATURES:
+        points = sorted({float(x) for r in probe for c in (f, f"{f}_set", f"{f}_ends") for x in (r[c] or ()) if x is not None})
+        out[f] = [(a + b) / 2 for a, b in zip(points, points[1:])]
+    return out
+
+
+def candidates(known: DataFrame) -> list[tuple[float, Condition, int, int]]:
+    """Conditions on the growing part by falling information gain: (gain, condition, bad, good); of each
+    feature and direction the best."""
+    edges = _thresholds(known.where("growing"))
+    by_feature = [F.struct(F.lit(i).alias("f"), F.expr(" + ".join(f"int({f} > {e!r}D)" for e in edges[f]) or "0").alias("bin")) for i, f in enumerate(FEATURES)]
+    each = known.where("growing").select("bad", F.explode(F.array(*by_feature)).alias("x")).groupBy("x.f", "x.bin")
+    counts = each.agg(F.sum(F.col("bad").cast("int")).alias("p"), F.sum((~F.col("bad")).cast("int")).alias("n")).collect()
+    out = []
+    for i, f in enumerate(FEATURES):
+        bins = {r["bin"]: (r["p"], r["n"]) for r in counts if r["f"] == i}
+        p0, n0 = (sum(c[k] for c in bins.values()) for k in (0, 1))
+        best: dict[bool, tuple[float, Condition, int, int]] = {}
+        for k, e in enumerate(edges[f]):
+            p, n = (sum(c[j] for b, c in bins.items() if b > k) for j in (0, 1))
+            for above, q, m in ((True, p, n), (False, p0 - p, n0 - n)):
+                gain = _gain(p0, n0, q, m)
+                if gain > 1e-9 and (above not in best or gain > best[above][0]):
+                    best[above] = (gain, Condition(f, above, e), q, m)
+        out += best.values()
+    return sorted(out, key=lambda c: (-c[0], c[1].feature, c[1].above, c[1].threshold))
+
+
+def _holds(conditions: tuple[Condition, ...]) -> str:
+    return " and ".join(f"{c.feature} {'>' if c.above else '<='} {c.threshold!r}D" for c in conditions) or "true"
+
+
+def _stand(known: DataFrame, rules: list[Rule]) -> list[tuple[int, int]]:
+    """(bad, good) documents of the pruning part that each rule holds for."""
+    tried = known.where("not growing")
+    sums = [F.sum(F.expr(f"int({_holds(r)} and {'bad' if bad else 'not bad'})")) for r in rules for bad in (True, False)]
+    row = tried.agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).first()
+    return [(row[2 * i] or 0, row[2 * i + 1] or 0) for i in range(len(rules))]
+
+
+def _precision(p: int, n: int) -> float:
+    return (p + 1) / (p + n + 2)
+
+
+def _accepted(p: int, n: int) -> bool:
+    return p >= LEAST_BAD and _precision(p, n) > PRECISION
+
+
+def next_rule(known: DataFrame) -> Rule | None:
+    """A rule for bad documents among ``known``, grown, pruned and held up; None if there is none."""
+    conditions: Rule = ()
+    firsts: list[Condition] = []
+    while True:
+        found = candidates(known.where(_holds(conditions)))
+        firsts = firsts or [c for _, c, _, _ in found]
+        if not found or found[0][1] in conditions:
             break
-        rules.append(tuple(Condition(names[f], above, edges[names[f]][k]) for f, above, k in conditions))
-        left = [c for c in left if not holds(c, conditions)]
-    return rules
+        conditions += (found[0][1],)
+        if not found[0][3]:  # nothing good left
+            break
+    if conditions:
+        prefixes = [conditions[: k + 1] for k in range(len(conditions))]
+        stood = _stand(known, prefixes)
+        # the shortest of the best
+        best = max(range(len(prefixes)), key=lambda k: (_precision(*stood[k]), -k))
+        if _accepted(*stood[best]):
+            return prefixes[best]
+    if firsts:
+        stood = _stand(known, [(c,) for c in firsts])
+        held = [(p, c) for (p, n), c in zip(stood, firsts) if _accepted(p, n)]
+        if held:
+            return (max(held, key=lambda h: h[0])[1],)
+    return None
 
 
 def learn(stats: DataFrame, labels: DataFrame, id: str = "doc_id", quality: str = "quality") -> list[Rule]:
     """Rules that reject documents like those rated 0, from all rated documents."""
     rated = labels.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{quality}`").cast("int").alias("q")).where("q is not null and __id is not null").groupBy("__id").agg(F.min("q").alias("q"))
     one = stats.groupBy(f"`{id}`").agg(*(F.min(c).alias(c) for c in stats.columns if c != id))
-    known = one.where(~base_failed()).join(rated, one[id] == rated["__id"]).select("__id", "q", *(F.expr(x).cast("double").alias(f) for f, x in FEATURES.items()))
-    known = materialise(known)
-    names = list(FEATURES)
-    # half of the edges from each side, so that rare bad documents have edges of their own
-    shares = [(k + 1) / (BINS // 2 + 1) for k in range(BINS // 2)]
-    probe = known.groupBy((F.col("q") > 0).alias("good")).agg(*(F.percentile_approx(f, shares, 10_000).alias(f) for f in names)).collect()
-    points = {f: sorted({float(x) for r in probe for x in (r[f] or [])}) for f in names}
-    # thresholds halfway between points, so that a rule keeps its distance from either side
-    edges = {f: [(a + b) / 2 for a, b in zip(p, p[1:])] for f, p in points.items()}
-    if len(probe) < 2:
-        return []
-    bins = [F.expr(" + ".join([f"int({f} > {e!r}D)" for e in edges[f]]) or "0").alias(f) for f in names]
     growing = (F.pmod(F.xxhash64("__id", F.lit("grow")), F.lit(3)) < 2).alias("growing")
-    cube = known.select(*bins, growing, "q").groupBy(*names, "growing").agg(F.sum(F.expr("int(q <= 0)")).alias("bad"), F.sum(F.expr("int(q > 0)")).alias("good"))
-    cells = [(tuple(r[f] for f in names), r["growing"], r["bad"], r["good"]) for r in cube.collect()]
-    return cover(sorted(cells), edges)
+    known = one.where(~base_failed()).join(rated, one[id] == rated["__id"]).select((F.col("q") <= 0).alias("bad"), growing, *(F.expr(x).cast("double").alias(f) for f, x in FEATURES.items()))
+    known = materialise(known)
+    rules: list[Rule] = []
+    if known.select("bad").distinct().count() < 2:
+        return rules
+    while rule := next_rule(known):  # each covers rows of the pruning part that are then gone
+        rules.append(rule)
+        known = known.where(f"not ({_holds(rule)})")
+    return rules
 
 
 def verdict(rules: list[Rule]) -> Column:

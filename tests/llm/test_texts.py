@@ -318,6 +318,75 @@ def test_rules_are_learned_and_hold(spark):
     assert any("n_symbols" in c.sql() or "n_marks" in c.sql() for r in rules for c in r)
 
 
+def _features(rng, kind):
+    """(symbols, marks, capitals, repeats, duplicate lines, length) shares of a kind of document."""
+    clean = [rng.random() * 0.02, rng.random() * 0.03, rng.random() * 0.1, 0.0 if rng.random() < 0.9 else rng.random() * 0.05, 0.0, 4 + rng.random() * 2]
+    if kind == "common":
+        clean[0] = 0.1 + rng.random() * 0.5
+    if kind == "rare":
+        clean[4] = 0.3 + rng.random() * 0.4
+    if kind == "rarest":
+        clean[5] = 11 + rng.random()
+    return clean
+
+
+@pytest.mark.parametrize("rare, rarest", [(0.1, 0.0), (0.1, 0.01), (0.01, 0.01)])
+def test_rare_junk_gets_rules_of_its_own(spark, monkeypatch, rare, rarest):
+    rng = random.Random(14)
+    monkeypatch.setattr(decision_list, "FEATURES", {f: f for f in "abcdef"})
+    kinds = ["good"] * 6000 + ["rare"] * int(3000 * rare) + ["rarest"] * int(3000 * rarest)
+    kinds += ["common"] * (9000 - len(kinds))
+    rows = [(i, 100, 0, k, *_features(rng, k)) for i, k in enumerate(kinds)]
+    stats = spark.createDataFrame(rows, "doc_id long, n_words long, n_repeat_words long, kind string, a double, b double, c double, d double, e double, f double").repartition(4)
+    slips = {i for i in range(6000) if i % 200 == 0}
+    labels = spark.createDataFrame([(i, int((k == "good") != (i in slips))) for i, k in enumerate(kinds)], "doc_id long, quality int")
+    rules = decision_list.learn(stats, labels)
+    kept = Counter(r.kind for r in stats.where(decision_list.verdict(rules)).collect())
+    many = Counter(kinds)
+    assert kept["good"] >= 0.99 * many["good"], rules
+    for kind in ("common", "rare", "rarest"):
+        assert kept[kind] <= 0.02 * many[kind], (kind, rules)
+
+
+def test_noise_gives_no_rules(spark):
+    rng = random.Random(15)
+    rows = [(i, " ".join("w" * rng.randint(1, 9) for _ in range(70))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, rng.randint(0, 1)) for i in range(600)], "doc_id long, quality int")
+    got = decision_list.apply_rules(docs, labels).collect()
+    assert sum(r.kept or r.base_failed for r in got) >= 590
+
+
+def test_conditions_like_brute_force(spark, monkeypatch):
+    rng = random.Random(16)
+    monkeypatch.setattr(decision_list, "FEATURES", {"a": "a", "b": "b"})
+    rows = [(rng.random() < 0.4, rng.random() < 0.7, float(rng.randrange(12)), rng.random()) for _ in range(300)]
+    rows = [(bad or a > 9, g, a, b) for bad, g, a, b in rows]
+    known = spark.createDataFrame(rows, "bad boolean, growing boolean, a double, b double")
+    got = decision_list.candidates(known)
+    grown = [r for r in rows if r[1]]
+    p0, n0 = (sum(r[0] == x for r in grown) for x in (True, False))
+    best = {}
+    for gain, c, p, n in got:
+        at = {"a": 2, "b": 3}[c.feature]
+        held = [r for r in grown if (r[at] > c.threshold) == c.above]
+        assert (p, n) == (sum(r[0] for r in held), sum(not r[0] for r in held))
+        assert gain == pytest.approx(p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))))
+        best[c.feature, c.above] = gain
+    values = sorted({r[2] for r in grown})  # every cut of the feature of few values is tried
+    for above in (True, False):
+        gains = []
+        for cut in values[:-1]:
+            held = [r for r in grown if (r[2] > cut) == above]
+            p = sum(r[0] for r in held)
+            gains.append(p * (math.log2(p / len(held)) - math.log2(p0 / (p0 + n0))) if p else 0)
+        if max(gains) > 1e-9:
+            assert best["a", above] == pytest.approx(max(gains))
+    assert [g for g, *_ in got] == sorted((g for g, *_ in got), reverse=True)
+    rule = decision_list.next_rule(known)
+    assert rule == (decision_list.Condition("a", True, 9.5),)
+
+
 def test_rules_without_labels_keep_what_passes(spark):
     docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60))), (2, "short")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")

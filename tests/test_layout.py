@@ -141,7 +141,7 @@ def test_names():
     "text",
     [
         "           05 A PIC 9(4) COMP-1.\n",
-        "           05 A PIC ZZ9.\n",
+        "           05 A PIC ZZ*9.\n",
         "           05 A.\n",
         "           05 A REDEFINES B PIC X.\n",
         "           05 A PIC S9(4) COMP-3 SIGN LEADING SEPARATE.\n",

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from mainspool.sources.framing import filesystem
+from mainspool.sources.framing import filesystem, remember_stores
 
 # Fixed value: what manifests' names start with; listings skip such names.
 MANIFEST = "_manifest-"
@@ -131,6 +131,7 @@ class AttemptNames:
 def save(df: DataFrame, source: type[DataSource], path: str, **options: object) -> str:
     """Write with a source whose writer is a :class:`PartWriter`; gives the write's id."""
     spark, write_id = df.sparkSession, uuid.uuid4().hex
+    remember_stores(spark, [path, *(str(o) for o in options.values())])
     spark.dataSource.register(source)
     df.write.format(source.name()).mode("append").options(path=path, write_id=write_id, **options).save()
     return write_id

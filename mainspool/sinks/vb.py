@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 from mainspool.session import qualified, scratch_path
 from mainspool.sinks.commit import AttemptNames, PartWriter, save
 from mainspool.sources.files import list_files
-from mainspool.sources.framing import DESCRIPTOR, LONGEST, filesystem
+from mainspool.sources.framing import DESCRIPTOR, LONGEST, filesystem, remember_stores
 
 _REFUSED = "would both be written to"
 _REJECT_DDL = "file string, rec_no bigint, rec_len int, error string, error_at int, rec_hex string"
@@ -209,6 +209,7 @@ def write_vb(df: DataFrame, path: str, *, descriptors: bool = True, block: int |
         raise ValueError(f"a block holds records with descriptors and takes {2 * DESCRIPTOR} to {LONGEST} bytes")
     spark = df.sparkSession
     path = qualified(spark, path)
+    remember_stores(spark, [path])
     system, root = filesystem(path)
     if system.get_file_info(root).type != fs.FileType.NotFound and list_files(spark, path).limit(1).count():
         raise FileExistsError(f"{path} already holds files")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from mainspool.sinks.commit import committed, manifests
+from mainspool.sources.framing import remember_stores
 
 
 def split_paths(paths: str | Sequence[str]) -> list[str]:
@@ -20,6 +21,7 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], recursive: bool
 
     Where a path was written by this library, its manifest says which files there are."""
     given = split_paths(paths)
+    remember_stores(spark, given)
     found = manifests(spark, given)
     known = [m for path in given for m in found[path]]
     others = [path for path in given if not found[path]]

@@ -12,7 +12,7 @@ from __future__ import annotations
 import struct
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +37,49 @@ CHAIN_SCHEMA = pa.schema(
     ]
 )
 
+# Settings of Spark's own object store client, by the name that the readers' client has for them.
+_S3_SETTINGS = {
+    "access_key": "access.key",
+    "secret_key": "secret.key",
+    "session_token": "session.token",
+    "endpoint_override": "endpoint",
+    "region": "endpoint.region",
+}
+_S3_SCHEMES = ("s3", "s3a", "s3n")
+
+#: What the clients of buckets are made with in tasks; sent along with the functions that read or write.
+STORES: dict[str, dict[str, str]] = {}
+
+
+def store_settings(setting: Callable[[str], str | None], bucket: str) -> dict[str, str]:
+    """Arguments of a bucket's client from Spark's settings; those of the bucket come before general ones."""
+
+    def get(name: str) -> str | None:
+        return setting(f"fs.s3a.bucket.{bucket}.{name}") or setting(f"fs.s3a.{name}")
+
+    out = {ours: value for ours, name in _S3_SETTINGS.items() if (value := get(name))}
+    scheme, _, rest = out.get("endpoint_override", "").rpartition("://")
+    if rest:
+        out["endpoint_override"] = rest
+    if scheme or get("connection.ssl.enabled") == "false":
+        out["scheme"] = scheme or "http"
+    return out
+
+
+def remember_stores(spark, paths: Iterable[str]) -> None:
+    """Keep the settings of the buckets that paths lie in for the functions that tasks will run."""
+    conf = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        scheme, _, rest = path.partition("://")
+        if scheme in _S3_SCHEMES and rest:
+            bucket = rest.partition("/")[0]
+            STORES[bucket] = store_settings(conf.get, bucket)
+
+
 def filesystem(path: str):
     """(filesystem, path in it) for a qualified path as Spark prints it; a path without a scheme
-    is local. The path may hold any characters: only scheme and host are read as a URI."""
+    is local. The path may hold any characters: only scheme and host are read as a URI. Buckets are
+    opened with the settings Spark has for them (:func:`remember_stores`)."""
     from pyarrow import fs
 
     if path.startswith("file:"):
@@ -48,7 +88,10 @@ def filesystem(path: str):
     if not rest:
         return fs.LocalFileSystem(), path
     host, _, inner = rest.partition("/")
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    if scheme in _S3_SCHEMES:
+        if STORES.get(host):
+            return fs.S3FileSystem(**STORES[host]), f"{host}/{inner}"
+        scheme = "s3"
     system, root = fs.FileSystem.from_uri(f"{scheme}://{host}/")
     # object stores count the bucket into the path
     return system, f"{root.rstrip('/')}/{inner}"

@@ -22,7 +22,9 @@ Words are runs of letters and digits, lower-cased.
 Null or empty texts leak nothing; items without words match nothing; repeated items are each
 reported; repeated documents are each checked. Very long texts are read whole. The index is
 sent to the tasks only up to ``index_bytes`` of item text; more items are dealt into
-several indexes, each applied to all documents.
+several indexes. Document frequencies, lengths and the passages' length are then counted over all items in one job, so that
+scores are those of one index, and the indexes go over the documents one after the other, so that a worker and
+the driver hold one at a time. What they find is a row per text that leaks, joined back by the texts' digests.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mainspool.llm.common import append, per_worker, without
+from mainspool.llm.common import append, materialise, per_worker
 
 #: BM25's usual parameters, and the contract's shingles and similarity.
 K1, B = 1.2, 0.75
@@ -136,7 +138,17 @@ class Lookup(dict):
         return out
 
 
-def build(items: list[tuple[object, str | None]], overlap: float = OVERLAP) -> Index:
+@dataclass(frozen=True)
+class Whole:
+    """What an index of some of the items has to know of all of them."""
+
+    n: int
+    mean: float
+    longest: int
+    df: dict[str, int]  # of its own words
+
+
+def build(items: list[tuple[object, str | None]], overlap: float = OVERLAP, whole: Whole | None = None) -> Index:
     items = sorted(((i, t) for i, t in items if words(t)), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     bags = [words(t) for _, t in items]
     vocabulary = {w: k for k, w in enumerate(sorted({w for b in bags for w in b}))}
@@ -150,7 +162,11 @@ def build(items: list[tuple[object, str | None]], overlap: float = OVERLAP) -> I
     item = np.array([k for h in holds for k, _ in h], np.int64)
     tf = np.array([c for h in holds for _, c in h], float)
     df = np.array([len(h) for h in holds], float)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+    every = n
+    if whole is not None:
+        every, mean, longest = whole.n, whole.mean, whole.longest
+        df = np.array([whole.df[w] for w in vocabulary], float)
+    idf = np.log1p((every - df + 0.5) / (df + 0.5))
     size = np.array([len(b) for b in bags], float)
     impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / max(mean, 1))) if n else np.zeros(0)
     questions, answers, threshold = [], [], np.ones(n)
@@ -268,24 +284,63 @@ def leaks_of(index: Index, lookup: Lookup, texts: list[str | None], overlap: flo
     return [[{"item_id": index.ids[i], "score": s, "question": q, "answer": a} for i, (_, s, q, a) in sorted(b.items())] for b in best]
 
 
+def _words_of(batches):
+    """The distinct words of items, and a row without a word that says how many there are in all."""
+    for batch in batches:
+        part, word, size = [], [], []
+        for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            bag = words(text)
+            if bag:
+                some = [None, *sorted(set(bag))]
+                part += [k] * len(some)
+                word += some
+                size += [len(bag)] * len(some)
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(word, pa.string()), pa.array(size, pa.int64())], names=["part", "word", "size"])
+
+
+def _in_parts(texts: DataFrame, items: DataFrame, indexes: int, overlap: float) -> DataFrame:
+    """``digest, leaks`` of every text that leaks, by ``indexes`` indexes one after the other."""
+    sc = texts.sparkSession.sparkContext
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(indexes)).cast("int"))
+    held = materialise(dealt.select("part", "t").mapInArrow(_words_of, "part int, word string, size bigint"))
+    sizes = held.where("word is null").agg(F.count("*"), F.avg("size"), F.max("size")).first()
+    counts = held.where("word is not null").groupBy("word").agg(F.count("*").alias("df"), F.collect_set("part").alias("parts"))
+    counts = materialise(counts.select("word", "df", F.explode("parts").alias("part")))
+    found = []
+    for k in range(indexes):
+        rows = [(r.i, r.t) for r in dealt.where(F.col("part") == k).collect()]
+        df = {r.word: r.df for r in counts.where(F.col("part") == k).collect()}
+        sent, key = sc.broadcast((rows, Whole(sizes[0], sizes[1] or 0.0, sizes[2] or 1, df))), uuid.uuid4().hex
+        marked = append(texts, f"leaks {LEAKS}", _finder(sent, key, overlap), "t").where(F.size("leaks") > 0)
+        found.append(materialise(marked.select(F.sha2("t", 256).alias("digest"), "leaks").dropDuplicates(["digest"])))
+        sent.unpersist()
+    each = found[0]
+    for more in found[1:]:
+        each = each.unionAll(more)
+    by_item = "array_sort(flatten(collect_list(leaks)), (a, b) -> CASE WHEN a.item_id < b.item_id OR b.item_id IS NULL THEN -1 WHEN a.item_id > b.item_id OR a.item_id IS NULL THEN 1 ELSE 0 END)"
+    return each.groupBy("digest").agg(F.expr(by_item).alias("leaks"))
+
+
+def _finder(sent, key: str, overlap: float):
+    def run(texts: pa.Array) -> list[pa.Array]:
+        index = per_worker(("leak index", key), lambda: build(sent.value[0], overlap, sent.value[1]))
+        lookup = per_worker(("leak words", key), lambda: Lookup(index.vocabulary))
+        return [pa.array(leaks_of(index, lookup, texts.to_pylist(), overlap), pa.list_(_LEAK))]
+
+    return run
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id: str = "item_id", text: str = "text", item_text: str = "text", keep: list[str] | None = None, overlap: float = OVERLAP, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """``docs`` with ``leaks``, an array of (item_id, score, question, answer); often empty."""
-    sc = docs.sparkSession.sparkContext
     items = items.select(F.col(f"`{id}`").alias("i"), F.col(f"`{item_text}`").alias("t"))
     indexes = max(1, -(-(items.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // index_bytes))
-    keep = list(docs.columns if keep is None else keep)
-    carried = docs.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])))
-    parts = []
-    for k in range(indexes):
-        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(indexes)) == k).collect()
-        sent, key = sc.broadcast([tuple(r) for r in rows]), uuid.uuid4().hex
-
-        def run(texts: pa.Array, sent=sent, key=key) -> list[pa.Array]:
-            index = per_worker(("leak index", key), lambda: build(sent.value, overlap))
-            lookup = per_worker(("leak words", key), lambda: Lookup(index.vocabulary))
-            return [pa.array(leaks_of(index, lookup, texts.to_pylist(), overlap), pa.list_(_LEAK))]
-
-        parts.append(f"__leaks{k}")
-        carried = append(carried, f"__leaks{k} {LEAKS}", run, text)
-    out = without(carried.select(*(F.col(f"`{c}`") for c in keep), F.concat(*parts).alias("__leaks")), ["leaks"])
-    return out.withColumnRenamed("__leaks", "leaks")
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != "leaks"]
+    if indexes == 1:
+        rows = [tuple(r) for r in items.collect()]
+        sent = docs.sparkSession.sparkContext.broadcast((rows, None))
+        return append(docs, f"leaks {LEAKS}", _finder(sent, uuid.uuid4().hex, overlap), text, keep=keep)
+    found = _in_parts(docs.select(F.col(f"`{text}`").alias("t")), items, indexes, overlap)
+    found = found.withColumnsRenamed({"digest": "__digest", "leaks": "__leaks"})
+    own = docs.select(*(F.col(f"`{c}`") for c in keep), F.sha2(F.col(f"`{text}`"), 256).alias("__of"))
+    joined = own.join(found, F.col("__of") == F.col("__digest"), "left")
+    return joined.select(*(F.col(f"`{c}`") for c in keep), F.coalesce("__leaks", F.expr(f"cast(array() AS {LEAKS})")).alias("leaks"))

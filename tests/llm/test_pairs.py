@@ -176,9 +176,27 @@ def test_leaks_like_brute_force(exam, spark):
     items, texts = exam
     docs = spark.createDataFrame([(d, t, "own") for d, t in enumerate(texts)], "doc_id long, text string, leaks string")
     bench = spark.createDataFrame(items, "item_id long, text string")
+    found = []
     for index_bytes in (64 << 20, 2000):
         got = decontaminate.find_leaks(docs, bench, index_bytes=index_bytes, keep=["doc_id"]).collect()
         assert sorted((r.doc_id, l.item_id) for r in got for l in r.leaks) == _brute_leaks(texts, items)
+        assert len(got) == len(texts)
+        found.append({(r.doc_id, l.item_id): (pytest.approx(l.score), l.question, l.answer) for r in got for l in r.leaks})
+        assert all([l.item_id for l in r.leaks] == sorted(l.item_id for l in r.leaks) for r in got)
+    assert found[0] == {k: (v[0].expected, *v[1:]) for k, v in found[1].items()}  # scores do not know of indexes
+
+
+def test_several_indexes_with_nulls_repeats_and_clashing_names(spark):
+    items = [(k, " ".join(f"{c}{k}" for c in "abcdefghij")) for k in range(6)] + [(None, "n1 n2 n3 n4 n5 n6 n7"), (2, " ".join(f"{c}2" for c in "abcdefghij")), (9, None), (10, "!")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, items[0][1]), (1, items[0][1]), (None, f"x {items[2][1]} y {items[6][1]}"), (3, None), (4, ""), (5, "clean words only")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'l' AS leaks", "'d' AS digest")
+    got = decontaminate.find_leaks(docs, bench, index_bytes=60)
+    assert got.columns == ["doc_id", "text", "digest", "leaks"]
+    assert sorted(str((r.doc_id, r.digest, [x.item_id for x in r.leaks])) for r in got.collect()) == sorted(
+        map(str, [(1, "d", [0]), (1, "d", [0]), (None, "d", [2, 2, None]), (3, "d", []), (4, "d", []), (5, "d", [])])
+    )
+    assert decontaminate.find_leaks(docs.limit(0), bench, index_bytes=60).count() == 0
 
 
 def test_no_pair_above_the_threshold_is_missed(exam):

@@ -270,6 +270,42 @@ def test_cumulative_probabilities():
     assert (np.diff(tails, axis=1) < 0).all() and (np.diff(tails, axis=0) > 0).all()
 
 
+def test_fit_is_the_most_likely_model_by_brute_force(monkeypatch):
+    """Against a search that knows the likelihood only."""
+    monkeypatch.setattr(ordinal, "LEAST", 1)
+    monkeypatch.setattr(ordinal, "LEAN", 0.0)
+    rng = random.Random(19)
+    bags, grades = [], []
+    for _ in range(120):
+        bag = [f for f in range(3) if rng.random() < 0.5]
+        score = sum((1.5, -1.0, 0.3)[f] for f in bag) + math.log(1 / rng.uniform(0.01, 0.99) - 1)
+        bags.append(np.array(bag, np.int32))
+        grades.append(sum(score > c for c in (-0.5, 1.0)))
+    model = ordinal.fit(bags, np.array(grades), 2)
+
+    def loss(w, cuts):
+        total = 0.0
+        for bag, g in zip(bags, grades):
+            z = sum(w[f] for f in bag)
+            tail = [1.0, *(1 / (1 + math.exp(c - z)) for c in cuts), 0.0]
+            total -= math.log(max(tail[g] - tail[g + 1], 1e-12))
+        return total / len(bags) + ordinal.SHRINK / 2 * sum(x * x for x in w)
+
+    at, step = [0.0, 0.0, 0.0, -0.5, 0.5], 0.5
+    best = loss(at[:3], at[3:])
+    while step > 1e-4:
+        moved = False
+        for i in range(5):
+            for d in (step, -step):
+                new = [x + d * (k == i) for k, x in enumerate(at)]
+                if new[3] <= new[4] and (value := loss(new[:3], new[3:])) < best - 1e-12:
+                    at, best, moved = new, value, True
+        step = step if moved else step / 2
+    assert loss(model.weights[:3].tolist(), model.cuts.tolist()) == pytest.approx(best, abs=2e-4)
+    assert model.weights[:3].tolist() == pytest.approx(at[:3], abs=0.1) and model.cuts.tolist() == pytest.approx(at[3:], abs=0.1)
+    assert not model.weights[3:].any()
+
+
 def test_grades_without_two_ratings(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     for ratings, want in (([], 1.0), ([(1, 2)], 1.0), ([(1, 0), (2, 0)], 0.0)):

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from mainspool.sinks.commit import committed, manifests
 from mainspool.sources.framing import remember_stores
 
+#: Tasks that each core gets of small chunks, and the bytes a task takes of them before there are more tasks.
+TASKS_A_CORE, TASK_BYTES = 4, 32 << 20
+
 
 def split_paths(paths: str | Sequence[str]) -> list[str]:
     """A path, a comma-separated list of paths, or a list of either."""
@@ -33,6 +36,8 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], recursive: bool
     return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
-def tasks_for(total: int, chunk_bytes: int) -> int:
-    """Tasks to spread the byte ranges over: about one chunk each."""
-    return max(1, -(-total // chunk_bytes))
+def tasks_for(spark: SparkSession, total: int, chunk_bytes: int) -> int:
+    """Tasks to spread the byte ranges over: about one chunk each. Of small chunks a task takes several once
+    every core has a few tasks, so that the cost of starting tasks does not grow with the number of chunks."""
+    enough = max(TASKS_A_CORE * spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    return max(1, min(-(-total // chunk_bytes), enough))

@@ -36,7 +36,8 @@ def read_ranges(
     """Records, with ``error``, of byte ranges ``(file, start, end, ..)`` that ``records`` reads one at a time.
 
     The rows of few ranges are handed out by the driver, without a shuffle. Rows of few files carry
-    their file's number, which becomes a path only where someone looks at it.
+    their file's number, which becomes a path only where someone looks at it. The ranges are given as an RDD, of
+    which Spark knows no size: by the size of the ranges it would take the records for few enough to broadcast.
     """
     spark = ranges.sparkSession
     wanted = RECORD_COLUMNS if columns is None else tuple(columns)
@@ -48,12 +49,15 @@ def read_ranges(
     if few.num_rows <= FEW_RANGES:
         few = few.sort_by([("file", "ascending"), ("start", "ascending")])
         names = few.column("file").unique().to_pylist()
-        dealt = spark.createDataFrame(few, ranges.schema)
+        rows = [tuple(r.values()) for r in few.to_pylist()]
+        total = sum(r["end"] - r["start"] for r in few.select(["start", "end"]).to_pylist())
+        tasks = max(spark.sparkContext.defaultParallelism, tasks_for(spark, total, chunk_bytes))
+        dealt = spark.sparkContext.parallelize(rows, max(1, min(tasks, len(rows))))
         if len(names) <= FEW_FILES:
             paths = names
     else:
         total = ranges.agg(F.sum(F.col("end") - F.col("start"))).first()[0]
-        dealt = spread(ranges, "start", tasks_for(total, chunk_bytes))
+        dealt = spread(ranges, "start", tasks_for(spark, total, chunk_bytes)).rdd
     coded = paths is not None and "file" in wanted
     out = Output((*("code" if coded and c == "file" else c for c in wanted), "error"), where)
     numbers = {path: i for i, path in enumerate(paths or ())}
@@ -63,7 +67,7 @@ def read_ranges(
             for r in batch.to_pylist():
                 yield from records({**r, "code": numbers.get(r["file"], 0)}, out)
 
-    found = dealt.mapInArrow(read, out.ddl)
+    found = spark.createDataFrame(dealt, ranges.schema).mapInArrow(read, out.ddl)
     return found.select(*(_path(paths).alias("file") if c == "code" else c for c in out.columns)) if coded else found
 
 

@@ -100,7 +100,8 @@ def _count_blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _numbered(ranges: DataFrame, chunk_bytes: int) -> DataFrame:
     """First record numbers from the counts of ranges: prefix sums in stretches of ranges, then
     over the stretches of a file."""
-    counted = spread(ranges.drop("first_rec_no"), "start", max(1, ranges.count())).mapInArrow(
+    total = ranges.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
+    counted = spread(ranges.drop("first_rec_no"), "start", tasks_for(ranges.sparkSession, total, chunk_bytes)).mapInArrow(
         _count_blocked, "file string, start bigint, end bigint, length bigint, modified timestamp, n bigint, bad boolean"
     )
     counted = counted.withColumn("stretch", F.expr(f"start div ({chunk_bytes}L * 4096)")).checkpoint()
@@ -156,7 +157,7 @@ def _ranges(spark: SparkSession, files: DataFrame, chunk_bytes: int, bdw: bool)
         .withColumn("chunk", F.explode(F.expr("sequence(0L, (length - 1) div chunk_bytes)")))
         .filter("(chunk + 1) * chunk_bytes < length")
     )
-    maps = spread(chunks, "chunk", tasks_for(total, chunk_bytes)).mapInArrow(_scan_chunks, _MAP_DDL)
+    maps = spread(chunks, "chunk", tasks_for(spark, total, chunk_bytes)).mapInArrow(_scan_chunks, _MAP_DDL)
     above = (F.col("unit") / FAN).cast("bigint").alias("above")
     levels, span, units = [(maps.checkpoint(), chunk_bytes)], chunk_bytes, -(-largest // chunk_bytes)
     while units > FAN:

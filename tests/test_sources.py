@@ -6,8 +6,8 @@ import random
 import pytest
 
 from mainspool.sources import framing
-from mainspool.sources.files import list_files, split_paths
-from mainspool.sources.fixed import read_fb
+from mainspool.sources.files import TASK_BYTES, TASKS_A_CORE, list_files, split_paths, tasks_for
+from mainspool.sources.fixed import read_fb, spread
 from mainspool.sources.variable import keep_index, read_vb, tagged_vb, vb_ranges, vb_rejects
 
 
@@ -130,6 +130,28 @@ def test_a_file_of_many_chunks(spark, record_file):
     assert rows(read_vb(spark, path, index=ranges)) == expected(records)
 
 
+def test_small_chunks_share_tasks(spark, record_file, monkeypatch):
+    """The number of tasks does not grow with the number of chunks, in no step of a scan."""
+    blocks = [framed([b"abcdef"] * 4)] * 2000
+    path = record_file(framed(blocks))
+    monkeypatch.setattr("mainspool.sources.fixed.FEW_RANGES", 100)
+    dealt = []
+    for module in ("fixed", "variable"):
+        counted = lambda ranges, by, tasks: dealt.append(tasks) or spread(ranges, by, tasks)
+        monkeypatch.setattr(f"mainspool.sources.{module}.spread", counted)
+    found = read_vb(spark, path, chunk_bytes=100, bdw=True)
+    assert rows(found) == expected([b"abcdef"] * 8000)
+    assert len(dealt) == 3 and max(dealt) <= TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert tasks_for(spark, 1 << 40, 1 << 18) == (1 << 40) // TASK_BYTES and tasks_for(spark, 100, 64 << 20) == 1
+
+
+def test_records_of_few_ranges_are_not_taken_for_few(spark, record_file):
+    """Ranges are a few bytes, their records are not: a join of two scans is not planned as a broadcast."""
+    path = record_file(framed([b"ab", b"c"]))
+    left, right = (read_vb(spark, path).select("rec_no", "rec") for _ in range(2))
+    assert "Broadcast" not in left.join(right, "rec_no")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_scan_gives_records_and_rejects(spark, record_file):
     path = record_file(framed([b"ab", b"c"]) + b"\0\0\0\0")
     found = tagged_vb(spark, path, chunk_bytes=8).collect()

@@ -1113,11 +1113,9 @@ def column_names_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zoned_unset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blank and low-value numbers are empty, not zero; a blank behind a digit is bad."""
     records = read_vb(spark, fx.unset(spark, sf_dir), chunk_bytes=CHUNK)
-    text = d.decode_text(records, lay.UNSET, keep=("file", "rec_no"))
-    typed = d.decode_typed(records, lay.UNSET, keep=("file", "rec_no")).select(
-        F.col("file").alias("f"), F.col("rec_no").alias("n"), F.array_join("_bad_fields", ",").alias("bad")
-    )
-    both = text.join(typed, (F.col("file") == F.col("f")) & (F.col("rec_no") == F.col("n")))
+    typed = d.decode_typed(records, lay.UNSET, keep=("rec_len", "rec"))
+    checked = typed.select("rec_len", "rec", F.array_join("_bad_fields", ",").alias("bad"))
+    both = d.decode_text(checked, lay.UNSET, keep=("bad",))  # of the same row, so there is nothing to join
     return both.select(big("ORDER_KEY", "order_key"), F.col("LINE_POS").alias("line_pos"), F.col("LINE_SIGNED").alias("line_signed"), "bad")
 
 

@@ -19,6 +19,12 @@ _METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 _METHOD_LIMIT_DEFAULT = "65535"
 _JIT_LIMIT = "8000"
 
+# Partitions of a shuffle before small ones are joined, and the size they are joined up to.
+_FINE_SHUFFLES = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1024",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+}
+
 # Plans are built by one thread at a time while the charset switch is on.
 _CHARSETS_LOCK = threading.RLock()
 
@@ -39,6 +45,24 @@ def java_charsets(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_JAVA_CHARSETS, before)
 
 
+@contextmanager
+def fine_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Run what is run inside with smaller shuffle partitions.
+
+    By default adaptive execution joins partitions up to 64 MB as written, several times that
+    unpacked; sorts, windows and collected lists of several tasks in one executor then spill. Settings
+    the session made itself stay.
+    """
+    unset = [name for name in _FINE_SHUFFLES if spark.conf.get(name, None) is None]
+    for name in unset:
+        spark.conf.set(name, _FINE_SHUFFLES[name])
+    try:
+        yield
+    finally:
+        for name in unset:
+            spark.conf.unset(name)
+
+
 def limit_generated_methods(spark: SparkSession) -> None:
     """Keep wide projections compiled.
 

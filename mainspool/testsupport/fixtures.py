@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mainspool.session import java_charsets, limit_generated_methods, scratch_path
+from mainspool.session import fine_shuffles, java_charsets, limit_generated_methods, scratch_path
 from mainspool.sinks.vb import write_vb
 from mainspool.testsupport import encode as e
 
@@ -37,18 +37,20 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
         limit_generated_methods(spark)
         with java_charsets(spark):
             records = build()
-        write_vb(
-            records.select(F.lit(name).alias("file"), (F.monotonically_increasing_id() + 1).alias("rec_no"), "rec"),
-            path,
-            descriptors=descriptors,
-        )
+        with fine_shuffles(spark):
+            write_vb(
+                records.select(F.lit(name).alias("file"), (F.monotonically_increasing_id() + 1).alias("rec_no"), "rec"),
+                path,
+                descriptors=descriptors,
+            )
         _written[key] = path
     return _written[key]
 
 
 def _joined(items: Column) -> Column:
-    """Hex strings of (rank, hex) structs, in rank order, as bytes."""
-    return F.unhex(F.array_join(F.transform(F.sort_array(items), lambda s: s["bytes"]), ""))
+    """Bytes of (rank, bytes) structs, in rank order, end to end."""
+    none = F.unhex(F.lit(""))
+    return F.aggregate(F.sort_array(items), none, lambda joined, s: F.concat(joined, F.coalesce(s["bytes"], none)))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> str:
@@ -68,7 +70,7 @@ def customers(spark: SparkSession, sf_dir: str) -> str:
             .groupBy("o_custkey", "block")
             .agg(
                 F.count("*").alias("n"),
-                F.collect_list(F.struct("rn", F.hex(one).alias("bytes"))).alias("items"),
+                F.collect_list(F.struct("rn", one.alias("bytes"))).alias("items"),
             )
             .select("o_custkey", "n", _joined(F.col("items")).alias("body"))
         )
@@ -83,10 +85,10 @@ def customers(spark: SparkSession, sf_dir: str) -> str:
                 e.text(F.col("c_mktsegment"), 14),
             )
 
-        on = F.col("c_custkey") == F.col("o_custkey")
-        some = customer.join(blocks, on).select(F.concat(person(F.col("n")), "body").alias("rec"))
-        none = customer.join(blocks, on, "left_anti").select(person(F.lit(0)).alias("rec"))
-        return some.unionByName(none)
+        # one join: a second one for customers without orders would rank all orders again
+        each = customer.join(blocks, F.col("c_custkey") == F.col("o_custkey"), "left")
+        body = F.coalesce("body", F.unhex(F.lit("")))
+        return each.select(F.concat(person(F.coalesce("n", F.lit(0))), body).alias("rec"))
 
     return _once(spark, sf_dir, "customers", build)
 
@@ -225,7 +227,7 @@ def baskets(spark: SparkSession, sf_dir: str) -> str:
         held = (
             ranked.withColumn("chunk", F.expr("(rn - 1) div 4"))
             .groupBy("l_orderkey", "chunk")
-            .agg(F.count("*").alias("m"), F.collect_list(F.struct("rn", F.hex(line).alias("bytes"))).alias("items"))
+            .agg(F.count("*").alias("m"), F.collect_list(F.struct("rn", line.alias("bytes"))).alias("items"))
             .select("l_orderkey", "chunk", "m", _joined(F.col("items")).alias("body"))
         )
         orders = table(spark, sf_dir, "orders")
@@ -236,7 +238,7 @@ def baskets(spark: SparkSession, sf_dir: str) -> str:
         blocks = (
             dealt.withColumn("block", F.expr("(rn - 1) div 3"))
             .groupBy("o_custkey", "block")
-            .agg(F.count("*").alias("n"), F.collect_list(F.struct("rn", F.hex("placed").alias("bytes"))).alias("items"))
+            .agg(F.count("*").alias("n"), F.collect_list(F.struct("rn", F.col("placed").alias("bytes"))).alias("items"))
         )
         return blocks.select(F.concat(e.digits(F.col("o_custkey"), 12), e.digits(F.col("n"), 1), _joined(F.col("items")), e.text(F.lit("END"), 3)).alias("rec"))
 
@@ -333,7 +335,7 @@ def composite(
         blocks = (
             ranked.withColumn("block", F.expr(f"(rn - 1) div {LINES_PER_RECORD}"))
             .groupBy("l_orderkey", "block")
-            .agg(F.collect_list(F.struct("rn", F.hex(F.concat(prefix, padded)).alias("bytes"))).alias("items"))
+            .agg(F.collect_list(F.struct("rn", F.concat(prefix, padded).alias("bytes"))).alias("items"))
             .select("l_orderkey", "block", _joined(F.col("items")).alias("body"))
         )
         orders = table(spark, sf_dir, "orders")
@@ -355,9 +357,9 @@ def composite(
             priority = F.col("o_orderpriority")
             bad = F.when(priority == "5-LOW", "E9E97FFF00").when(priority == "4-NOT SPECIFIED", "E9E9000000")
             tail = F.unhex(bad.when(priority == "3-MEDIUM", "E9E9").otherwise(""))
-        some = orders.join(blocks, on).select(F.concat(header(F.col("block")), "body", tail).alias("rec"))
-        none = orders.join(blocks, on, "left_anti").select(header(F.lit(0)).alias("rec"))
-        return some.unionByName(none)
+        # one join: a second one for orders without lines would rank all lines again
+        held = F.when(F.col("block").isNotNull(), F.concat("body", tail)).otherwise(F.unhex(F.lit("")))
+        return orders.join(blocks, on, "left").select(F.concat(header(F.coalesce("block", F.lit(0))), held).alias("rec"))
 
     return _once(spark, sf_dir, f"composite-{offset}-{marked}-{broken}", build)
 

@@ -32,3 +32,25 @@ def test_unset_numbers_need_no_join(spark, tables):
     assert found.count() == 255
     third = sorted((r["line_pos"], r["line_signed"], r["bad"]) for r in found.filter("order_key = 3").collect())
     assert third == [("2", "-2", ""), ("BAD_FIELD_RECORD", "-3", "LINE_POS"), ("NULL", "NULL", "")]
+
+
+@pytest.mark.parametrize("made", ["composite", "baskets"])
+def test_inputs_rank_lines_once_in_fine_shuffles(spark, tables, monkeypatch, made):
+    seen = {}
+    write = fx.write_vb
+
+    def spy(df, path, **options):
+        seen["plan"] = df._jdf.queryExecution().optimizedPlan().toString()
+        seen["size"] = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+        return write(df, path, **options)
+
+    monkeypatch.setattr(fx, "write_vb", spy)
+    path = getattr(fx, made)(spark, tables)
+    assert seen["size"] == "16m"
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) is None
+    assert "LeftAnti" not in seen["plan"] and "array_join" not in seen["plan"]
+    sizes = sorted(r["rec_len"] for r in read_vb(spark, path).collect())
+    if made == "composite":  # header only, two long lines, three lines, and 250 lines in three records
+        assert sizes == [40, 40 + 2 * 56, 40 + 3 * 46, 40 + 50 * 46, 40 + 100 * 46, 40 + 100 * 46]
+    else:  # 1 + 63 + 1 + 1 baskets of up to four lines, three a record
+        assert len(sizes) == 22

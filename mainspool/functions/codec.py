@@ -51,11 +51,11 @@ TRIMMED = "".join(map(chr, range(0x21)))
 _JVM_CONTROLS = {0x15: "\n"}
 
 # the character of every byte, and the digit in the byte's low nibble
-_CHARACTERS = "".join(_JVM_CONTROLS.get(i) or bytes([i]).decode(CHARSET) for i in range(256))
+CHARACTERS = "".join(_JVM_CONTROLS.get(i) or bytes([i]).decode(CHARSET) for i in range(256))
 _LOW_NIBBLES = "0123456789??????" * 16
 
 # the characters of signed digits: ten for each positive, then each negative zone
-_SIGNED_DIGITS = "".join(_CHARACTERS[int(zone, 16) * 16 + digit] for zone in POSITIVE + NEGATIVE for digit in range(10))
+_SIGNED_DIGITS = "".join(CHARACTERS[int(zone, 16) * 16 + digit] for zone in POSITIVE + NEGATIVE for digit in range(10))
 _FIRST_NEGATIVE = 10 * len(POSITIVE)
 
 
@@ -146,7 +146,7 @@ def _zoned(shown: str, field: Field | Item) -> str:
         first, mark = (2, 1) if "leading" in field.sign else (1, size)
         number = _zoned(f"substring({shown}, {first}, {size - 1})", replace(field, size=size - 1, signed=False, sign=""))
         return f"CASE substring({shown}, {mark}, 1) WHEN '+' THEN {number} WHEN '-' THEN -{number} END"
-    low = f"translate({shown}, {literal(_CHARACTERS)}, '{_LOW_NIBBLES}')"
+    low = f"translate({shown}, {literal(CHARACTERS)}, '{_LOW_NIBBLES}')"
     behind = f"trim(LEADING {_UNSET} FROM {shown})"
     clean = f"{behind} <> '' AND translate({behind}, {_UNSET}, '') = {behind}"
     low = f"CASE WHEN {clean} THEN {low} END"

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mainspool.functions import codec
 from mainspool.layout import COMP, EDITED, FLOAT, TEXT, ZONED, Field, Item, Layout, Offset, Position, column_names, distinct_name, normalise, placed, plus
+from mainspool.operators.occurrences import Cutter
 from mainspool.session import java_charsets, limit_generated_methods
 
 RECORD_COLUMNS = ("file", "rec_no", "rec_len", "rec")
@@ -48,6 +49,7 @@ class FieldReader:
         self.dialect = dialect
         self.counts: dict[str, str] = {}
         self.walks: dict[str, str] = {}
+        self.cuts: dict[str, str] = {}
         self.depth = 0
 
     def count(self, name: str) -> str:
@@ -56,9 +58,11 @@ class FieldReader:
             self.counts[name] = _count(self.value(self.layout.find(name)))
         return self.counts[name]
 
-    def steps(self, split: str, prefix: str = "") -> list[tuple[str, str]]:
-        """What offsets hang on, each a (column, SQL) that may read those before it: counts, and walks."""
-        out: list[tuple[str, str]] = []
+    def steps(self, split: str, prefix: str = "", cutting: bool = False) -> list[tuple[str, str | Column]]:
+        """What offsets hang on, each a (column, SQL) that may read those before it: counts, and walks. With
+        ``cutting`` there are columns of cut occurrences among them (:mod:`mainspool.operators.occurrences`), and
+        walks are for records those leave out."""
+        out: list[tuple[str, str | Column]] = []
         seen: set[str] = set()
 
         def count(name: str) -> None:
@@ -77,8 +81,18 @@ class FieldReader:
                 sql = self.walk(walk.item, self.position(walk.start))
                 if sql not in seen and sql not in self.walks.values():
                     seen.add(sql)
+                    known = sql
+                    cutter = Cutter.of(walk.item, split) if cutting and not (walk.start.after or walk.start.needs) else None
+                    if cutter:
+                        for name in cutter.outside:
+                            count(name)
+                        said = self.present(walk.item) if not walk.item.depending else self.count(walk.item.depending)
+                        cut = cutter.column(f"{self.position(walk.start)}", said, map(self.count, cutter.outside))
+                        out.append((column := f"{prefix}_cut{len(out)}", cut))
+                        self.cuts[sql] = column
+                        sql = f"coalesce({column}.places, {sql})"
                     out.append((column := f"{prefix}_walk{len(out)}", sql))
-                    self.walks[sql] = column
+                    self.walks[known] = column
             for _, name in offset.terms:
                 count(name)
             for name, _ in offset.needs:
@@ -134,6 +148,11 @@ class FieldReader:
         sql = f"aggregate({steps}, array(cast({at} AS bigint)), ({places}, {n}) -> concat({places}, array(cast({behind} AS bigint))))"
         return self.walks.get(sql, sql)
 
+    def cut(self, item: Item, at: Position) -> str | None:
+        """The column that holds the occurrences of an item cut out, if there is one."""
+        walked = self.walk(item, at)
+        return next((column for sql, column in self.cuts.items() if walked in (sql, self.walks.get(sql))), None)
+
     def behind(self, item: Item, at: Position, known: Mapping[str, str], source: str, length: str) -> Position:
         """The place behind an item that starts at ``at``."""
         if item.occurs is not None and item.varies:
@@ -225,11 +244,11 @@ def _kept(df: DataFrame, keep: Sequence[str] | None) -> list[str]:
     return [n for n in names if n in df.columns]
 
 
-def _with_counts(df: DataFrame, layout: Layout, split: str, dialect: str = "mainframe") -> tuple[DataFrame, FieldReader]:
+def _with_counts(df: DataFrame, layout: Layout, split: str, dialect: str = "mainframe", cutting: bool = False) -> tuple[DataFrame, FieldReader]:
     """Add what later offsets hang on as columns, each made once."""
     reader = FieldReader(layout, dialect)
-    for name, sql in reader.steps(split):
-        df = df.withColumn(name, F.expr(sql))
+    for name, made in reader.steps(split, cutting=cutting):
+        df = df.withColumn(name, F.expr(made) if isinstance(made, str) else made)
     return df, reader
 
 
@@ -335,7 +354,8 @@ class _Tree:
         self.checks.append(f"CASE WHEN NOT {self.settle(self.stage(fits))} THEN '{path}' END")
         if item.varies or item.occurs * item.leaves() > UNROLLED:
             elements, shape = self.element(item, at, "rec", {}, "rec_len")
-            return self.settle(shape(self.stage(elements)))
+            cut = self.reader.cut(item, at) if item.varies else None
+            return self.settle(shape(self.stage(f"coalesce({cut}.raw, {elements})" if cut else elements)))
         # few enough to write out, which stays in generated code; lambdas do not
         one = replace(item, occurs=None, depending=None)
         checks, fillers, elements = self.checks, self.fillers, []
@@ -374,14 +394,14 @@ class _Tree:
             return piece, lambda raw: typed(codec.value(raw, item), item)
         raws, shapes = [], []
         known = {**known, **self.reader.counts_inside(item, at, known, source, length)}
-        for child, child_at, name in self.members(item, at, known, source, length):
+        for i, (child, child_at, name) in enumerate(self.members(item, at, known, source, length)):
             if child.occurs is not None:
                 raw, shape = self.element(child, child_at, source, known, length)
             else:
                 raw, shape = self.inside(child, child_at, source, known)
-            raws.append((name, raw))
+            raws.append((f"f{i}", raw))
             shapes.append((name, shape))
-        return struct(raws), lambda raw: struct([(name, shape(f"{raw}.`{name}`")) for name, shape in shapes])
+        return struct(raws), lambda raw: struct([(name, shape(f"{raw}.f{i}")) for i, (name, shape) in enumerate(shapes)])
 
 
 def decode_typed(
@@ -395,7 +415,7 @@ def decode_typed(
     limit_generated_methods(df.sparkSession)
     kept = _kept(df, keep)
     with java_charsets(df.sparkSession):
-        df, reader = _with_counts(df, layout, split)
+        df, reader = _with_counts(df, layout, split, cutting=True)
         pieces, values, columns = reader.typed_columns(split, kept, "_", "_v")
         raw = _staged(df, kept, pieces)
         made = raw.selectExpr(*kept, *(f"{v} AS _v{i}" for i, v in enumerate(values)))

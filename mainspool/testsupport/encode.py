@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# Rows of one key that a task may sort; keys are told apart by so many hashes.
+MANY = 1 << 17
+HASHES = 1 << 16
+
 
 def text(c: Column, size: int) -> Column:
     """Characters padded or cut to ``size``, as cp037 bytes. Needs ``java_charsets``."""
@@ -79,3 +83,38 @@ def rank_in_key(df: DataFrame, key: str, order: list[str], salt: str, name: str
     before = W.partitionBy(key).orderBy(salt).rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(key, salt, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     return local.join(starts, [key, salt]).withColumn(name, F.col("_local") + F.col("_start")).drop("_local", "_start")
+
+
+def joined(items: Column) -> Column:
+    """Bytes of (rank, bytes) structs, in rank order, end to end."""
+    none = F.unhex(F.lit(""))
+    return F.aggregate(F.sort_array(items), none, lambda whole, s: F.concat(whole, F.coalesce(s["bytes"], none)))
+
+
+def runs_in_key(df: DataFrame, key: str, order: list[str], salt: str, size: int, one: Column) -> DataFrame:
+    """Runs of ``size`` rows of a key, in the ranks of :func:`rank_in_key`: ``(key, block, n, body)``, where ``body`` is the
+    bytes ``one`` of a run's rows end to end.
+
+    Keys of few rows are sorted whole, and a run's first row looks at those behind it. Which keys may have
+    many is told by how many rows share the hash of their key; those are ranked by salt, so that no task holds all
+    rows of one.
+    """
+    whole = df.where(F.col(key).isNotNull()).withColumn("_hash", F.pmod(F.xxhash64(key), F.lit(HASHES)))
+    many = [r["_hash"] for r in whole.groupBy("_hash").agg(F.count("*").alias("n")).where(F.col("n") > MANY).select("_hash").collect()]
+    none = F.unhex(F.lit(""))
+    # the bytes are made behind the shuffle, which they would make larger
+    few = (whole.where(~F.col("_hash").isin(many)) if many else whole).drop("_hash").repartition(key)
+    along = W.partitionBy(key).orderBy(salt, *order)
+    # as in rank_in_key, a row without a salt has a rank but is left out
+    row = few.select(key, salt, *order, F.when(F.col(salt).isNotNull(), F.struct(one.alias("bytes"))).alias("_row"))
+    next_ones = [F.lead("_row", i).over(along).alias(f"_row{i}") for i in range(1, size)]
+    first = row.select(key, F.row_number().over(along).alias("_rn"), F.col("_row").alias("_row0"), *next_ones).where((F.col("_rn") - 1) % size == 0)
+    rows = [F.col(f"_row{i}") for i in range(size)]
+    body = F.concat(*(F.coalesce(r["bytes"], none) for r in rows))
+    n = sum((r.isNotNull().cast("bigint") for r in rows[1:]), rows[0].isNotNull().cast("bigint"))
+    runs = first.select(key, F.expr(f"(_rn - 1) div {size}").alias("block"), n.alias("n"), body.alias("body")).where(F.col("n") > 0)
+    if not many:
+        return runs
+    ranked = rank_in_key(whole.where(F.col("_hash").isin(many)), key, order, salt, "_rn").withColumn("block", F.expr(f"(_rn - 1) div {size}"))
+    lists = ranked.groupBy(key, "block").agg(F.count("*").alias("n"), F.collect_list(F.struct("_rn", one.alias("bytes"))).alias("items"))
+    return runs.unionByName(lists.select(key, "block", "n", joined(F.col("items")).alias("body")))

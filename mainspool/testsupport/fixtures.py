@@ -47,12 +47,6 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     return _written[key]
 
 
-def _joined(items: Column) -> Column:
-    """Bytes of (rank, bytes) structs, in rank order, end to end."""
-    none = F.unhex(F.lit(""))
-    return F.aggregate(F.sort_array(items), none, lambda joined, s: F.concat(joined, F.coalesce(s["bytes"], none)))
-
-
 def customers(spark: SparkSession, sf_dir: str) -> str:
     """Variable-length: one record per customer and up to six of its orders, all orders."""
 
@@ -72,7 +66,7 @@ def customers(spark: SparkSession, sf_dir: str) -> str:
                 F.count("*").alias("n"),
                 F.collect_list(F.struct("rn", one.alias("bytes"))).alias("items"),
             )
-            .select("o_custkey", "n", _joined(F.col("items")).alias("body"))
+            .select("o_custkey", "n", e.joined(F.col("items")).alias("body"))
         )
         customer = table(spark, sf_dir, "customer")
 
@@ -220,27 +214,21 @@ def baskets(spark: SparkSession, sf_dir: str) -> str:
 
     def build() -> DataFrame:
         lines = table(spark, sf_dir, "lineitem").withColumn("salt", F.expr("l_partkey div 4096"))
-        ranked = e.rank_in_key(lines, "l_orderkey", LINE_ORDER, "salt")
         notes = F.col("l_linenumber") % 3
         note = F.when(notes == 0, F.unhex(F.lit(""))).when(notes == 1, e.text(F.lit("one"), 3)).otherwise(e.text(F.lit("onetwo"), 6))
         line = F.concat(e.digits(F.col("l_linenumber"), 4), e.comp3(F.col("l_extendedprice"), 8, 2), e.digits(notes, 1), note, e.digits(F.col("l_partkey"), 12))
-        held = (
-            ranked.withColumn("chunk", F.expr("(rn - 1) div 4"))
-            .groupBy("l_orderkey", "chunk")
-            .agg(F.count("*").alias("m"), F.collect_list(F.struct("rn", line.alias("bytes"))).alias("items"))
-            .select("l_orderkey", "chunk", "m", _joined(F.col("items")).alias("body"))
-        )
+        # lines alike up to the price have the same bytes
+        order = LINE_ORDER[: LINE_ORDER.index("l_extendedprice") + 1]
+        held = e.runs_in_key(lines.select("l_orderkey", "salt", *order), "l_orderkey", order, "salt", 4, line)
         orders = table(spark, sf_dir, "orders")
-        each = orders.join(held, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumns({"chunk": F.coalesce("chunk", F.lit(0)), "m": F.coalesce("m", F.lit(0))})
-        body = F.coalesce("body", F.unhex(F.lit("")))
-        placed = F.concat(e.digits(F.col("o_orderkey"), 12), e.comp(F.col("m"), 2), body, e.text(F.col("o_orderstatus"), 1))
-        dealt = e.rank_in_key(each.select("o_custkey", "o_orderkey", "chunk", placed.alias("placed"), F.expr("o_orderkey div 65536").alias("salt")), "o_custkey", ["o_orderkey", "chunk"], "salt")
-        blocks = (
-            dealt.withColumn("block", F.expr("(rn - 1) div 3"))
-            .groupBy("o_custkey", "block")
-            .agg(F.count("*").alias("n"), F.collect_list(F.struct("rn", F.col("placed").alias("bytes"))).alias("items"))
-        )
-        return blocks.select(F.concat(e.digits(F.col("o_custkey"), 12), e.digits(F.col("n"), 1), _joined(F.col("items")), e.text(F.lit("END"), 3)).alias("rec"))
+        each = orders.join(held, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumns({"chunk": F.coalesce("block", F.lit(0)), "m": F.coalesce("n", F.lit(0))})
+        placed = F.concat(e.digits(F.col("o_orderkey"), 12), e.comp(F.col("m"), 2), F.coalesce("body", F.unhex(F.lit(""))), e.text(F.col("o_orderstatus"), 1))
+        # kept, as counting a customer's rows would make them all once more
+        kept = scratch_path(spark, "placed")
+        with fine_shuffles(spark):
+            each.select("o_custkey", "o_orderkey", "chunk", placed.alias("placed"), F.expr("o_orderkey div 65536").alias("salt")).write.parquet(kept)
+        blocks = e.runs_in_key(spark.read.parquet(kept), "o_custkey", ["o_orderkey", "chunk"], "salt", 3, F.col("placed"))
+        return blocks.select(F.concat(e.digits(F.col("o_custkey"), 12), e.digits(F.col("n"), 1), F.col("body"), e.text(F.lit("END"), 3)).alias("rec"))
 
     return _once(spark, sf_dir, "baskets", build)
 
@@ -336,7 +324,7 @@ def composite(
             ranked.withColumn("block", F.expr(f"(rn - 1) div {LINES_PER_RECORD}"))
             .groupBy("l_orderkey", "block")
             .agg(F.collect_list(F.struct("rn", F.concat(prefix, padded).alias("bytes"))).alias("items"))
-            .select("l_orderkey", "block", _joined(F.col("items")).alias("body"))
+            .select("l_orderkey", "block", e.joined(F.col("items")).alias("body"))
         )
         orders = table(spark, sf_dir, "orders")
         on = F.col("o_orderkey") == F.col("l_orderkey")

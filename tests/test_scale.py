@@ -6,6 +6,7 @@ import pytest
 
 from mainspool.plans import queries
 from mainspool.sources.variable import read_vb
+from mainspool.testsupport import encode
 from mainspool.testsupport import fixtures as fx
 
 LINES = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
@@ -54,3 +55,34 @@ def test_inputs_rank_lines_once_in_fine_shuffles(spark, tables, monkeypatch, mad
         assert sizes == [40, 40 + 2 * 56, 40 + 3 * 46, 40 + 50 * 46, 40 + 100 * 46, 40 + 100 * 46]
     else:  # 1 + 63 + 1 + 1 baskets of up to four lines, three a record
         assert len(sizes) == 22
+
+
+def test_baskets_sort_lines_once(spark, tables, tmp_path, monkeypatch):
+    """A key's rows are ranked and joined to runs in the order of one sort; keys of many rows give the same records."""
+    lines = [(5, None, 3, 1, 2.0, 1.5, 0.0, 0.0, "R", "F", DAY)] * 3 + [(None, 1, 3, 1, 2.0, 1.5, 0.0, 0.0, "R", "F", DAY), (5, 9, 3, None, 2.0, 1.5, 0.0, 0.0, "R", "F", DAY), (5, 9, 3, 2, 2.0, 1.5, 0.0, 0.0, "R", "F", DAY)]
+    orders = [(5, 2, "F", 1.0, DAY, "x"), (None, 2, "F", 1.0, DAY, "x"), (None, 2, "F", 1.0, DAY, "x"), (6, None, "F", 1.0, DAY, "x"), (70_000, 2, "F", 1.0, DAY, "x")]
+    folder = tmp_path / "more"
+    for name, rows, ddl in (("lineitem", lines, LINES), ("orders", orders, ORDERS)):
+        spark.read.parquet(f"{tables}/{name}.parquet").unionByName(spark.createDataFrame(rows, ddl)).write.parquet(f"{folder}/{name}.parquet")
+    seen = []
+    write = fx.write_vb
+
+    def spy(df, path, **options):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, path, **options)
+
+    monkeypatch.setattr(fx, "write_vb", spy)
+
+    def made():
+        monkeypatch.setattr(fx, "_written", {})
+        return sorted(r["rec"].hex() for r in read_vb(spark, fx.baskets(spark, str(folder))).collect())
+
+    few = made()
+    assert "Join" not in seen[0] and "collect_list" not in seen[0]
+    monkeypatch.setattr(encode, "MANY", 0)
+    assert made() == few
+    assert "Join" in seen[1]
+    monkeypatch.setattr(encode, "MANY", 100)  # the order of 250 lines only, and no customer
+    assert made() == few
+    # 66 baskets, three a record; what has no salt is left out but keeps its rank, so that order 5 and customer 2 have two runs
+    assert len(few) == 22 + 2 and sum(r.startswith("f0" * 11 + "f2") for r in few) == 2
